@@ -1,11 +1,14 @@
-"""Ratios, growth and numeric parsing as native column expressions.
+"""Exact quotients and numeric parsing as native column expressions.
 
-Ratios are taken over doubles and rounded last: decimal division would carry a precision
-that depends on the operand types, and ANSI mode would fail on a zero denominator.
+Means, shares and growth rates are rounded exactly, half away from zero, from decimal sums.
+The result then depends neither on the order in which partitions were added up nor on how a
+binary fraction happens to fall.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,13 +18,22 @@ def to_number(c: Column) -> Column:
     return c.try_cast("decimal(30,6)")
 
 
-def ratio(num: Column, den: Column) -> Column:
-    """``num / den``; NULL when the denominator is zero or NULL."""
-    return num.cast("double") / F.nullif(den.cast("double"), F.lit(0.0))
+def quotient(num: Column, den: Column, places: int) -> Column:
+    """``num / den`` to ``places`` decimals; NULL when the denominator is zero or NULL.
+
+    Both may be whole numbers or decimals of up to six places.
+    """
+    a, b = num.cast("decimal(38,6)"), den.cast("decimal(38,6)")
+    unit = 10 ** places
+    divisor = F.nullif(F.abs(b) * 2, F.lit(Decimal(0)))
+    top = F.abs(a) * (2 * unit) + F.abs(b)
+    whole = ((top - top % divisor) / divisor).cast("decimal(30,0)")
+    scaled = (whole * F.lit(Decimal(1).scaleb(-places))).cast(f"decimal(24,{places})")
+    return F.when((a < 0) != (b < 0), -scaled).otherwise(scaled)
 
 
 def percent(num: Column, den: Column, places: int = 2) -> Column:
-    return F.round(ratio(num, den) * 100, places)
+    return quotient(num.cast("decimal(36,6)") * 100, den, places)
 
 
 def growth_pct(current: Column, prior: Column, places: int = 2) -> Column:
@@ -30,16 +42,9 @@ def growth_pct(current: Column, prior: Column, places: int = 2) -> Column:
 
 
 def mean(c: Column, places: int) -> Column:
-    """Average over doubles, rounded: the same on any number of partitions."""
-    return F.round(F.avg(c.cast("double")), places)
-
-
-def half_up_mean(c: Column, places: int = 2) -> Column:
-    """Exact mean of a two-place decimal, rounded half up without going through doubles."""
-    step = 10 ** places
-    total = F.sum((c * step).cast("decimal(38,0)"))
-    n = F.count(c).cast("decimal(20,0)")
-    doubled = (total * 2 + n).cast("decimal(38,0)")
-    # NULL on no rows, and floor division so that negative means round the same way up.
-    quotient = F.floor(doubled / F.nullif(n * 2, F.lit(0).cast("decimal(21,0)")))
-    return (quotient.cast("double") / step).cast("double")
+    """Exact average of whole numbers or decimals."""
+    return quotient(F.sum(c), F.count(c), places)
+
+
+def zero_if_null(c: Column) -> Column:
+    return F.coalesce(c, F.lit(Decimal(0)))

@@ -102,14 +102,16 @@ def _finding(kind: Column, z_of: str | None) -> Column:
     )
 
 
-def _project(df: DataFrame) -> DataFrame:
+def _project(df: DataFrame, found: Column | None = None) -> DataFrame:
+    if found is not None:
+        df = df.withColumn("_found", found).select("*", "_found.*")
     return df.select(*ANOMALIES.fieldNames())
 
 
 def detect_zscore(core: DataFrame, column: str, threshold: float = 2.5) -> DataFrame:
     """Rows whose z-score in their category is beyond ``threshold`` either way."""
     scored = with_zscores(core, [column]).filter(F.abs(f"_{column}_z") > threshold)
-    return _project(scored.select("*", _finding(_z_type(column), column)["*"]))
+    return _project(scored, _finding(_z_type(column), column))
 
 
 def detect_iqr(
@@ -118,7 +120,7 @@ def detect_iqr(
     """Rows outside ``[q1 - k*iqr, q3 + k*iqr]`` of the whole column."""
     limits = fences(core, column, multiplier, approx)
     flagged = core.filter(_outside(column, limits))
-    return _project(flagged.select("*", _finding(F.lit(DISCOUNT_OUTLIER), None)["*"]))
+    return _project(flagged, _finding(F.lit(DISCOUNT_OUTLIER), None))
 
 
 def detect_all(

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions.calendar import month_label
-from tallyline.functions.numbers import ratio
+from tallyline.functions.numbers import mean, quotient, zero_if_null
 from tallyline.functions.text import strip
-from tallyline.schemas import CORE_SALES, MONEY
+from tallyline.schemas import CORE_SALES, MARGIN, MONEY
 
 DIMENSIONS = (
     "product_name", "product_category", "region", "sales_rep", "customer_id",
@@ -31,8 +33,15 @@ def gross_profit(revenue: Column, cost: Column) -> Column:
 
 
 def profit_margin(revenue: Column, cost: Column) -> Column:
-    """Profit over revenue to six places, 0 without revenue. A double: it is unbounded."""
-    return F.round(F.coalesce(ratio(revenue - cost, revenue), F.lit(0.0)), 6)
+    """Profit over revenue to six places, 0 without revenue. Wide, as it is unbounded:
+    a cost of 500 on a revenue of 1 is a margin of -499."""
+    exact = (revenue - cost) / F.nullif(revenue, F.lit(Decimal(0)))
+    return F.round(zero_if_null(exact), 6).cast(MARGIN)
+
+
+def as_percent(margin: Column, places: int = 2) -> Column:
+    """A six-place margin as a percentage."""
+    return F.round(margin * 100, places).cast(f"decimal(24,{places})")
 
 
 def discount_amount(price: Column, units: Column, discount_pct: Column) -> Column:
@@ -101,9 +110,7 @@ def core_summary(core: DataFrame) -> DataFrame:
         F.countDistinct("sales_rep").alias("sales_reps"),
         F.sum("revenue").cast("decimal(24,2)").alias("total_revenue"),
         F.sum("profit").cast("decimal(25,2)").alias("total_gross_profit"),
-        F.round(
-            F.sum("margin") / F.nullif(F.sum("n").cast("double"), F.lit(0.0)) * 100, 2
-        ).alias("avg_profit_margin_pct"),
+        as_percent(quotient(F.sum("margin"), F.sum("n"), 6)).alias("avg_profit_margin_pct"),
         F.coalesce(F.sum("unprofitable"), F.lit(0)).alias("unprofitable_txns"),
     )
 
@@ -115,7 +122,7 @@ def core_by_year(core: DataFrame) -> DataFrame:
             F.count("*").alias("transactions"),
             F.sum("revenue").alias("total_revenue"),
             F.sum("gross_profit").alias("total_gross_profit"),
-            F.round(F.avg("profit_margin") * 100, 2).alias("avg_margin_pct"),
+            as_percent(mean(F.col("profit_margin"), 6)).alias("avg_margin_pct"),
         )
         .orderBy("txn_year")
     )

@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyline.functions.numbers import growth_pct, half_up_mean, mean, percent, ratio
+from tallyline.functions.numbers import growth_pct, mean, percent, quotient, zero_if_null
 from tallyline.operators.views import prior_year, share_pct
 
 
@@ -29,7 +29,7 @@ def totals(monthly: DataFrame) -> DataFrame:
 
 def _margin_pct(places: int = 2) -> Column:
     """Ratio of sums, 0 without revenue (the marts hold the mean of ratios instead)."""
-    return F.coalesce(percent(F.sum("gross_profit"), F.sum("revenue"), places), F.lit(0.0))
+    return zero_if_null(percent(F.sum("gross_profit"), F.sum("revenue"), places))
 
 
 def profit_margin(core: DataFrame) -> DataFrame:
@@ -54,7 +54,7 @@ def yoy_growth(core: DataFrame) -> DataFrame:
 
 def mom_growth(trends: DataFrame, label: str) -> DataFrame:
     return trends.filter(F.col("month_label") == label).agg(
-        F.avg("mom_growth_pct").alias("mom_growth_pct")
+        mean(F.col("mom_growth_pct"), 2).alias("mom_growth_pct")
     )
 
 
@@ -103,14 +103,12 @@ def annual_kpis(core: DataFrame, anomalies: DataFrame, segment: str = "Enterpris
     """Eight measures per year, each with its change against the previous year."""
     in_segment = F.when(F.col("customer_segment") == segment, F.col("revenue"))
     yearly = core.groupBy("txn_year").agg(
-        F.sum("revenue").cast("double").alias("revenue"),
-        F.sum("gross_profit").cast("double").alias("gross_profit"),
+        F.sum("revenue").alias("revenue"),
+        F.sum("gross_profit").alias("gross_profit"),
         _margin_pct().alias("margin_pct"),
         F.count("*").alias("transactions"),
-        F.round(ratio(F.sum("revenue"), F.count("*")), 2).alias("revenue_per_transaction"),
-        F.coalesce(percent(F.sum(in_segment), F.sum("revenue")), F.lit(0.0)).alias(
-            "segment_share_pct"
-        ),
+        quotient(F.sum("revenue"), F.count("*"), 2).alias("revenue_per_transaction"),
+        zero_if_null(percent(F.sum(in_segment), F.sum("revenue"))).alias("segment_share_pct"),
         mean(F.col("discount_pct"), 4).alias("avg_discount_pct"),
     )
     flagged = anomalies.groupBy(F.year("txn_date").alias("txn_year")).agg(
@@ -122,9 +120,7 @@ def annual_kpis(core: DataFrame, anomalies: DataFrame, segment: str = "Enterpris
     before = Window.orderBy("txn_year")
     measures = [c for c in table.columns if c != "txn_year"]
     return table.withColumns({
-        f"{c}_change": F.round(
-            F.col(c).cast("double") - F.lag(F.col(c).cast("double")).over(before), 4
-        )
+        f"{c}_change": (F.col(c) - F.lag(c).over(before)).cast("decimal(28,4)")
         for c in measures
     })
 
@@ -175,11 +171,11 @@ def regional_share(regional: DataFrame) -> DataFrame:
 
 def revenue_per_unit(core: DataFrame) -> DataFrame:
     units = F.sum(F.col("units_sold").cast("long"))
-    return core.agg(F.round(ratio(F.sum("revenue"), units), 4).alias("revenue_per_unit"))
+    return core.agg(quotient(F.sum("revenue"), units, 4).alias("revenue_per_unit"))
 
 
 def avg_discount(core: DataFrame) -> DataFrame:
-    return core.agg(half_up_mean(F.col("discount_pct"), 2).alias("avg_discount_pct"))
+    return core.agg(mean(F.col("discount_pct"), 2).alias("avg_discount_pct"))
 
 
 def kpi_set(core: DataFrame) -> DataFrame:
@@ -190,7 +186,7 @@ def kpi_set(core: DataFrame) -> DataFrame:
         F.sum("gross_profit").alias("gross_profit"),
         _margin_pct().alias("profit_margin_pct"),
         F.count("*").alias("transactions"),
-        F.round(ratio(F.sum("revenue"), units), 4).alias("revenue_per_unit"),
+        quotient(F.sum("revenue"), units, 4).alias("revenue_per_unit"),
         mean(F.col("discount_pct"), 4).alias("avg_discount_pct"),
     )
 
@@ -242,7 +238,7 @@ def executive_summary(annual: DataFrame) -> DataFrame:
         "txn_year",
         revenue.alias("total_revenue"),
         F.col("profit").alias("gross_profit"),
-        F.coalesce(percent(F.col("profit"), revenue, 1), F.lit(0.0)).alias("profit_margin_pct"),
+        zero_if_null(percent(F.col("profit"), revenue, 1)).alias("profit_margin_pct"),
         "transactions",
         growth_pct(revenue, before, 1).alias("yoy_growth_pct"),
     ).orderBy("txn_year")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions.numbers import mean
+from tallyline.operators.core import as_percent
 from tallyline.sources.tables import row_counts
 
 
@@ -76,5 +77,5 @@ def regional_overview(regional: DataFrame) -> DataFrame:
         "region",
         "txn_year",
         F.round("total_revenue").cast("decimal(22,0)").alias("revenue"),
-        F.round(F.col("avg_profit_margin") * 100, 1).alias("margin_pct"),
+        as_percent(F.col("avg_profit_margin"), 1).alias("margin_pct"),
     )

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyline.functions.numbers import mean
+
 SERIES = ("entity_id", "metric_name")
 
 
@@ -57,7 +59,7 @@ def summarise(df: DataFrame, *more_keys: str) -> DataFrame:
     present = df.dropna(subset=list(SERIES))
     return present.groupBy(*keys).agg(
         F.sum("metric_value").alias("total_value"),
-        F.round(F.avg(F.col("metric_value").cast("double")), 4).alias("avg_value"),
+        mean(F.col("metric_value"), 4).alias("avg_value"),
         F.count("metric_value").alias("record_count"),
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.functions.calendar import seconds_between
-from tallyline.functions.numbers import percent
+from tallyline.functions.numbers import mean, percent, zero_if_null
 from tallyline.schemas import RUN_LOG
 
 
@@ -84,13 +84,13 @@ def success_rate(log: DataFrame, as_of: dt.date | Column) -> DataFrame:
     return log.agg(
         F.count("*").alias("total_runs"),
         F.count_if(_completed()).alias("successful_runs"),
-        F.coalesce(percent(F.count_if(_completed()), F.count("*"), 4), F.lit(0.0)).alias(
+        zero_if_null(percent(F.count_if(_completed()), F.count("*"), 4)).alias(
             "success_rate_pct"
         ),
         F.count_if(recent).alias("total_runs_30d"),
         F.count_if(recent & _completed()).alias("successful_runs_30d"),
-        F.coalesce(
-            percent(F.count_if(recent & _completed()), F.count_if(recent), 4), F.lit(0.0)
+        zero_if_null(
+            percent(F.count_if(recent & _completed()), F.count_if(recent), 4)
         ).alias("success_rate_30d_pct"),
     )
 
@@ -104,8 +104,8 @@ def failed_runs(log: DataFrame, as_of: dt.date | Column) -> DataFrame:
 
 def averages(log: DataFrame) -> DataFrame:
     return log.agg(
-        F.round(F.avg("duration_seconds"), 4).alias("avg_duration_seconds"),
-        F.round(F.avg("records_processed"), 4).alias("avg_records"),
+        mean(F.col("duration_seconds"), 4).alias("avg_duration_seconds"),
+        mean(F.col("records_processed"), 4).alias("avg_records"),
     )
 
 
@@ -114,8 +114,8 @@ def stage_stats(log: DataFrame) -> DataFrame:
         F.count("*").alias("runs"),
         F.count_if(_completed()).alias("successful_runs"),
         F.count_if(_failed()).alias("failed_runs"),
-        F.round(F.avg("duration_seconds"), 4).alias("avg_duration_seconds"),
-        F.round(F.avg("records_processed"), 4).alias("avg_records"),
+        mean(F.col("duration_seconds"), 4).alias("avg_duration_seconds"),
+        mean(F.col("records_processed"), 4).alias("avg_records"),
     )
 
 
@@ -144,7 +144,7 @@ def _quality(rejected: Column) -> list[Column]:
     return [
         loaded.alias("completed_records"),
         seen.alias("all_records"),
-        F.coalesce(percent(loaded, seen, 4), F.lit(0.0)).alias("quality_score_pct"),
+        zero_if_null(percent(loaded, seen, 4)).alias("quality_score_pct"),
     ]
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyline.functions.numbers import quotient
 from tallyline.functions.text import strip
 from tallyline.schemas import TOTAL
 
@@ -86,9 +87,7 @@ def staging_summary(df: DataFrame) -> DataFrame:
         F.min("lo").alias("earliest_date"),
         F.max("hi").alias("latest_date"),
         total.alias("total_revenue"),
-        F.round(
-            total.cast("double") / F.nullif(F.sum("n_revenue").cast("double"), F.lit(0.0)), 2
-        ).alias("avg_revenue"),
+        quotient(total, F.sum("n_revenue"), 2).alias("avg_revenue"),
         F.countDistinct("region").alias("region_count"),
         F.countDistinct("product_name").alias("product_count"),
     )

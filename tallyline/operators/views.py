@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.functions.calendar import month_label
-from tallyline.functions.numbers import growth_pct, half_up_mean, percent, ratio
+from tallyline.functions.numbers import growth_pct, mean, percent, quotient, zero_if_null
+from tallyline.operators.core import as_percent
 from tallyline.schemas import TOTAL
 
 
@@ -49,7 +50,7 @@ def revenue_trends(monthly: DataFrame) -> DataFrame:
         "total_revenue",
         "total_cost",
         "total_gross_profit",
-        F.round(F.col("avg_profit_margin") * 100, 2).alias("profit_margin_pct"),
+        as_percent(F.col("avg_profit_margin")).alias("profit_margin_pct"),
         "transaction_count",
         "units_sold",
         growth_pct(revenue, F.col("_previous")).alias("mom_growth_pct"),
@@ -106,11 +107,11 @@ def regional_performance(regional: DataFrame, core: DataFrame) -> DataFrame:
         "total_revenue",
         "total_cost",
         "total_gross_profit",
-        F.round(F.col("avg_profit_margin") * 100, 2).alias("profit_margin_pct"),
+        as_percent(F.col("avg_profit_margin")).alias("profit_margin_pct"),
         "transaction_count",
         growth_pct(revenue, F.col("_prior_year")).alias("yoy_revenue_growth_pct"),
         F.col("_share").alias("region_revenue_share_pct"),
-        F.round(ratio(revenue, count), 2).alias("avg_transaction_value"),
+        quotient(revenue, count, 2).alias("avg_transaction_value"),
         F.col("sales_rep").alias("top_sales_rep"),
         F.col("rep_revenue").alias("top_rep_revenue"),
     )
@@ -121,10 +122,10 @@ def product_analysis(core: DataFrame) -> DataFrame:
     totals = core.groupBy("product_category", "product_name", "txn_year").agg(
         F.sum("revenue").alias("total_revenue"),
         F.sum("gross_profit").alias("total_gross_profit"),
-        F.round(F.avg("profit_margin") * 100, 2).alias("profit_margin_pct"),
+        as_percent(mean(F.col("profit_margin"), 6)).alias("profit_margin_pct"),
         F.sum(F.col("units_sold").cast("long")).alias("units_sold"),
         F.count("*").alias("transaction_count"),
-        half_up_mean(F.col("discount_pct"), 2).alias("avg_discount_pct"),
+        mean(F.col("discount_pct"), 2).alias("avg_discount_pct"),
     )
     by_revenue = F.desc("total_revenue")
     in_category = Window.partitionBy("product_category", "txn_year").orderBy(by_revenue)
@@ -141,15 +142,17 @@ def monthly_stats(core: DataFrame) -> DataFrame:
     stats = core.groupBy("txn_month_label", "txn_year", "txn_month").agg(
         F.count("*").alias("txn_count"),
         F.sum("revenue").alias("total_revenue"),
-        F.round(F.avg(F.col("revenue").cast("double")), 2).alias("avg_revenue"),
+        mean(F.col("revenue"), 2).alias("avg_revenue"),
         F.min("revenue").alias("min_revenue"),
         F.max("revenue").alias("max_revenue"),
-        F.round(F.stddev_samp(F.col("revenue").cast("double")), 2).alias("stddev_revenue"),
+        F.round(F.stddev_samp(F.col("revenue").cast("double")), 2)
+        .cast("decimal(16,2)")
+        .alias("stddev_revenue"),
     )
-    spread = F.coalesce(F.col("stddev_revenue"), F.lit(0.0)) * 2
+    spread = zero_if_null(F.col("stddev_revenue")) * 2
     return stats.withColumns({
-        "lower_bound_2sd": F.round(F.col("avg_revenue") - spread, 2),
-        "upper_bound_2sd": F.round(F.col("avg_revenue") + spread, 2),
+        "lower_bound_2sd": (F.col("avg_revenue") - spread).cast(TOTAL),
+        "upper_bound_2sd": (F.col("avg_revenue") + spread).cast(TOTAL),
     })
 
 
@@ -177,7 +180,7 @@ def outside_band(core: DataFrame, stats: DataFrame) -> DataFrame:
     """Fact rows beyond their month's band. Pass ``stats`` staged: its size then decides
     between a broadcast and a shuffled join."""
     band = stats.select("txn_month_label", "lower_bound_2sd", "upper_bound_2sd")
-    revenue = F.col("revenue").cast("double")
+    revenue = F.col("revenue")
     return (
         core.join(band, "txn_month_label")
         .filter((revenue < F.col("lower_bound_2sd")) | (revenue > F.col("upper_bound_2sd")))

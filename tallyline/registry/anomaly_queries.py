@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyline.operators import anomalies
 from tallyline.registry.base import Inputs, query
-from tallyline.registry.sql import sql
+from tallyline.registry.sql import pct, sql
 from tallyline.settings import AnomalySettings
 
 COLUMNS = (
@@ -109,7 +109,7 @@ def anomaly_summary(src: Inputs) -> DataFrame:
 
 @query(
     "anomaly_rate",
-    sql("""SELECT *, round(cast(anomalous_transactions AS double) / total_transactions * 100, 4)
+    sql(f"""SELECT *, {pct('anomalous_transactions', 'total_transactions', 4)}
             AS anomaly_rate_pct
         FROM (SELECT (SELECT count(*) FROM clean_core) AS total_transactions,
                      (SELECT count(*) FROM anomalies) AS anomalous_transactions)""",

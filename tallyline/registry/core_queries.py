@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from tallyline.operators import core, marts, metrics
 from tallyline.registry.base import Inputs, query
-from tallyline.registry.sql import sql
+from tallyline.registry.sql import as_percent, mean, sql
 from tallyline.schemas import CORE_SALES
 
 
@@ -40,13 +40,13 @@ _part("core_rounded_money", "revenue, cost", "part")
 
 @query(
     "core_summary",
-    sql("""SELECT 'CORE_SUMMARY' AS layer, count(*) AS total_rows,
+    sql(f"""SELECT 'CORE_SUMMARY' AS layer, count(*) AS total_rows,
         count(DISTINCT txn_year) AS years_loaded, count(DISTINCT region) AS regions,
         count(DISTINCT product_category) AS categories,
         count(DISTINCT sales_rep) AS sales_reps,
         cast(sum(revenue) AS decimal(24,2)) AS total_revenue,
         cast(sum(gross_profit) AS decimal(25,2)) AS total_gross_profit,
-        round(avg(profit_margin) * 100, 2) AS avg_profit_margin_pct,
+        {as_percent(mean('profit_margin', 6))} AS avg_profit_margin_pct,
         count_if(is_profitable = 0) AS unprofitable_txns FROM core""", "core"),
 )
 def core_summary(src: Inputs) -> DataFrame:
@@ -55,10 +55,10 @@ def core_summary(src: Inputs) -> DataFrame:
 
 @query(
     "core_by_year",
-    sql("""SELECT txn_year, count(*) AS transactions,
+    sql(f"""SELECT txn_year, count(*) AS transactions,
         cast(sum(revenue) AS decimal(24,2)) AS total_revenue,
         cast(sum(gross_profit) AS decimal(25,2)) AS total_gross_profit,
-        round(avg(profit_margin) * 100, 2) AS avg_margin_pct
+        {as_percent(mean('profit_margin', 6))} AS avg_margin_pct
         FROM core GROUP BY txn_year ORDER BY txn_year""", "core"),
 )
 def core_by_year(src: Inputs) -> DataFrame:
@@ -105,10 +105,10 @@ def annual_core(src: Inputs) -> DataFrame:
     return core.annual_core(src.core("part"))
 
 
-_SUMMARY_SQL = """SELECT record_date AS report_date, entity_id, metric_name,
+_SUMMARY_SQL = f"""SELECT record_date AS report_date, entity_id, metric_name,
     cast(sum(metric_value) AS decimal(28,4)) AS total_value,
-    round(avg(cast(metric_value AS double)), 4) AS avg_value,
-    count(metric_value) AS record_count FROM {} GROUP BY record_date, entity_id, metric_name"""
+    {mean('metric_value', 4)} AS avg_value,
+    count(metric_value) AS record_count FROM {{}} GROUP BY record_date, entity_id, metric_name"""
 
 
 @query("reporting_summary", sql(_SUMMARY_SQL.format("op_metrics"), "op_metrics"))
@@ -156,8 +156,8 @@ def top5_months(src: Inputs) -> DataFrame:
 
 @query(
     "regional_overview",
-    sql("""SELECT region, txn_year, cast(round(total_revenue, 0) AS decimal(22,0)) AS revenue,
-        round(avg_profit_margin * 100, 1) AS margin_pct FROM regional
+    sql(f"""SELECT region, txn_year, cast(round(total_revenue, 0) AS decimal(22,0)) AS revenue,
+        {as_percent('avg_profit_margin', 1)} AS margin_pct FROM regional
         ORDER BY txn_year, total_revenue DESC, region""", "regional"),
 )
 def regional_overview(src: Inputs) -> DataFrame:

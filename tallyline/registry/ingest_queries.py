@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyline.functions.text import strip, title_case
 from tallyline.operators import ingest, staging
 from tallyline.registry.base import Inputs, query
-from tallyline.registry.sql import sql
+from tallyline.registry.sql import mean, sql
 from tallyline.registry.sql import title_case as sql_title_case
 
 STAGED = (
@@ -213,10 +213,10 @@ for _column in ("region", "channel", "customer_segment"):
 
 @query(
     "stg_summary",
-    sql("""SELECT 'STAGING_SUMMARY' AS layer, count(*) AS total_rows,
+    sql(f"""SELECT 'STAGING_SUMMARY' AS layer, count(*) AS total_rows,
         min(record_date) AS earliest_date, max(record_date) AS latest_date,
         cast(sum(revenue) AS decimal(24,2)) AS total_revenue,
-        round(cast(sum(revenue) AS double) / count(revenue), 2) AS avg_revenue,
+        {mean('revenue', 2)} AS avg_revenue,
         count(DISTINCT region) AS region_count, count(DISTINCT product_name) AS product_count
         FROM clean""", "clean"),
 )

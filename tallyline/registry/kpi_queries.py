@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyline.operators import anomalies, core, kpis, marts
 from tallyline.registry.base import ANOMALY_INPUT, Inputs, query
-from tallyline.registry.sql import sql
+from tallyline.registry.sql import mean, pct, q, sql
 from tallyline.registry.view_queries import regional_view, trends
 
 MONTH = "1998-06"
@@ -19,12 +19,6 @@ def _money(expr: str, digits: int = 24) -> str:
     return f"cast({expr} AS decimal({digits},2))"
 
 
-def _pct(num: str, den: str, places: int = 2) -> str:
-    return (
-        f"round(cast({num} AS double) / nullif(cast({den} AS double), 0) * 100, {places})"
-    )
-
-
 def _latest_run_date(src: Inputs):
     return src.run_log().agg(F.max("run_date").alias("d")).scalar()
 
@@ -44,7 +38,7 @@ def kpi_totals(src: Inputs) -> DataFrame:
 
 @query(
     "kpi_profit_margin",
-    sql(f"""SELECT coalesce({_pct('sum(gross_profit)', 'sum(revenue)')}, 0)
+    sql(f"""SELECT coalesce({pct('sum(gross_profit)', 'sum(revenue)')}, 0)
         AS profit_margin_pct FROM core""", "core"),
 )
 def kpi_profit_margin(src: Inputs) -> DataFrame:
@@ -54,7 +48,7 @@ def kpi_profit_margin(src: Inputs) -> DataFrame:
 @query(
     "kpi_yoy_growth",
     sql(f"""SELECT y AS current_year, cur AS current_revenue, prior AS prior_revenue,
-        {_pct('cur - prior', 'prior')} AS yoy_growth_pct
+        {pct('cur - prior', 'prior')} AS yoy_growth_pct
         FROM (SELECT y, {_money('sum(revenue) FILTER (txn_year = y)')} AS cur,
                      {_money('sum(revenue) FILTER (txn_year = y - 1)')} AS prior
               FROM core, (SELECT max(txn_year) AS y FROM core) GROUP BY y)""", "core"),
@@ -65,7 +59,7 @@ def kpi_yoy_growth(src: Inputs) -> DataFrame:
 
 @query(
     "kpi_mom_growth",
-    sql(f"""SELECT avg(mom_growth_pct) AS mom_growth_pct FROM trends
+    sql(f"""SELECT {mean('mom_growth_pct', 2)} AS mom_growth_pct FROM trends
         WHERE month_label = '{MONTH}'""", "trends"),
 )
 def kpi_mom_growth(src: Inputs) -> DataFrame:
@@ -154,8 +148,7 @@ _ANNUAL_MEASURES = (
     "segment_share_pct", "avg_discount_pct", "anomaly_count",
 )
 _CHANGES = ", ".join(
-    f"round(cast({m} AS double) - lag(cast({m} AS double)) OVER (ORDER BY txn_year), 4) "
-    f"AS {m}_change"
+    f"cast({m} - lag({m}) OVER (ORDER BY txn_year) AS decimal(28,4)) AS {m}_change"
     for m in _ANNUAL_MEASURES
 )
 
@@ -164,14 +157,14 @@ _CHANGES = ", ".join(
     "annual_kpi",
     sql(f"""SELECT *, {_CHANGES} FROM (
         SELECT y.*, coalesce(n, 0) AS anomaly_count FROM (
-            SELECT txn_year, cast(sum(revenue) AS double) AS revenue,
-            cast(sum(gross_profit) AS double) AS gross_profit,
-            coalesce({_pct('sum(gross_profit)', 'sum(revenue)')}, 0) AS margin_pct,
+            SELECT txn_year, {_money('sum(revenue)')} AS revenue,
+            {_money('sum(gross_profit)', 25)} AS gross_profit,
+            coalesce({pct('sum(gross_profit)', 'sum(revenue)')}, 0) AS margin_pct,
             count(*) AS transactions,
-            round(cast(sum(revenue) AS double) / count(*), 2) AS revenue_per_transaction,
-            coalesce({_pct(f"sum(CASE WHEN customer_segment = '{SEGMENT}' THEN revenue END)",
+            {q('sum(revenue)', 'count(*)', 2)} AS revenue_per_transaction,
+            coalesce({pct(f"sum(CASE WHEN customer_segment = '{SEGMENT}' THEN revenue END)",
                            'sum(revenue)')}, 0) AS segment_share_pct,
-            round(avg(cast(discount_pct AS double)), 4) AS avg_discount_pct
+            {mean('discount_pct', 4)} AS avg_discount_pct
             FROM clean_core GROUP BY txn_year) y
         LEFT JOIN (SELECT year(txn_date) AS ay, count(*) AS n FROM anomalies GROUP BY 1)
         ON ay = txn_year)""", "anomalies"),
@@ -207,7 +200,7 @@ def quarterly_revenue_wide(src: Inputs) -> DataFrame:
 
 @query(
     "margin_by_channel",
-    sql("""SELECT channel, round(avg(profit_margin), 6) AS avg_profit_margin
+    sql(f"""SELECT channel, {mean('profit_margin', 6)} AS avg_profit_margin
         FROM core GROUP BY channel""", "core"),
 )
 def margin_by_channel(src: Inputs) -> DataFrame:
@@ -218,7 +211,7 @@ def margin_by_channel(src: Inputs) -> DataFrame:
     "top5_products",
     sql(f"""SELECT product_name, {_money('sum(revenue)')} AS total_revenue,
         {_money('sum(gross_profit)', 25)} AS total_gross_profit,
-        round(avg(profit_margin), 6) AS avg_profit_margin,
+        {mean('profit_margin', 6)} AS avg_profit_margin,
         cast(sum(units_sold) AS bigint) AS units_sold FROM core GROUP BY product_name
         ORDER BY sum(revenue) DESC, product_name LIMIT 5""", "core"),
 )
@@ -229,7 +222,7 @@ def top5_products(src: Inputs) -> DataFrame:
 @query(
     "regional_share",
     sql(f"""SELECT region, {_money('sum(total_revenue)', 28)} AS total_revenue,
-        {_pct('sum(total_revenue)', 'sum(sum(total_revenue)) OVER ()')} AS revenue_share_pct
+        {pct('sum(total_revenue)', 'sum(sum(total_revenue)) OVER ()')} AS revenue_share_pct
         FROM regional GROUP BY region""", "regional"),
 )
 def regional_share(src: Inputs) -> DataFrame:
@@ -238,7 +231,7 @@ def regional_share(src: Inputs) -> DataFrame:
 
 @query(
     "revenue_per_unit",
-    sql("""SELECT round(cast(sum(revenue) AS double) / sum(units_sold), 4) AS revenue_per_unit
+    sql(f"""SELECT {q('sum(revenue)', 'sum(units_sold)', 4)} AS revenue_per_unit
         FROM core""", "core"),
 )
 def revenue_per_unit(src: Inputs) -> DataFrame:
@@ -247,8 +240,7 @@ def revenue_per_unit(src: Inputs) -> DataFrame:
 
 @query(
     "avg_discount",
-    sql("""SELECT cast((2 * cast(sum(discount_pct * 100) AS bigint) + count(*))
-        // (2 * count(*)) AS double) / 100 AS avg_discount_pct FROM core""", "core"),
+    sql(f"SELECT {mean('discount_pct', 2)} AS avg_discount_pct FROM core", "core"),
 )
 def avg_discount(src: Inputs) -> DataFrame:
     return kpis.avg_discount(src.core("part"))
@@ -258,10 +250,10 @@ def avg_discount(src: Inputs) -> DataFrame:
     "sliced_kpis",
     sql(f"""SELECT {_money('sum(revenue)')} AS total_revenue,
         {_money('sum(gross_profit)', 25)} AS gross_profit,
-        coalesce({_pct('sum(gross_profit)', 'sum(revenue)')}, 0) AS profit_margin_pct,
+        coalesce({pct('sum(gross_profit)', 'sum(revenue)')}, 0) AS profit_margin_pct,
         count(*) AS transactions,
-        round(cast(sum(revenue) AS double) / sum(units_sold), 4) AS revenue_per_unit,
-        round(avg(cast(discount_pct AS double)), 4) AS avg_discount_pct FROM core
+        {q('sum(revenue)', 'sum(units_sold)', 4)} AS revenue_per_unit,
+        {mean('discount_pct', 4)} AS avg_discount_pct FROM core
         WHERE txn_year IN (1999, {YEAR}) AND product_category = 'PROMO' AND channel = 'Direct'
           AND customer_segment = '{SEGMENT}'""", "core"),
 )
@@ -275,8 +267,8 @@ def sliced_kpis(src: Inputs) -> DataFrame:
 @query(
     "exec_summary",
     sql(f"""SELECT txn_year, rev AS total_revenue, profit AS gross_profit,
-        coalesce({_pct('profit', 'rev', 1)}, 0) AS profit_margin_pct, transactions,
-        {_pct('rev - lag(rev) OVER (ORDER BY txn_year)', 'lag(rev) OVER (ORDER BY txn_year)', 1)}
+        coalesce({pct('profit', 'rev', 1)}, 0) AS profit_margin_pct, transactions,
+        {pct('rev - lag(rev) OVER (ORDER BY txn_year)', 'lag(rev) OVER (ORDER BY txn_year)', 1)}
             AS yoy_growth_pct
         FROM (SELECT txn_year, {_money('sum(revenue)')} AS rev,
               {_money('sum(gross_profit)', 25)} AS profit, count(*) AS transactions
@@ -323,11 +315,13 @@ def report_anomalies(src: Inputs) -> DataFrame:
 
 @query(
     "report_no_anomalies",
-    sql("SELECT 'No anomalies detected.' AS message, * FROM (SELECT NULL AS transaction_id, "
-        "cast(NULL AS date) AS txn_date, NULL AS product_name, NULL AS region, "
+    sql("SELECT 'No anomalies detected.' AS message, * FROM "
+        "(SELECT cast(NULL AS varchar) AS transaction_id, "
+        "cast(NULL AS date) AS txn_date, cast(NULL AS varchar) AS product_name, "
+        "cast(NULL AS varchar) AS region, "
         "cast(NULL AS decimal(14,2)) AS revenue, cast(NULL AS decimal(14,2)) AS cost, "
         "cast(NULL AS double) AS revenue_zscore, cast(NULL AS double) AS cost_zscore, "
-        "NULL AS anomaly_type) WHERE (SELECT count(*) FROM clean_core WHERE revenue < 0) = 0",
+        "cast(NULL AS varchar) AS anomaly_type) WHERE (SELECT count(*) FROM clean_core WHERE revenue < 0) = 0",
         "clean_core"),
 )
 def report_no_anomalies(src: Inputs) -> DataFrame:
@@ -339,7 +333,7 @@ def report_no_anomalies(src: Inputs) -> DataFrame:
 @query(
     "enterprise_share",
     sql(f"""SELECT customer_segment, {_money('sum(revenue)')} AS total_revenue,
-        {_pct('sum(revenue)', 'sum(sum(revenue)) OVER ()')} AS revenue_share_pct
+        {pct('sum(revenue)', 'sum(sum(revenue)) OVER ()')} AS revenue_share_pct
         FROM core GROUP BY customer_segment""", "core"),
 )
 def enterprise_share(src: Inputs) -> DataFrame:
@@ -349,9 +343,9 @@ def enterprise_share(src: Inputs) -> DataFrame:
 @query(
     "regional_table_total",
     sql(f"""SELECT region, total_revenue, prior_revenue,
-        {_pct('total_revenue - prior_revenue', 'prior_revenue')} AS yoy_growth_pct,
-        {_pct('profit', 'total_revenue')} AS profit_margin_pct, transactions,
-        {_pct('total_revenue', 'max(total_revenue) FILTER (is_total = 1) OVER ()')}
+        {pct('total_revenue - prior_revenue', 'prior_revenue')} AS yoy_growth_pct,
+        {pct('profit', 'total_revenue')} AS profit_margin_pct, transactions,
+        {pct('total_revenue', 'max(CASE WHEN is_total = 1 THEN total_revenue END) OVER ()')}
             AS revenue_share_pct
         FROM (SELECT CASE WHEN grouping(region) = 1 THEN 'TOTAL' ELSE region END AS region,
               grouping(region) AS is_total,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from tallyline.operators import ingest, marts, quality
 from tallyline.registry.base import Inputs, query
-from tallyline.registry.sql import CHANNELS, REGIONS, SEGMENTS, in_list, sql
+from tallyline.registry.sql import CHANNELS, REGIONS, SEGMENTS, in_list, pct, sql
 from tallyline.schemas import SALES_CHECKS, TABLE_KEYS
 from tallyline.sources.warehouse import TEST_DOMAINS
 
@@ -140,7 +140,7 @@ def dq_null_counts(src: Inputs) -> DataFrame:
 @query(
     "dq_completeness",
     _rows("column_name", "completeness_pct", "parsed",
-          {c: f"round(cast(count({c}) AS double) / count(*) * 100, 4)"
+          {c: pct(f"count({c})", "count(*)", 4)
            for c in PROFILE_COLUMNS}),
 )
 def dq_completeness(src: Inputs) -> DataFrame:
@@ -184,10 +184,10 @@ def dq_validation_results(src: Inputs) -> DataFrame:
 
 @query(
     "dq_quality_score",
-    sql("""SELECT count_if(NOT is_bad) AS rows_loaded, count_if(is_bad) AS rows_rejected,
-        round(cast(count_if(NOT is_bad) AS double) / count(*) * 100, 4) AS quality_score_pct,
-        round(cast(count_if(NOT is_bad) AS double) / count(*) * 100, 4) >= 98 AS meets_threshold
-        FROM tagged""", "tagged"),
+    sql(f"""SELECT *, quality_score_pct >= 98 AS meets_threshold FROM (
+        SELECT count_if(NOT is_bad) AS rows_loaded, count_if(is_bad) AS rows_rejected,
+        {pct('count_if(NOT is_bad)', 'count(*)', 4)} AS quality_score_pct
+        FROM tagged)""", "tagged"),
 )
 def dq_quality_score(src: Inputs) -> DataFrame:
     return quality.quality_score(ingest.ingest_counts(src.validated("part")))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyline.operators import runlog
 from tallyline.registry.base import Inputs, query
-from tallyline.registry.sql import sql
+from tallyline.registry.sql import mean, pct, sql
 from tallyline.sources.tables import new_path
 
 # The events span 30 days, so an as-of date past their end leaves some days out.
@@ -20,7 +20,7 @@ SINCE, UNTIL = dt.date(2024, 1, 5), dt.date(2024, 1, 20)
 
 
 def _share(part: str, whole: str) -> str:
-    return f"coalesce(round(cast({part} AS double) / nullif({whole}, 0) * 100, 4), 0)"
+    return f"coalesce({pct(part, whole, 4)}, 0)"
 
 
 def events(src: Inputs) -> DataFrame:
@@ -95,16 +95,16 @@ def log_duration(src: Inputs) -> DataFrame:
 
 @query(
     "log_averages",
-    sql("""SELECT round(avg(duration_seconds), 4) AS avg_duration_seconds,
-        round(avg(records_processed), 4) AS avg_records FROM run_log""", "run_log"),
+    sql(f"""SELECT {mean('duration_seconds', 4)} AS avg_duration_seconds,
+        {mean('records_processed', 4)} AS avg_records FROM run_log""", "run_log"),
 )
 def log_averages(src: Inputs) -> DataFrame:
     return runlog.averages(src.timed_log())
 
 
 _STAGE_STATS = f"""SELECT stage, count(*) AS runs, count_if({DONE}) AS successful_runs,
-    count_if({BAD}) AS failed_runs, round(avg(duration_seconds), 4) AS avg_duration_seconds,
-    round(avg(records_processed), 4) AS avg_records FROM run_log"""
+    count_if({BAD}) AS failed_runs, {mean('duration_seconds', 4)} AS avg_duration_seconds,
+    {mean('records_processed', 4)} AS avg_records FROM run_log"""
 
 
 @query("log_stage_stats", sql(f"{_STAGE_STATS} GROUP BY stage", "run_log"))

@@ -21,6 +21,31 @@ _TXN = "concat('TXN-', l_orderkey, '-', l_linenumber)"
 _DISCOUNT = "cast(cast(l_discount AS decimal(4,2)) * 100 AS decimal(6,2))"
 
 
+def q(num: str, den: str, places: int, hundred: bool = False) -> str:
+    """``num / den`` rounded exactly, half away from zero, by whole-number division."""
+    n = f"cast(cast({num} AS decimal(24,6)) * 1000000 AS hugeint)"
+    d = f"cast(cast({den} AS decimal(24,6)) * 1000000 AS hugeint)"
+    unit = 10 ** places * (100 if hundred else 1)
+    whole = f"(2 * abs({n}) * {unit} + abs({d})) // nullif(2 * abs({d}), 0)"
+    tick = f"cast({10 ** -places:.{places}f} AS decimal({places + 1},{places}))"
+    return (
+        f"cast(cast(sign({n}) * sign({d}) * ({whole}) AS decimal(24,0)) * {tick} "
+        f"AS decimal(24,{places}))"
+    )
+
+
+def pct(num: str, den: str, places: int = 2) -> str:
+    return q(num, den, places, hundred=True)
+
+
+def mean(c: str, places: int) -> str:
+    return q(f"sum({c})", f"count({c})", places)
+
+
+def as_percent(margin: str, places: int = 2) -> str:
+    return f"cast(round({margin} * 100, {places}) AS decimal(24,{places}))"
+
+
 def _core(source: str) -> str:
     return f"""
     SELECT transaction_id, record_date AS txn_date,
@@ -33,8 +58,8 @@ def _core(source: str) -> str:
            trim(customer_id) AS customer_id, trim(customer_segment) AS customer_segment,
            trim(channel) AS channel, units_sold, unit_price, revenue, cost,
            cast(revenue - cost AS decimal(15,2)) AS gross_profit,
-           round(coalesce(cast(revenue - cost AS double)
-                 / nullif(cast(revenue AS double), 0), 0), 6) AS profit_margin,
+           cast(coalesce({q('revenue - cost', 'revenue', 6)}, 0) AS decimal(22,6))
+               AS profit_margin,
            discount_pct,
            cast(round(unit_price * units_sold * discount_pct * 0.01, 2)
                 AS decimal(24,2)) AS discount_amount,
@@ -64,12 +89,12 @@ REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 CHANNELS = ("Direct", "Partner", "Online")
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
-_MONTHLY = """
+_MONTHLY = f"""
     SELECT txn_month_label AS month_label, txn_year, txn_month,
            cast(sum(revenue) AS decimal(24,2)) AS total_revenue,
            cast(sum(cost) AS decimal(24,2)) AS total_cost,
            cast(sum(gross_profit) AS decimal(25,2)) AS total_gross_profit,
-           round(avg(profit_margin), 6) AS avg_profit_margin,
+           {mean('profit_margin', 6)} AS avg_profit_margin,
            count(*) AS transaction_count, cast(sum(units_sold) AS bigint) AS units_sold
     FROM core GROUP BY txn_month_label, txn_year, txn_month"""
 
@@ -96,27 +121,25 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     {BASE_JOIN}""", ()),
     "core": (_core("sales"), ("sales",)),
     "monthly": (_MONTHLY, ("core",)),
-    "regional": ("""
+    "regional": (f"""
     SELECT region, txn_year, cast(sum(revenue) AS decimal(24,2)) AS total_revenue,
            cast(sum(cost) AS decimal(24,2)) AS total_cost,
            cast(sum(gross_profit) AS decimal(25,2)) AS total_gross_profit,
-           round(avg(profit_margin), 6) AS avg_profit_margin, count(*) AS transaction_count
+           {mean('profit_margin', 6)} AS avg_profit_margin, count(*) AS transaction_count
     FROM core GROUP BY region, txn_year""", ("core",)),
-    "product": ("""
+    "product": (f"""
     SELECT product_category, product_name, txn_year,
            cast(sum(revenue) AS decimal(24,2)) AS total_revenue,
            cast(sum(gross_profit) AS decimal(25,2)) AS total_gross_profit,
-           round(avg(profit_margin), 6) AS avg_profit_margin,
+           {mean('profit_margin', 6)} AS avg_profit_margin,
            cast(sum(units_sold) AS bigint) AS units_sold, count(*) AS transaction_count
     FROM core GROUP BY product_category, product_name, txn_year""", ("core",)),
-    "trends": ("""
+    "trends": (f"""
     SELECT m.month_label, m.txn_year, m.txn_month, m.total_revenue, m.total_cost,
-           m.total_gross_profit, round(m.avg_profit_margin * 100, 2) AS profit_margin_pct,
+           m.total_gross_profit, {as_percent('m.avg_profit_margin')} AS profit_margin_pct,
            m.transaction_count, m.units_sold,
-           round(cast(m.total_revenue - prev AS double) / nullif(cast(prev AS double), 0) * 100, 2)
-               AS mom_growth_pct,
-           round(cast(m.total_revenue - py.total_revenue AS double)
-                 / nullif(cast(py.total_revenue AS double), 0) * 100, 2) AS yoy_growth_pct,
+           {pct('m.total_revenue - prev', 'prev')} AS mom_growth_pct,
+           {pct('m.total_revenue - py.total_revenue', 'py.total_revenue')} AS yoy_growth_pct,
            cast(sum(m.total_revenue) OVER (PARTITION BY m.txn_year ORDER BY m.txn_month
                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS decimal(28,2)) AS ytd_revenue
     FROM (SELECT *, lag(total_revenue) OVER (ORDER BY txn_year, txn_month) AS prev
@@ -125,19 +148,17 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
                ("monthly",)),
     "reps": ("""
     SELECT region, txn_year, sales_rep, cast(sum(revenue) AS decimal(24,2)) AS rep_revenue,
-           rank() OVER (PARTITION BY region, txn_year ORDER BY sum(revenue) DESC) AS rep_rank
+           cast(rank() OVER (PARTITION BY region, txn_year ORDER BY sum(revenue) DESC) AS int)
+               AS rep_rank
     FROM core GROUP BY region, txn_year, sales_rep""", ("core",)),
-    "regional_view": ("""
+    "regional_view": (f"""
     SELECT r.region, r.txn_year, r.total_revenue, r.total_cost, r.total_gross_profit,
-           round(r.avg_profit_margin * 100, 2) AS profit_margin_pct, r.transaction_count,
-           round(cast(r.total_revenue - py.total_revenue AS double)
-                 / nullif(cast(py.total_revenue AS double), 0) * 100, 2)
+           {as_percent('r.avg_profit_margin')} AS profit_margin_pct, r.transaction_count,
+           {pct('r.total_revenue - py.total_revenue', 'py.total_revenue')}
                AS yoy_revenue_growth_pct,
-           round(cast(r.total_revenue AS double) / nullif(cast(sum(r.total_revenue)
-                 OVER (PARTITION BY r.txn_year) AS double), 0) * 100, 2)
+           {pct('r.total_revenue', 'sum(r.total_revenue) OVER (PARTITION BY r.txn_year)')}
                AS region_revenue_share_pct,
-           round(cast(r.total_revenue AS double) / nullif(r.transaction_count, 0), 2)
-               AS avg_transaction_value,
+           {q('r.total_revenue', 'r.transaction_count', 2)} AS avg_transaction_value,
            t.sales_rep AS top_sales_rep, t.rep_revenue AS top_rep_revenue
     FROM regional r
     LEFT JOIN regional py ON py.region = r.region AND py.txn_year = r.txn_year - 1
@@ -265,6 +286,20 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
 }
 
 
+def _plain_counts(text: str) -> str:
+    """``count_if(x)`` as ``count(CASE WHEN x THEN 1 END)``: DuckDB's own is not a BIGINT."""
+    start = text.find("count_if(")
+    if start < 0:
+        return text
+    begin = at = start + len("count_if(")
+    depth = 1
+    while depth:
+        depth += {"(": 1, ")": -1}.get(text[at], 0)
+        at += 1
+    inner = text[begin:at - 1]
+    return text[:start] + f"count(CASE WHEN {inner} THEN 1 END)" + _plain_counts(text[at:])
+
+
 def sql(body: str, *needs: str) -> str:
     """``body`` with the common table expressions it needs, in dependency order."""
     order: list[str] = []
@@ -278,6 +313,7 @@ def sql(body: str, *needs: str) -> str:
 
     for name in needs:
         visit(name)
+    body = _plain_counts(body)
     if not order:
         return body
     parts = ",\n".join(f"{name} AS MATERIALIZED ({CTES[name][0]})" for name in order)

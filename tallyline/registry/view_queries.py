@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyline.operators import marts, views
 from tallyline.registry.base import Inputs, query
-from tallyline.registry.sql import sql
+from tallyline.registry.sql import as_percent, mean, pct, sql
 from tallyline.sources.tables import stage_table
 
 
@@ -62,18 +62,17 @@ def top_reps(src: Inputs) -> DataFrame:
     return views.top_reps(src.core("customer", "supplier"))
 
 
-_PRODUCTS = """SELECT product_category, product_name, txn_year,
+_PRODUCTS = f"""SELECT product_category, product_name, txn_year,
     cast(sum(revenue) AS decimal(24,2)) AS total_revenue,
     cast(sum(gross_profit) AS decimal(25,2)) AS total_gross_profit,
-    round(avg(profit_margin) * 100, 2) AS profit_margin_pct,
+    {as_percent(mean('profit_margin', 6))} AS profit_margin_pct,
     cast(sum(units_sold) AS bigint) AS units_sold, count(*) AS transaction_count,
-    cast((2 * cast(sum(discount_pct * 100) AS bigint) + count(*)) // (2 * count(*)) AS double)
-        / 100 AS avg_discount_pct,
-    rank() OVER (PARTITION BY product_category, txn_year ORDER BY sum(revenue) DESC)
+    {mean('discount_pct', 2)} AS avg_discount_pct,
+    cast(rank() OVER (PARTITION BY product_category, txn_year ORDER BY sum(revenue) DESC) AS int)
         AS rank_in_category,
-    rank() OVER (PARTITION BY txn_year ORDER BY sum(revenue) DESC) AS overall_rank,
-    round(cast(sum(revenue) AS double) / nullif(cast(sum(sum(revenue)) OVER
-        (PARTITION BY product_category, txn_year) AS double), 0) * 100, 2) AS category_share_pct
+    cast(rank() OVER (PARTITION BY txn_year ORDER BY sum(revenue) DESC) AS int) AS overall_rank,
+    {pct('sum(revenue)', 'sum(sum(revenue)) OVER (PARTITION BY product_category, txn_year)')}
+        AS category_share_pct
     FROM core GROUP BY product_category, product_name, txn_year"""
 
 
@@ -82,13 +81,14 @@ def vw_product_analysis(src: Inputs) -> DataFrame:
     return views.product_analysis(src.core("part"))
 
 
-BAND_SQL = """SELECT *, round(avg_revenue - 2 * coalesce(stddev_revenue, 0), 2) AS lower_bound_2sd,
-    round(avg_revenue + 2 * coalesce(stddev_revenue, 0), 2) AS upper_bound_2sd
+BAND_SQL = f"""SELECT *,
+    cast(avg_revenue - 2 * coalesce(stddev_revenue, 0) AS decimal(24,2)) AS lower_bound_2sd,
+    cast(avg_revenue + 2 * coalesce(stddev_revenue, 0) AS decimal(24,2)) AS upper_bound_2sd
     FROM (SELECT txn_month_label, txn_year, txn_month, count(*) AS txn_count,
         cast(sum(revenue) AS decimal(24,2)) AS total_revenue,
-        round(avg(cast(revenue AS double)), 2) AS avg_revenue,
+        {mean('revenue', 2)} AS avg_revenue,
         min(revenue) AS min_revenue, max(revenue) AS max_revenue,
-        round(stddev_samp(cast(revenue AS double)), 2) AS stddev_revenue
+        cast(round(stddev_samp(cast(revenue AS double)), 2) AS decimal(16,2)) AS stddev_revenue
         FROM clean_core GROUP BY txn_month_label, txn_year, txn_month)"""
 
 
@@ -116,8 +116,7 @@ def vw_anomaly_detection(src: Inputs) -> DataFrame:
     "monthly_band",
     sql(f"""SELECT transaction_id, c.txn_month_label, revenue, lower_bound_2sd, upper_bound_2sd
         FROM clean_core c JOIN ({BAND_SQL}) b ON b.txn_month_label = c.txn_month_label
-        WHERE cast(revenue AS double) < lower_bound_2sd
-           OR cast(revenue AS double) > upper_bound_2sd""", "clean_core"),
+        WHERE revenue < lower_bound_2sd OR revenue > upper_bound_2sd""", "clean_core"),
 )
 def monthly_band(src: Inputs) -> DataFrame:
     fact = src.clean_core(

@@ -3,7 +3,7 @@
 ``SALES_CHECKS`` keeps the width limits the target tables put on each column, so that
 ``quality.constraint_violations`` can test a frame against them. Totals in the marts are
 ``decimal(24,2)``: the sum of ``decimal(14,2)`` needs the ten extra digits at large volumes.
-Margins are ``double``, because a ratio of money has no upper bound.
+Margins keep the six places of the old tables with room in front: a ratio has no upper bound.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ MONEY = T.DecimalType(14, 2)
 PRICE = T.DecimalType(12, 2)
 PERCENT = T.DecimalType(6, 2)
 TOTAL = T.DecimalType(24, 2)
+MARGIN = T.DecimalType(22, 6)
+AVERAGE = T.DecimalType(24, 6)
 
 # The columns a raw sales file must carry, in file order.
 RAW_SALES_COLUMNS = (
@@ -74,7 +76,7 @@ CORE_SALES = _struct(
     ("revenue", MONEY),
     ("cost", MONEY),
     ("gross_profit", T.DecimalType(15, 2)),
-    ("profit_margin", T.DoubleType()),
+    ("profit_margin", MARGIN),
     ("discount_pct", PERCENT),
     ("discount_amount", T.DecimalType(24, 2)),
     ("is_profitable", T.IntegerType()),
@@ -87,7 +89,7 @@ MONTHLY_REVENUE = _struct(
     ("total_revenue", TOTAL),
     ("total_cost", TOTAL),
     ("total_gross_profit", T.DecimalType(25, 2)),
-    ("avg_profit_margin", T.DoubleType()),
+    ("avg_profit_margin", AVERAGE),
     ("transaction_count", T.LongType()),
     ("units_sold", T.LongType()),
 )
@@ -98,7 +100,7 @@ REGIONAL_SUMMARY = _struct(
     ("total_revenue", TOTAL),
     ("total_cost", TOTAL),
     ("total_gross_profit", T.DecimalType(25, 2)),
-    ("avg_profit_margin", T.DoubleType()),
+    ("avg_profit_margin", AVERAGE),
     ("transaction_count", T.LongType()),
 )
 
@@ -108,7 +110,7 @@ PRODUCT_SUMMARY = _struct(
     ("txn_year", T.IntegerType()),
     ("total_revenue", TOTAL),
     ("total_gross_profit", T.DecimalType(25, 2)),
-    ("avg_profit_margin", T.DoubleType()),
+    ("avg_profit_margin", AVERAGE),
     ("units_sold", T.LongType()),
     ("transaction_count", T.LongType()),
 )
@@ -139,7 +141,7 @@ REPORTING_SUMMARY = _struct(
     ("entity_id", T.StringType()),
     ("metric_name", T.StringType()),
     ("total_value", T.DecimalType(28, 4)),
-    ("avg_value", T.DoubleType()),
+    ("avg_value", T.DecimalType(24, 4)),
     ("record_count", T.LongType()),
 )
 
