@@ -1,12 +1,14 @@
 """Ingest: raw text rows to validated, repaired, typed staging rows.
 
-Everything is one projection and one predicate over the raw frame. Rejected rows keep the
-list of their reasons, so ``accepted + rejected = read`` always holds.
+Everything is one projection and one predicate over the raw frame. A row is rejected for at
+least one listed reason or accepted, so ``accepted + rejected = read`` always holds.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,8 +45,9 @@ def _unfit(name: str) -> Column:
     return c.isNotNull() & c.try_cast(TARGET_TYPES[name]).isNull()
 
 
-def reject_reasons(parsed: DataFrame) -> Column:
-    """Reasons a row cannot be loaded, as an array that is empty for good rows."""
+def reject_tests(parsed: DataFrame) -> dict[str, Column]:
+    """Why a row cannot be loaded, by reason. Together they are never NULL: a test that
+    compares a missing value comes with the test that the value is there."""
     tid, revenue = F.col("transaction_id"), F.col("revenue")
     tests = {
         "NULL_TRANSACTION_ID": tid.isNull(),
@@ -56,21 +59,27 @@ def reject_reasons(parsed: DataFrame) -> Column:
     }
     for name in _present(parsed, ("units_sold", "unit_price", "revenue", "cost")):
         tests[f"OUT_OF_RANGE_{name.upper()}"] = _unfit(name)
-    return F.array_compact(F.array(*(F.when(test, reason) for reason, test in tests.items())))
+    return tests
 
 
-def validate(raw: DataFrame) -> DataFrame:
-    """Parse, and tag every row with ``reject_reasons``."""
-    parsed = parse_dates(coerce_numbers(raw))
-    return parsed.withColumn("reject_reasons", reject_reasons(parsed))
+def is_rejected(parsed: DataFrame) -> Column:
+    return reduce(or_, reject_tests(parsed).values())
 
 
-def accepted(validated: DataFrame) -> DataFrame:
-    return validated.filter(F.size("reject_reasons") == 0)
+def parse(raw: DataFrame) -> DataFrame:
+    """Numbers and dates read; the input of everything below."""
+    return parse_dates(coerce_numbers(raw))
 
 
-def rejected(validated: DataFrame) -> DataFrame:
-    return validated.filter(F.size("reject_reasons") > 0)
+def accepted(parsed: DataFrame) -> DataFrame:
+    return parsed.filter(~is_rejected(parsed))
+
+
+def rejected(parsed: DataFrame) -> DataFrame:
+    """Rejected rows with the list of their ``reject_reasons``."""
+    tests = reject_tests(parsed)
+    reasons = F.array_compact(F.array(*(F.when(test, name) for name, test in tests.items())))
+    return parsed.filter(is_rejected(parsed)).withColumn("reject_reasons", reasons)
 
 
 def fixed_discount(c: Column) -> Column:
@@ -134,24 +143,25 @@ def add_lineage(
 
 
 def to_staging(
-    validated: DataFrame,
+    parsed: DataFrame,
     domains: Domains = Domains(),
     source_system: str = "CSV_LOAD",
     loaded_at: dt.datetime | None = None,
 ) -> DataFrame:
     """Accepted rows, repaired and standardised, in staging form."""
-    good = accepted(validated).drop("date", "reject_reasons")
+    good = accepted(parsed).drop("date")
     clean = standardise(strip_text(repair(good)), domains)
     return add_lineage(clean, source_system, loaded_at)
 
 
-def ingest_counts(validated: DataFrame) -> DataFrame:
+def ingest_counts(parsed: DataFrame) -> DataFrame:
     """Rows read, loaded and rejected in one pass. ``rows_rejected_strict`` leaves out rows
     whose date is present but unreadable, which the old loader dropped without counting."""
-    reasons = F.col("reject_reasons")
-    bad = F.size(reasons) > 0
-    only_date = (F.size(reasons) == 1) & F.array_contains(reasons, "INVALID_DATE")
-    return validated.agg(
+    tests = reject_tests(parsed)
+    bad = reduce(or_, tests.values())
+    other = reduce(or_, (t for name, t in tests.items() if name != "INVALID_DATE"))
+    only_date = tests["INVALID_DATE"] & ~other
+    return parsed.agg(
         F.count("*").alias("rows_read"),
         F.count_if(~bad).alias("rows_loaded"),
         F.count_if(bad).alias("rows_rejected"),

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tallyline.functions.numbers import percent
 from tallyline.functions.text import canonical, strip
+from tallyline.operators.ingest import is_rejected
 from tallyline.schemas import SALES_CHECKS, ColumnCheck
 from tallyline.settings import Domains
 
@@ -178,12 +179,12 @@ def quality_score(counts: DataFrame, threshold: float = 98.0) -> DataFrame:
     ).withColumn("meets_threshold", F.col("quality_score_pct") >= threshold)
 
 
-def issue_totals(validated: DataFrame, key: str = "transaction_id") -> DataFrame:
+def issue_totals(parsed: DataFrame, key: str = "transaction_id") -> DataFrame:
     """Rows rejected, values repaired on accepted rows, and duplicates among those."""
-    good = F.size("reject_reasons") == 0
+    good = ~is_rejected(parsed)
     discount, units = F.col("discount_pct"), F.col("units_sold")
     clean_id = F.when(good, strip(F.col(key)))
-    return validated.agg(
+    return parsed.agg(
         F.count_if(~good).alias("rows_rejected"),
         F.count_if(good & ((discount < 0) | (discount > 100) | discount.isNull())).alias(
             "discounts_fixed"

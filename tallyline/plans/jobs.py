@@ -172,7 +172,7 @@ def run_all(
     def do_ingest() -> int:
         raw = require_columns(read_sales_csv(spark, raw_path))
         staged = ingest.to_staging(
-            ingest.validate(raw), settings.domains, settings.source_system, loaded_at
+            ingest.parse(raw), settings.domains, settings.source_system, loaded_at
         )
         beyond = [c for c in order if c not in STAGED_SALES.fieldNames()]
         typed = conform(staged, STAGED_SALES, keep=beyond)

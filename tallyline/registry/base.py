@@ -26,11 +26,11 @@ class Inputs(Warehouse):
         """Core fact over the typed sales, with the columns of the named dimensions."""
         return core.enrich(self.sales(*dimensions))
 
-    def validated(self, *dimensions: str) -> DataFrame:
-        return ingest.validate(self.sales_raw(*dimensions))
+    def parsed(self, *dimensions: str) -> DataFrame:
+        return ingest.parse(self.sales_raw(*dimensions))
 
     def staged(self, *dimensions: str) -> DataFrame:
-        return ingest.to_staging(self.validated(*dimensions), TEST_DOMAINS)
+        return ingest.to_staging(self.parsed(*dimensions), TEST_DOMAINS)
 
     def clean(self, *dimensions: str) -> DataFrame:
         return staging.keep_first(self.staged(*dimensions), order=LOAD_ORDER)

@@ -49,7 +49,7 @@ def ingest_numeric_coerce(src: Inputs) -> DataFrame:
             AS reason FROM parsed) GROUP BY reason""", "parsed"),
 )
 def ingest_rejects(src: Inputs) -> DataFrame:
-    bad = ingest.rejected(src.validated("part"))
+    bad = ingest.rejected(src.parsed("part"))
     return bad.select(F.explode("reject_reasons").alias("reason")).groupBy("reason").agg(
         F.count("*").alias("row_count")
     )
@@ -61,14 +61,14 @@ def ingest_rejects(src: Inputs) -> DataFrame:
         WHERE date IS NOT NULL AND record_date IS NULL GROUP BY date""", "parsed"),
 )
 def ingest_invalid_date(src: Inputs) -> DataFrame:
-    bad = ingest.validate(src.sales_raw("part")).filter(
+    bad = ingest.rejected(src.parsed("part")).filter(
         F.array_contains("reject_reasons", "INVALID_DATE")
     )
     return bad.groupBy("date").agg(F.count("*").alias("row_count"))
 
 
 def _by_value(src: Inputs, column: str) -> DataFrame:
-    return ingest.repair(ingest.accepted(src.validated("part"))).groupBy(column).agg(
+    return ingest.repair(ingest.accepted(src.parsed("part"))).groupBy(column).agg(
         F.count("*").alias("row_count")
     )
 
@@ -127,7 +127,7 @@ def ingest_strip(src: Inputs) -> DataFrame:
         FROM staged""", "staged"),
 )
 def ingest_round2(src: Inputs) -> DataFrame:
-    fixed = ingest.repair(ingest.accepted(src.validated("part")))
+    fixed = ingest.repair(ingest.accepted(src.parsed("part")))
     return ingest.strip_text(fixed).select(
         "transaction_id", "unit_price", "revenue", "cost", "discount_pct", "l_partkey",
         "l_suppkey",
@@ -156,7 +156,7 @@ def ingest_lineage(src: Inputs) -> DataFrame:
               AND revenue >= 0, false) AS only_date FROM tagged)""", "tagged"),
 )
 def ingest_counts(src: Inputs) -> DataFrame:
-    return ingest.ingest_counts(src.validated("part"))
+    return ingest.ingest_counts(src.parsed("part"))
 
 
 @query("stg_sales", sql(f"SELECT {STAGED_SQL} FROM staged", "staged"))
@@ -186,7 +186,7 @@ def dedup_drop_all(src: Inputs) -> DataFrame:
           AND record_date IS NOT NULL AND revenue >= 0 GROUP BY record_date""", "parsed"),
 )
 def stg_remove_invalid(src: Inputs) -> DataFrame:
-    parsed = ingest.parse_dates(ingest.coerce_numbers(src.sales_raw("part")))
+    parsed = src.parsed("part")
     return staging.remove_invalid(parsed).groupBy("record_date").agg(
         F.count("*").alias("row_count"),
         F.sum("revenue").cast("decimal(38,6)").alias("total_revenue"),

@@ -18,10 +18,6 @@ PROFILE_COLUMNS = (
 CATEGORIES = TEST_DOMAINS.categories
 
 
-def _parsed(src: Inputs, *dimensions: str) -> DataFrame:
-    return ingest.parse_dates(ingest.coerce_numbers(src.sales_raw(*dimensions)))
-
-
 def _rows(key: str, value: str, source: str, entries: dict[str, str], *more: str) -> str:
     """``entries`` as rows of a UNION ALL, each an aggregate over ``source``."""
     return sql(
@@ -48,7 +44,7 @@ CHECKS = {
 
 @query("dq_check_report", _rows("check_name", "affected_rows", "parsed", CHECKS))
 def dq_check_report(src: Inputs) -> DataFrame:
-    return quality.check_report(_parsed(src, "part"))
+    return quality.check_report(src.parsed("part"))
 
 
 @query(
@@ -125,7 +121,7 @@ def _constraint_entries() -> dict[str, str]:
     _rows("constraint_name", "violations", "parsed", _constraint_entries()),
 )
 def dq_not_null_and_fit(src: Inputs) -> DataFrame:
-    return quality.constraint_violations(_parsed(src))
+    return quality.constraint_violations(src.parsed())
 
 
 @query(
@@ -134,7 +130,7 @@ def dq_not_null_and_fit(src: Inputs) -> DataFrame:
           {c: f"count_if({c} IS NULL)" for c in PROFILE_COLUMNS}),
 )
 def dq_null_counts(src: Inputs) -> DataFrame:
-    return quality.null_counts(_parsed(src), PROFILE_COLUMNS)
+    return quality.null_counts(src.parsed(), PROFILE_COLUMNS)
 
 
 @query(
@@ -144,7 +140,7 @@ def dq_null_counts(src: Inputs) -> DataFrame:
            for c in PROFILE_COLUMNS}),
 )
 def dq_completeness(src: Inputs) -> DataFrame:
-    return quality.completeness(_parsed(src), PROFILE_COLUMNS)
+    return quality.completeness(src.parsed(), PROFILE_COLUMNS)
 
 
 def _result(name: str, agg: str, action: str, verdict: str, left: str = "0") -> str:
@@ -179,7 +175,7 @@ def _beyond(column: str, values: tuple[str, ...]) -> str:
     )), "parsed"),
 )
 def dq_validation_results(src: Inputs) -> DataFrame:
-    return quality.validation_results(_parsed(src, "customer", "part"), TEST_DOMAINS)
+    return quality.validation_results(src.parsed("customer", "part"), TEST_DOMAINS)
 
 
 @query(
@@ -190,7 +186,7 @@ def dq_validation_results(src: Inputs) -> DataFrame:
         FROM tagged)""", "tagged"),
 )
 def dq_quality_score(src: Inputs) -> DataFrame:
-    return quality.quality_score(ingest.ingest_counts(src.validated("part")))
+    return quality.quality_score(ingest.ingest_counts(src.parsed("part")))
 
 
 @query(
@@ -205,6 +201,6 @@ def dq_quality_score(src: Inputs) -> DataFrame:
             AS duplicates_removed FROM tagged)""", "tagged"),
 )
 def dq_issue_totals(src: Inputs) -> DataFrame:
-    return quality.issue_totals(src.validated("part"))
+    return quality.issue_totals(src.parsed("part"))
 
 

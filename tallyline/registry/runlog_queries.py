@@ -153,7 +153,7 @@ def _quality_sql(rejected: str) -> str:
 def log_quality_score(src: Inputs) -> DataFrame:
     from tallyline.operators.ingest import rejected
 
-    bad = rejected(src.validated("part")).agg(F.count("*").alias("n")).scalar()
+    bad = rejected(src.parsed("part")).agg(F.count("*").alias("n")).scalar()
     return runlog.quality_score(src.run_log(), bad)
 
 
