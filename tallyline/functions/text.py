@@ -36,9 +36,6 @@ def title_case(c: Column) -> Column:
 def canonical(c: Column, values: Iterable[str], unknown: Column | None = None) -> Column:
     """The canonical spelling of a value in any case or padding, else ``unknown``
     (default: the value itself, trimmed)."""
-    key = F.lower(strip(c))
-    out = None
-    for value in values:
-        out = (F.when if out is None else out.when)(key == value.lower(), F.lit(value))
-    fallback = strip(c) if unknown is None else unknown
-    return fallback if out is None else out.otherwise(fallback)
+    spellings = F.create_map(*(F.lit(t) for v in values for t in (v.lower(), v)))
+    known = F.try_element_at(spellings, F.lower(strip(c)))
+    return F.coalesce(known, strip(c) if unknown is None else unknown)

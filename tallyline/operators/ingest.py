@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,13 +18,6 @@ from tallyline.functions.text import canonical, strip, title_case
 from tallyline.schemas import MONEY, NUMERIC_COLUMNS, PERCENT, PRICE, TEXT_COLUMNS
 from tallyline.settings import Domains
 
-# Staged type of each numeric column.
-TARGET_TYPES = {
-    "units_sold": "int", "unit_price": PRICE, "revenue": MONEY, "cost": MONEY,
-    "discount_pct": PERCENT,
-}
-
-
 def _present(df: DataFrame, names) -> list[str]:
     return [c for c in names if c in df.columns]
 
@@ -39,10 +32,12 @@ def parse_dates(raw: DataFrame) -> DataFrame:
     return raw.withColumn("record_date", strip(F.col("date")).try_cast("date"))
 
 
+# First amount, either way, that its staged column cannot hold. Repairs bound the discount.
+LIMITS = {"units_sold": 10**9, "unit_price": 10**10, "revenue": 10**12, "cost": 10**12}
+
+
 def _unfit(name: str) -> Column:
-    """A number too large for its staged column. Repairs bound the discount beforehand."""
-    c = F.col(name)
-    return c.isNotNull() & c.try_cast(TARGET_TYPES[name]).isNull()
+    return F.abs(F.col(name)) >= LIMITS[name]
 
 
 def reject_tests(parsed: DataFrame) -> dict[str, Column]:
@@ -58,12 +53,21 @@ def reject_tests(parsed: DataFrame) -> dict[str, Column]:
         "NEGATIVE_REVENUE": revenue < 0,
     }
     for name in _present(parsed, ("units_sold", "unit_price", "revenue", "cost")):
-        tests[f"OUT_OF_RANGE_{name.upper()}"] = _unfit(name)
+        tests[f"OUT_OF_RANGE_{name.upper()}"] = F.coalesce(_unfit(name), F.lit(False))
     return tests
 
 
-def is_rejected(parsed: DataFrame) -> Column:
-    return reduce(or_, reject_tests(parsed).values())
+def is_accepted(parsed: DataFrame) -> Column:
+    """No reject test holds. A filter evaluates a parsed column anew for each mention, so
+    this says it in as few as possible; a comparison with a missing value rejects."""
+    tests = [
+        strip(F.col("transaction_id")) != "",
+        F.col("record_date").isNotNull(),
+        (F.col("revenue") >= 0) & (F.col("revenue") < LIMITS["revenue"]),
+    ]
+    for name in _present(parsed, ("units_sold", "unit_price", "cost")):
+        tests.append(F.coalesce(~_unfit(name), F.lit(True)))
+    return F.coalesce(reduce(and_, tests), F.lit(False))
 
 
 def parse(raw: DataFrame) -> DataFrame:
@@ -72,14 +76,14 @@ def parse(raw: DataFrame) -> DataFrame:
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(~is_rejected(parsed))
+    return parsed.filter(is_accepted(parsed))
 
 
 def rejected(parsed: DataFrame) -> DataFrame:
     """Rejected rows with the list of their ``reject_reasons``."""
     tests = reject_tests(parsed)
     reasons = F.array_compact(F.array(*(F.when(test, name) for name, test in tests.items())))
-    return parsed.filter(is_rejected(parsed)).withColumn("reject_reasons", reasons)
+    return parsed.filter(~is_accepted(parsed)).withColumn("reject_reasons", reasons)
 
 
 def fixed_discount(c: Column) -> Column:
@@ -158,7 +162,7 @@ def ingest_counts(parsed: DataFrame) -> DataFrame:
     """Rows read, loaded and rejected in one pass. ``rows_rejected_strict`` leaves out rows
     whose date is present but unreadable, which the old loader dropped without counting."""
     tests = reject_tests(parsed)
-    bad = reduce(or_, tests.values())
+    bad = ~is_accepted(parsed)
     other = reduce(or_, (t for name, t in tests.items() if name != "INVALID_DATE"))
     only_date = tests["INVALID_DATE"] & ~other
     return parsed.agg(

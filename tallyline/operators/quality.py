@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tallyline.functions.numbers import percent
 from tallyline.functions.text import canonical, strip
-from tallyline.operators.ingest import is_rejected
+from tallyline.operators.ingest import is_accepted
 from tallyline.schemas import SALES_CHECKS, ColumnCheck
 from tallyline.settings import Domains
 
@@ -181,7 +181,7 @@ def quality_score(counts: DataFrame, threshold: float = 98.0) -> DataFrame:
 
 def issue_totals(parsed: DataFrame, key: str = "transaction_id") -> DataFrame:
     """Rows rejected, values repaired on accepted rows, and duplicates among those."""
-    good = ~is_rejected(parsed)
+    good = is_accepted(parsed)
     discount, units = F.col("discount_pct"), F.col("units_sold")
     clean_id = F.when(good, strip(F.col(key)))
     return parsed.agg(

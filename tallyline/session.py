@@ -7,6 +7,11 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+# HotSpot never compiles a method of more than 8,000 bytes of bytecode, and the fused code of a
+# wide projection is longer. Beyond the limit Spark then uses separate, compiled projections.
+HUGE_METHOD_LIMIT = 8000
+
+
 def local_session(cpus: int | str = 8, app: str = "tallyline", memory: str = "12g") -> SparkSession:
     return (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -16,6 +21,7 @@ def local_session(cpus: int | str = 8, app: str = "tallyline", memory: str = "12
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.shuffle.partitions", str(cpus))
+        .config("spark.sql.codegen.hugeMethodLimit", str(HUGE_METHOD_LIMIT))
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tallyline-"))
         .getOrCreate()
     )
