@@ -73,9 +73,9 @@ def test_scores_match_pandas(spark, normal):
     want = sorted(
         (f"TXN-{i:05d}", round(float(v), 4)) for i, v in z.items() if abs(v) > 2.0
     )
-    assert sorted(rows(found, "transaction_id", "revenue_zscore")) == pytest.approx(want) or [
-        (i, pytest.approx(v, abs=1e-4)) for i, v in want
-    ] == sorted(rows(found, "transaction_id", "revenue_zscore"))
+    got = sorted(rows(found, "transaction_id", "revenue_zscore"))
+    assert [i for i, _ in got] == [i for i, _ in want] and len(got) >= 2
+    assert [v for _, v in got] == pytest.approx([v for _, v in want], abs=1e-4)
 
 
 def test_iqr_matches_pandas(spark, normal):
