@@ -39,7 +39,7 @@ def event(
 ) -> DataFrame:
     """One log event. A run writes Started, then Completed or Failed under the same id."""
     row = (log_id, run_date, stage, status, message, records, start_time, end_time, error)
-    return spark.createDataFrame([row], RUN_LOG)
+    return spark.createDataFrame([row], RUN_LOG).coalesce(1)
 
 
 def append(events: DataFrame, path: str) -> None:

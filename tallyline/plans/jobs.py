@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,6 +43,21 @@ class RunFolder:
         return spark.read.parquet(self.table(name))
 
 
+def write_each(
+    frames: dict[str, DataFrame], folder: RunFolder, written: dict[str, DataFrame]
+) -> int:
+    """Write independent small tables as concurrent Spark jobs; returns their total rows."""
+
+    def write(name: str) -> tuple[str, DataFrame, int]:
+        table = full_refresh(frames[name], folder.table(name))
+        return name, table, table.count()
+
+    with ThreadPoolExecutor(len(frames)) as pool:
+        done = list(pool.map(write, frames))
+    written.update({name: table for name, table, _ in done})
+    return sum(rows for _, _, rows in done)
+
+
 class AuditLog:
     """Writes a Started event and then Completed or Failed around a piece of work."""
 
@@ -118,15 +134,8 @@ def transform_layers(
         return log.run(log_id, stage, work) if log else work()
 
     def to_marts() -> int:
-        fact = out["core_sales"]
-        return sum(
-            write(name, make(fact))
-            for name, make in (
-                ("rpt_monthly_revenue", marts.monthly_revenue),
-                ("rpt_regional_summary", marts.regional_summary),
-                ("rpt_product_summary", marts.product_summary),
-            )
-        )
+        cube = full_refresh(marts.revenue_cube(out["core_sales"]), folder.table("revenue_cube"))
+        return write_each(marts.all_marts(cube), folder, out)
 
     run(2, "Staging", lambda: write("stg_sales_clean", clean_staging(staged, settings, order)))
     run(
@@ -194,10 +203,8 @@ def run_all(
         return found.count()
 
     def do_report() -> int:
-        return sum(
-            full_refresh(df, folder.table(f"report_{name}")).count()
-            for name, df in reports(spark, folder).items()
-        )
+        tabs = {f"report_{name}": df for name, df in reports(spark, folder).items()}
+        return write_each(tabs, folder, {})
 
     steps = {
         "ingest": (do_ingest, True), "transform": (do_transform, False),

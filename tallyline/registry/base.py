@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyline.operators import anomalies, core, ingest, runlog, staging
+from tallyline.operators import anomalies, core, ingest, marts, runlog, staging
 from tallyline.sources.tables import stage_table
 from tallyline.sources.warehouse import LOAD_ORDER, TEST_DOMAINS, Warehouse
 
@@ -26,6 +26,10 @@ class Inputs(Warehouse):
         """Core fact over the typed sales, with the columns of the named dimensions."""
         return core.enrich(self.sales(*dimensions))
 
+    def cube(self) -> DataFrame:
+        """Revenue cube over the typed sales, staged for the marts that share it."""
+        return stage_table(marts.revenue_cube(self.core("customer", "part")), "cube")
+
     def parsed(self, *dimensions: str) -> DataFrame:
         return ingest.parse(self.sales_raw(*dimensions))
 

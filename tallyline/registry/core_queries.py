@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tallyline.operators import core, marts, metrics
 from tallyline.registry.base import Inputs, query
@@ -88,11 +89,7 @@ def rpt_product_summary(src: Inputs) -> DataFrame:
         "monthly", "regional", "product"),
 )
 def reporting_row_counts(src: Inputs) -> DataFrame:
-    return marts.reporting_row_counts(
-        marts.monthly_revenue(src.core("part")),
-        marts.regional_summary(src.core("customer", "part")),
-        marts.product_summary(src.core("part")),
-    )
+    return marts.reporting_row_counts(marts.all_marts(src.cube()))
 
 
 @query(
@@ -105,6 +102,35 @@ def annual_core(src: Inputs) -> DataFrame:
     return core.annual_core(src.core("part"))
 
 
+@query(
+    "rpt_marts_from_cube",
+    sql("""SELECT 'month' AS mart, month_label AS label, total_revenue, avg_profit_margin,
+            transaction_count FROM monthly
+        UNION ALL SELECT 'region', concat(region, '/', txn_year), total_revenue,
+            avg_profit_margin, transaction_count FROM regional
+        UNION ALL SELECT 'product', concat(product_category, '/', product_name, '/', txn_year),
+            total_revenue, avg_profit_margin, transaction_count FROM product""",
+        "monthly", "regional", "product"),
+)
+def rpt_marts_from_cube(src: Inputs) -> DataFrame:
+    """All marts from one reading of the fact."""
+    tables = marts.all_marts(src.cube())
+
+    def lines(kind: str, table: str, *keys: str) -> DataFrame:
+        return tables[table].select(
+            F.lit(kind).alias("mart"), F.concat_ws("/", *keys).alias("label"), "total_revenue",
+            "avg_profit_margin", "transaction_count",
+        )
+
+    return (
+        lines("month", "rpt_monthly_revenue", "month_label")
+        .unionByName(lines("region", "rpt_regional_summary", "region", "txn_year"))
+        .unionByName(lines(
+            "product", "rpt_product_summary", "product_category", "product_name", "txn_year"
+        ))
+    )
+
+
 _SUMMARY_SQL = f"""SELECT record_date AS report_date, entity_id, metric_name,
     cast(sum(metric_value) AS decimal(28,4)) AS total_value,
     {mean('metric_value', 4)} AS avg_value,

@@ -93,9 +93,7 @@ def dq_unique_key(src: Inputs) -> DataFrame:
     frames = {
         "stg_sales_raw": src.staged("part"),
         "core_sales": src.clean("part"),
-        "rpt_monthly_revenue": marts.monthly_revenue(src.core("part")),
-        "rpt_regional_summary": marts.regional_summary(src.core("customer", "part")),
-        "rpt_product_summary": marts.product_summary(src.core("part")),
+        **marts.all_marts(src.cube()),
         "rpt_anomalies": src.anomalies(),
     }
     return quality.key_report({n: (df, TABLE_KEYS[n]) for n, df in frames.items()})

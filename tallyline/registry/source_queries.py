@@ -162,9 +162,7 @@ def table_row_counts(src: Inputs) -> DataFrame:
     return row_counts({
         "stg_sales_raw": src.sales("part"),
         "core_sales": src.core("part"),
-        "rpt_monthly_revenue": marts.monthly_revenue(src.core("part")),
-        "rpt_regional_summary": marts.regional_summary(src.core("customer", "part")),
-        "rpt_product_summary": marts.product_summary(src.core("part")),
+        **marts.all_marts(src.cube()),
         "rpt_anomalies": None,
     })
 

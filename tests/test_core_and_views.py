@@ -56,6 +56,14 @@ def test_marts_keep_totals(fact, monthly):
         ("2023-01",), ("2023-03",), ("2023-06",), ("2024-02",), ("2024-03",)]
 
 
+def test_marts_from_the_cube_are_the_same(fact):
+    cube = marts.revenue_cube(fact)
+    for name, direct in marts.all_marts(fact).items():
+        rolled = marts.all_marts(cube)[name]
+        assert sorted(rows(rolled)) == sorted(rows(direct)), name
+        assert rolled.dtypes == direct.dtypes
+
+
 def test_month_growth_skips_gaps(monthly):
     growth = dict(rows(views.revenue_trends(monthly), "month_label", "mom_growth_pct"))
     assert growth["2023-01"] is None
