@@ -39,7 +39,11 @@ def event(
 ) -> DataFrame:
     """One log event. A run writes Started, then Completed or Failed under the same id."""
     row = (log_id, run_date, stage, status, message, records, start_time, end_time, error)
-    return spark.createDataFrame([row], RUN_LOG).coalesce(1)
+    # Literals: rows from Python would need a Python worker for each event.
+    return spark.range(1, numPartitions=1).select(*(
+        F.lit(value).cast(field.dataType).alias(field.name)
+        for value, field in zip(row, RUN_LOG.fields)
+    ))
 
 
 def append(events: DataFrame, path: str) -> None:
