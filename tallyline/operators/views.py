@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.calendar import month_label
 from tallyline.functions.numbers import growth_pct, mean, percent, quotient, zero_if_null
+from tallyline.functions.ranking import rank_descending, with_group_total
 from tallyline.operators.core import as_percent
 from tallyline.schemas import TOTAL
+from tallyline.sources.tables import stage_table
 
 
 def prior_year(value: str, *keys: str, year: str = "txn_year") -> Column:
@@ -69,20 +71,17 @@ def rep_revenue(core: DataFrame) -> DataFrame:
     )
 
 
-def _by_rep_revenue() -> Column:
-    return F.rank().over(
-        Window.partitionBy("region", "txn_year").orderBy(F.desc("rep_revenue"))
-    )
-
-
 def rep_leaderboard(core: DataFrame) -> DataFrame:
-    return rep_revenue(core).withColumn("rep_rank", _by_rep_revenue())
+    """All reps ranked within their region and year."""
+    return rank_descending(rep_revenue(core), ["region", "txn_year"], "rep_revenue", "rep_rank")
 
 
 def top_reps(core: DataFrame) -> DataFrame:
     """The best rep of each region and year, all of them when tied. The filter on the rank
     becomes a group limit before the shuffle, so a region never lands whole in one task."""
-    return rep_leaderboard(core).filter("rep_rank = 1").drop("rep_rank")
+    w = Window.partitionBy("region", "txn_year").orderBy(F.desc("rep_revenue"))
+    ranked = rep_revenue(core).withColumn("_rank", F.rank().over(w))
+    return ranked.filter("_rank = 1").drop("_rank")
 
 
 def regional_performance(regional: DataFrame, core: DataFrame) -> DataFrame:
@@ -118,7 +117,7 @@ def regional_performance(regional: DataFrame, core: DataFrame) -> DataFrame:
 
 
 def product_analysis(core: DataFrame) -> DataFrame:
-    """Products with ranks and share, from one aggregation of the fact."""
+    """Products with ranks and share, from one aggregation of the fact, which is staged."""
     totals = core.groupBy("product_category", "product_name", "txn_year").agg(
         F.sum("revenue").alias("total_revenue"),
         F.sum("gross_profit").alias("total_gross_profit"),
@@ -127,14 +126,13 @@ def product_analysis(core: DataFrame) -> DataFrame:
         F.count("*").alias("transaction_count"),
         mean(F.col("discount_pct"), 2).alias("avg_discount_pct"),
     )
-    by_revenue = F.desc("total_revenue")
-    in_category = Window.partitionBy("product_category", "txn_year").orderBy(by_revenue)
-    in_year = Window.partitionBy("txn_year").orderBy(by_revenue)
-    return totals.withColumns({
-        "rank_in_category": F.rank().over(in_category),
-        "overall_rank": F.rank().over(in_year),
-        "category_share_pct": share_pct("total_revenue", "product_category", "txn_year"),
-    })
+    category = ["product_category", "txn_year"]
+    table = stage_table(totals, "product-totals")
+    table = rank_descending(table, category, "total_revenue", "rank_in_category")
+    table = rank_descending(table, ["txn_year"], "total_revenue", "overall_rank")
+    table = with_group_total(table, category, "total_revenue", "_total")
+    share = percent(F.col("total_revenue"), F.col("_total"))
+    return table.withColumn("category_share_pct", share).drop("_total")
 
 
 def monthly_stats(core: DataFrame) -> DataFrame:

@@ -6,9 +6,11 @@ import pytest
 from conftest import SEVEN, one, rows, staged_frame
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyline.functions.numbers import quotient
+from tallyline.functions.ranking import rank_descending
 from tallyline.operators import core, kpis, marts, views
 
 
@@ -115,6 +117,16 @@ def test_product_ranks(fact):
     assert ("Rack", 1, 1) in ranks and ("Laptop", 4, 1) in ranks
 
 
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(-50, 50)),
+                min_size=1, max_size=60))
+def test_split_ranks_equal_plain_ranks(spark, pairs):
+    df = spark.createDataFrame([(g, D(v).scaleb(-1)) for g, v in pairs], "g string, v decimal(9,1)")
+    plain = df.withColumn("r", F.rank().over(Window.partitionBy("g").orderBy(F.desc("v"))))
+    split = rank_descending(df, ["g"], "v", "r")
+    assert sorted(map(str, rows(split))) == sorted(map(str, rows(plain)))
+
+
 def test_group_limit_for_top_reps(fact):
     plan = views.top_reps(fact)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
