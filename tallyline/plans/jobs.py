@@ -24,6 +24,11 @@ from tallyline.sources.sales_csv import read_sales_csv, require_columns
 from tallyline.sources.tables import conform, full_refresh, replace_dates, row_counts, write_csv
 
 STAGES = ("ingest", "transform", "anomaly", "report")
+# A load has one load time, so the other columns decide which copy of an id is the first.
+FIRST_LOADED = ("loaded_at", *(
+    c for c in STAGED_SALES.fieldNames()
+    if c not in ("transaction_id", "source_system", "loaded_at")
+))
 
 
 def _now() -> dt.datetime:
@@ -64,8 +69,8 @@ class AuditLog:
     def __init__(self, spark: SparkSession, path: str, run_date: dt.date):
         self.spark, self.path, self.run_date = spark, path, run_date
 
-    def run(self, log_id: int, stage: str, work: Callable[[], int]) -> int:
-        start = _now()
+    def run(self, stage: str, work: Callable[[], int]) -> int:
+        start, log_id = _now(), time.time_ns() // 1000
 
         def write(status: str, **fields) -> None:
             line = runlog.event(
@@ -84,7 +89,7 @@ class AuditLog:
 
 
 def daily_extract(
-    source: DataFrame, day: dt.date, table: str, log: AuditLog, log_id: int = 1
+    source: DataFrame, day: dt.date, table: str, log: AuditLog
 ) -> int:
     """Stage one day of the operational source, replacing that day only."""
 
@@ -93,7 +98,7 @@ def daily_extract(
         staged = source.sparkSession.read.parquet(table)
         return staged.filter(F.col("record_date") == F.lit(day)).count()
 
-    return log.run(log_id, "Extraction", work)
+    return log.run("Extraction", work)
 
 
 def metric_rollup(
@@ -105,11 +110,12 @@ def metric_rollup(
 
 
 def clean_staging(
-    staged: DataFrame, settings: Settings = Settings(), order: Sequence[str] = ("loaded_at",)
+    staged: DataFrame, settings: Settings = Settings(), order: Sequence[str] = FIRST_LOADED
 ) -> DataFrame:
     """Invalid rows out, then duplicates out, then repairs and canonical text.
 
-    The invalid rows leave first: rows without an id would otherwise be one huge key.
+    The invalid rows leave first: rows without an id would otherwise be one huge key, and an
+    invalid copy would displace a valid one. (Staging filled by ``ingest`` has none.)
     """
     valid = staging.remove_invalid(staged)
     single = staging.deduplicate(valid, settings.dedup, "transaction_id", order)
@@ -120,7 +126,7 @@ def transform_layers(
     staged: DataFrame,
     folder: RunFolder,
     settings: Settings = Settings(),
-    order: Sequence[str] = ("loaded_at",),
+    order: Sequence[str] = FIRST_LOADED,
     log: AuditLog | None = None,
 ) -> dict[str, DataFrame]:
     """Staging to core to marts, each written once and read back."""
@@ -130,19 +136,16 @@ def transform_layers(
         out[name] = full_refresh(df, folder.table(name))
         return out[name].count()
 
-    def run(log_id: int, stage: str, work: Callable[[], int]) -> int:
-        return log.run(log_id, stage, work) if log else work()
+    def run(stage: str, work: Callable[[], int]) -> int:
+        return log.run(stage, work) if log else work()
 
     def to_marts() -> int:
         cube = full_refresh(marts.revenue_cube(out["core_sales"]), folder.table("revenue_cube"))
         return write_each(marts.all_marts(cube), folder, out)
 
-    run(2, "Staging", lambda: write("stg_sales_clean", clean_staging(staged, settings, order)))
-    run(
-        3, "Transformation",
-        lambda: write("core_sales", core.enrich(out["stg_sales_clean"])),
-    )
-    run(4, "Reporting", to_marts)
+    run("Staging", lambda: write("stg_sales_clean", clean_staging(staged, settings, order)))
+    run("Transformation", lambda: write("core_sales", core.enrich(out["stg_sales_clean"])))
+    run("Reporting", to_marts)
     return out
 
 
@@ -167,7 +170,7 @@ def run_all(
     run_date: dt.date,
     stage: str = "all",
     settings: Settings = Settings(),
-    order: Sequence[str] = ("loaded_at",),
+    order: Sequence[str] = FIRST_LOADED,
     loaded_at: dt.datetime | None = None,
 ) -> DataFrame:
     """Run the stages in order and return ``(stage, success, records, seconds, error)``.

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.operators.staging import keep_first
+from tallyline.sources.tables import stage_table
 
 
 def changes_since(source: DataFrame, mark: dt.datetime | Column) -> DataFrame:
@@ -30,9 +31,9 @@ def merge_by_key(
     """Changed keys replace their current row, new keys are added, the rest stays.
 
     ``current`` is unique by key and the changes are made so first, so no key is hot in the
-    anti-join. A small batch of changes is broadcast by its size, and the current table is
-    then not shuffled at all.
+    anti-join. The changes are staged: a small batch is broadcast by its size, and the
+    current table is then not shuffled at all.
     """
-    fresh = keep_first(changes, key, order)
+    fresh = stage_table(keep_first(changes, key, order), "changes")
     untouched = current.join(fresh.select(key), key, "left_anti")
     return untouched.select(*current.columns).unionByName(fresh.select(*current.columns))

@@ -67,7 +67,7 @@ def test_extract_and_rollup_twice_is_the_same(spark, tmp_path):
 def test_failed_work_is_logged_and_raised(spark, tmp_path):
     log = jobs.AuditLog(spark, str(tmp_path / "log"), DAY)
     with pytest.raises(ZeroDivisionError):
-        log.run(9, "Staging", lambda: 1 // 0)
+        log.run("Staging", lambda: 1 // 0)
     state = one(runlog.current_state(spark.read.parquet(str(tmp_path / "log"))))
     assert (state.status, state.stage) == ("Failed", "Staging") and state.error_message
 
