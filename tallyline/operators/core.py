@@ -1,4 +1,7 @@
-"""The enriched core fact: one projection over staging, no shuffle."""
+"""The enriched core fact: one projection over staging, no shuffle.
+
+Casts to a decimal type round half away from zero, so they are all the rounding there is.
+"""
 
 from __future__ import annotations
 
@@ -29,27 +32,25 @@ def date_parts(d: Column) -> dict[str, Column]:
 
 
 def gross_profit(revenue: Column, cost: Column) -> Column:
-    return F.round(revenue - cost, 2).cast("decimal(15,2)")
+    return (revenue - cost).cast("decimal(15,2)")
 
 
 def profit_margin(revenue: Column, cost: Column) -> Column:
     """Profit over revenue to six places, 0 without revenue. Wide, as it is unbounded:
     a cost of 500 on a revenue of 1 is a margin of -499."""
     exact = (revenue - cost) / F.nullif(revenue, F.lit(Decimal(0)))
-    return F.round(zero_if_null(exact), 6).cast(MARGIN)
+    return zero_if_null(exact).cast(MARGIN)
 
 
 def as_percent(margin: Column, places: int = 2) -> Column:
     """A six-place margin as a percentage."""
-    return F.round(margin * 100, places).cast(f"decimal(24,{places})")
+    return (margin * 100).cast(f"decimal(24,{places})")
 
 
 def discount_amount(price: Column, units: Column, discount_pct: Column) -> Column:
     """``price * units * discount%`` in exact decimals."""
     gross = price * units.cast("decimal(10,0)")
-    return F.round(gross * discount_pct * F.lit("0.01").cast("decimal(2,2)"), 2).cast(
-        "decimal(24,2)"
-    )
+    return (gross * discount_pct * F.lit("0.01").cast("decimal(2,2)")).cast("decimal(24,2)")
 
 
 def is_profitable(revenue: Column, cost: Column) -> Column:
@@ -68,9 +69,9 @@ def enrich(staged: DataFrame) -> DataFrame:
     out |= date_parts(F.col("record_date"))
     out |= {c: strip(F.col(c)) for c in DIMENSIONS if c in have}
     out |= {c: F.col(c) for c in ("units_sold", "unit_price") if c in have}
-    out["revenue"] = F.round(revenue, 2).cast(MONEY)
+    out["revenue"] = revenue.cast(MONEY)
     if "cost" in have:
-        out["cost"] = F.round(cost, 2).cast(MONEY)
+        out["cost"] = cost.cast(MONEY)
         out["gross_profit"] = gross_profit(revenue, cost)
         out["profit_margin"] = profit_margin(revenue, cost)
         out["is_profitable"] = is_profitable(revenue, cost)
