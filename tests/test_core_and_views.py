@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tallyline import schemas
 from tallyline.functions.numbers import quotient
 from tallyline.functions.ranking import rank_descending
 from tallyline.operators import core, kpis, marts, views
@@ -66,6 +67,20 @@ def test_marts_from_the_cube_are_the_same(fact):
         assert rolled.dtypes == direct.dtypes
 
 
+def test_tables_have_their_declared_types(fact):
+    def types(schema):
+        return [(f.name, f.dataType) for f in schema.fields]
+
+    assert types(fact.schema) == types(schemas.CORE_SALES)
+    declared = {
+        "rpt_monthly_revenue": schemas.MONTHLY_REVENUE,
+        "rpt_regional_summary": schemas.REGIONAL_SUMMARY,
+        "rpt_product_summary": schemas.PRODUCT_SUMMARY,
+    }
+    for name, df in marts.all_marts(fact).items():
+        assert types(df.schema) == types(declared[name]), name
+
+
 def test_month_growth_skips_gaps(monthly):
     growth = dict(rows(views.revenue_trends(monthly), "month_label", "mom_growth_pct"))
     assert growth["2023-01"] is None
