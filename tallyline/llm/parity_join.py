@@ -26,6 +26,7 @@ from tallyline.sources.tables import stage_table
 WORDS, SIMILARITY = 5, (8, 10)
 SPARE = 1.15
 BITMAP_BITS = 1 << 25
+SKETCH_WORDS = 32
 _SET, _KEY, _BAND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
 
@@ -185,10 +186,21 @@ def _candidate_sets_task(k: int, bitmap):
     return run
 
 
+def whole_sketch(grams: np.ndarray) -> np.ndarray:
+    """Parity sketch of fixed length for a set of any size, as signed longs."""
+    bit = (grams >> np.uint64(20)) & np.uint64(SKETCH_WORDS * 64 - 1)
+    parity = (np.bincount(bit.astype(np.int64), minlength=SKETCH_WORDS * 64) & 1).astype(np.uint8)
+    return np.packbits(parity, bitorder="little").view("<i8")
+
+
 def _set_batch(prints, grams_of) -> pa.RecordBatch:
-    lists = wd.list_column(
-        np.concatenate(grams_of).view(np.int64), np.array([len(x) for x in grams_of]), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(prints, pa.int64()), lists], ["f", "grams"])
+    sizes = np.array([len(x) for x in grams_of])
+    lists = wd.list_column(np.concatenate(grams_of).view(np.int64), sizes, pa.int64())
+    sketches = np.concatenate([whole_sketch(x) for x in grams_of])
+    sketches = wd.list_column(sketches, np.full(len(sizes), SKETCH_WORDS), pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(prints, pa.int64()), pa.array(sizes.astype(np.int64)), sketches, lists],
+        ["f", "n", "sketch", "grams"])
 
 
 def _bitmap(prints: DataFrame):
@@ -254,7 +266,7 @@ def jaccard_classes(
     nodes = shared.select("f").distinct()
     bitmap = _bitmap(nodes)
     sets = stage_table(
-        docs.mapInArrow(_candidate_sets_task(k, bitmap), "f long, grams array<long>")
+        docs.mapInArrow(_candidate_sets_task(k, bitmap), "f long, n long, sketch array<long>, grams array<long>")
         .dropDuplicates(["f"]), "grams")
 
     links, tried = None, None
@@ -265,7 +277,7 @@ def jaccard_classes(
         if star:
             pairs = _anchored(apart, rounds)
         else:
-            pairs = _all_apart(apart)
+            pairs = _all_apart(apart, sets, p, q)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stage_table(pairs, "pairs")
@@ -307,10 +319,28 @@ def _still_apart(shared: DataFrame, comps: DataFrame) -> DataFrame:
     return now.where("lo <> hi").drop("lo", "hi")
 
 
-def _all_apart(apart: DataFrame) -> DataFrame:
-    """Pairs of a block that are in different components, one asking and the other stored."""
-    x = apart.select("key", *(F.col(c).alias(f"x_{c}") for c in ("f", "c", "stored", "asks")))
-    y = apart.select("key", *(F.col(c).alias(f"y_{c}") for c in ("f", "c", "stored", "asks")))
-    met = x.join(y, "key").where(
-        "x_f < y_f and x_c <> y_c and ((x_asks and y_stored) or (y_asks and x_stored))")
+def _all_apart(apart: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
+    """Pairs of a block that are in different components, one asking and the other stored, and
+    whose sketches are near enough.
+
+    The Hamming distance of two sketches is at most the symmetric difference of the sets, so it
+    rules out most of these pairs inside the join: what leaves the join are nearly all links. The
+    first words of the sketches are compared first.
+    """
+    rows = apart.join(sets.select("f", "n", "sketch"), "f")
+    x, y = (
+        rows.select("key", *(F.col(c).alias(f"{side}_{c}") for c in ("f", "c", "stored", "asks", "n", "sketch")))
+        for side in "xy")
+
+    def distance(words: range):
+        total = F.lit(0)
+        for i in words:
+            total = total + F.bit_count(F.get("x_sketch", F.lit(i)).bitwiseXOR(F.get("y_sketch", F.lit(i))))
+        return total * (q + p)
+
+    bound = (F.col("x_n") + F.col("y_n")) * (q - p)
+    met = x.join(y, (
+        (x.key == y.key) & F.expr(
+            "x_f < y_f and x_c <> y_c and ((x_asks and y_stored) or (y_asks and x_stored))")
+        & (distance(range(4)) <= bound) & (distance(range(SKETCH_WORDS)) <= bound)))
     return met.select(F.col("x_f").alias("a"), F.col("y_f").alias("b")).distinct()

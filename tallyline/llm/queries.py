@@ -5,8 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyline.llm import parity_join
+from tallyline.llm import (
+    apportion,
+    crf_langid,
+    diagonal_scan,
+    differencing,
+    kneser_ney,
+    line_rules,
+    metric_join,
+    parity_join,
+    pow2_packing,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,7 +33,78 @@ def op1_parity_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
         _documents(spark, folder), k=3, similarity=(9, 10), spare=1.0)
 
 
+def op2_karmarkar_karp_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Eight shards of equal bytes; equal texts stay together."""
+    out = differencing.shard_documents(_documents(spark, folder), 8)
+    return out.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int"),
+        "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op3_sainte_lague_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """Words that a mix of one and a half times all words takes from each document."""
+    out = apportion.mix_documents(_documents(spark, folder))
+    return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def _id_rest(divisor: int):
+    """crc32 of the id as text, modulo ``divisor``; NULL for a NULL id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+def _held_out(divisor: int, rest: int):
+    return F.coalesce(_id_rest(divisor) == rest, F.lit(False))
+
+
+def op5_kneser_ney_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of all documents, learnt from the labels outside the held-out quarter."""
+    docs = _documents(spark, folder)
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where(_id_rest(4) != 2)
+    out = kneser_ney.score_toxicity(docs, kneser_ney.train(docs, labels))
+    return out.select("doc_id", _held_out(4, 2).alias("held_out"), "score", "predicted")
+
+
+def op6_line_first_cleaning(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and verdict of the line rules for all documents."""
+    return line_rules.clean_documents(_documents(spark, folder)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept")
+
+
+def op7_metric_range_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and components of all embeddings at cosine 0.98."""
+    return metric_join.near_duplicates(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
+def op8_diagonal_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """License phrases and notices in all documents."""
+    return diagonal_scan.scan_licenses(_documents(spark, folder)).drop("spans")
+
+
+def op9_power_of_two_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of all documents, each a sequence of a power of two of ids."""
+    return pow2_packing.pack(_documents(spark, folder), length=1024).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset")
+
+
+def op10_crf_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of all documents, learnt outside the held-out quarter."""
+    docs = _documents(spark, folder)
+    model = crf_langid.train(docs.where(_id_rest(4) != 2))
+    out = crf_langid.identify(docs, model)
+    return out.select("doc_id", _held_out(4, 2).alias("held_out"), "lang_pred", "score")
+
+
 for _make in (
     op1_parity_jaccard_join,
+    op2_karmarkar_karp_shards,
+    op3_sainte_lague_mix,
+    op5_kneser_ney_toxicity,
+    op6_line_first_cleaning,
+    op7_metric_range_join,
+    op8_diagonal_license_scan,
+    op9_power_of_two_packing,
+    op10_crf_language_id,
 ):
     QUERIES[_make.__name__] = _make

@@ -122,3 +122,15 @@ def list_column(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> p
     at = np.zeros(len(lengths) + 1, np.int32)
     np.cumsum(lengths, out=at[1:])
     return pa.ListArray.from_arrays(pa.array(at), pa.array(values, kind))
+
+
+def per_worker(key, load):
+    """A value that a Python worker loads once and keeps for its later tasks."""
+    import sys
+    import types
+
+    name = "_tallyline_worker"
+    kept = sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+    if key not in kept:
+        kept[key] = load()
+    return kept[key]
