@@ -223,7 +223,7 @@ def train(
 
 def _label_task(shared, label_words: bool):
     def run(batches):
-        model = shared.value
+        model = wd.shared_value(shared)
         names, k = model.languages, len(model.languages)
         for batch in batches:
             langs, scores, shares, labels, at_label = [], [], [], [], [0]
@@ -278,7 +278,7 @@ def identify(
     model knows no language. Repeated rows and NULL ids come back as they are. Other columns
     are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = wd.share(docs.sparkSession, model)
     id_type = docs.schema[doc_id].dataType.simpleString()
     schema = f"doc_id {id_type}, lang_pred string, score double, shares array<double>"
     if label_words:

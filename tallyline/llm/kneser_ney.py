@@ -1,10 +1,12 @@
-"""Toxicity by two class-conditional Kneser-Ney bigram models.
-
-One model is counted on toxic, one on ordinary texts. Both discount their counts and back off to
-class continuation counts and then to continuation counts shared by the classes, so an expression
-that is rare in both says nothing. A document is scored by the difference of its length-normalised
-log-likelihoods, over the whole text and over its most telling words; a logistic calibration,
-fitted on documents that were not counted, turns this into a probability.
+"""Toxicity by two class-conditional Kneser-Ney models.
+
+One model is counted on toxic, one on ordinary texts. Both spell words letter by letter (UTF-8
+bytes, up to the end of the word) from the letters before, so they know words, stems and endings
+and need no word list. Discounted counts back off to continuation counts of shorter contexts and
+at last to counts shared by the classes, so an expression that is rare in both says little. A
+document is scored by the difference of its length-normalised log-likelihoods, over the whole text
+and over its most telling words; a logistic calibration, fitted on documents that were not
+counted, turns this into a probability.
 """
 
 from __future__ import annotations
@@ -20,90 +22,153 @@ from tallyline.llm import words as wd
 
 TRAIN_ROWS = 2_500
 TRAIN_TEXT_BYTES = 40_000
+ORDER = 6
+SHARED_ORDER = 2
 DISCOUNT = 0.75
+TELLING = 2.0
 THRESHOLD = 0.3
 CALIBRATION_SHARE = 3  # one training document in so many is for the calibration
-_START = np.uint64(0x5851F42D4C957F2D)
-_PAIR = np.uint64(0x9E3779B97F4A7C15)
+_START, _END = 1, 2
 
 
 @dataclass
 class Model:
-    words: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))
-    word_p: np.ndarray = field(default_factory=lambda: np.ones((1, 2), np.float32))
-    history: np.ndarray = field(default_factory=lambda: np.ones((1, 2), np.float32))
-    pairs: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))
-    pair_p: np.ndarray = field(default_factory=lambda: np.zeros((1, 2), np.float32))
+    grams: list = field(default_factory=list)  # per order: table of log ratios
+    contexts: list = field(default_factory=list)  # per order: table of back-off log ratios
     mean: np.ndarray = field(default_factory=lambda: np.zeros(4))
     scale: np.ndarray = field(default_factory=lambda: np.ones(4))
     logit: np.ndarray = field(default_factory=lambda: np.array([0.0, 0, 0, 0, -2.0]))
 
 
-def _tokens(data: np.ndarray, at: np.ndarray):
+class Table:
+    """Values by 64-bit key: sorted keys with an index of their leading bits."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order].astype(np.float32)
+        bits = max(4, int(np.ceil(np.log2(len(keys) + 1))))
+        self.shift = np.uint64(64 - bits)
+        lead = (self.keys >> self.shift).astype(np.int64)
+        self.first = np.searchsorted(lead, np.arange((1 << bits) + 1)).astype(np.int32)
+        self.deepest = int(np.diff(self.first).max(initial=0))
+        self.keys = np.append(self.keys, np.zeros(self.deepest + 1, np.uint64))
+        self.values = np.append(self.values, np.zeros(self.deepest + 1, np.float32))
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Value (0 where missing), and whether the key is there."""
+        lead = (wanted >> self.shift).astype(np.int64)
+        at, end = self.first[lead], self.first[lead + 1]
+        value, found = np.zeros(len(wanted), np.float32), np.zeros(len(wanted), bool)
+        left = np.flatnonzero(at < end)
+        for step in range(self.deepest):
+            place = at[left] + step
+            hit = self.keys[place] == wanted[left]
+            value[left[hit]], found[left[hit]] = self.values[place[hit]], True
+            left = left[~hit & (place + 1 < end[left])]
+            if not len(left):
+                break
+        return value, found
+
+
+def _letters(low: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+    """Words as one stream: a start mark, the letters, an end mark; and each symbol's place."""
+    size = ends - starts + 2
+    bounds = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(size, out=bounds[1:])
+    word = np.repeat(np.arange(len(starts)), size)
+    place = np.arange(bounds[-1]) - bounds[word]
+    symbols = low[np.clip(starts[word] + place - 1, 0, max(len(low) - 1, 0))].astype(np.uint64)
+    symbols[bounds[:-1]], symbols[bounds[1:] - 1] = _START, _END
+    return symbols, place, word
+
+
+def _gram_keys(symbols: np.ndarray, order: int) -> np.ndarray:
+    """Key of the ``order`` symbols that end at each symbol (8 bytes hold them exactly)."""
+    key = symbols.copy()
+    for back in range(1, order):
+        key[back:] |= symbols[:-back] << np.uint64(8 * back)
+    return wd.mix(key + np.uint64(order * 0x9E3779B97F4A7C15 % (1 << 64)))
+
+
+def count(low: np.ndarray, starts: np.ndarray, ends: np.ndarray, seen: np.ndarray) -> Model:
+    """Both Kneser-Ney models from distinct words and how often each class has them."""
+    symbols, place, word = _letters(low, starts, ends)
+    keys, gram_of, firsts = {}, {}, {}
+    for n in range(1, ORDER + 1):
+        full = np.flatnonzero(place >= max(n - 1, 1))
+        k, first, inverse = np.unique(
+            _gram_keys(symbols, n)[full], return_index=True, return_inverse=True)
+        keys[n], firsts[n] = k, full[first]
+        gram_of[n] = np.full(len(symbols), -1)
+        gram_of[n][full] = inverse
+    model = Model()
+    p = np.ones((1, 2))
+    for n in range(1, ORDER + 1):
+        first = firsts[n]
+        counts = np.empty((len(keys[n]), 2))
+        at_start = place[first] == n - 1
+        for c in (0, 1):
+            raw = np.bincount(gram_of[n][gram_of[n] >= 0], seen[word[gram_of[n] >= 0], c], len(keys[n]))
+            if n < ORDER:
+                longer = firsts[n + 1]
+                has = np.bincount(
+                    gram_of[n + 1][gram_of[n + 1] >= 0],
+                    seen[word[gram_of[n + 1] >= 0], c], len(keys[n + 1])) > 0
+                kinds = np.bincount(gram_of[n][longer], has, len(keys[n]))
+                raw = np.where(at_start, raw, kinds)
+            counts[:, c] = raw
+        if n <= SHARED_ORDER:
+            counts[:] = counts.sum(1, keepdims=True)
+        if n > 1:
+            # The context of a gram is the gram of one less that ends a symbol before.
+            context_key = _gram_keys(symbols, n - 1)[first - 1]
+        else:
+            context_key = np.zeros(len(first), np.uint64)
+        contexts, head, inverse = np.unique(context_key, return_index=True, return_inverse=True)
+        lower = p[gram_of[n - 1][first]] if n > 1 else np.full((len(first), 2), 1 / 256)
+        p = np.empty_like(counts)
+        back = np.ones((len(contexts), 2))
+        for c in (0, 1):
+            total = np.bincount(inverse, counts[:, c], len(contexts))
+            kinds = np.bincount(inverse, counts[:, c] > 0, len(contexts))
+            back[:, c] = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1.0)
+            part = np.maximum(counts[:, c] - DISCOUNT, 0) / np.maximum(total, 1)[inverse]
+            p[:, c] = part + back[inverse, c] * lower[:, c]
+        if n > SHARED_ORDER:
+            model.grams.append(Table(keys[n], np.log(p[:, 1] / p[:, 0])))
+            model.contexts.append(Table(contexts, np.log(back[:, 1] / back[:, 0])))
+    return model
+
+
+def log_ratios(model: Model, low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Log of toxic over ordinary probability of each word's spelling."""
+    symbols, place, word = _letters(low, starts, ends)
+    ratio = np.zeros(len(symbols), np.float32)
+    context = _gram_keys(symbols, SHARED_ORDER)
+    for n, (grams, contexts) in enumerate(zip(model.grams, model.contexts), SHARED_ORDER + 1):
+        at = np.flatnonzero(place >= n - 1)
+        own = _gram_keys(symbols, n)
+        value, found = grams.find(own[at])
+        ratio[at[found]] = value[found]
+        rest = at[~found]
+        ratio[rest] += contexts.find(context[rest - 1])[0]
+        context = own
+    return np.bincount(word, ratio, len(starts))
+
+
+def word_ratios(model: Model, data: np.ndarray, at: np.ndarray):
+    """Log ratio, letters and row of each word of a chunk; each distinct word is spelt once."""
     low = wd.LOWER[data]
     starts, ends, doc = wd.spans(low, at, wd.LETTERS)
-    h = wd.span_hashes(low, starts, ends)
-    before = np.empty_like(h)
-    if len(h):
-        before[1:] = h[:-1]
-        before[0] = _START
-        before[1:][doc[1:] != doc[:-1]] = _START
-    return h, before, doc
-
-
-def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Place of each key, or the place past the end for a key that is not there."""
-    if not len(keys):
-        return np.zeros(len(wanted), np.int64)
-    at = np.searchsorted(keys, wanted)
-    at[at == len(keys)] = 0
-    return np.where(keys[at] == wanted, at, len(keys))
-
-
-def count(h: np.ndarray, before: np.ndarray, label: np.ndarray) -> Model:
-    """Both Kneser-Ney models from training words, their predecessors and their class (0, 1)."""
-    pairs, pair_of = np.unique(wd.mix(before * _PAIR + h), return_inverse=True)
-    words, word_of = np.unique(np.append(h, _START), return_inverse=True)
-    word_of, start = word_of[:-1], word_of[-1]
-    is_start = before == _START
-    before_of = np.empty(len(h), np.int64)
-    before_of[1:] = word_of[:-1]
-    before_of[is_start] = start
-    first = np.unique(pair_of, return_index=True)[1]
-    tail, head = word_of[first], before_of[first]
-    n, v = len(words), len(words)
-    pair_p = np.zeros((len(pairs) + 1, 2), np.float32)
-    word_p = np.zeros((n + 1, 2), np.float32)
-    history = np.ones((n + 1, 2), np.float32)
-    d = DISCOUNT
-    shared = np.bincount(tail, minlength=n)
-    total = max(shared.sum(), 1)
-    rest = d * np.count_nonzero(shared) / total
-    base = np.append(np.maximum(shared - d, 0) / total, 0) + rest / (v + 1)
-    for c in (0, 1):
-        pair_n = np.bincount(pair_of[label == c], minlength=len(pairs))
-        seen = pair_n > 0
-        follow = np.bincount(tail[seen], minlength=n)
-        total = max(follow.sum(), 1)
-        back = d * np.count_nonzero(follow) / total if seen.any() else 1.0
-        word_p[:, c] = np.append(np.maximum(follow - d, 0) / total, 0) + back * base
-        after = np.bincount(head, pair_n, n)
-        kinds = np.bincount(head[seen], minlength=n)
-        history[:n, c] = np.where(after > 0, d * kinds / np.maximum(after, 1), 1.0)
-        pair_p[:-1, c] = np.maximum(pair_n - d, 0) / np.maximum(after[head], 1)
-    return Model(words=words, word_p=word_p, history=history, pairs=pairs, pair_p=pair_p)
-
-
-def log_ratios(model: Model, h: np.ndarray, before: np.ndarray) -> np.ndarray:
-    """Log of toxic over ordinary probability of each word after its predecessor."""
-    at, at_before = _find(model.words, h), _find(model.words, before)
-    pair = _find(model.pairs, wd.mix(before * _PAIR + h))
-    p = model.pair_p[pair] + model.history[at_before] * model.word_p[at]
-    return np.log(p[:, 1]) - np.log(p[:, 0])
-
-
-def features(ratios: np.ndarray, doc: np.ndarray, rows: int) -> np.ndarray:
-    """Per row: mean ratio, best word, best run of three, and the telling words' sum."""
+    _, first, inverse = np.unique(
+        wd.span_hashes(low, starts, ends), return_index=True, return_inverse=True)
+    if not model.grams or not len(starts):
+        return np.zeros(len(starts)), ends - starts, doc
+    return log_ratios(model, low, starts[first], ends[first])[inverse], ends - starts, doc
+
+
+def features(ratios: np.ndarray, size: np.ndarray, doc: np.ndarray, rows: int) -> np.ndarray:
+    """Per row: mean ratio per letter, best word, best run of three, the telling words' sum."""
     out = np.zeros((rows, 4))
     if not len(ratios):
         return out
@@ -114,10 +179,10 @@ def features(ratios: np.ndarray, doc: np.ndarray, rows: int) -> np.ndarray:
     for step in (1, 2):
         same = doc[step:] == doc[:-step]
         three[:-step][same] += ratios[step:][same]
-    out[some, 0] = np.add.reduceat(ratios, at) / np.diff(bounds)[some]
+    out[some, 0] = np.add.reduceat(ratios, at) / np.add.reduceat(size, at)
     out[some, 1] = np.maximum.reduceat(ratios, at)
     out[some, 2] = np.maximum.reduceat(three, at) / 3
-    out[some, 3] = np.log1p(np.add.reduceat(np.maximum(ratios - 2.0, 0), at))
+    out[some, 3] = np.log1p(np.add.reduceat(np.maximum(ratios - TELLING, 0), at))
     return out
 
 
@@ -148,13 +213,20 @@ def fit(texts: list[str], labels: list[int], toxic_share: float) -> Model:
     if not len(y) or y.min() == y.max():
         return Model()
     data, at = wd.text_bytes(pa.array(texts, pa.large_string()))
-    h, before, doc = _tokens(data, at)
+    low = wd.LOWER[data]
+    starts, ends, doc = wd.spans(low, at, wd.LETTERS)
     held = np.arange(len(y)) % CALIBRATION_SHARE == 0
     counted = ~held[doc]
     if not counted.any():
         return Model()
-    model = count(h[counted], before[counted], y[doc[counted]])
-    x = features(log_ratios(model, h, before), doc, len(y))[held]
+    kinds, first, inverse = np.unique(
+        wd.span_hashes(low, starts, ends), return_index=True, return_inverse=True)
+    seen = np.column_stack([
+        np.bincount(inverse[counted & (y[doc] == c)], minlength=len(kinds)) for c in (0, 1)])
+    used = np.flatnonzero(seen.sum(1))
+    model = count(low, starts[first[used]], ends[first[used]], seen[used])
+    ratios = log_ratios(model, low, starts[first], ends[first])[inverse]
+    x = features(ratios, ends - starts, doc, len(y))[held]
     y = y[held].astype(float)
     share = y.mean()
     if not 0 < share < 1:
@@ -194,12 +266,11 @@ def train(
 
 def _score_task(shared):
     def run(batches):
-        model = shared.value
+        model = wd.shared_value(shared)
         for batch in batches:
             out = []
             for row, end, data, at in wd.chunks(batch.column(1)):
-                h, before, doc = _tokens(data, at)
-                x = features(log_ratios(model, h, before), doc, end - row)
+                x = features(*word_ratios(model, data, at), end - row)
                 out.append(probability(model, x))
             scores = np.concatenate(out) if out else np.empty(0)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], ["doc_id", "score"])
@@ -217,7 +288,7 @@ def score_toxicity(
     the score of features that are all 0. Repeated rows and NULL ids come back as they are; other
     columns are ignored. A model without both classes gives every text the same low score.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = wd.share(docs.sparkSession, model)
     id_type = docs.schema[doc_id].dataType.simpleString()
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     out = docs.mapInArrow(_score_task(shared), f"doc_id {id_type}, score double")

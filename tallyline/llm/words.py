@@ -134,3 +134,16 @@ def per_worker(key, load):
     if key not in kept:
         kept[key] = load()
     return kept[key]
+
+
+def share(spark, value):
+    """Broadcast a value of this package's classes, by value like its functions."""
+    from pyspark import cloudpickle
+
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def shared_value(shared):
+    import pickle
+
+    return pickle.loads(shared.value)
