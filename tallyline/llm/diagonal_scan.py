@@ -9,7 +9,7 @@ words of each hit are compared with the template's, so spans are verified word b
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.sources.tables import stage_table
@@ -42,7 +42,8 @@ NOTICES = {
 }
 
 
-def _templates(spark: SparkSession, phrases: dict[str, str], notices: dict[str, str]) -> DataFrame:
+def _template_rows(phrases: dict[str, str], notices: dict[str, str]) -> list[tuple]:
+    """A row per 2-gram of each template: template, exact, label, words, place, its two words."""
     rows, total = [], 0
     for exact, wordings in ((True, phrases), (False, notices)):
         for wording, label in wordings.items():
@@ -54,9 +55,7 @@ def _templates(spark: SparkSession, phrases: dict[str, str], notices: dict[str,
                 (wording, exact, label, len(w), i, w[i], w[i + 1]) for i in range(len(w) - 1)]
     if total > MOST_TEMPLATE_WORDS:
         raise ValueError(f"templates have {total} words; the broadcast is for {MOST_TEMPLATE_WORDS}")
-    frame = spark.createDataFrame(
-        rows, "template string, exact boolean, label string, n int, at int, w0 string, w1 string")
-    return frame.withColumn("gram", F.xxhash64("w0", "w1"))
+    return rows
 
 
 def _words(text: Column) -> Column:
@@ -80,20 +79,31 @@ def scan_licenses(
     NULL and empty texts have no words and no finds (labels empty, places NULL). Repeated rows
     each get the result of their text. NULL ids are kept. Other columns are ignored.
     """
-    spark = docs.sparkSession
-    templates = F.broadcast(_templates(
-        spark, PHRASES if phrases is None else phrases, NOTICES if notices is None else notices))
+    rows = _template_rows(
+        PHRASES if phrases is None else phrases, NOTICES if notices is None else notices)
+    templates = F.broadcast(docs.sparkSession.createDataFrame(
+        rows, "template string, exact boolean, label string, n int, at int, w0 string, w1 string"
+    ).withColumn("gram", F.xxhash64("w0", "w1")))
     base = docs.select(
         F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     base = base.select("doc_id", F.xxhash64("text").alias("t"), _words(F.col("text")).alias("words"))
 
-    grams = F.when(F.size("words") > 1, F.transform(
-        F.sequence(F.lit(0), F.size("words") - 2),
-        lambda i: F.xxhash64(F.get("words", i), F.get("words", i + 1))))
-    hits = base.select("doc_id", "t", "words", F.posexplode(grams).alias("place", "gram"))
-    hits = hits.join(templates, "gram").where(
-        (F.get("words", F.col("place")) == F.col("w0"))
-        & (F.get("words", F.col("place") + 1) == F.col("w1")))
+    # The templates' hashes are known, so places without any of them need not become rows. A row
+    # carries its two words and not the text's: exploding copies what stands beside the array.
+    words = F.col("words")
+
+    def gram(i: Column) -> Column:
+        return F.xxhash64(F.get(words, i), F.get(words, i + 1))
+
+    known = [r.g for r in templates.select(F.col("gram").alias("g")).distinct().collect()]
+    places = F.filter(F.sequence(F.lit(0), F.size(words) - 2), lambda i: gram(i).isin(known))
+    grams = F.when(F.size(words) > 1, F.transform(places, lambda i: F.struct(
+        i.alias("place"), gram(i).alias("gram"), F.get(words, i).alias("t0"), F.get(words, i + 1).alias("t1"))))
+    # An outer explode: for an inner one Spark infers a filter on the array, pushes it below the
+    # words, and would split the text anew for every word.
+    hits = base.select("doc_id", "t", grams.alias("grams"))
+    hits = hits.select("doc_id", "t", F.inline_outer("grams"))
+    hits = hits.join(templates, "gram").where("t0 = w0 and t1 = w1")
     votes = hits.groupBy(
         "doc_id", "t", "template", "exact", "label", "n", (F.col("place") - F.col("at")).alias("diagonal")
     ).agg(F.collect_set("at").alias("ats"))
