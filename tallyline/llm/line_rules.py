@@ -139,7 +139,8 @@ def clean_documents(
     own = F.transform("judged", lambda x: x["line"])
     windows = F.col("windows")
     repeated = F.when(
-        F.size(F.array_distinct(windows)) < F.size(windows), _covered(_repeated_places(windows))
+        F.size(F.array_distinct(windows)) < F.size(windows),
+        F.transform(F.array(_repeated_places(windows)), _covered)[0],
     ).otherwise(F.lit(0))
     base = base.select(
         "doc_id",
