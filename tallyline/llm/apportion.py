@@ -168,3 +168,30 @@ def mix_documents(
     return placed.select(
         "doc_id", "source", "size", "source_size", "target",
         F.coalesce(taken, F.lit(0)).cast("long").alias("taken"), "pieces", *(["row"] if keep else []))
+
+
+def mixed_texts(
+    docs: DataFrame, *, block: int, columns: tuple[str, ...], text: str = "text", **options,
+) -> DataFrame:
+    """The mix itself: a row with ``columns`` of the document and the ``text`` of each piece.
+
+    A document of which all blocks are taken equally often is repeated whole so many times.
+    Of others each taken piece is a row; it has the words as they stand, with the white space
+    between them. Documents without words are not in the mix.
+    """
+    mixed = mix_documents(docs, block=block, text=text, keep=tuple({*columns, text}), **options)
+    mixed = mixed.select("row", "size", "taken", "pieces").where("taken > 0")
+    times = F.col("taken") / F.col("size")
+    even = (F.col("taken") % F.col("size") == 0) & F.forall("pieces", lambda p: F.size(
+        F.filter("pieces", lambda o: o["first"] == p["first"])) == times)
+    whole = F.struct(F.lit(0).cast("long").alias("first"), F.col("size").alias("n"))
+    parts = F.when(even, F.array_repeat(whole, times.cast("int"))).otherwise(
+        F.transform("pieces", lambda p: F.struct(p["first"].alias("first"), p["n"].alias("n"))))
+    out = mixed.select("row", "size", F.explode(parts).alias("part"))
+    whole_text = F.col("part.n") == F.col("size")
+    words = F.regexp_extract_all(f"row.{text}", F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0))
+    cut = F.array_join(F.slice(words, (F.col("part.first") + 1).cast("int"), F.col("part.n").cast("int")), "")
+    out = out.withColumn(
+        "piece", F.when(whole_text, F.col(f"row.{text}")).otherwise(F.ltrim(cut)))
+    return out.select(*(
+        F.col("piece").alias(c) if c == text else F.col(f"row.{c}").alias(c) for c in columns))

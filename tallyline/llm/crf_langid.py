@@ -256,6 +256,9 @@ def _label_task(shared, label_words: bool):
             columns = [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()),
                        pa.array(shares, pa.list_(pa.float64()))]
             fields = ["doc_id", "lang_pred", "score", "shares"]
+            if batch.num_columns > 2:
+                columns.append(batch.column(2))
+                fields.append("row")
             if label_words:
                 columns.append(pa.ListArray.from_arrays(pa.array(at_label, pa.int32()), pa.array(labels, pa.string())))
                 fields.append("word_langs")
@@ -266,7 +269,7 @@ def _label_task(shared, label_words: bool):
 
 def identify(
     docs: DataFrame, model: Model, *, label_words: bool = False, doc_id: str = "doc_id",
-    text: str = "text",
+    text: str = "text", keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per document: ``doc_id, lang_pred, score, shares`` (and ``word_langs``).
 
@@ -276,12 +279,15 @@ def identify(
 
     A NULL text, and one without a letter, is ``und`` with score 0; so is every text where the
     model knows no language. Repeated rows and NULL ids come back as they are. Other columns
-    are ignored.
+    are ignored, but those named in ``keep`` go along in a struct ``row``.
     """
     shared = wd.share(docs.sparkSession, model)
     id_type = docs.schema[doc_id].dataType.simpleString()
     schema = f"doc_id {id_type}, lang_pred string, score double, shares array<double>"
+    row = [F.struct(*keep).alias("row")] if keep else []
+    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *row)
+    if keep:
+        schema += f", row {docs.schema['row'].dataType.simpleString()}"
     if label_words:
         schema += ", word_langs array<string>"
-    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     return docs.mapInArrow(_label_task(shared, label_words), schema)

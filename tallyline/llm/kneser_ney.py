@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tallyline.llm import words as wd
 
-TRAIN_ROWS = 2_500
+TRAIN_ROWS = 2_000
 TRAIN_TEXT_BYTES = 40_000
 ORDER = 6
 SHARED_ORDER = 2
@@ -99,7 +99,7 @@ def count(low: np.ndarray, starts: np.ndarray, ends: np.ndarray, seen: np.ndarra
         k, first, inverse = np.unique(
             _gram_keys(symbols, n)[full], return_index=True, return_inverse=True)
         keys[n], firsts[n] = k, full[first]
-        gram_of[n] = np.full(len(symbols), -1)
+        gram_of[n] = np.full(len(symbols), -1, np.int32)
         gram_of[n][full] = inverse
     model = Model()
     p = np.ones((1, 2))
@@ -212,21 +212,17 @@ def fit(texts: list[str], labels: list[int], toxic_share: float) -> Model:
     y = np.array(labels, np.int64)
     if not len(y) or y.min() == y.max():
         return Model()
-    data, at = wd.text_bytes(pa.array(texts, pa.large_string()))
-    low = wd.LOWER[data]
-    starts, ends, doc = wd.spans(low, at, wd.LETTERS)
+    low, starts, ends, word, doc = wd.vocabulary(pa.array(texts, pa.large_string()), wd.LETTERS)
     held = np.arange(len(y)) % CALIBRATION_SHARE == 0
     counted = ~held[doc]
     if not counted.any():
         return Model()
-    kinds, first, inverse = np.unique(
-        wd.span_hashes(low, starts, ends), return_index=True, return_inverse=True)
     seen = np.column_stack([
-        np.bincount(inverse[counted & (y[doc] == c)], minlength=len(kinds)) for c in (0, 1)])
+        np.bincount(word[counted & (y[doc] == c)], minlength=len(starts)) for c in (0, 1)])
     used = np.flatnonzero(seen.sum(1))
-    model = count(low, starts[first[used]], ends[first[used]], seen[used])
-    ratios = log_ratios(model, low, starts[first], ends[first])[inverse]
-    x = features(ratios, ends - starts, doc, len(y))[held]
+    model = count(low, starts[used], ends[used], seen[used])
+    ratios = log_ratios(model, low, starts, ends)[word]
+    x = features(ratios, (ends - starts)[word], doc, len(y))[held]
     y = y[held].astype(float)
     share = y.mean()
     if not 0 < share < 1:
@@ -273,23 +269,29 @@ def _score_task(shared):
                 x = features(*word_ratios(model, data, at), end - row)
                 out.append(probability(model, x))
             scores = np.concatenate(out) if out else np.empty(0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(scores), *batch.columns[2:]],
+                ["doc_id", "score", *batch.schema.names[2:]])
 
     return run
 
 
 def score_toxicity(
     docs: DataFrame, model: Model, *, threshold: float = THRESHOLD, doc_id: str = "doc_id",
-    text: str = "text",
+    text: str = "text", keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per document: ``doc_id, score, predicted``.
 
     Words are runs of letters, A-Z lower-cased. A NULL or empty text, and one without words, has
     the score of features that are all 0. Repeated rows and NULL ids come back as they are; other
-    columns are ignored. A model without both classes gives every text the same low score.
+    columns are ignored, but those named in ``keep`` go along in a struct ``row``. A model without both classes gives every text the same low score.
     """
     shared = wd.share(docs.sparkSession, model)
     id_type = docs.schema[doc_id].dataType.simpleString()
-    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    out = docs.mapInArrow(_score_task(shared), f"doc_id {id_type}, score double")
+    row = [F.struct(*keep).alias("row")] if keep else []
+    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *row)
+    schema = f"doc_id {id_type}, score double"
+    if keep:
+        schema += f", row {docs.schema['row'].dataType.simpleString()}"
+    out = docs.mapInArrow(_score_task(shared), schema)
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -15,6 +15,7 @@ from tallyline.llm import (
     kneser_ney,
     line_rules,
     metric_join,
+    mixing_lm,
     parity_join,
     pow2_packing,
 )
@@ -56,6 +57,16 @@ def _held_out(divisor: int, rest: int):
     return F.coalesce(_id_rest(divisor) == rest, F.lit(False))
 
 
+def op4_context_mixing_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Unigram and mixing-model scores of all documents, learnt outside the held-out tenth."""
+    docs = _documents(spark, folder)
+    train = "crc32(cast(cast(doc_id as string) as binary)) % 10 != 0"
+    out = mixing_lm.score_documents(docs, train=train)
+    return out.select(
+        "doc_id", _held_out(10, 0).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score")
+
+
 def op5_kneser_ney_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of all documents, learnt from the labels outside the held-out quarter."""
     docs = _documents(spark, folder)
@@ -100,6 +111,7 @@ for _make in (
     op1_parity_jaccard_join,
     op2_karmarkar_karp_shards,
     op3_sainte_lague_mix,
+    op4_context_mixing_scores,
     op5_kneser_ney_toxicity,
     op6_line_first_cleaning,
     op7_metric_range_join,

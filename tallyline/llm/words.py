@@ -147,3 +147,31 @@ def shared_value(shared):
     import pickle
 
     return pickle.loads(shared.value)
+
+
+def vocabulary(column: pa.Array, inside: np.ndarray):
+    """Distinct words of some texts, A-Z lower-cased, and which word each occurrence is.
+
+    Returns the letters of the distinct words end to end with their starts and ends, and the
+    word number and row of each occurrence. Chunks bound what is held besides.
+    """
+    number: dict[int, int] = {}
+    letters, of_word, of_row = [], [], []
+    for row, _, data, at in chunks(column):
+        low = LOWER[data]
+        starts, ends, doc = spans(low, at, inside)
+        kinds, first, inverse = np.unique(
+            span_hashes(low, starts, ends), return_index=True, return_inverse=True)
+        own = np.empty(len(kinds), np.int32)
+        for i, kind in enumerate(kinds.tolist()):
+            at_ = number.setdefault(kind, len(number))
+            if at_ == len(letters):
+                letters.append(low[starts[first[i]]: ends[first[i]]].tobytes())
+            own[i] = at_
+        of_word.append(own[inverse])
+        of_row.append((doc + row).astype(np.int32))
+    size = np.array([len(x) for x in letters], np.int64)
+    ends = np.cumsum(size)
+    low = np.frombuffer(b"".join(letters), np.uint8)
+    none = np.empty(0, np.int32)
+    return (low, ends - size, ends, np.concatenate([none, *of_word]), np.concatenate([none, *of_row]))
