@@ -24,7 +24,6 @@ _PRIME = 0x100000001B3 | 1
 _INVERSE = pow(_PRIME, -1, 1 << 64)
 POSITION = np.random.default_rng(20).integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
 _BYTE_CODE = np.random.default_rng(21).integers(1, 1 << 63, 256, dtype=np.uint64)
-_powers: list[np.ndarray] = []
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -38,7 +37,10 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _powers or len(_powers[0]) < n:
+    """Powers of the prime and of its inverse. They are kept per process and not in this module,
+    whose functions (and the globals they use) travel with every task."""
+    kept = worker_store()
+    if len(kept.get("powers", ((), ()))[0]) < n:
         size = max(n, CHUNK_BYTES + 1)
         tables = []
         for base in (_PRIME, _INVERSE):
@@ -47,8 +49,8 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
             t[1:] = np.uint64(base)
             np.multiply.accumulate(t, out=t)
             tables.append(t)
-        _powers[:] = tables
-    return _powers[0], _powers[1]
+        kept["powers"] = tuple(tables)
+    return kept["powers"]
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -124,13 +126,18 @@ def list_column(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> p
     return pa.ListArray.from_arrays(pa.array(at), pa.array(values, kind))
 
 
-def per_worker(key, load):
-    """A value that a Python worker loads once and keeps for its later tasks."""
+def worker_store() -> dict:
+    """Values that a process keeps from task to task."""
     import sys
     import types
 
     name = "_tallyline_worker"
-    kept = sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+
+
+def per_worker(key, load):
+    """A value that a Python worker loads once and keeps for its later tasks."""
+    kept = worker_store()
     if key not in kept:
         kept[key] = load()
     return kept[key]
