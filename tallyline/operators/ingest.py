@@ -7,6 +7,7 @@ least one listed reason or accepted, so ``accepted + rejected = read`` always ho
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
@@ -15,9 +16,18 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.numbers import to_number
 from tallyline.functions.text import canonical, strip, title_case
-from tallyline.schemas import MONEY, NUMERIC_COLUMNS, PERCENT, PRICE, TEXT_COLUMNS
+from tallyline.schemas import (
+    MALFORMED,
+    MONEY,
+    NUMERIC_COLUMNS,
+    PERCENT,
+    PRICE,
+    STAGED_SALES,
+    TEXT_COLUMNS,
+)
 from tallyline.settings import Domains
 
+
 def _present(df: DataFrame, names) -> list[str]:
     return [c for c in names if c in df.columns]
 
@@ -27,24 +37,36 @@ def coerce_numbers(raw: DataFrame) -> DataFrame:
     return raw.withColumns({c: to_number(F.col(c)) for c in _present(raw, NUMERIC_COLUMNS)})
 
 
-def parse_dates(raw: DataFrame) -> DataFrame:
-    """Add ``record_date``; the text ``date`` stays, to tell absent from unreadable."""
-    return raw.withColumn("record_date", strip(F.col("date")).try_cast("date"))
+def parse_dates(raw: DataFrame, formats: Sequence[str] = ()) -> DataFrame:
+    """Add ``record_date``; the text ``date`` stays, to tell absent from unreadable.
+
+    ISO dates are read first, then each of ``formats`` in order. Day-first and month-first
+    forms cannot be told apart, so which one a source uses has to be said.
+    """
+    text = strip(F.col("date"))
+    forms = (F.try_to_date(text, form) for form in formats)
+    return raw.withColumn("record_date", F.coalesce(text.try_cast("date"), *forms))
 
 
-# First amount, either way, that its staged column cannot hold. Repairs bound the discount.
-LIMITS = {"units_sold": 10**9, "unit_price": 10**10, "revenue": 10**12, "cost": 10**12}
+# Staged type of each amount, rounded to its places. Repairs bound the discount.
+STAGED_TYPES = {
+    name: STAGED_SALES[name].dataType for name in ("units_sold", "unit_price", "revenue", "cost")
+}
 
 
 def _unfit(name: str) -> Column:
-    return F.abs(F.col(name)) >= LIMITS[name]
+    """The amount is there, but its staged column cannot hold it (once rounded)."""
+    c = F.col(name)
+    return c.isNotNull() & c.try_cast(STAGED_TYPES[name]).isNull()
 
 
 def reject_tests(parsed: DataFrame) -> dict[str, Column]:
     """Why a row cannot be loaded, by reason. Together they are never NULL: a test that
     compares a missing value comes with the test that the value is there."""
     tid, revenue = F.col("transaction_id"), F.col("revenue")
-    tests = {
+    tests = {} if MALFORMED not in parsed.columns else {
+        "MALFORMED_ROW": F.col(MALFORMED).isNotNull()}
+    tests |= {
         "NULL_TRANSACTION_ID": tid.isNull(),
         "BLANK_TRANSACTION_ID": strip(tid) == "",
         "NULL_DATE": F.col("date").isNull(),
@@ -53,7 +75,7 @@ def reject_tests(parsed: DataFrame) -> dict[str, Column]:
         "NEGATIVE_REVENUE": revenue < 0,
     }
     for name in _present(parsed, ("units_sold", "unit_price", "revenue", "cost")):
-        tests[f"OUT_OF_RANGE_{name.upper()}"] = F.coalesce(_unfit(name), F.lit(False))
+        tests[f"OUT_OF_RANGE_{name.upper()}"] = _unfit(name)
     return tests
 
 
@@ -63,16 +85,18 @@ def is_accepted(parsed: DataFrame) -> Column:
     tests = [
         strip(F.col("transaction_id")) != "",
         F.col("record_date").isNotNull(),
-        (F.col("revenue") >= 0) & (F.col("revenue") < LIMITS["revenue"]),
+        (F.col("revenue") >= 0) & ~_unfit("revenue"),
     ]
     for name in _present(parsed, ("units_sold", "unit_price", "cost")):
-        tests.append(F.coalesce(~_unfit(name), F.lit(True)))
+        tests.append(~_unfit(name))
+    if MALFORMED in parsed.columns:
+        tests.append(F.col(MALFORMED).isNull())
     return F.coalesce(reduce(and_, tests), F.lit(False))
 
 
-def parse(raw: DataFrame) -> DataFrame:
+def parse(raw: DataFrame, date_formats: Sequence[str] = ()) -> DataFrame:
     """Numbers and dates read; the input of everything below."""
-    return parse_dates(coerce_numbers(raw))
+    return parse_dates(coerce_numbers(raw), date_formats)
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
@@ -153,7 +177,7 @@ def to_staging(
     loaded_at: dt.datetime | None = None,
 ) -> DataFrame:
     """Accepted rows, repaired and standardised, in staging form."""
-    good = accepted(parsed).drop("date")
+    good = accepted(parsed).drop("date", MALFORMED)
     clean = standardise(strip_text(repair(good)), domains)
     return add_lineage(clean, source_system, loaded_at)
 

@@ -126,27 +126,31 @@ def validation_results(parsed: DataFrame, domains: Domains = Domains()) -> DataF
         c = canonical(c, values) if beyond_repair else c
         return F.count_if(~c.isin(*values))
 
+    def lacking(name: str) -> Column:
+        return F.count_if(F.col(name).isNull())
+
+    # First what the load repairs, then what it only reports, then what it rejects.
     checks: dict[str, tuple[Column, str, str]] = {
-        "NULL_TRANSACTION_ID": (
-            F.count_if(tid.isNull() | (strip(tid) == "")), "Reject row", "WARN"),
-        "NULL_RECORD_DATE": (F.count_if(F.col("record_date").isNull()), "Reject row", "WARN"),
-        "NULL_REVENUE": (F.count_if(F.col("revenue").isNull()), "Reject row", "WARN"),
-        "NEGATIVE_REVENUE": (F.count_if(F.col("revenue") < 0), "Reject row", "WARN"),
-        "NEGATIVE_COST": (F.count_if(F.col("cost") < 0), "Kept", "WARN"),
-        "DISCOUNT_ABOVE_100": (F.count_if(discount > 100), "Clamped to 100%", "FIXED"),
-        "DISCOUNT_BELOW_0": (F.count_if(discount < 0), "Clamped to 0%", "FIXED"),
-        "ZERO_UNITS": (F.count_if(F.col("units_sold") <= 0), "Defaulted to 1", "FIXED"),
-        "NULL_COST": (F.count_if(F.col("cost").isNull()), "Defaulted to 0", "FIXED"),
-        "DUPLICATE_TXN_IDS": (
-            F.count(tid) - F.countDistinct(tid), "Deduplicated", "FIXED"),
-        "INVALID_REGION": (
-            off("region", domains.regions, False), "Standardised case", "FIXED"),
-        "INVALID_CHANNEL": (
-            off("channel", domains.channels, False), "Standardised case", "FIXED"),
+        "region outside its list": (
+            off("region", domains.regions, False), "spelling made canonical", "FIXED"),
+        "channel outside its list": (
+            off("channel", domains.channels, False), "spelling made canonical", "FIXED"),
+        "units under one": (F.count_if(F.col("units_sold") <= 0), "set to one", "FIXED"),
+        "cost without a value": (lacking("cost"), "set to zero", "FIXED"),
+        "discount under zero": (F.count_if(discount < 0), "set to zero", "FIXED"),
+        "discount over the limit": (F.count_if(discount > 100), "set to the limit", "FIXED"),
+        "id seen before": (
+            F.count(tid) - F.countDistinct(tid), "later copies left out", "FIXED"),
+        "cost under zero": (F.count_if(F.col("cost") < 0), "loaded as it is", "WARN"),
+        "revenue under zero": (F.count_if(F.col("revenue") < 0), "not loaded", "WARN"),
+        "revenue without a value": (lacking("revenue"), "not loaded", "WARN"),
+        "date without a value": (lacking("record_date"), "not loaded", "WARN"),
+        "id without a value": (
+            F.count_if(tid.isNull() | (strip(tid) == "")), "not loaded", "WARN"),
     }
     beyond = {
-        "INVALID_REGION": off("region", domains.regions, True),
-        "INVALID_CHANNEL": off("channel", domains.channels, True),
+        "region outside its list": off("region", domains.regions, True),
+        "channel outside its list": off("channel", domains.channels, True),
     }
     row = parsed.agg(
         *(c.alias(n) for n, (c, _, _) in checks.items()),

@@ -7,21 +7,23 @@ there, so the fact is computed once and marts, views and detection share the wri
 from __future__ import annotations
 
 import datetime as dt
+import secrets
 import time
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.operators import anomalies, core, ingest, kpis, marts, metrics, runlog, staging
 from tallyline.operators import views
-from tallyline.schemas import STAGED_SALES
+from tallyline.schemas import OPERATIONAL, STAGED_SALES
 from tallyline.settings import Settings
 from tallyline.sources.operational import extract_day
 from tallyline.sources.sales_csv import read_sales_csv, require_columns
-from tallyline.sources.tables import conform, full_refresh, replace_dates, row_counts, write_csv
+from tallyline.sources.tables import conform, full_refresh, replace_day, row_counts, write_csv
 
 STAGES = ("ingest", "transform", "anomaly", "report")
 # A load has one load time, so the other columns decide which copy of an id is the first.
@@ -57,6 +59,8 @@ def write_each(
         table = full_refresh(frames[name], folder.table(name))
         return name, table, table.count()
 
+    if not frames:
+        return 0
     with ThreadPoolExecutor(len(frames)) as pool:
         done = list(pool.map(write, frames))
     written.update({name: table for name, table, _ in done})
@@ -70,7 +74,8 @@ class AuditLog:
         self.spark, self.path, self.run_date = spark, path, run_date
 
     def run(self, stage: str, work: Callable[[], int]) -> int:
-        start, log_id = _now(), time.time_ns() // 1000
+        # Ordered by time; the last bits tell runs apart that begin at the same moment.
+        start, log_id = _now(), time.time_ns() // 1000 << 10 | secrets.randbits(10)
 
         def write(status: str, **fields) -> None:
             line = runlog.event(
@@ -82,7 +87,7 @@ class AuditLog:
         try:
             records = work()
         except Exception as error:
-            write("Failed", end_time=_now(), error=str(error)[:500])
+            write("Failed", end_time=_now(), error=str(error))
             raise
         write("Completed", end_time=_now(), records=records, message=f"{stage} complete")
         return records
@@ -91,11 +96,14 @@ class AuditLog:
 def daily_extract(
     source: DataFrame, day: dt.date, table: str, log: AuditLog
 ) -> int:
-    """Stage one day of the operational source, replacing that day only."""
+    """Stage one day of the operational source, replacing that day only.
+
+    A day that the source no longer has becomes empty.
+    """
 
     def work() -> int:
-        replace_dates(extract_day(source, day), table, "record_date")
-        staged = source.sparkSession.read.parquet(table)
+        replace_day(extract_day(source, day), table, "record_date", day)
+        staged = source.sparkSession.read.schema(OPERATIONAL).parquet(table)
         return staged.filter(F.col("record_date") == F.lit(day)).count()
 
     return log.run("Extraction", work)
@@ -104,9 +112,10 @@ def daily_extract(
 def metric_rollup(
     spark: SparkSession, staged_table: str, summary_table: str, day: dt.date
 ) -> None:
-    """Summarise one staged day into the summary table; a day without rows changes nothing."""
-    summary = metrics.daily_rollup(spark.read.parquet(staged_table), day)
-    replace_dates(summary, summary_table, "report_date")
+    """Summarise one staged day into the summary table, replacing that day only."""
+    staged = spark.read.schema(OPERATIONAL).parquet(staged_table)
+    summary = metrics.daily_rollup(staged, day, tie_break=("staging_id",))
+    replace_day(summary, summary_table, "report_date", day)
 
 
 def clean_staging(
@@ -173,9 +182,9 @@ def run_all(
     order: Sequence[str] = FIRST_LOADED,
     loaded_at: dt.datetime | None = None,
 ) -> DataFrame:
-    """Run the stages in order and return ``(stage, success, records, seconds, error)``.
+    """Run the stages in order; returns ``(stage, success, records, rejected, seconds, error)``.
 
-    With ``stage="all"`` the run stops at the first stage that fails, by an error or by
+    Ingest writes what it cannot load, with the reasons, to ``stg_sales_rejects``. With ``stage="all"`` the run stops at the first stage that fails, by an error or by
     loading nothing. Running again over the same folder replaces the same tables.
     """
     folder = RunFolder(root)
@@ -183,9 +192,10 @@ def run_all(
 
     def do_ingest() -> int:
         raw = require_columns(read_sales_csv(spark, raw_path))
-        staged = ingest.to_staging(
-            ingest.parse(raw), settings.domains, settings.source_system, loaded_at
-        )
+        parsed = ingest.parse(raw, settings.date_formats)
+        bad = full_refresh(ingest.rejected(parsed), folder.table("stg_sales_rejects"))
+        rejected["ingest"] = bad.count()
+        staged = ingest.to_staging(parsed, settings.domains, settings.source_system, loaded_at)
         beyond = [c for c in order if c not in STAGED_SALES.fieldNames()]
         typed = conform(staged, STAGED_SALES, keep=beyond)
         return full_refresh(typed, folder.table("stg_sales_raw")).count()
@@ -209,6 +219,7 @@ def run_all(
         tabs = {f"report_{name}": df for name, df in reports(spark, folder).items()}
         return write_each(tabs, folder, {})
 
+    rejected: dict[str, int] = {}
     steps = {
         "ingest": (do_ingest, True), "transform": (do_transform, False),
         "anomaly": (do_anomaly, False), "report": (do_report, False),
@@ -223,12 +234,14 @@ def run_all(
             records = work()
             success = records > 0 or not needs_rows
         except Exception as problem:
-            records, success, error = None, False, str(problem)[:500]
-        results.append((name, success, records, time.monotonic() - began, error))
+            records, success, error = None, False, str(problem)
+        seconds = time.monotonic() - began
+        results.append((name, success, records, rejected.get(name), seconds, error))
         if not success and stage == "all":
             break
     return spark.createDataFrame(
-        results, "stage string, success boolean, records long, seconds double, error string"
+        results,
+        "stage string, success boolean, records long, rejected long, seconds double, error string",
     )
 
 
@@ -238,7 +251,9 @@ def table_counts(spark: SparkSession, folder: RunFolder) -> DataFrame:
     def find(name: str) -> DataFrame | None:
         try:
             return folder.read(spark, name)
-        except Exception:
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
 
     names = (

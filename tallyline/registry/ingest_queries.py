@@ -10,12 +10,11 @@ from tallyline.operators import ingest, staging
 from tallyline.registry.base import Inputs, query
 from tallyline.registry.sql import mean, sql
 from tallyline.registry.sql import title_case as sql_title_case
+from tallyline.schemas import RAW_SALES_COLUMNS, STAGED_SALES
+from tallyline.sources.sales_csv import read_sales_csv
+from tallyline.sources.tables import new_path
 
-STAGED = (
-    "transaction_id", "record_date", "product_name", "product_category", "region", "sales_rep",
-    "customer_id", "customer_segment", "channel", "units_sold", "unit_price", "revenue", "cost",
-    "discount_pct",
-)
+STAGED = tuple(c for c in STAGED_SALES.fieldNames() if c not in ("source_system", "loaded_at"))
 STAGED_SQL = ", ".join(STAGED)
 
 
@@ -224,3 +223,61 @@ def stg_summary(src: Inputs) -> DataFrame:
     return staging.staging_summary(src.clean("customer", "part"))
 
 
+
+
+# Amounts of very different sizes, around and beyond what the staged columns hold.
+_WIDE_SQL = """SELECT concat(l_orderkey, '-', l_linenumber) AS transaction_id,
+    concat(cast(l_quantity AS int), repeat('0', cast(l_orderkey % 10 AS int))) AS units_sold,
+    concat(cast(l_partkey AS bigint), repeat('9', cast(l_orderkey % 12 AS int)), '.995') AS revenue,
+    concat('9', repeat('9', cast(l_suppkey % 13 AS int)), '.99', cast(l_linenumber % 10 AS int))
+        AS cost FROM lineitem"""
+
+
+def _beyond(column: str, kind: str) -> str:
+    number = f"try_cast({column} AS decimal(30,6))"
+    return f"{number} IS NOT NULL AND try_cast({number} AS {kind}) IS NULL"
+
+
+@query("ingest_range_rejects", f"""SELECT reason, count(*) AS row_count FROM (
+    SELECT unnest(list_filter([
+        CASE WHEN {_beyond('units_sold', 'int')} THEN 'OUT_OF_RANGE_UNITS_SOLD' END,
+        CASE WHEN {_beyond('revenue', 'decimal(14,2)')} THEN 'OUT_OF_RANGE_REVENUE' END,
+        CASE WHEN {_beyond('cost', 'decimal(14,2)')} THEN 'OUT_OF_RANGE_COST' END],
+        lambda x: x IS NOT NULL)) AS reason FROM ({_WIDE_SQL})) GROUP BY reason""")
+def ingest_range_rejects(src: Inputs) -> DataFrame:
+    lines = src.table("lineitem")
+
+    def digits(digit: str, by: str, modulus: int):
+        return F.repeat(F.lit(digit), (F.col(by) % modulus).cast("int"))
+
+    raw = lines.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("transaction_id"),
+        F.lit("2024-01-31").alias("date"),
+        F.concat(F.col("l_quantity").cast("int").cast("string"), digits("0", "l_orderkey", 10))
+        .alias("units_sold"),
+        F.concat(F.col("l_partkey").cast("string"), digits("9", "l_orderkey", 12), F.lit(".995"))
+        .alias("revenue"),
+        F.concat(F.lit("9"), digits("9", "l_suppkey", 13), F.lit(".99"),
+                 (F.col("l_linenumber") % 10).cast("int").cast("string")).alias("cost"),
+    )
+    bad = ingest.rejected(ingest.parse(raw))
+    return bad.select(F.explode("reject_reasons").alias("reason")).groupBy("reason").agg(
+        F.count("*").alias("row_count"))
+
+
+@query("ingest_malformed_rows", """SELECT CASE WHEN l_orderkey % 50 IN (0, 1) THEN 'MALFORMED_ROW'
+        ELSE 'loaded' END AS outcome, count(*) AS row_count FROM lineitem GROUP BY outcome""")
+def ingest_malformed_rows(src: Inputs) -> DataFrame:
+    """Lines with a field too many or too few, written and read as a sales file."""
+    path = new_path(src.spark, "malformed")
+    line = F.concat_ws(
+        ",", F.col("l_orderkey").cast("string"), F.lit("2024-01-31"), *(F.lit("a") for _ in range(7)),
+        *(F.lit("1") for _ in range(4)))
+    end = F.when(F.col("l_orderkey") % 50 == 0, ",1,more").when(
+        F.col("l_orderkey") % 50 == 1, "").otherwise(",1")
+    lines = src.table("lineitem").select(F.concat(line, end).alias(",".join(RAW_SALES_COLUMNS)))
+    lines.write.option("header", True).option("sep", "\u0001").option("quote", "").csv(path)
+    parsed = ingest.parse(read_sales_csv(src.spark, path))
+    loaded = ingest.accepted(parsed).select(F.lit("loaded").alias("outcome"))
+    bad = ingest.rejected(parsed).select(F.explode("reject_reasons").alias("outcome"))
+    return loaded.union(bad).groupBy("outcome").agg(F.count("*").alias("row_count"))

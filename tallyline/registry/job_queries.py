@@ -12,7 +12,7 @@ from tallyline.registry.base import Inputs, query
 from tallyline.registry.core_queries import _SUMMARY_SQL
 from tallyline.registry.source_queries import DAY, written_csv
 from tallyline.registry.sql import sql
-from tallyline.schemas import STAGED_SALES
+from tallyline.schemas import OPERATIONAL, REPORTING_SUMMARY, STAGED_SALES
 from tallyline.settings import Settings
 from tallyline.sources.tables import new_path
 from tallyline.sources.warehouse import LOAD_ORDER, TEST_DOMAINS
@@ -31,22 +31,27 @@ def daily_extract(src: Inputs) -> DataFrame:
     log = jobs.AuditLog(src.spark, new_path(src.spark, "log"), DAY)
     for _ in range(2):
         jobs.daily_extract(src.op_metrics(), DAY, table, log)
-    return src.spark.read.parquet(table).select(
+    return src.spark.read.schema(OPERATIONAL).parquet(table).select(
         "record_date", "entity_id", "metric_name", "metric_value", "source_system"
     )
 
 
 @query(
     "metric_rollup",
-    sql(f"SELECT * FROM ({_SUMMARY_SQL.format('op_metrics')}) WHERE report_date = DATE '{DAY}'",
-        "op_metrics"),
+    sql(f"""SELECT * FROM ({_SUMMARY_SQL.format('''(SELECT * REPLACE (last_value(metric_value
+            IGNORE NULLS) OVER (PARTITION BY entity_id, metric_name, record_date
+            ORDER BY staging_id) AS metric_value) FROM gap_metrics)''')})
+        WHERE report_date = DATE '{DAY}'""", "gap_metrics"),
 )
 def metric_rollup(src: Inputs) -> DataFrame:
+    """The rows of the day have gaps and one load time, so their order is that of their ids."""
     staged, summary = new_path(src.spark, "operational"), new_path(src.spark, "summary")
     log = jobs.AuditLog(src.spark, new_path(src.spark, "log"), DAY)
-    jobs.daily_extract(src.op_metrics(), DAY, staged, log)
+    source = src.op_metrics(with_gaps=True).withColumn(
+        "loaded_at", F.col("record_date").cast("timestamp"))
+    jobs.daily_extract(source, DAY, staged, log)
     jobs.metric_rollup(src.spark, staged, summary, DAY)
-    return src.spark.read.parquet(summary)
+    return src.spark.read.schema(REPORTING_SUMMARY).parquet(summary)
 
 
 _CLEAN_COUNTS = """SELECT table_name, row_count FROM (
@@ -94,3 +99,20 @@ def run_pipeline(src: Inputs) -> DataFrame:
         settings=SETTINGS, order=LOAD_ORDER,
     )
     return results.select("stage", "success", "records")
+
+
+@query(
+    "ingest_rejects_table",
+    sql("SELECT count_if(is_bad) AS rejected, count_if(NOT is_bad) AS loaded FROM tagged",
+        "tagged"),
+)
+def ingest_rejects_table(src: Inputs) -> DataFrame:
+    """What a run's ingest stage has loaded and written to its table of rejects."""
+    folder = jobs.RunFolder(new_path(src.spark, "run"))
+    jobs.run_all(
+        src.spark, written_csv(src), folder.root, dt.date(2024, 1, 31), stage="ingest",
+        settings=SETTINGS, order=LOAD_ORDER)
+    bad, good = (folder.read(src.spark, n) for n in ("stg_sales_rejects", "stg_sales_raw"))
+    tags = bad.select(F.size("reject_reasons").alias("n")).union(good.select(F.lit(0)))
+    return tags.agg(
+        F.count_if(F.col("n") > 0).alias("rejected"), F.count_if(F.col("n") == 0).alias("loaded"))

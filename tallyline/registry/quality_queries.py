@@ -155,21 +155,22 @@ def _beyond(column: str, values: tuple[str, ...]) -> str:
 @query(
     "dq_validation_results",
     sql("\nUNION ALL ".join((
-        _result("NULL_TRANSACTION_ID", CHECKS["NULL_TRANSACTION_ID"], "Reject row", "WARN"),
-        _result("NULL_RECORD_DATE", CHECKS["NULL_RECORD_DATE"], "Reject row", "WARN"),
-        _result("NULL_REVENUE", CHECKS["NULL_REVENUE"], "Reject row", "WARN"),
-        _result("NEGATIVE_REVENUE", CHECKS["NEGATIVE_REVENUE"], "Reject row", "WARN"),
-        _result("NEGATIVE_COST", CHECKS["NEGATIVE_COST"], "Kept", "WARN"),
-        _result("DISCOUNT_ABOVE_100", "count_if(discount_pct > 100)", "Clamped to 100%", "FIXED"),
-        _result("DISCOUNT_BELOW_0", "count_if(discount_pct < 0)", "Clamped to 0%", "FIXED"),
-        _result("ZERO_UNITS", CHECKS["ZERO_UNITS"], "Defaulted to 1", "FIXED"),
-        _result("NULL_COST", "count_if(cost IS NULL)", "Defaulted to 0", "FIXED"),
-        _result("DUPLICATE_TXN_IDS", "count(transaction_id) - count(DISTINCT transaction_id)",
-                "Deduplicated", "FIXED"),
-        _result("INVALID_REGION", f"count_if(region NOT IN {in_list(REGIONS)})",
-                "Standardised case", "FIXED", _beyond("region", REGIONS)),
-        _result("INVALID_CHANNEL", f"count_if(channel NOT IN {in_list(CHANNELS)})",
-                "Standardised case", "FIXED", _beyond("channel", CHANNELS)),
+        _result("region outside its list", f"count_if(region NOT IN {in_list(REGIONS)})",
+                "spelling made canonical", "FIXED", _beyond("region", REGIONS)),
+        _result("channel outside its list", f"count_if(channel NOT IN {in_list(CHANNELS)})",
+                "spelling made canonical", "FIXED", _beyond("channel", CHANNELS)),
+        _result("units under one", CHECKS["ZERO_UNITS"], "set to one", "FIXED"),
+        _result("cost without a value", "count_if(cost IS NULL)", "set to zero", "FIXED"),
+        _result("discount under zero", "count_if(discount_pct < 0)", "set to zero", "FIXED"),
+        _result("discount over the limit", "count_if(discount_pct > 100)", "set to the limit",
+                "FIXED"),
+        _result("id seen before", "count(transaction_id) - count(DISTINCT transaction_id)",
+                "later copies left out", "FIXED"),
+        _result("cost under zero", CHECKS["NEGATIVE_COST"], "loaded as it is", "WARN"),
+        _result("revenue under zero", CHECKS["NEGATIVE_REVENUE"], "not loaded", "WARN"),
+        _result("revenue without a value", CHECKS["NULL_REVENUE"], "not loaded", "WARN"),
+        _result("date without a value", CHECKS["NULL_RECORD_DATE"], "not loaded", "WARN"),
+        _result("id without a value", CHECKS["NULL_TRANSACTION_ID"], "not loaded", "WARN"),
     )), "parsed"),
 )
 def dq_validation_results(src: Inputs) -> DataFrame:

@@ -25,7 +25,7 @@ from tallyline.sources.warehouse import LOAD_ORDER
 from tallyline.streaming import incremental
 
 DAY = dt.date(2024, 1, 10)
-MARK = dt.datetime(1998, 6, 30)
+MARKS = (dt.datetime(1995, 1, 1), dt.datetime(1998, 6, 30))
 
 RAW_PROFILE = ", ".join(f"count({c}) AS {c}" for c in RAW_SALES_COLUMNS)
 
@@ -111,30 +111,34 @@ def sink_anomalies_csv(src: Inputs) -> DataFrame:
     )
 
 
-_INCREMENTAL = f"""
-, old AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id
-        ORDER BY loaded_at, l_partkey, l_suppkey, revenue, units_sold) AS rn
-    FROM sales WHERE loaded_at <= TIMESTAMP '{MARK}') WHERE rn = 1),
-fresh AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id
-        ORDER BY loaded_at, l_partkey, l_suppkey, revenue, units_sold) AS rn
-    FROM sales WHERE loaded_at > TIMESTAMP '{MARK}') WHERE rn = 1)
-SELECT transaction_id, revenue, discount_pct, loaded_at FROM fresh
-UNION ALL
-SELECT transaction_id, revenue, discount_pct, loaded_at FROM old
-WHERE transaction_id NOT IN (SELECT transaction_id FROM fresh)"""
+_FULL_REFRESH = """SELECT transaction_id, revenue, discount_pct, loaded_at FROM (
+    SELECT *, row_number() OVER (PARTITION BY transaction_id
+        ORDER BY loaded_at {0}, l_partkey {0}, l_suppkey {0}, revenue {0}, units_sold {0}) AS rn
+    FROM sales) WHERE rn = 1"""
 
 
-@query("src_incremental_hwm", sql("-- merged", "sales").replace("\n-- merged", _INCREMENTAL))
-def src_incremental_hwm(src: Inputs) -> DataFrame:
+def _in_three_batches(src: Inputs, policy: str) -> DataFrame:
+    """Loads up to the first mark, from there to the second, and the rest, merged in turn."""
     source = src.sales("part").select(
         "transaction_id", "revenue", "discount_pct", "loaded_at", "l_partkey", "l_suppkey",
         "units_sold",
     )
-    loaded = source.filter(F.col("loaded_at") <= F.lit(MARK))
-    current = staging.keep_first(loaded, order=LOAD_ORDER)
-    changes = incremental.changes_since(source, MARK)
-    merged = incremental.merge_by_key(current, changes, order=LOAD_ORDER)
-    return merged.select("transaction_id", "revenue", "discount_pct", "loaded_at")
+    current = source.limit(0)
+    for low, high in zip((None, *MARKS), (*MARKS, None)):
+        batch = source if low is None else incremental.changes_since(source, low)
+        batch = batch if high is None else batch.filter(F.col("loaded_at") <= F.lit(high))
+        current = incremental.merge_by_key(current, batch, order=LOAD_ORDER, policy=policy)
+    return current.select("transaction_id", "revenue", "discount_pct", "loaded_at")
+
+
+@query("src_incremental_hwm", sql(_FULL_REFRESH.format("ASC"), "sales"))
+def src_incremental_hwm(src: Inputs) -> DataFrame:
+    return _in_three_batches(src, "keep_first")
+
+
+@query("src_incremental_latest", sql(_FULL_REFRESH.format("DESC"), "sales"))
+def src_incremental_latest(src: Inputs) -> DataFrame:
+    return _in_three_batches(src, "keep_latest")
 
 
 @query(

@@ -30,6 +30,8 @@ TEXT_COLUMNS = (
     "customer_id", "customer_segment", "channel",
 )
 NUMERIC_COLUMNS = ("units_sold", "unit_price", "revenue", "cost", "discount_pct")
+# Whole line of a raw row with more or fewer fields than the header, else NULL.
+MALFORMED = "_malformed_row"
 
 
 def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
@@ -134,6 +136,7 @@ OPERATIONAL = _struct(
     ("metric_value", T.DecimalType(18, 4)),
     ("source_system", T.StringType()),
     ("loaded_at", T.TimestampType()),
+    ("staging_id", T.LongType()),
 )
 
 REPORTING_SUMMARY = _struct(
@@ -179,7 +182,7 @@ SALES_CHECKS = (
     ColumnCheck("customer_id", max_len=20),
     ColumnCheck("customer_segment", max_len=30),
     ColumnCheck("channel", max_len=30),
-    ColumnCheck("units_sold", digits=9),
+    ColumnCheck("units_sold", digits=10),
     ColumnCheck("unit_price", digits=10),
     ColumnCheck("revenue", digits=12),
     ColumnCheck("cost", digits=12),

@@ -29,3 +29,4 @@ class Settings:
     anomaly: AnomalySettings = field(default_factory=AnomalySettings)
     dedup: str = "keep_first"  # or "drop_all"
     source_system: str = "CSV_LOAD"
+    date_formats: tuple[str, ...] = ()  # tried in order where a date is not in ISO form

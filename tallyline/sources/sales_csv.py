@@ -6,28 +6,43 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyline.functions.text import na_to_null
-from tallyline.schemas import RAW_SALES_COLUMNS
+from tallyline.schemas import MALFORMED, RAW_SALES_COLUMNS
 
 
 def read_sales_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """Read a headed CSV as text, with the usual "no value" tokens as NULL.
 
-    Columns are named from the header, so a missing or moved column is seen by
-    ``require_columns``; a schema would bind by position and hide it. A missing path is
-    Spark's own ``AnalysisException``. ``multiline`` allows line breaks inside quotes, at
-    the price of one task per file.
+    Columns are named from the header, so a missing column is seen by ``require_columns``.
+    Spark binds the columns of several files by position; each file's header is therefore
+    checked against the first one's, and a file with other columns, or the same in another
+    order, fails the read. A missing path is Spark's own ``AnalysisException``.
+    ``multiline`` allows line breaks inside quotes, at the price of one task per file.
+
+    A row with more or fewer fields than the header has its whole line in the column
+    ``MALFORMED``, which ``ingest`` rejects; that column is NULL for all others.
     """
-    raw = (
+    reader = (
         spark.read.option("header", True)
         .option("inferSchema", False)
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multiline)
+    )
+    names = reader.csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*names, MALFORMED)])
+    raw = (
+        reader.schema(schema)
+        .option("enforceSchema", False)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", MALFORMED)
+        # A pruned read does not see how many fields a row has.
+        .option("columnPruning", False)
         .csv(path)
     )
-    return raw.select(*(na_to_null(F.col(f"`{c}`")).alias(c) for c in raw.columns))
+    return raw.select(*(na_to_null(F.col(f"`{c}`")).alias(c) for c in names), MALFORMED)
 
 
 def require_columns(df: DataFrame, required: Iterable[str] = RAW_SALES_COLUMNS) -> DataFrame:

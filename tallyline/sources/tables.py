@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
@@ -17,9 +18,9 @@ def shared_folder(spark: SparkSession) -> str:
     A temporary folder is used only where the setting is missing and Spark runs locally.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
     if folder:
         return folder.rstrip("/")
-    context = spark.sparkContext
     if context.master.startswith("local"):
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyline-"))
@@ -60,6 +61,12 @@ def replace_dates(df: DataFrame, path: str, date_column: str) -> None:
     )
 
 
+def replace_day(df: DataFrame, path: str, date_column: str, day: dt.date) -> None:
+    """Replace one day by what ``df`` has of it, which may be nothing."""
+    own = df.where(F.col(date_column) == F.lit(day)).drop(date_column)
+    own.write.mode("overwrite").parquet(f"{path}/{date_column}={day.isoformat()}")
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     (
         df.write.mode("overwrite")

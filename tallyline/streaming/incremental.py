@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.operators.staging import keep_first
@@ -13,9 +13,13 @@ from tallyline.sources.tables import stage_table
 
 
 def changes_since(source: DataFrame, mark: dt.datetime | Column) -> DataFrame:
-    """Rows loaded after the mark; a plain comparison, so it is pushed to the scan."""
+    """Rows loaded at the mark or later; a plain comparison, so it is pushed to the scan.
+
+    The mark itself is included, as more rows may arrive with the load time of the last ones
+    seen. Merging a row again changes nothing.
+    """
     limit = mark if isinstance(mark, Column) else F.lit(mark)
-    return source.filter(F.col("loaded_at") > limit)
+    return source.filter(F.col("loaded_at") >= limit)
 
 
 def high_water_mark(source: DataFrame) -> DataFrame:
@@ -27,13 +31,26 @@ def merge_by_key(
     changes: DataFrame,
     key: str = "transaction_id",
     order: Sequence[str] = ("loaded_at",),
+    policy: str = "keep_first",
 ) -> DataFrame:
-    """Changed keys replace their current row, new keys are added, the rest stays.
+    """``current`` brought up to date, as a full refresh over all rows would give it.
+
+    With ``keep_first`` the earliest row of a key stays: only keys that are not there yet are
+    added. With ``keep_latest`` the latest row of a changed key, in ``order``, takes the place of
+    its current one (and of the batches before it). Batches have to come in order of loading.
 
     ``current`` is unique by key and the changes are made so first, so no key is hot in the
     anti-join. The changes are staged: a small batch is broadcast by its size, and the
-    current table is then not shuffled at all.
+    current table is then not shuffled at all. The staged copy is in the shared folder.
     """
-    fresh = stage_table(keep_first(changes, key, order), "changes")
+    if policy == "keep_first":
+        fresh = stage_table(keep_first(changes, key, order), "changes")
+        new = fresh.join(current.select(key), key, "left_anti")
+        return current.unionByName(new.select(*current.columns))
+    if policy != "keep_latest":
+        raise ValueError(f"unknown policy: {policy}")
+    latest = Window.partitionBy(key).orderBy(*(F.desc(c) for c in order))
+    fresh = changes.withColumn("_n", F.row_number().over(latest)).where("_n = 1").drop("_n")
+    fresh = stage_table(fresh, "changes")
     untouched = current.join(fresh.select(key), key, "left_anti")
     return untouched.select(*current.columns).unionByName(fresh.select(*current.columns))

@@ -39,7 +39,10 @@ def test_good_rows_pass(spark):
         ({"revenue": "-0.001"}, "NEGATIVE_REVENUE"),
         ({"revenue": "1e13"}, "OUT_OF_RANGE_REVENUE"),
         ({"cost": "-1e12"}, "OUT_OF_RANGE_COST"),
-        ({"units_sold": "1e9"}, "OUT_OF_RANGE_UNITS_SOLD"),
+        ({"units_sold": "2147483648"}, "OUT_OF_RANGE_UNITS_SOLD"),
+        ({"revenue": "999999999999.995"}, "OUT_OF_RANGE_REVENUE"),
+        ({"cost": "999999999999.995"}, "OUT_OF_RANGE_COST"),
+        ({"unit_price": "9999999999.995"}, "OUT_OF_RANGE_UNIT_PRICE"),
     ],
 )
 def test_rejects_name_their_reason(raw, change, reason):
@@ -65,7 +68,7 @@ def test_repairs(raw):
         (Decimal("100.00"), 1, Decimal("0.00")),
         (Decimal("0.00"), 1, Decimal("-3.00")),
         (Decimal("0.00"), 2, Decimal("12.00")),
-        (Decimal("7.01"), 1000, Decimal("700.00")),
+        (Decimal("7.01"), 1000, Decimal("120.00")),
     ]
 
 
@@ -133,7 +136,52 @@ def test_csv_reading(spark, tmp_path):
     row = one(require_columns(read_sales_csv(spark, str(path))))
     assert row.product_name == 'Desk, 5" wide'
     assert (row.cost, row.channel, row.region) == (None, None, None)
-    assert row.transaction_id == "TXN-000001" and row.extra == "x"
+    assert row.transaction_id == "R-000101" and row.extra == "x"
+
+
+def test_amounts_at_the_edge_are_loaded(raw):
+    out = one(staged(raw({
+        "units_sold": "2147483647", "revenue": "999999999999.99", "cost": "999999999999.994",
+        "unit_price": "9999999999.99"})))
+    assert (out.units_sold, out.revenue) == (2147483647, Decimal("999999999999.99"))
+    assert (out.cost, out.unit_price) == (Decimal("999999999999.99"), Decimal("9999999999.99"))
+
+
+def test_date_forms_are_tried_in_order(raw):
+    df = raw(*({"transaction_id": t, "date": d} for t, d in (
+        ("a", "2021-03-04"), ("b", "03/04/2021"), ("c", "20210304"), ("d", "4 Mar 2021"),
+        ("e", "13/13/2021"))))
+    parsed = ingest.parse(df, ("dd/MM/yyyy", "MM/dd/yyyy", "yyyyMMdd", "d MMM yyyy"))
+    got = dict(rows(parsed, "transaction_id", "record_date"))
+    assert got == {
+        "a": dt.date(2021, 3, 4), "b": dt.date(2021, 4, 3), "c": dt.date(2021, 3, 4),
+        "d": dt.date(2021, 3, 4), "e": None}
+    assert dict(rows(ingest.parse(df), "transaction_id", "record_date"))["b"] is None
+
+
+def write_lines(path, *rows_):
+    path.write_text("\n".join(",".join(r) for r in rows_) + "\n")
+
+
+def test_files_with_other_headers_fail(spark, tmp_path):
+    names = list(RAW_SALES_COLUMNS)
+    write_lines(tmp_path / "a.csv", names, GOOD_ROWS[0])
+    write_lines(tmp_path / "b.csv", names, GOOD_ROWS[1])
+    assert read_sales_csv(spark, str(tmp_path / "*.csv")).count() == 2
+    moved = [*names[:-3], names[-2], names[-3], names[-1]]
+    write_lines(tmp_path / "c.csv", moved, GOOD_ROWS[2])
+    with pytest.raises(Exception, match="(?i)header"):
+        read_sales_csv(spark, str(tmp_path / "*.csv")).collect()
+
+
+def test_malformed_rows_are_rejected(spark, tmp_path):
+    long, short = (*GOOD_ROWS[1], "surplus"), GOOD_ROWS[2][:-2]
+    write_lines(tmp_path / "a.csv", RAW_SALES_COLUMNS, GOOD_ROWS[0], long, short)
+    parsed = ingest.parse(read_sales_csv(spark, str(tmp_path / "a.csv")))
+    assert rows(ingest.accepted(parsed), "transaction_id") == [("R-000101",)]
+    assert rows(ingest.rejected(parsed), "reject_reasons") == [(["MALFORMED_ROW"],)] * 2
+    counts = one(ingest.ingest_counts(parsed))
+    assert (counts.rows_read, counts.rows_loaded, counts.rows_rejected) == (3, 1, 2)
 
 
 def test_missing_file(spark, tmp_path):

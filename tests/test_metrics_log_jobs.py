@@ -22,7 +22,7 @@ DAY = dt.date(2024, 1, 5)
 def series(spark, values, start=dt.datetime(2024, 1, 5), step=400, entity="e"):
     return spark.createDataFrame(
         [(DAY, entity, "m", None if v is None else D(str(v)), "S",
-          start + dt.timedelta(seconds=i * step)) for i, v in enumerate(values)],
+          start + dt.timedelta(seconds=i * step), i) for i, v in enumerate(values)],
         OPERATIONAL,
     )
 
@@ -125,9 +125,48 @@ def test_incremental_merge(spark):
     mark = one(incremental.high_water_mark(current)).high_water_mark
     changes = incremental.changes_since(source, mark)
     merged = incremental.merge_by_key(current, changes)
-    assert sorted(rows(merged, "transaction_id", "v")) == [("a", 1), ("b", 20), ("c", 30)]
+    assert sorted(rows(merged, "transaction_id", "v")) == [("a", 1), ("b", 2), ("c", 30)]
     again = incremental.merge_by_key(merged, changes)
     assert sorted(rows(again)) == sorted(rows(merged))
+    latest = incremental.merge_by_key(current, changes, policy="keep_latest")
+    assert sorted(rows(latest, "transaction_id", "v")) == [("a", 1), ("b", 21), ("c", 30)]
+    with pytest.raises(ValueError):
+        incremental.merge_by_key(current, changes, policy="other")
+
+
+def test_rows_at_the_mark_are_not_lost(spark):
+    def frame(*lines):
+        return spark.createDataFrame(
+            [(i, dt.datetime(2024, 1, d)) for i, d in lines],
+            "transaction_id string, loaded_at timestamp")
+
+    late = frame(("a", 1), ("late", 1), ("c", 2))
+    changes = incremental.changes_since(late, dt.datetime(2024, 1, 1))
+    merged = incremental.merge_by_key(frame(("a", 1)), changes)
+    assert sorted(rows(merged, "transaction_id")) == [("a",), ("c",), ("late",)]
+
+
+def test_a_day_that_became_empty_is_emptied(spark, tmp_path):
+    staged, summary = str(tmp_path / "staged"), str(tmp_path / "summary")
+    log = jobs.AuditLog(spark, str(tmp_path / "log"), DAY)
+    source = series(spark, [1, 2, 3])
+    assert jobs.daily_extract(source.limit(0), DAY, staged, log) == 0
+    assert jobs.daily_extract(source, DAY, staged, log) == 3
+    jobs.metric_rollup(spark, staged, summary, DAY)
+    assert jobs.daily_extract(source.limit(0), DAY, staged, log) == 0
+    jobs.metric_rollup(spark, staged, summary, DAY)
+    assert spark.read.schema(OPERATIONAL).parquet(staged).count() == 0
+    assert spark.read.parquet(summary).count() == 0
+
+
+def test_rollup_does_not_depend_on_partitions(spark, tmp_path):
+    log = jobs.AuditLog(spark, str(tmp_path / "log"), DAY)
+    source = series(spark, [None, 5, None, 7, None, None], step=0)
+    for parts in (1, 4):
+        staged, summary = str(tmp_path / f"staged{parts}"), str(tmp_path / f"summary{parts}")
+        jobs.daily_extract(source.repartition(parts, "staging_id"), DAY, staged, log)
+        jobs.metric_rollup(spark, staged, summary, DAY)
+        assert rows(spark.read.parquet(summary), "total_value", "record_count") == [(D("31.0000"), 5)]
 
 
 def test_conform(spark):
@@ -161,6 +200,9 @@ def test_full_run_is_repeatable(spark, tmp_path):
         assert [(r.stage, r.success) for r in result] == [(s, True) for s in jobs.STAGES]
         states.append(rows(jobs.table_counts(spark, jobs.RunFolder(root))))
     assert states[0] == states[1]
+    assert [r.rejected for r in result] == [1, None, None, None]
+    rejects = spark.read.parquet(f"{root}/stg_sales_rejects")
+    assert rows(rejects, "reject_reasons") == [(["INVALID_DATE"],)]
     counts = {name: n for name, n, _ in states[0]}
     assert counts["stg_sales_raw"] == 42 and counts["core_sales"] == 41
     assert counts["rpt_anomalies"] == 1
