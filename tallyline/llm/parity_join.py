@@ -259,8 +259,10 @@ def jaccard_classes(
         _keys_task(k, p, q, spare), "key long, f long, stored boolean, asks boolean")
     block = Window.partitionBy("key")
     shared = keys.select(
-        "*", F.min("f").over(block).alias("lo"), F.max("f").over(block).alias("hi"))
-    shared = shared.where("lo <> hi").select("key", "f", "stored", "asks")
+        "*", F.min("f").over(block).alias("lo"), F.max("f").over(block).alias("hi"),
+        F.max("asks").over(block).alias("asked"), F.max("stored").over(block).alias("found"))
+    # A block that nobody asks in (it holds next to nothing) makes no candidates.
+    shared = shared.where("lo <> hi and asked and found").select("key", "f", "stored", "asks")
     shared = stage_table(shared, "blocks")
 
     nodes = shared.select("f").distinct()
