@@ -21,19 +21,24 @@ def _same(left: Sequence[str], right: Sequence[str]) -> list[Column]:
     return [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)]
 
 
-def rank_descending(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+def rank_descending(
+    df: DataFrame, keys: Sequence[str], value: str, name: str, base: DataFrame | None = None
+) -> DataFrame:
     """Add ``RANK() OVER (PARTITION BY keys ORDER BY value DESC)``.
 
     A group is split by value range. The rank is the rank within the range plus the number
     of rows in the ranges above, which is known from one count per range. Equal values lie
-    in the same range, so ties rank alike.
+    in the same range, so ties rank alike. ``base`` is a frame with the same keys and values that
+    is cheaper to read than ``df`` (a staged table, of which ``df`` has further columns): the
+    counts are taken from it.
     """
     inner = [*keys, "_range"]
     cut = df.withColumn("_range", _range_of(F.col(value)))
     above = Window.partitionBy(*keys).orderBy(F.desc("_range")).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    counts = cut.groupBy(*inner).agg(F.count("*").alias("_n")).select(
+    counted = cut if base is None else base.withColumn("_range", _range_of(F.col(value)))
+    counts = counted.groupBy(*inner).agg(F.count("*").alias("_n")).select(
         *(F.col(c).alias(f"_of_{c}") for c in inner),
         F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_above"),
     )
@@ -46,9 +51,12 @@ def rank_descending(df: DataFrame, keys: Sequence[str], value: str, name: str) -
     )
 
 
-def with_group_total(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    """Add the total of ``value`` over ``keys``, summed on the map side and joined back."""
-    total = df.groupBy(*keys).agg(F.sum(value).alias(name))
+def with_group_total(
+    df: DataFrame, keys: Sequence[str], value: str, name: str, base: DataFrame | None = None
+) -> DataFrame:
+    """Add the total of ``value`` over ``keys``, summed on the map side (of ``base``, as above) and
+    joined back."""
+    total = (df if base is None else base).groupBy(*keys).agg(F.sum(value).alias(name))
     right = [f"_of_{k}" for k in keys]
     total = total.select(*(F.col(k).alias(r) for k, r in zip(keys, right)), name)
     return df.join(total, _same(keys, right)).select(*df.columns, name)

@@ -127,10 +127,10 @@ def product_analysis(core: DataFrame) -> DataFrame:
         mean(F.col("discount_pct"), 2).alias("avg_discount_pct"),
     )
     category = ["product_category", "txn_year"]
-    table = stage_table(totals, "product-totals")
-    table = rank_descending(table, category, "total_revenue", "rank_in_category")
-    table = rank_descending(table, ["txn_year"], "total_revenue", "overall_rank")
-    table = with_group_total(table, category, "total_revenue", "_total")
+    base = stage_table(totals, "product-totals")
+    table = rank_descending(base, category, "total_revenue", "rank_in_category", base)
+    table = rank_descending(table, ["txn_year"], "total_revenue", "overall_rank", base)
+    table = with_group_total(table, category, "total_revenue", "_total", base)
     share = percent(F.col("total_revenue"), F.col("_total"))
     return table.withColumn("category_share_pct", share).drop("_total")
 

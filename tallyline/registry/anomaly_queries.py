@@ -93,8 +93,7 @@ def anomaly_parameters(src: Inputs) -> DataFrame:
 )
 def anomaly_empty_input(src: Inputs) -> DataFrame:
     """Detection over a fact whose every row is filtered out: no rows, right columns."""
-    fact = src.anomaly_core().filter(F.col("revenue") < 0)
-    return anomalies.detect_all(fact)
+    return anomalies.detect_all(src.nothing_to_flag())
 
 
 @query(

@@ -47,6 +47,11 @@ class Inputs(Warehouse):
     def anomaly_core(self) -> DataFrame:
         return self.clean_core(*ANOMALY_INPUT, dimensions=("customer", "part"))
 
+    def nothing_to_flag(self) -> DataFrame:
+        """The input of detection without a row; filtered before it is staged."""
+        fact = core.enrich(self.clean("customer", "part")).select(*ANOMALY_INPUT)
+        return stage_table(fact.filter("revenue < 0"), "core")
+
     def anomalies(self) -> DataFrame:
         return anomalies.detect_all(self.anomaly_core())
 

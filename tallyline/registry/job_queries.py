@@ -54,7 +54,8 @@ def metric_rollup(src: Inputs) -> DataFrame:
     return src.spark.read.schema(REPORTING_SUMMARY).parquet(summary)
 
 
-_CLEAN_COUNTS = """SELECT table_name, row_count FROM (
+_CLEAN_COUNTS = """SELECT table_name, row_count,
+    (SELECT cast(sum(revenue) AS decimal(38,2)) FROM clean_core) AS total_revenue FROM (
     SELECT 'stg_sales_clean' AS table_name, count(*) AS row_count FROM clean
     UNION ALL SELECT 'core_sales', count(*) FROM clean_core
     UNION ALL SELECT 'rpt_monthly_revenue', count(DISTINCT txn_month_label) FROM clean_core
@@ -71,9 +72,11 @@ def transform_layers(src: Inputs) -> DataFrame:
     tables = jobs.transform_layers(staged, folder, SETTINGS, LOAD_ORDER)
     out = None
     for name, df in tables.items():
-        one = df.agg(F.count("*").alias("row_count")).select(
-            F.lit(name).alias("table_name"), "row_count"
-        )
+        money = "revenue" if "revenue" in df.columns else "total_revenue"
+        one = df.agg(
+            F.count("*").alias("row_count"),
+            F.sum(money).cast("decimal(38,2)").alias("total_revenue"),
+        ).select(F.lit(name).alias("table_name"), "row_count", "total_revenue")
         out = one if out is None else out.unionByName(one)
     return out
 

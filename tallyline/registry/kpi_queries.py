@@ -326,8 +326,7 @@ def report_anomalies(src: Inputs) -> DataFrame:
 )
 def report_no_anomalies(src: Inputs) -> DataFrame:
     """The notice row of the anomaly tab, for a fact in which nothing is left to flag."""
-    fact = src.anomaly_core().filter(F.col("revenue") < 0)
-    return kpis.report_anomalies(anomalies.detect_all(fact))
+    return kpis.report_anomalies(anomalies.detect_all(src.nothing_to_flag()))
 
 
 @query(

@@ -158,16 +158,18 @@ def src_high_water_mark(src: Inputs) -> DataFrame:
         UNION ALL SELECT 'rpt_monthly_revenue', count(*) FROM monthly
         UNION ALL SELECT 'rpt_regional_summary', count(*) FROM regional
         UNION ALL SELECT 'rpt_product_summary', count(*) FROM product
-        UNION ALL SELECT 'rpt_anomalies', -1)""",
-        "sales", "core", "monthly", "regional", "product"),
+        UNION ALL SELECT 'rpt_anomalies', count(*) FROM anomalies
+        UNION ALL SELECT 'not_there', -1)""",
+        "sales", "core", "monthly", "regional", "product", "anomalies"),
 )
 def table_row_counts(src: Inputs) -> DataFrame:
-    """Counts of the layers; the anomaly table was not built and counts -1."""
+    """Counts of the six layers; a table that is not there counts -1."""
     return row_counts({
         "stg_sales_raw": src.sales("part"),
         "core_sales": src.core("part"),
         **marts.all_marts(src.cube()),
-        "rpt_anomalies": None,
+        "rpt_anomalies": src.anomalies(),
+        "not_there": None,
     })
 
 
