@@ -164,7 +164,9 @@ def _keys_task(k: int, p: int, q: int, spare: float):
     return run
 
 
-def _candidate_sets_task(k: int, bitmap):
+def _scan_task(k: int, bitmap, make_batch):
+    """Sketches or sets of the documents whose fingerprint is in the bitmap."""
+
     def run(batches):
         bits, seen = np.frombuffer(bitmap.value, np.uint8), set()
         for batch in batches:
@@ -178,10 +180,10 @@ def _candidate_sets_task(k: int, bitmap):
                     prints.append(f)
                     grams_of.append(grams)
                 if len(prints) >= 256:
-                    yield _set_batch(prints, grams_of)
+                    yield make_batch(prints, grams_of)
                     prints, grams_of = [], []
             if prints:
-                yield _set_batch(prints, grams_of)
+                yield make_batch(prints, grams_of)
 
     return run
 
@@ -193,14 +195,18 @@ def whole_sketch(grams: np.ndarray) -> np.ndarray:
     return np.packbits(parity, bitorder="little").view("<i8")
 
 
-def _set_batch(prints, grams_of) -> pa.RecordBatch:
-    sizes = np.array([len(x) for x in grams_of])
-    lists = wd.list_column(np.concatenate(grams_of).view(np.int64), sizes, pa.int64())
+def _sketch_batch(prints, grams_of) -> pa.RecordBatch:
+    sizes = np.array([len(x) for x in grams_of], np.int64)
     sketches = np.concatenate([whole_sketch(x) for x in grams_of])
     sketches = wd.list_column(sketches, np.full(len(sizes), SKETCH_WORDS), pa.int64())
     return pa.RecordBatch.from_arrays(
-        [pa.array(prints, pa.int64()), pa.array(sizes.astype(np.int64)), sketches, lists],
-        ["f", "n", "sketch", "grams"])
+        [pa.array(prints, pa.int64()), pa.array(sizes), sketches], ["f", "n", "sketch"])
+
+
+def _set_batch(prints, grams_of) -> pa.RecordBatch:
+    sizes = np.array([len(x) for x in grams_of])
+    lists = wd.list_column(np.concatenate(grams_of).view(np.int64), sizes, pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(prints, pa.int64()), lists], ["f", "grams"])
 
 
 def _bitmap(prints: DataFrame):
@@ -265,12 +271,14 @@ def jaccard_classes(
     shared = shared.where("lo <> hi and asked and found").select("key", "f", "stored", "asks")
     shared = stage_table(shared, "blocks")
 
-    nodes = shared.select("f").distinct()
-    bitmap = _bitmap(nodes)
-    sets = stage_table(
-        docs.mapInArrow(_candidate_sets_task(k, bitmap), "f long, n long, sketch array<long>, grams array<long>")
-        .dropDuplicates(["f"]), "grams")
+    def scan(nodes: DataFrame, make_batch, schema: str, name: str) -> DataFrame:
+        task = _scan_task(k, _bitmap(nodes), make_batch)
+        found = docs.mapInArrow(task, schema).join(nodes, "f", "left_semi")
+        return stage_table(found.dropDuplicates(["f"]), name)
 
+    sketches = scan(
+        shared.select("f").distinct(), _sketch_batch, "f long, n long, sketch array<long>", "sketches")
+    sets = None
     links, tried = None, None
     apart = shared.withColumn("c", F.col("f"))
     left, rounds = apart.count(), 0
@@ -279,11 +287,20 @@ def jaccard_classes(
         if star:
             pairs = _anchored(apart, rounds)
         else:
-            pairs = _all_apart(apart, sets, p, q)
+            pairs = _all_apart(apart, sketches, p, q)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stage_table(pairs, "pairs")
-        found = stage_table(_verify(pairs, sets, p, q), "links")
+        near = stage_table(_near(pairs, sketches, p, q), "near") if star else pairs
+        # Only documents of near pairs need their whole sets, and each only once.
+        nodes = near.select(F.col("a").alias("f")).union(near.select("b")).distinct()
+        if sets is not None:
+            nodes = nodes.join(sets.select("f"), "f", "left_anti")
+        nodes = stage_table(nodes, "nodes")
+        if sets is None or not nodes.isEmpty():
+            more = scan(nodes, _set_batch, "f long, grams array<long>", "grams")
+            sets = more if sets is None else sets.union(more)
+        found = stage_table(_verify(near, sets, p, q), "links")
         tried = pairs if tried is None else tried.union(pairs)
         links = found if links is None else links.union(found)
         comps = stage_table(components(links, "a", "b"), "comps")
@@ -321,7 +338,24 @@ def _still_apart(shared: DataFrame, comps: DataFrame) -> DataFrame:
     return now.where("lo <> hi").drop("lo", "hi")
 
 
-def _all_apart(apart: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
+def _distance(x: str, y: str, words: range):
+    """Hamming distance of two sketches over some of their words."""
+    total = F.lit(0)
+    for i in words:
+        total = total + F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i))))
+    return total
+
+
+def _near(pairs: DataFrame, sketches: DataFrame, p: int, q: int) -> DataFrame:
+    """The pairs whose sketches are not too far apart for a link."""
+    a = sketches.select(F.col("f").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
+    b = sketches.select(F.col("f").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
+    distance = _distance("s_a", "s_b", range(SKETCH_WORDS)) * (q + p)
+    bound = (F.col("n_a") + F.col("n_b")) * (q - p)
+    return pairs.join(a, "a").join(b, "b").where(distance <= bound).select("a", "b")
+
+
+def _all_apart(apart: DataFrame, sketches: DataFrame, p: int, q: int) -> DataFrame:
     """Pairs of a block that are in different components, one asking and the other stored, and
     whose sketches are near enough.
 
@@ -329,20 +363,15 @@ def _all_apart(apart: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
     rules out most of these pairs inside the join: what leaves the join are nearly all links. The
     first words of the sketches are compared first.
     """
-    rows = apart.join(sets.select("f", "n", "sketch"), "f")
+    rows = apart.join(sketches, "f")
     x, y = (
         rows.select("key", *(F.col(c).alias(f"{side}_{c}") for c in ("f", "c", "stored", "asks", "n", "sketch")))
         for side in "xy")
 
-    def distance(words: range):
-        total = F.lit(0)
-        for i in words:
-            total = total + F.bit_count(F.get("x_sketch", F.lit(i)).bitwiseXOR(F.get("y_sketch", F.lit(i))))
-        return total * (q + p)
-
     bound = (F.col("x_n") + F.col("y_n")) * (q - p)
     met = x.join(y, (
         (x.key == y.key) & F.expr(
             "x_f < y_f and x_c <> y_c and ((x_asks and y_stored) or (y_asks and x_stored))")
-        & (distance(range(4)) <= bound) & (distance(range(SKETCH_WORDS)) <= bound)))
+        & (_distance("x_sketch", "y_sketch", range(4)) * (q + p) <= bound)
+        & (_distance("x_sketch", "y_sketch", range(SKETCH_WORDS)) * (q + p) <= bound)))
     return met.select(F.col("x_f").alias("a"), F.col("y_f").alias("b")).distinct()
