@@ -13,10 +13,11 @@ candidates are verified on their whole sets.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.llm import words as wd
@@ -27,6 +28,7 @@ WORDS, SIMILARITY = 5, (8, 10)
 SPARE = 1.15
 BITMAP_BITS = 1 << 25
 SKETCH_WORDS = 32
+FOLDED_WORDS = 8
 _SET, _KEY, _BAND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
 
@@ -360,10 +362,14 @@ def _all_apart(apart: DataFrame, sketches: DataFrame, p: int, q: int) -> DataFra
     whose sketches are near enough.
 
     The Hamming distance of two sketches is at most the symmetric difference of the sets, so it
-    rules out most of these pairs inside the join: what leaves the join are nearly all links. The
-    first words of the sketches are compared first.
+    rules out most of these pairs inside the join: what leaves the join are nearly all links. There
+    the sketches are folded to a quarter (XOR of their words), which keeps the bound and the rows
+    short; the whole sketches are compared afterwards.
     """
-    rows = apart.join(sketches, "f")
+    folded = [
+        reduce(Column.bitwiseXOR, (F.get("sketch", F.lit(i)) for i in range(at, SKETCH_WORDS, FOLDED_WORDS)))
+        for at in range(FOLDED_WORDS)]
+    rows = apart.join(sketches.select("f", "n", F.array(*folded).alias("sketch")), "f")
     x, y = (
         rows.select("key", *(F.col(c).alias(f"{side}_{c}") for c in ("f", "c", "stored", "asks", "n", "sketch")))
         for side in "xy")
@@ -372,6 +378,6 @@ def _all_apart(apart: DataFrame, sketches: DataFrame, p: int, q: int) -> DataFra
     met = x.join(y, (
         (x.key == y.key) & F.expr(
             "x_f < y_f and x_c <> y_c and ((x_asks and y_stored) or (y_asks and x_stored))")
-        & (_distance("x_sketch", "y_sketch", range(4)) * (q + p) <= bound)
-        & (_distance("x_sketch", "y_sketch", range(SKETCH_WORDS)) * (q + p) <= bound)))
-    return met.select(F.col("x_f").alias("a"), F.col("y_f").alias("b")).distinct()
+        & (_distance("x_sketch", "y_sketch", range(FOLDED_WORDS)) * (q + p) <= bound)))
+    met = met.select(F.col("x_f").alias("a"), F.col("y_f").alias("b")).distinct()
+    return _near(met, sketches, p, q)
