@@ -259,3 +259,56 @@ def test_mixing_beats_the_unigram_base_where_words_are_known(spark):
     known, held = got[~got.held_out], got[got.held_out]
     assert known.score.sum() > known.base_score.sum()
     assert held.score.sum() > 1.05 * held.base_score.sum()
+
+
+def test_texts_are_coded_in_order_with_weights_of_their_own():
+    """Equals the sum decision by decision, over two blocks, with contexts across words."""
+    rng = np.random.default_rng(5)
+    bits = (9, 10, 10, 9)
+    texts = [b"some words and other words " * 14, b"", b"short one"]
+    tree = mixing_lm.Tree(np.bincount(np.frombuffer(b" ".join(texts), np.uint8), minlength=256).astype(float))
+    tables = [rng.integers(-60, 60, 1 << b).astype(np.int8) for b in bits]
+    weights = rng.normal(size=(mixing_lm.GATES, 5, 1)).astype(np.float32) / 3
+    model = mixing_lm.Model(tree, tables, weights, bits, np.empty(0, np.uint64), np.empty(0), 1)
+    at = np.cumsum([0, *map(len, texts)])
+    stream, bounds, _, _ = mixing_lm.text_stream(np.frombuffer(b"".join(texts), np.uint8), at)
+    assert stream.tobytes() == b"\n".join(b" ".join(t.split()) for t in texts) + b"\n"
+    bases = mixing_lm.context_bases(stream, bounds)
+    want = []
+    for a, b in zip(bounds, bounds[1:]):
+        w, total, gradient = weights[:, :, 0].astype(float), 0.0, 0.0
+        for i in range(a, b):
+            if i > a and (i - a) % mixing_lm.BLOCK == 0:
+                w = w + mixing_lm.RATE * gradient / math.sqrt((i - a) // mixing_lm.BLOCK)
+            if (i - a) % mixing_lm.BLOCK == 0:
+                gradient = np.zeros_like(w)
+            for d in range(tree.length[stream[i]]):
+                node, bit = tree.node[d, stream[i]], tree.bit[d, stream[i]]
+                x = [t[mixing_lm._cells(c[i], node, n)] / mixing_lm._SCALE for t, c, n in zip(tables, bases, bits)]
+                x = np.array([*x, 0.3])
+                g = mixing_lm._gate(d, x[None])[0]
+                p = 1 / (1 + math.exp(-np.clip(w[g] @ x, -20, 20)))
+                total += math.log(p if bit else 1 - p)
+                gradient[g] += (bit - p) * x
+        want.append(total)
+    assert bounds[1] > mixing_lm.BLOCK
+    assert np.allclose(mixing_lm.score_streams(model, stream, bounds)[:, 0], want, rtol=1e-4)
+
+
+def test_mixing_scores_depend_on_word_order(spark):
+    """Common words are spelt as well, after the words before them."""
+    learnt = "the quiet river walks over the old stone bridge every morning "
+    rows = [(i, learnt * 3, "en", "s") for i in range(1, 40)]
+    rows += [(100, learnt, "en", "s"), (101, " ".join(reversed(learnt.split())), "en", "s")]
+    got = mixing_lm.score_documents(frame(spark, rows), train="doc_id < 100").collect()
+    by = {r.doc_id: r for r in got}
+    assert abs(by[100].base_score - by[101].base_score) < 1e-9
+    assert by[100].score > by[101].score + 5
+
+
+def test_mixing_beats_the_unigram_base_on_held_out_text(spark):
+    got = queries.op4_context_mixing_scores(spark, "/root/testdata/sf0.1").toPandas()
+    held = got[got.held_out]
+    assert held.score.sum() > held.base_score.sum()
+    known = got[~got.held_out]
+    assert known.score.sum() > known.base_score.sum()
