@@ -40,6 +40,21 @@ NOTICES = {
     "this work is licensed under a creative commons attribution 4 0 international license": "cc-by",
     "dedicated to the public domain under cc0 1 0 universal": "cc0-1.0",
 }
+# Words that tell licenses apart; a number does so after a word of the second kind.
+DECIDING = (
+    "lesser", "library", "affero", "nc", "sa", "nd", "noncommercial", "commercial", "sharealike", "alike",
+    "noderivatives", "noderivs", "derivatives", "derivs",
+)
+NUMBERED = (*DECIDING, "version", "v", "by", "attribution", "license", "cc0")
+NUMBERS = tuple("123456789")
+BUCKET_WORDS = 64
+
+
+def _deciding(words: list[str]) -> list[str]:
+    """The distinct words of a template that tell licenses apart, sorted."""
+    return sorted({
+        w for before, w in zip(["", *words], words)
+        if w in DECIDING or (w in NUMBERS and before in NUMBERED)})
 
 
 def _template_rows(phrases: dict[str, str], notices: dict[str, str]) -> list[tuple]:
@@ -73,14 +88,16 @@ def scan_licenses(
 
     ``n_base``, ``first_word``, ``last_word`` and ``base_labels`` describe the exact places of
     ``phrases``; ``labels`` adds those of ``notices`` of which ``least`` of the 2-grams are covered
-    on diagonals at most ``drift`` apart. ``score`` is the best coverage, 0 without a find. ``spans``
+    on diagonals at most ``drift`` apart, in a span with just the template's deciding words. ``score`` is the best coverage, 0 without a find. ``spans``
     lists each find as ``label, first, last, coverage`` (word numbers from 0, both included).
 
     NULL and empty texts have no words and no finds (labels empty, places NULL). Repeated rows
     each get the result of their text. NULL ids are kept. Other columns are ignored.
     """
-    rows = _template_rows(
-        PHRASES if phrases is None else phrases, NOTICES if notices is None else notices)
+    notices = NOTICES if notices is None else notices
+    rows = _template_rows(PHRASES if phrases is None else phrases, notices)
+    # A deciding word is found like a template of its own, whose second word is empty.
+    rows += [(w, None, "", 1, 0, w, "") for w in (*DECIDING, *NUMBERS)]
     templates = F.broadcast(docs.sparkSession.createDataFrame(
         rows, "template string, exact boolean, label string, n int, at int, w0 string, w1 string"
     ).withColumn("gram", F.xxhash64("w0", "w1")))
@@ -95,10 +112,19 @@ def scan_licenses(
     def gram(i: Column) -> Column:
         return F.xxhash64(F.get(words, i), F.get(words, i + 1))
 
-    known = [r.g for r in templates.select(F.col("gram").alias("g")).distinct().collect()]
+    def decides(i: Column) -> Column:
+        word = F.get(words, i)
+        return word.isin(*DECIDING) | (word.isin(*NUMBERS) & F.get(words, i - 1).isin(*NUMBERED))
+
+    known = [r.g for r in templates.where("exact is not null").select(F.col("gram").alias("g")).distinct().collect()]
     places = F.filter(F.sequence(F.lit(0), F.size(words) - 2), lambda i: gram(i).isin(known))
     grams = F.when(F.size(words) > 1, F.transform(places, lambda i: F.struct(
         i.alias("place"), gram(i).alias("gram"), F.get(words, i).alias("t0"), F.get(words, i + 1).alias("t1"))))
+    single = F.filter(F.sequence(F.lit(0), F.size(words) - 1), decides)
+    single = F.when(F.size(words) > 1, F.transform(single, lambda i: F.struct(
+        i.alias("place"), F.xxhash64(F.get(words, i), F.lit("")).alias("gram"), F.get(words, i).alias("t0"),
+        F.lit("").alias("t1"))))
+    grams = F.concat(grams, single)
     # An outer explode: for an inner one Spark infers a filter on the array, pushes it below the
     # words, and would split the text anew for every word.
     hits = base.select("doc_id", "t", grams.alias("grams"))
@@ -120,9 +146,26 @@ def scan_licenses(
         F.min(F.col("diagonal") + F.array_min("ats")).alias("first"),
         F.max(F.col("diagonal") + F.array_max("ats") + 1).alias("last"),
         F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("covered"))
-    merged = merged.select(
-        "doc_id", "t", "label", F.lit(False).alias("exact"), "first", "last",
-        (F.col("covered") / (F.col("n") - 1)).alias("coverage")).where(F.col("coverage") >= least)
+    merged = merged.withColumn("coverage", F.col("covered") / (F.col("n") - 1)).where(F.col("coverage") >= least)
+    # Spans meet the deciding words of their text in buckets of places, so that a text of many spans
+    # does not pair each of them with each word.
+    spans = merged.withColumn("bucket", F.explode(F.expr(
+        f"sequence(first div {BUCKET_WORDS}, last div {BUCKET_WORDS})")))
+    said = votes.where("exact is null").select(
+        F.col("doc_id").alias("d_id"), F.col("t").alias("d_t"), F.col("template").alias("word"),
+        F.col("diagonal").alias("place"), F.expr(f"cast(diagonal div {BUCKET_WORDS} as bigint)").alias("d_bucket"))
+    spans = spans.join(said, (
+        spans.doc_id.eqNullSafe(said.d_id) & (spans.t == said.d_t) & (spans.bucket == said.d_bucket)
+        & (said.place >= spans["first"]) & (said.place <= spans["last"])), "left")
+    spans = spans.groupBy("doc_id", "t", "template", "label", "first", "last", "coverage").agg(
+        F.sort_array(F.collect_set("word")).alias("said"))
+    wanted = F.lit(None).cast("array<string>")
+    if notices:
+        wanted = F.create_map(*(
+            x for w in notices for x in (F.lit(w), F.array(*map(F.lit, _deciding(w.split()))).cast("array<string>"))))
+        wanted = F.element_at(wanted, F.col("template"))
+    merged = spans.where(F.col("said") == wanted).select(
+        "doc_id", "t", "label", F.lit(False).alias("exact"), "first", "last", "coverage")
 
     def joined(x: Column) -> Column:
         return F.array_join(F.sort_array(x), ",")

@@ -98,3 +98,32 @@ def test_license_places_equal_brute_force(spark):
     assert by[0].labels == "" and by[0].score == 0.0
     assert all(set(r.base_labels.split(",")) - {""} <= set(r.labels.split(",")) for r in got)
     assert diagonal_scan.scan_licenses(frame(spark, [])).collect() == []
+
+
+def test_licenses_that_differ_in_a_deciding_word(spark):
+    """A notice gets its own label and not that of a near one."""
+    gpl = "This work is licensed under the GNU General Public License"
+    cc = "This work is licensed under a Creative Commons Attribution"
+    notices = [
+        (f"{gpl} version 3", "gpl,gpl-3.0"), (f"{gpl}, version 2.", "gpl,gpl-2.0"), (f"{gpl} version", "gpl"),
+        ("under the terms of the GNU General Public License", "gpl"),
+        ("under the terms of the GNU Lesser General Public License", "gpl,lgpl"),
+        ("under the terms of the GNU Affero General Public License", "agpl,gpl"),
+        (f"{cc} 4.0 International License", "cc-by"),
+        (f"{cc} NonCommercial ShareAlike 4.0 International License", ""),
+        (f"{cc}-NonCommercial 4.0 International License", ""),
+        ("Licensed under CC BY-NC 4.0", "cc-by,cc-by-nc"), ("Licensed under CC BY-SA 4.0", "cc-by,cc-by-sa"),
+        ("Licensed under CC BY-ND 4.0", "cc-by,cc-by-nd"), ("Licensed under CC BY-NC-SA 4.0", "cc-by"),
+        ("Licensed under the Apache License, Version 2.0", "apache-2.0"),
+        ("This work is kindly licensed under the GNU General Public License version 3", "gpl,gpl-3.0"),
+        ("subject to the terms of the Mozilla Public License, v. 2.0", "mpl-2.0"),
+        ("dedicated to the public domain under CC0 1.0 Universal", "cc0-1.0"),
+    ]
+    rows = [
+        (len(notices) * k + i, lead + text + tail, "en", "s")
+        for k, (lead, tail) in enumerate((("", ""), ("river stone cloud " * 30, " walks over 3 hills")))
+        for i, (text, _) in enumerate(notices)]
+    rows.append((None, notices[0][0], "en", "s"))
+    got = {r.doc_id: r.labels for r in diagonal_scan.scan_licenses(frame(spark, rows)).collect()}
+    assert got.pop(None) == "gpl,gpl-3.0"
+    assert [got[i] for i in range(2 * len(notices))] == [label for _, label in notices] * 2
