@@ -8,16 +8,18 @@ the language mix of the document.
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.llm import words as wd
 
 TRAIN_ROWS = 1_500
+LEAST_ROWS = 20
 TRAIN_TEXT_BYTES = 40_000
 STEPS = 30
 FEATURE_BITS = 18
@@ -31,6 +33,7 @@ class Model:
     languages: list[str]
     weights: np.ndarray  # (features, languages)
     transitions: np.ndarray  # (languages, languages), logarithms
+    prior: np.ndarray | None = None  # (languages,), added to the scores of a text's first word
 
 
 def _lower(data: np.ndarray) -> np.ndarray:
@@ -212,13 +215,34 @@ def train(
     docs: DataFrame, *, rows: int = TRAIN_ROWS, text_bytes: int = TRAIN_TEXT_BYTES,
     doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
 ) -> Model:
-    """Fit on at most ``rows`` labelled documents of at most ``text_bytes`` bytes, taken by a hash
-    of their id. This bounded sample is all that reaches the driver."""
-    sample = docs.select(
-        F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(doc_id, text).alias("h"))
-    usable = F.col("lang").isNotNull() & (F.octet_length("text") <= text_bytes)
-    got = sample.where(usable).orderBy("h").limit(rows).collect()
-    return fit([r.text for r in got], [r.lang for r in got])
+    """Fit on about ``rows`` labelled documents, an even share for each language.
+
+    With ``k`` languages each gives its ``max(rows / k, LEAST_ROWS)`` texts of smallest hash; fewer
+    only where it has fewer different ones. Equal texts of a language count once. Texts of at most
+    ``text_bytes`` bytes come first; where a language has not enough of them, longer ones follow,
+    cut to ``text_bytes``. How often each language stands in the table goes into the model's prior.
+    Only that sample and a row per language reach the driver, so both follow the number of
+    languages and not the rows.
+    """
+    labelled = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where(
+        F.col("lang").isNotNull() & F.col("text").isNotNull())
+    n = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not n:
+        return fit([], [])
+    each = max(rows // len(n), LEAST_ROWS)
+    keys = labelled.select(
+        "lang", (F.octet_length("text") > text_bytes).alias("long"), F.xxhash64("text").alias("h")).distinct()
+    number = F.row_number().over(Window.partitionBy("lang").orderBy("long", "h"))
+    chosen = keys.withColumn("number", number).where(F.col("number") <= each).select("lang", "h")
+    # A character has at most four bytes.
+    cut = F.when(F.octet_length("text") > text_bytes, F.substring("text", 1, text_bytes // 4)).otherwise(F.col("text"))
+    found = labelled.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), ["lang", "h"])
+    got = found.select("lang", "h", cut.alias("text")).dropDuplicates(["lang", "h"]).orderBy("h", "lang").collect()
+    model = fit([r.text for r in got], [r.lang for r in got])
+    taken = Counter(r.lang for r in got)
+    share = np.log([n[x] / taken[x] for x in model.languages])
+    model.prior = (share - share.max()).astype(np.float32)
+    return model
 
 
 def _label_task(shared, label_words: bool):
@@ -234,6 +258,8 @@ def _label_task(shared, label_words: bool):
                 if len(starts) and k:
                     bounds = np.searchsorted(doc, np.arange(end - row + 1))
                     s = emissions(model.weights, *word_features(low, starts, ends))
+                    if model.prior is not None:
+                        s[bounds[:-1][np.diff(bounds) > 0]] += model.prior
                     marginals, _ = forward_backward(s, bounds, model.transitions)
                     some = np.flatnonzero(np.diff(bounds))
                     mean[some] = np.add.reduceat(marginals, bounds[some]) / np.diff(bounds)[some, None]

@@ -312,3 +312,20 @@ def test_mixing_beats_the_unigram_base_on_held_out_text(spark):
     assert held.score.sum() > held.base_score.sum()
     known = got[~got.held_out]
     assert known.score.sum() > known.base_score.sum()
+
+
+def test_rare_languages_and_those_of_long_texts_are_learnt(spark):
+    """Each language has its share of the sample, however seldom it is and however long its texts."""
+    near = {"fi": "hyvää huomenta talossa joki virtaa hiljaa yli kivien", "pl": "dzień dobry rzeka płynie cicho przez kamienie"}
+    rows = [(i, f"the river walks over hill number{i} and bird sings", "en", "s") for i in range(3000)]
+    rows += [(5000 + i, "der alte stein liegt am fluss und der vogel singt", "de", "s") for i in range(1500)]
+    rows += [(9000 + i, f"{near['fi']} sana{i}", "fi", "s") for i in range(2)]
+    rows += [(9100 + i, f"{near['pl']} slowo{i} " * 900, "pl", "s") for i in range(2)]
+    docs = frame(spark, rows)
+    model = crf_langid.train(docs, rows=40)
+    assert model.languages == ["de", "en", "fi", "pl"]
+    assert model.languages[model.prior.argmax()] == "de" and np.isfinite(model.prior).all()
+    asked = [(1, near["fi"], None, None), (2, near["pl"], None, None), (3, "the hill and the river sings", None, None),
+             (4, "der vogel am fluss", None, None)]
+    got = {r.doc_id: r.lang_pred for r in crf_langid.identify(frame(spark, asked), model).collect()}
+    assert got == {1: "fi", 2: "pl", 3: "en", 4: "de"}
