@@ -60,7 +60,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of power-of-two lengths, each a sequence of its own."""
-    return pow2_packing.pack(docs)
+    return pow2_packing.pack(docs, special_tokens=pow2_packing.SPECIAL_TOKENS)
 
 
 STAGES = [

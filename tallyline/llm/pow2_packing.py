@@ -19,9 +19,11 @@ from tallyline.llm import words as wd
 LENGTH = 1024
 END_ID = 0
 VOCABULARY = "byte_bpe_50k.tiktoken"
+# The added tokens of the same vocabulary's tokenizer, which maps their strings in a text to them.
+SPECIAL_TOKENS = {"<|endoftext|>": 50256}
 
 
-def _encoding(path: str | None):
+def _encoding(path: str | None, special: dict[str, int]):
     """The byte-level BPE, loaded once per Python worker. ``path``: its file of ranks."""
 
     def load():
@@ -31,9 +33,9 @@ def _encoding(path: str | None):
         with open(path or public_tokenizers.path(VOCABULARY), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         return tiktoken.Encoding(
-            "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+            "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
-    return wd.per_worker(("encoding", path), load)
+    return wd.per_worker(("encoding", path, tuple(special.items())), load)
 
 
 def piece_lengths(n: int, longest: int) -> list[int]:
@@ -46,9 +48,9 @@ def piece_lengths(n: int, longest: int) -> list[int]:
     return out
 
 
-def _pack_task(path: str | None, longest: int, end_id: int):
+def _pack_task(path: str | None, longest: int, end_id: int, special: dict[str, int]):
     def run(batches):
-        encoding = _encoding(path)
+        encoding = _encoding(path, special)
         for batch in batches:
             ids, owner, start, length, total = [], [], [], [], []
             held = 0
@@ -66,7 +68,7 @@ def _pack_task(path: str | None, longest: int, end_id: int):
 
             for row, text in enumerate(batch.column(1)):
                 text = text.as_py() or ""
-                own = np.append(np.array(encoding.encode_ordinary(text), "<u4"), np.uint32(end_id))
+                own = np.append(np.array(encoding.encode(text, allowed_special="all"), "<u4"), np.uint32(end_id))
                 own = own.astype("<u4")
                 lengths = piece_lengths(len(own), longest)
                 ids.append(own)
@@ -87,7 +89,7 @@ def _pack_task(path: str | None, longest: int, end_id: int):
 
 def pack(
     docs: DataFrame, *, length: int = LENGTH, end_id: int = END_ID, ranks_path: str | None = None,
-    doc_id: str = "doc_id", text: str = "text",
+    special_tokens: dict[str, int] | None = None, doc_id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """One row per piece: ``doc_id, start, length, doc_tokens, ids, sequence_id, offset``.
 
@@ -95,7 +97,8 @@ def pack(
     ``end_id``. ``length`` is the bucket of the sequence: writing by it puts equal lengths
     together. ``sequence_id`` is unique, ``offset`` 0, as a piece is a whole sequence.
 
-    A NULL or empty text is the end id alone. Strings of special tokens are ordinary text.
+    A NULL or empty text is the end id alone. Strings of ``special_tokens`` in a text become their
+    ids, as the tokenizer does with ``SPECIAL_TOKENS``; without, they are ordinary text.
     Repeated rows are packed each; a NULL ``doc_id`` stays NULL; other columns are ignored.
     ``ranks_path`` names the vocabulary's ranks on the executors.
     """
@@ -103,7 +106,7 @@ def pack(
         raise ValueError("length must be a power of two")
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     pieces = docs.mapInArrow(
-        _pack_task(ranks_path, length, end_id),
+        _pack_task(ranks_path, length, end_id, special_tokens or {}),
         "doc_id long, start long, length long, doc_tokens long, ids binary")
     return pieces.withColumns({
         "sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})

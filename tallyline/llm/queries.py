@@ -94,7 +94,9 @@ def op8_diagonal_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_power_of_two_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Pieces of all documents, each a sequence of a power of two of ids."""
-    return pow2_packing.pack(_documents(spark, folder), length=1024).select(
+    out = pow2_packing.pack(
+        _documents(spark, folder), length=1024, special_tokens=pow2_packing.SPECIAL_TOKENS)
+    return out.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
         "sequence_id", "offset")
 

@@ -166,3 +166,26 @@ def test_packing_round_trip(spark):
     assert len({r.sequence_id for r in got}) == len(got)
     assert pow2_packing.pack(frame(spark, [])).collect() == []
     assert pow2_packing.piece_lengths(2049 + 6, 1024) == [1024, 1024, 4, 2, 1]
+
+
+def test_packing_queries_keep_special_tokens(spark, tmp_path):
+    """The query and the stage give the ids of the tokenizer at its default settings."""
+    import zlib
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+    from tallyline.llm import queries
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["end <|endoftext|>begin", "<|endoftext|><|endoftext|>", "a <|endoftext|> b\n", "<|endoftext|", "plain", None]
+    frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)]).write.parquet(f"{tmp_path}/documents.parquet")
+    ids = {i: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
+    assert 50256 in ids[0] and 50256 not in ids[3]
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for r in queries.op9_power_of_two_packing(spark, str(tmp_path)).collect():
+        own = np.array(ids[r.doc_id][r.start: r.start + r.length], "<u4")
+        assert r.doc_tokens == len(ids[r.doc_id]) and r.ids_crc32 == zlib.crc32(own.tobytes())
+    for r in corpus_pipeline.packed(spark, docs, str(tmp_path)).collect():
+        assert np.frombuffer(r.ids, "<u4").tolist() == ids[r.doc_id][r.start: r.start + r.length]
