@@ -18,7 +18,8 @@ BOILERPLATE = (
     "subscribe to our", "follow us on", "click here", "read more", "powered by", "back to top",
     "licensed under", "released under the", "skip to content",
 )
-SENTENCE_END = r"[.!?…。！？:;][\"'”’»)\]]*(?:\s|$)"
+# Also danda and double danda, Arabic question mark, Urdu, Ethiopic and Myanmar full stops.
+SENTENCE_END = r"[.!?…。！？:;\u0964\u0965\u061F\u06D4\u1362\u104B][\"'”’»)\]]*(?:\s|$)"
 MARKS = r"[^!-/:-@\[-`{-~]+"
 SEPARATORS = r"(?:^|\s)[|>»·•/–-](?=\s|$)"
 

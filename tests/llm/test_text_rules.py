@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 from helpers import edge_texts, frame, sentence
+from pyspark.sql import functions as F
 
 from tallyline.llm import diagonal_scan, line_rules
 
@@ -127,3 +128,13 @@ def test_licenses_that_differ_in_a_deciding_word(spark):
     got = {r.doc_id: r.labels for r in diagonal_scan.scan_licenses(frame(spark, rows)).collect()}
     assert got.pop(None) == "gpl,gpl-3.0"
     assert [got[i] for i in range(2 * len(notices))] == [label for _, label in notices] * 2
+
+
+def test_sentences_of_other_scripts_end(spark):
+    """A line of five words ends with the mark of its script; without one it fails."""
+    marks = "\u0964\u0965\u061F\u06D4\u1362\u104B"
+    line = "नदी आज धीरे धीरे बहती है"
+    got = line_rules.line_failure
+    rows = [(line + m,) for m in marks] + [(line + "\u0964\u201D",), (line + " ",)]
+    found = [r.f for r in spark.createDataFrame(rows, "x string").select(got(F.col("x")).alias("f")).collect()]
+    assert found == [None] * 7 + ["punctuation"]
