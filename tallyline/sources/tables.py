@@ -5,12 +5,20 @@ from __future__ import annotations
 import datetime as dt
 import tempfile
 import uuid
-from collections.abc import Mapping, Sequence
+import weakref
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyline.sources import files
+
+_staged_paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+_scope: ContextVar[list[str] | None] = ContextVar("staging_scope", default=None)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir`` of the session.
@@ -19,9 +27,10 @@ def shared_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
+    local = context.master.split("[")[0] == "local"
     if folder:
         return folder.rstrip("/")
-    if context.master.startswith("local"):
+    if local:
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyline-"))
         return context.getCheckpointDir()
@@ -41,8 +50,36 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     stay shuffled joins (with adaptive skew handling) when the aggregate is large.
     """
     path = new_path(df.sparkSession, name)
+    if (owned := _scope.get()) is not None:
+        owned.append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    _staged_paths[staged] = path
+    return staged
+
+
+def drop_staged(df: DataFrame) -> None:
+    """Remove the files behind a frame of ``stage_table`` that nothing reads any more."""
+    path = _staged_paths.pop(df, None)
+    if path is not None:
+        files.remove(df.sparkSession, path)
+
+
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Owns the tables staged inside and removes them at the end, also after a failure.
+
+    What the block returns must have been written by then: a lazy frame over a staged table is
+    of no use outside.
+    """
+    owned: list[str] = []
+    token = _scope.set(owned)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in owned:
+            files.remove(spark, path)
 
 
 def full_refresh(df: DataFrame, path: str) -> DataFrame:
