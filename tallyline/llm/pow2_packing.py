@@ -7,37 +7,19 @@ bucket, so no sequence crosses documents and none needs padding.
 
 from __future__ import annotations
 
-import base64
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm import words as wd
+from tallyline.llm import bpe
 
 LENGTH = 1024
 END_ID = 0
-VOCABULARY = "byte_bpe_50k.tiktoken"
 # The added tokens of the same vocabulary's tokenizer, which maps their strings in a text to them.
 SPECIAL_TOKENS = {"<|endoftext|>": 50256}
 
 
-def _encoding(path: str | None, special: dict[str, int]):
-    """The byte-level BPE, loaded once per Python worker. ``path``: its file of ranks."""
-
-    def load():
-        import public_tokenizers
-        import tiktoken
-
-        with open(path or public_tokenizers.path(VOCABULARY), "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        return tiktoken.Encoding(
-            "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
-
-    return wd.per_worker(("encoding", path, tuple(special.items())), load)
-
-
 def piece_lengths(n: int, longest: int) -> list[int]:
     """``n`` as a sum of powers of two of at most ``longest``, in falling order."""
     out = [longest] * (n // longest)
@@ -50,7 +32,7 @@ def piece_lengths(n: int, longest: int) -> list[int]:
 
 def _pack_task(path: str | None, longest: int, end_id: int, special: dict[str, int]):
     def run(batches):
-        encoding = _encoding(path, special)
+        encoding = bpe.loaded(path, special)
         for batch in batches:
             ids, owner, start, length, total = [], [], [], [], []
             held = 0
@@ -68,7 +50,7 @@ def _pack_task(path: str | None, longest: int, end_id: int, special: dict[str, i
 
             for row, text in enumerate(batch.column(1)):
                 text = text.as_py() or ""
-                own = np.append(np.array(encoding.encode(text, allowed_special="all"), "<u4"), np.uint32(end_id))
+                own = np.append(np.array(encoding.encode(text), "<u4"), np.uint32(end_id))
                 own = own.astype("<u4")
                 lengths = piece_lengths(len(own), longest)
                 ids.append(own)
@@ -98,7 +80,8 @@ def pack(
     together. ``sequence_id`` is unique, ``offset`` 0, as a piece is a whole sequence.
 
     A NULL or empty text is the end id alone. Strings of ``special_tokens`` in a text become their
-    ids, as the tokenizer does with ``SPECIAL_TOKENS``; without, they are ordinary text.
+    ids, as the tokenizer does with ``SPECIAL_TOKENS``; without, they are ordinary text. Texts with
+    very long runs of white space are encoded by the slower library (``bpe``), to the same ids.
     Repeated rows are packed each; a NULL ``doc_id`` stays NULL; other columns are ignored.
     ``ranks_path`` names the vocabulary's ranks on the executors.
     """

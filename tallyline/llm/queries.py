@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 
 from tallyline.llm import (
     apportion,
+    ball_codes,
+    chat_format,
     crf_langid,
     diagonal_scan,
     differencing,
@@ -16,8 +19,10 @@ from tallyline.llm import (
     line_rules,
     metric_join,
     mixing_lm,
+    oracles,
     parity_join,
     pow2_packing,
+    veb_merkle,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,6 +114,26 @@ def op10_crf_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", _held_out(4, 2).alias("held_out"), "lang_pred", "score")
 
 
+def op11_veb_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Proofs of all documents; in a fifth of them the text is found lower-cased."""
+    found = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    found = F.when(F.coalesce(_id_rest(5) == 0, F.lit(False)), found).otherwise(F.col("text"))
+    return veb_merkle.verify(veb_merkle.build(_documents(spark, folder), claimed_text=found))
+
+
+def op12_token_level_chats(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations and a probe, formatted, and read back from the ids."""
+    rows = spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(chat_format.control_probe(spark))
+    return chat_format.read_back(chat_format.format_chats(rows), in_order=True)
+
+
+def op13_ball_k_means_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Codes of all embeddings, four parts of one byte."""
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet")
+    return ball_codes.code_report(ball_codes.fit_codes(rows))
+
+
 for _make in (
     op1_parity_jaccard_join,
     op2_karmarkar_karp_shards,
@@ -120,5 +145,12 @@ for _make in (
     op8_diagonal_license_scan,
     op9_power_of_two_packing,
     op10_crf_language_id,
+    op11_veb_merkle_manifest,
+    op12_token_level_chats,
+    op13_ball_k_means_codes,
 ):
     QUERIES[_make.__name__] = _make
+
+ORACLES["op11_veb_merkle_manifest"] = oracles.merkle()
+ORACLES["op12_token_level_chats"] = oracles.chats()
+ORACLES["op13_ball_k_means_codes"] = oracles.codes()
