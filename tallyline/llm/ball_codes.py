@@ -304,7 +304,8 @@ def fit_codes(
     named = kept.where("id is not null").orderBy("id", "v")
     first = named.limit(entries).collect() or kept.orderBy("v").limit(1).collect()
     width = len(first[0].v) if first else 0
-    start = _whole(np.array([r.v for r in first if len(r.v) == width]).reshape(-1, width), scale)
+    whole = [r.v for r in first if len(r.v) == width]
+    start = _whole(np.array(whole, np.float64).reshape(len(whole), width), scale)
     bounds = part_bounds(width, parts)
     books = [start[:, bounds[p]: bounds[p + 1]] for p in range(parts)]
 
