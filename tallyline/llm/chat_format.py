@@ -206,22 +206,25 @@ def format_chats(conversations: DataFrame, *, ranks_path: str | None = None) ->
 
 # ---- reading back -------------------------------------------------------------------------
 
-def read_turns(ids: np.ndarray, encoder: bpe.ByteBPE) -> list[tuple[str, str]]:
-    """Roles and texts, from the ids alone."""
-    marks = np.flatnonzero(ids >= FIRST_RESERVED)
-    names = [_MARK_OF[int(i)] for i in ids[marks]]
+def segments(ids: np.ndarray, encoder: bpe.ByteBPE) -> list[tuple[str, str]]:
+    """Each reserved id's control string and the text up to the next one, still escaped."""
+    marks = np.flatnonzero(ids >= FIRST_RESERVED).tolist()
+    ends = [*marks[1:], len(ids)]
+    return [(_MARK_OF[int(ids[a])], encoder.decode(ids[a + 1: b].tolist()) if a + 1 < b else "")
+            for a, b in zip(marks, ends)]
+
+
+def turns_of(parts: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """Roles and texts of control strings and what follows them."""
     role_of = {open_: role for role, (open_, _) in TURN_MARKS.items()}
     out, role = [], None
-    for j, name in enumerate(names):
-        if name == BEGIN or j + 1 == len(names):
-            continue
-        segment = ids[marks[j] + 1: marks[j + 1]]
-        if name in role_of:
-            out.append((role_of[name], unescape(encoder.decode(segment.tolist()))))
-        elif name == OTHER_ROLE:
-            role = unescape(encoder.decode(segment.tolist()))
-        elif name == ROLE_END:
-            out.append((role, unescape(encoder.decode(segment.tolist()))))
+    for mark, said in parts:
+        if mark in role_of:
+            out.append((role_of[mark], unescape(said)))
+        elif mark == OTHER_ROLE:
+            role = unescape(said)
+        elif mark == ROLE_END:
+            out.append((role, unescape(said)))
     return out
 
 
@@ -234,26 +237,13 @@ def read_learnt(ids: np.ndarray, mask: np.ndarray, encoder: bpe.ByteBPE) -> list
 
 def render(ids: np.ndarray, encoder: bpe.ByteBPE) -> str:
     """The formatted text, with control strings and escaped texts."""
-    out, at = [], 0
-    for mark in np.flatnonzero(ids >= FIRST_RESERVED).tolist():
-        out += [encoder.decode(ids[at:mark].tolist()), _MARK_OF[int(ids[mark])]]
-        at = mark + 1
-    return "".join([*out, encoder.decode(ids[at:].tolist())])
+    return "".join(x for part in segments(ids, encoder) for x in part)
 
 
 def parse_rendered(text: str) -> list[tuple[str, str]]:
     """Roles and texts from the rendered text alone."""
     parts = re.split("(" + "|".join(re.escape(m) for m in CONTROL) + ")", text)
-    role_of = {open_: role for role, (open_, _) in TURN_MARKS.items()}
-    out, role = [], None
-    for mark, said in zip(parts[1::2], parts[2::2]):
-        if mark in role_of:
-            out.append((role_of[mark], unescape(said)))
-        elif mark == OTHER_ROLE:
-            role = unescape(said)
-        elif mark == ROLE_END:
-            out.append((role, unescape(said)))
-    return out
+    return turns_of(list(zip(parts[1::2], parts[2::2])))
 
 
 _DIGEST = (
@@ -286,13 +276,14 @@ def _digest_task(ranks_path: str | None):
                     close()
                     now = [conv.as_py(), 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
                 ids = np.frombuffer(data.as_py(), "<u4")
-                for role, text in read_turns(ids, encoder):
+                parts = segments(ids, encoder)
+                for role, text in turns_of(parts):
                     now[1] += 1
                     now[2].update(f"{role}\n{text}\n".encode())
                 for text in read_learnt(ids, np.frombuffer(mask.as_py(), np.uint8), encoder):
                     now[3] += len(text)
                     now[4].update(text.encode())
-                now[5] += len(render(ids, encoder))
+                now[5] += sum(len(x) for part in parts for x in part)
                 if len(out) >= 10_000:
                     yield batch_of(out)
                     out.clear()
