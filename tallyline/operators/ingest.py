@@ -126,15 +126,22 @@ def fixed_cost(c: Column) -> Column:
     return F.coalesce(c, F.lit(0))
 
 
+# Repairs of values that do not justify a reject, by column.
+REPAIRS = {"discount_pct": fixed_discount, "units_sold": fixed_units, "cost": fixed_cost}
+
+
 def repair(df: DataFrame) -> DataFrame:
     """Mend what does not justify a reject, and round money to two places."""
-    fixes = {
-        "discount_pct": lambda c: fixed_discount(c).cast(PERCENT),
-        "units_sold": fixed_units,
-        "cost": lambda c: fixed_cost(c).cast(MONEY),
-        "unit_price": lambda c: c.cast(PRICE),
-        "revenue": lambda c: c.cast(MONEY),
-    }
+    places = {"discount_pct": PERCENT, "cost": MONEY, "unit_price": PRICE, "revenue": MONEY}
+
+    def fixed(name: str):
+        def fix(c: Column) -> Column:
+            mended = REPAIRS[name](c) if name in REPAIRS else c
+            return mended.cast(places[name]) if name in places else mended
+
+        return fix
+
+    fixes = {name: fixed(name) for name in (*REPAIRS, "unit_price", "revenue")}
     return df.withColumns({n: fixes[n](F.col(n)) for n in _present(df, fixes)})
 
 
@@ -143,20 +150,23 @@ def strip_text(df: DataFrame) -> DataFrame:
     return df.withColumns({c: strip(F.col(c)) for c in _present(df, TEXT_COLUMNS)})
 
 
+# Columns with canonical spellings: where they are listed, and whether others are title-cased.
+STANDARDISED = {
+    "region": ("regions", True), "channel": ("channels", True),
+    "customer_segment": ("segments", False),
+}
+
+
+def standard_spelling(name: str, domains: Domains) -> Column:
+    listed, recase = STANDARDISED[name]
+    unknown = title_case(strip(F.col(name))) if recase else None
+    return canonical(F.col(name), getattr(domains, listed), unknown)
+
+
 def standardise(df: DataFrame, domains: Domains = Domains()) -> DataFrame:
     """Canonical region, channel and segment; an unknown region or channel is title-cased,
     an unknown segment only trimmed."""
-    rules = {
-        "region": (domains.regions, True),
-        "channel": (domains.channels, True),
-        "customer_segment": (domains.segments, False),
-    }
-    out = {}
-    for name in _present(df, rules):
-        values, recase = rules[name]
-        unknown = title_case(strip(F.col(name))) if recase else None
-        out[name] = canonical(F.col(name), values, unknown)
-    return df.withColumns(out)
+    return df.withColumns({n: standard_spelling(n, domains) for n in _present(df, STANDARDISED)})
 
 
 def add_lineage(

@@ -9,8 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline.functions.numbers import percent
-from tallyline.functions.text import canonical, strip
-from tallyline.operators.ingest import is_accepted
+from tallyline.functions.text import strip
+from tallyline.operators.ingest import (
+    REPAIRS,
+    STANDARDISED,
+    is_accepted,
+    reject_tests,
+    standard_spelling,
+)
 from tallyline.schemas import SALES_CHECKS, ColumnCheck
 from tallyline.settings import Domains
 
@@ -114,63 +120,40 @@ def completeness(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def validation_results(parsed: DataFrame, domains: Domains = Domains()) -> DataFrame:
-    """``(check_name, rows_affected, action_taken, result)`` for twelve checks.
+    """``(check_name, rows_affected, action_taken, result)``: what the load does to its rows.
 
-    Nothing affected is PASS, rejected (or kept but wrong) rows are WARN, repaired rows are
-    FIXED. A categorical check is WARN when casing alone cannot mend every value.
+    One line per reject reason and one per repaired or re-spelt column, taken from the load's own
+    rules, so a rule added there shows here. Repairs count on accepted rows, where the value that
+    the rule gives differs (rounding aside). A column is ``UNKNOWN VALUES`` when some of its
+    values have no canonical spelling. A CLEAN line concerns no row.
     """
-    tid, discount = F.col("transaction_id"), F.col("discount_pct")
-
-    def off(name: str, values: tuple[str, ...], beyond_repair: bool) -> Column:
-        c = F.col(name)
-        c = canonical(c, values) if beyond_repair else c
-        return F.count_if(~c.isin(*values))
-
-    def lacking(name: str) -> Column:
-        return F.count_if(F.col(name).isNull())
-
-    # First what the load repairs, then what it only reports, then what it rejects.
-    checks: dict[str, tuple[Column, str, str]] = {
-        "region outside its list": (
-            off("region", domains.regions, False), "spelling made canonical", "FIXED"),
-        "channel outside its list": (
-            off("channel", domains.channels, False), "spelling made canonical", "FIXED"),
-        "units under one": (F.count_if(F.col("units_sold") <= 0), "set to one", "FIXED"),
-        "cost without a value": (lacking("cost"), "set to zero", "FIXED"),
-        "discount under zero": (F.count_if(discount < 0), "set to zero", "FIXED"),
-        "discount over the limit": (F.count_if(discount > 100), "set to the limit", "FIXED"),
-        "id seen before": (
-            F.count(tid) - F.countDistinct(tid), "later copies left out", "FIXED"),
-        "cost under zero": (F.count_if(F.col("cost") < 0), "loaded as it is", "WARN"),
-        "revenue under zero": (F.count_if(F.col("revenue") < 0), "not loaded", "WARN"),
-        "revenue without a value": (lacking("revenue"), "not loaded", "WARN"),
-        "date without a value": (lacking("record_date"), "not loaded", "WARN"),
-        "id without a value": (
-            F.count_if(tid.isNull() | (strip(tid) == "")), "not loaded", "WARN"),
-    }
-    beyond = {
-        "region outside its list": off("region", domains.regions, True),
-        "channel outside its list": off("channel", domains.channels, True),
-    }
+    good = is_accepted(parsed)
+    lines: dict[str, tuple[Column, str, Column]] = {}
+
+    def add(name: str, rows: Column, action: str, result: Column) -> None:
+        lines[name] = (F.count_if(rows), action, result)
+
+    for reason, test in reject_tests(parsed).items():
+        add(f"reject {reason}", test, "row rejected", F.lit("REJECTED"))
+    for column, fix in REPAIRS.items():
+        c = F.col(column)
+        add(f"repair {column}", good & ~fix(c).eqNullSafe(c), "value replaced", F.lit("REPAIRED"))
+    unknown = {}
+    for column, (listed, _) in STANDARDISED.items():
+        spelt, c = standard_spelling(column, domains), F.col(column)
+        left = F.col(f"unknown {column}") > 0
+        unknown[f"unknown {column}"] = F.count_if(good & ~spelt.isin(*getattr(domains, listed)))
+        add(f"repair {column}", good & ~spelt.eqNullSafe(c), "spelling replaced",
+            F.when(left, "UNKNOWN VALUES").otherwise("REPAIRED"))
     row = parsed.agg(
-        *(c.alias(n) for n, (c, _, _) in checks.items()),
-        *(c.alias(f"{n}_LEFT") for n, c in beyond.items()),
-    )
-
-    def entry(name: str, action: str, verdict: str) -> Column:
-        n = F.col(name)
-        found = F.lit(verdict)
-        if name in beyond:
-            found = F.when(F.col(f"{name}_LEFT") > 0, "WARN").otherwise(verdict)
-        return F.struct(
-            F.lit(name).alias("check_name"),
-            n.alias("rows_affected"),
+        *(rows.alias(name) for name, (rows, _, _) in lines.items()),
+        *(rows.alias(name) for name, rows in unknown.items()))
+    return row.select(F.inline(F.array(*(
+        F.struct(
+            F.lit(name).alias("check_name"), F.col(name).alias("rows_affected"),
             F.lit(action).alias("action_taken"),
-            F.when(n == 0, "PASS").otherwise(found).alias("result"),
-        )
-
-    entries = F.array(*(entry(n, a, v) for n, (_, a, v) in checks.items()))
-    return row.select(F.inline(entries))
+            F.when(F.col(name) == 0, "CLEAN").otherwise(result).alias("result"))
+        for name, (_, action, result) in lines.items()))))
 
 
 def quality_score(counts: DataFrame, threshold: float = 98.0) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from tallyline.operators import ingest, marts, quality
 from tallyline.registry.base import Inputs, query
-from tallyline.registry.sql import CHANNELS, REGIONS, SEGMENTS, in_list, pct, sql
+from tallyline.registry.sql import CHANNELS, REGIONS, SEGMENTS, _canonical, in_list, pct, sql
 from tallyline.schemas import SALES_CHECKS, TABLE_KEYS
 from tallyline.sources.warehouse import TEST_DOMAINS
 
@@ -141,37 +141,48 @@ def dq_completeness(src: Inputs) -> DataFrame:
     return quality.completeness(src.parsed(), PROFILE_COLUMNS)
 
 
-def _result(name: str, agg: str, action: str, verdict: str, left: str = "0") -> str:
+def _line(name: str, rows: str, action: str, result: str) -> str:
     return f"""SELECT '{name}' AS check_name, n AS rows_affected, '{action}' AS action_taken,
-        CASE WHEN n = 0 THEN 'PASS' WHEN left_over > 0 THEN 'WARN' ELSE '{verdict}' END AS result
-        FROM (SELECT {agg} AS n, {left} AS left_over FROM parsed)"""
+        CASE WHEN n = 0 THEN 'CLEAN' ELSE {result} END AS result FROM (SELECT count_if({rows}) AS n FROM tagged)"""
 
 
-def _beyond(column: str, values: tuple[str, ...]) -> str:
-    low = in_list(v.lower() for v in values)
-    return f"count_if(lower(trim({column})) NOT IN {low})"
+def _rejected(reason: str, test: str) -> str:
+    return _line(f"reject {reason}", test, "row rejected", "'REJECTED'")
+
+
+def _repaired(column: str, fixed: str) -> str:
+    return _line(f"repair {column}", f"NOT is_bad AND ({fixed}) IS DISTINCT FROM {column}",
+                 "value replaced", "'REPAIRED'")
+
+
+def _respelt(column: str, values: tuple[str, ...]) -> str:
+    spelt = _canonical(column, values)
+    unknown = f"SELECT count_if(NOT is_bad AND {spelt} NOT IN {in_list(values)}) > 0 FROM tagged"
+    return _line(f"repair {column}", f"NOT is_bad AND {spelt} IS DISTINCT FROM {column}",
+                 "spelling replaced", f"CASE WHEN ({unknown}) THEN 'UNKNOWN VALUES' ELSE 'REPAIRED' END")
+
+
+def _unfit(column: str, limit: int) -> str:
+    return _rejected(f"OUT_OF_RANGE_{column.upper()}", f"abs({column}) >= {limit}")
 
 
 @query(
     "dq_validation_results",
     sql("\nUNION ALL ".join((
-        _result("region outside its list", f"count_if(region NOT IN {in_list(REGIONS)})",
-                "spelling made canonical", "FIXED", _beyond("region", REGIONS)),
-        _result("channel outside its list", f"count_if(channel NOT IN {in_list(CHANNELS)})",
-                "spelling made canonical", "FIXED", _beyond("channel", CHANNELS)),
-        _result("units under one", CHECKS["ZERO_UNITS"], "set to one", "FIXED"),
-        _result("cost without a value", "count_if(cost IS NULL)", "set to zero", "FIXED"),
-        _result("discount under zero", "count_if(discount_pct < 0)", "set to zero", "FIXED"),
-        _result("discount over the limit", "count_if(discount_pct > 100)", "set to the limit",
-                "FIXED"),
-        _result("id seen before", "count(transaction_id) - count(DISTINCT transaction_id)",
-                "later copies left out", "FIXED"),
-        _result("cost under zero", CHECKS["NEGATIVE_COST"], "loaded as it is", "WARN"),
-        _result("revenue under zero", CHECKS["NEGATIVE_REVENUE"], "not loaded", "WARN"),
-        _result("revenue without a value", CHECKS["NULL_REVENUE"], "not loaded", "WARN"),
-        _result("date without a value", CHECKS["NULL_RECORD_DATE"], "not loaded", "WARN"),
-        _result("id without a value", CHECKS["NULL_TRANSACTION_ID"], "not loaded", "WARN"),
-    )), "parsed"),
+        _rejected("NULL_TRANSACTION_ID", "transaction_id IS NULL"),
+        _rejected("BLANK_TRANSACTION_ID", "trim(transaction_id) = ''"),
+        _rejected("NULL_DATE", "date IS NULL"),
+        _rejected("INVALID_DATE", "date IS NOT NULL AND record_date IS NULL"),
+        _rejected("NULL_REVENUE", "revenue IS NULL"),
+        _rejected("NEGATIVE_REVENUE", "revenue < 0"),
+        _unfit("units_sold", 2 ** 31), _unfit("unit_price", 10 ** 10),
+        _unfit("revenue", 10 ** 12), _unfit("cost", 10 ** 12),
+        _repaired("discount_pct", "coalesce(least(greatest(discount_pct, 0), 100), 0)"),
+        _repaired("units_sold", "trunc(greatest(coalesce(units_sold, 1), 1))"),
+        _repaired("cost", "coalesce(cost, 0)"),
+        _respelt("region", REGIONS), _respelt("channel", CHANNELS),
+        _respelt("customer_segment", SEGMENTS),
+    )), "tagged"),
 )
 def dq_validation_results(src: Inputs) -> DataFrame:
     return quality.validation_results(src.parsed("customer", "part"), TEST_DOMAINS)

@@ -63,7 +63,7 @@ def src_required_columns(src: Inputs) -> DataFrame:
 
 @query(
     "src_operational_by_date",
-    sql(f"""SELECT record_date, entity_id, metric_name, metric_value, source_system
+    sql(f"""SELECT record_date, entity_id, metric_name, metric_value, source_system, staging_id
         FROM op_metrics WHERE record_date = DATE '{DAY}'""", "op_metrics"),
 )
 def src_operational_by_date(src: Inputs) -> DataFrame:

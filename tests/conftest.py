@@ -22,14 +22,17 @@ def spark():
     session.stop()
 
 
-GOOD_ROWS = [
-    ("R-000101", "2021-02-09", "Desk lamp", "Lighting", "North", "Ines Duarte", "K-7001",
-     "Enterprise", "Direct", "4", "75.0", "300.0", "120.0", "0.0"),
-    ("R-000102", "2021-05-17", "Ledger plan", "Subscriptions", "East", "Omar Haddad", "K-7002",
-     "SMB", "Partner", "3", "420.0", "1260.0", "315.0", "0.0"),
-    ("R-000103", "2021-09-02", "Forklift", "Machinery", "West", "Petra Novak", "K-7003",
-     "Enterprise", "Online", "1", "12400.0", "12400.0", "7700.0", "0.0"),
-]
+# Accepted without a repair: what a rule needs is changed in one column at a time.
+PLAIN = dict(
+    transaction_id="P-1", date="2019-10-05", product_name="Gravel", product_category="Bulk",
+    region="West", sales_rep="Q. Ferro", customer_id="c/77", customer_segment="Consumer",
+    channel="Partner", units_sold="12", unit_price="3.5", revenue="42", cost="40.25",
+    discount_pct="1.5")
+VARIANTS = (
+    {}, {"transaction_id": "P-2", "units_sold": "1", "discount_pct": "0"},
+    {"transaction_id": "P-3", "cost": "0", "revenue": "0", "region": "International"},
+)
+GOOD_ROWS = [tuple((PLAIN | v)[c] for c in RAW_SALES.fieldNames()) for v in VARIANTS]
 
 
 def raw_row(**changes):
@@ -55,21 +58,25 @@ STAGED_COLUMNS = (
     "channel string, units_sold int, unit_price decimal(12,2), revenue decimal(14,2), "
     "cost decimal(14,2), discount_pct decimal(6,2)"
 )
-SEVEN = [
-    ("R-1", "2021-02-09", "Desk lamp", "Lighting", "North", "Ines", "K1", "Enterprise",
-     "Direct", 4, "75", "300", "120", "0"),
-    ("R-2", "2021-05-17", "Ledger plan", "Subscriptions", "East", "Omar", "K2", "SMB",
-     "Partner", 3, "420", "1260", "315", "0"),
-    ("R-3", "2021-09-02", "Forklift", "Machinery", "West", "Petra", "K3", "Enterprise",
-     "Online", 1, "12400", "12400", "7700", "0"),
-    ("R-4", "2021-02-20", "Audit", "Consulting", "South", "Lena", "K4", "Enterprise",
-     "Direct", 2, "2100", "4200", "1500", "5"),
-    ("R-5", "2022-04-11", "Ledger plus", "Subscriptions", "North", "Ines", "K1", "Enterprise",
-     "Direct", 2, "640", "1280", "256", "10"),
-    ("R-6", "2022-04-25", "Desk fan", "Lighting", "International", "Timo", "K5", "Consumer",
-     "Online", 6, "35", "210", "90", "0"),
-    ("R-7", "2022-06-30", "Workshop", "Consulting", "East", "Yara", "K6", "SMB",
-     "Partner", 1, "700", "350", "500", "0"),
+# One staged row per rule: first and last days of a year and a quarter, a leap day, a loss, a row
+# without revenue, one that breaks even, a discount, a tie of two products, a month before a gap.
+SALES = [
+    ("first-day", "2019-01-01", "Paper", "Office", "North", "Ann", "C1", "SMB", "Online",
+     4, "25", "100", "60", "0"),
+    ("same-month", "2019-01-31", "Ink", "Office", "South", "Bo", "C2", "SMB", "Partner",
+     1, "250", "250", "100", "0"),
+    ("loss", "2019-03-31", "Paper", "Office", "North", "Cy", "C3", "SMB", "Partner",
+     2, "25", "50", "80", "0"),
+    ("leap-day", "2020-02-29", "Chair", "Rooms", "West", "Ann", "C1", "Enterprise", "Direct",
+     3, "300", "900", "300", "20"),
+    ("product-again", "2020-02-01", "Chair", "Rooms", "West", "Bo", "C4", "Enterprise", "Online",
+     1, "300", "300", "100", "0"),
+    ("free", "2020-06-30", "Sample", "Office", "East", "Cy", "C5", "Consumer", "Online",
+     1, "0", "0", "5", "0"),
+    ("break-even", "2020-12-31", "Desk", "Rooms", "International", "Dee", "C6", "Enterprise",
+     "Partner", 1, "1200", "1200", "1200", "0"),
+    ("region-again", "2020-12-01", "Ink", "Office", "South", "Bo", "C7", "SMB", "Partner",
+     1, "125", "125", "25", "0"),
 ]
 
 
@@ -86,7 +93,7 @@ def staged_frame(spark, rows):
 
 @pytest.fixture(scope="session")
 def staged(spark):
-    return staged_frame(spark, SEVEN)
+    return staged_frame(spark, SALES)
 
 
 def rows(df, *columns):

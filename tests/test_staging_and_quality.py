@@ -3,7 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from conftest import SEVEN, one, rows, staged_frame
+from conftest import SALES, one, rows, staged_frame
 from pyspark.sql import functions as F
 
 from tallyline.operators import ingest, quality, staging
@@ -60,17 +60,17 @@ def test_duplicate_count_includes_missing_ids(copies):
 
 def test_remove_invalid(spark):
     bad = [
-        (None, *SEVEN[0][1:]), (" ", *SEVEN[0][1:]), ("x", None, *SEVEN[0][2:]),
-        ("y", *SEVEN[0][1:11], None, *SEVEN[0][12:]), ("z", *SEVEN[0][1:11], "-1", *SEVEN[0][12:]),
+        (None, *SALES[0][1:]), (" ", *SALES[0][1:]), ("x", None, *SALES[0][2:]),
+        ("y", *SALES[0][1:11], None, *SALES[0][12:]), ("z", *SALES[0][1:11], "-1", *SALES[0][12:]),
     ]
-    df = staged_frame(spark, [*SEVEN, *bad])
-    assert staging.remove_invalid(df).count() == 7
+    df = staged_frame(spark, [*SALES, *bad])
+    assert staging.remove_invalid(df).count() == len(SALES)
 
 
-@pytest.mark.parametrize("policy, left", [("keep_first", 7), ("drop_all", 6)])
+@pytest.mark.parametrize("policy, left", [("keep_first", len(SALES)), ("drop_all", len(SALES) - 1)])
 def test_clean_staging(spark, policy, left):
-    again = (*SEVEN[0][:4], " NORTH", *SEVEN[0][5:])
-    df = staged_frame(spark, [*SEVEN, again, (None, *SEVEN[1][1:])])
+    again = (*SALES[0][:4], " NORTH", *SALES[0][5:])
+    df = staged_frame(spark, [*SALES, again, (None, *SALES[1][1:])])
     df = df.withColumn("loaded_at", F.lit(dt.datetime(2024, 1, 1)))
     out = clean_staging(df, Settings(dedup=policy))
     assert out.count() == left
@@ -78,7 +78,7 @@ def test_clean_staging(spark, policy, left):
 
 
 def test_check_report(spark):
-    df = staged_frame(spark, [*SEVEN, SEVEN[0]])
+    df = staged_frame(spark, [*SALES, SALES[0]])
     report = dict(rows(quality.check_report(df)))
     assert report.pop("DUPLICATE_TXN_IDS") == 1
     assert set(report.values()) == {0} and len(report) == 7
@@ -90,34 +90,39 @@ def test_report_reads_its_input_once(staged):
 
 
 def test_constraints(spark, staged):
-    checks = (ColumnCheck("product_name", max_len=5), ColumnCheck("revenue", digits=4))
+    checks = (ColumnCheck("product_name", max_len=5), ColumnCheck("revenue", digits=3))
     found = dict(rows(quality.constraint_violations(staged, checks)))
     assert found == {
-        "product_name:not_null": 0, "product_name:max_len_5": 6,
-        "revenue:not_null": 0, "revenue:digits_4": 1,
+        "product_name:not_null": 0, "product_name:max_len_5": 1,
+        "revenue:not_null": 0, "revenue:digits_3": 1,
     }
 
 
 def test_repeated_keys(staged):
-    assert rows(quality.repeated_keys(staged, ["customer_id"])) == [("K1", 2)]
+    assert rows(quality.repeated_keys(staged, ["customer_id"])) == [("C1", 2)]
 
 
 def test_validation_results(raw):
     parsed = ingest.parse(raw(
-        {}, {"discount_pct": "101"}, {"discount_pct": "-1"}, {"cost": "-5"},
-        {"region": "NORTH"}, {"channel": "Fax"}, {"transaction_id": None},
+        {}, {"discount_pct": "101"}, {"discount_pct": "-1", "units_sold": "2.5"}, {"cost": None},
+        {"region": " WEST"}, {"channel": "fax"}, {"transaction_id": None, "cost": None},
+        {"revenue": "-1", "date": None}, {"customer_segment": "consumer"}, {"cost": "40.254"},
     ))
-    result = {r.check_name: (r.rows_affected, r.result)
-              for r in quality.validation_results(parsed).collect()}
-    assert len(result) == 12
-    assert result["id without a value"] == (1, "WARN")
-    assert result["discount over the limit"] == (1, "FIXED")
-    assert result["discount under zero"] == (1, "FIXED")
-    assert result["cost under zero"] == (1, "WARN")
-    assert result["region outside its list"] == (1, "FIXED")
-    assert result["channel outside its list"] == (1, "WARN")
-    assert result["id seen before"] == (5, "FIXED")
-    assert result["revenue without a value"] == (0, "PASS")
+    found = {r.check_name: (r.rows_affected, r.action_taken, r.result)
+             for r in quality.validation_results(parsed).collect()}
+    assert set(found) == {
+        *(f"reject {name}" for name in ingest.reject_tests(parsed)),
+        *(f"repair {name}" for name in (*ingest.REPAIRS, *ingest.STANDARDISED))}
+    assert found["reject NULL_TRANSACTION_ID"] == (1, "row rejected", "REJECTED")
+    assert found["reject NEGATIVE_REVENUE"] == found["reject NULL_DATE"] == (1, "row rejected", "REJECTED")
+    assert found["reject NULL_REVENUE"] == (0, "row rejected", "CLEAN")
+    # Rejected rows are not repaired, and rounding is no repair.
+    assert found["repair cost"] == (1, "value replaced", "REPAIRED")
+    assert found["repair discount_pct"] == (2, "value replaced", "REPAIRED")
+    assert found["repair units_sold"] == (1, "value replaced", "REPAIRED")
+    assert found["repair region"] == (1, "spelling replaced", "REPAIRED")
+    assert found["repair channel"] == (1, "spelling replaced", "UNKNOWN VALUES")
+    assert found["repair customer_segment"] == (1, "spelling replaced", "REPAIRED")
 
 
 def test_profile(raw):
@@ -135,7 +140,7 @@ def test_quality_score_of_nothing_is_null(raw):
 
 def test_staging_summary(staged):
     row = one(staging.staging_summary(staged))
-    assert (row.total_rows, row.region_count, row.product_count) == (7, 5, 7)
-    assert float(row.total_revenue) == 20000.0 and float(row.avg_revenue) == 2857.14
+    assert (row.total_rows, row.region_count, row.product_count) == (8, 5, 5)
+    assert float(row.total_revenue) == 2925.0 and float(row.avg_revenue) == 365.63
     empty = one(staging.staging_summary(staged.limit(0)))
     assert (empty.total_rows, empty.total_revenue) == (0, None)
