@@ -7,15 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-STEPS_PER_DOUBLING = 32
-
-
-def _range_of(value: Column) -> Column:
-    """Number of the value range of an amount: it never falls as the amount rises."""
-    v = value.cast("double")
-    size = F.log1p(F.abs(v)) / F.log(F.lit(2.0)) * STEPS_PER_DOUBLING
-    return F.floor(F.signum(v) * size)
-
+from tallyline.sources.tables import stage_table
 
 def _same(left: Sequence[str], right: Sequence[str]) -> list[Column]:
     return [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)]
@@ -26,29 +18,33 @@ def rank_descending(
 ) -> DataFrame:
     """Add ``RANK() OVER (PARTITION BY keys ORDER BY value DESC)``.
 
-    A group is split by value range. The rank is the rank within the range plus the number
-    of rows in the ranges above, which is known from one count per range. Equal values lie
-    in the same range, so ties rank alike. ``base`` is a frame with the same keys and values that
-    is cheaper to read than ``df`` (a staged table, of which ``df`` has further columns): the
-    counts are taken from it.
+    Rows are counted per value first, so that equal values, however many, are one row. The
+    distinct values are dealt to tasks in ranges, which holds for any distribution; a value's rank
+    is one more than the rows above it in its range, and in the ranges before (one count each). The
+    ranks are then joined back. ``base`` is a frame with the same keys and values that is cheaper
+    to read than ``df`` (a staged table, of which ``df`` has further columns).
     """
-    inner = [*keys, "_range"]
-    cut = df.withColumn("_range", _range_of(F.col(value)))
-    above = Window.partitionBy(*keys).orderBy(F.desc("_range")).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    counted = cut if base is None else base.withColumn("_range", _range_of(F.col(value)))
-    counts = counted.groupBy(*inner).agg(F.count("*").alias("_n")).select(
-        *(F.col(c).alias(f"_of_{c}") for c in inner),
-        F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_above"),
-    )
-    within = F.rank().over(Window.partitionBy(*inner).orderBy(F.desc(value)))
-    return (
-        cut.withColumn("_within", within)
-        .join(counts, _same(inner, [f"_of_{c}" for c in inner]))
-        .withColumn(name, (F.col("_above") + F.col("_within")).cast("int"))
-        .select(*df.columns, name)
+    counted = (df if base is None else base).groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    order = [*(F.col(k) for k in keys), F.desc(value)]
+    dealt = counted.repartitionByRange(*order).sortWithinPartitions(*order)
+    dealt = stage_table(dealt.withColumn("_at", F.monotonically_increasing_id()), "values")
+    dealt = dealt.withColumn("_range", F.shiftright("_at", 33))
+    before = (Window.unboundedPreceding, -1)
+    right = [f"_of_{k}" for k in keys]
+    above = dealt.groupBy(*keys, "_range").agg(F.sum("_n").alias("_n")).select(
+        *(F.col(k).alias(r) for k, r in zip(keys, right)), F.col("_range").alias("_of_range"),
+        F.coalesce(F.sum("_n").over(
+            Window.partitionBy(*keys).orderBy("_range").rowsBetween(*before)), F.lit(0)).alias("_above"))
+    inside = Window.partitionBy(*keys, "_range").orderBy("_at").rowsBetween(*before)
+    ranks = (
+        dealt.withColumn("_within", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+        .join(above, _same([*keys, "_range"], [*right, "_of_range"]))
+        .select(
+            *(F.col(k).alias(f"_with_{k}") for k in keys), F.col(value).alias("_with_value"),
+            (F.col("_above") + F.col("_within") + 1).cast("int").alias(name))
     )
+    on = _same([*keys, value], [*(f"_with_{k}" for k in keys), "_with_value"])
+    return df.join(ranks, on).select(*df.columns, name)
 
 
 def with_group_total(

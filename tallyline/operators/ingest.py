@@ -192,6 +192,29 @@ def to_staging(
     return add_lineage(clean, source_system, loaded_at)
 
 
+def both_kinds(
+    parsed: DataFrame, domains: Domains = Domains(), source_system: str = "CSV_LOAD",
+    loaded_at: dt.datetime | None = None,
+) -> DataFrame:
+    """Accepted and rejected rows of one parse, told apart by ``is_rejected``.
+
+    An accepted row has its staging columns, a rejected one the struct ``rejected`` of the parsed
+    columns and ``reject_reasons``; the other kind's columns are NULL. Values of rejected rows
+    do not reach the casts, which they could break.
+    """
+    tests = reject_tests(parsed)
+    reasons = F.array_compact(F.array(*(F.when(test, name) for name, test in tests.items())))
+    told = parsed.withColumn("is_rejected", ~is_accepted(parsed))
+    bad = F.struct(*parsed.columns, reasons.alias("reject_reasons"))
+    ok = ~F.col("is_rejected")
+    names = [c for c in parsed.columns if c not in ("date", MALFORMED)]
+    cut = told.select(
+        *(F.when(ok, F.col(c)).alias(c) for c in names),
+        F.when(F.col("is_rejected"), bad).alias("rejected"), "is_rejected")
+    clean = standardise(strip_text(repair(cut)), domains)
+    return add_lineage(clean, source_system, loaded_at)
+
+
 def ingest_counts(parsed: DataFrame) -> DataFrame:
     """Rows read, loaded and rejected in one pass. ``rows_rejected_strict`` leaves out rows
     whose date is present but unreadable, which the old loader dropped without counting."""

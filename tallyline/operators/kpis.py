@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,11 +14,38 @@ from tallyline.functions.numbers import growth_pct, mean, percent, quotient, zer
 from tallyline.operators.views import prior_year, share_pct
 
 
+def in_years(years: Iterable[int], column: str = "txn_date") -> Column:
+    """The years as ranges of dates: runs of years are one range each."""
+    found, ranges = sorted(set(years)), []
+    for year in found:
+        if ranges and ranges[-1][1] == year - 1:
+            ranges[-1][1] = year
+        else:
+            ranges.append([year, year])
+    day = F.col(column)
+    return reduce(or_, (
+        (day >= F.lit(dt.date(low, 1, 1))) & (day <= F.lit(dt.date(high, 12, 31)))
+        for low, high in ranges))
+
+
+def years_of(years: Iterable[int]) -> Column:
+    """Rows of these years; of none, no rows."""
+    found = list(years)
+    return F.col("txn_year").isin(*found) if found else F.lit(False)
+
+
 def sliced(core: DataFrame, **equal) -> DataFrame:
-    """Filter by column values (one or a list each), ahead of any aggregation."""
+    """Filter by column values (one or a list each), ahead of any aggregation.
+
+    Where the fact is stored by year, a slice by ``txn_year`` prunes its partitions. Where the year
+    is computed from the date, a scan cannot use it, so the slice says the same as a range of
+    dates, which reaches the scan.
+    """
     for name, wanted in equal.items():
         values = wanted if isinstance(wanted, (list, tuple, set)) else [wanted]
         core = core.filter(F.col(name).isin(*values))
+        if name == "txn_year" and "txn_date" in core.columns and values and None not in values:
+            core = core.filter(in_years(values))
     return core
 
 
@@ -244,7 +273,7 @@ def executive_summary(annual: DataFrame) -> DataFrame:
     ).orderBy("txn_year")
 
 
-# Columns of the report tabs.
+# The published columns of the report tabs.
 REPORT_COLUMNS: Mapping[str, tuple[str, ...]] = {
     "monthly": (
         "month_label", "txn_year", "txn_month", "total_revenue", "total_gross_profit",

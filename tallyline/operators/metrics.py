@@ -9,48 +9,53 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.functions.numbers import mean
+from tallyline.sources.tables import stage_table
 
 SERIES = ("entity_id", "metric_name")
 
 
 def forward_fill(
     df: DataFrame,
-    column: str = "metric_value",
+    columns: Sequence[str] | None = None,
     keys: Sequence[str] = SERIES,
     time: str = "loaded_at",
     tie_break: Sequence[str] = (),
     chunk_seconds: int = 900,
 ) -> DataFrame:
-    """Fill NULLs with the last value of the same series, in time order.
+    """Fill NULLs with the last value of the same series, in time order, column by column.
 
-    A series is cut into time chunks, so that one series holding most of the rows is
-    spread over many tasks. Each chunk fills itself; what is still open at its start takes
-    the last value of the earlier chunks, which comes from one row per chunk.
+    ``columns`` are by default all but the keys, the time and the tie-breakers. A series is cut
+    into time chunks, so that one series holding most of the rows is spread over many tasks.
+    Each chunk fills itself; its last row then holds the last value of every column. What is still
+    open at a chunk's start takes the last values of the chunks before, carried over those last
+    rows only. The input is read and shuffled once; the filled chunks are staged.
     """
-    chunk = F.floor(F.unix_timestamp(time) / chunk_seconds).alias("_chunk")
-    cut = df.select("*", chunk)
     order = [time, *tie_break]
+    if columns is None:
+        columns = [c for c in df.columns if c not in (*keys, *order)]
+    chunk = F.floor(F.unix_timestamp(time) / chunk_seconds)
     inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
-    filled = cut.withColumn(
-        "_inner",
-        F.last(column, ignorenulls=True).over(
-            inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ),
-    )
-    position = F.when(F.col(column).isNotNull(), F.struct(*order))
-    ends = cut.groupBy(*keys, "_chunk").agg(F.max_by(column, position).alias("_end"))
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = df.withColumn("_chunk", chunk).withColumns({
+        **{c: F.last(c, ignorenulls=True).over(so_far) for c in columns},
+        "_ends": F.lead(F.lit(True), 1, False).over(inside) == F.lit(False),
+    })
+    filled = stage_table(filled, "filled")
     earlier = (
         Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     )
-    carry = ends.select(
+    carry = filled.filter("_ends").select(
         *(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)),
-        F.col("_chunk").alias("_carry_chunk"),
-        F.last("_end", ignorenulls=True).over(earlier).alias("_carry"),
-    ).filter(F.col("_carry").isNotNull())
-    on = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
-    on.append(F.col("_chunk") == F.col("_carry_chunk"))
+        F.col("_chunk").alias("_of_chunk"),
+        F.struct(*(F.last(c, ignorenulls=True).over(earlier).alias(c) for c in columns)).alias(
+            "_carry"),
+    )
+    on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    on.append(F.col("_chunk").eqNullSafe(F.col("_of_chunk")))
     joined = filled.join(carry, on, "left")
-    return joined.withColumn(column, F.coalesce("_inner", "_carry")).select(*df.columns)
+    return joined.select(*(
+        F.coalesce(F.col(c), F.col("_carry").getField(c)).alias(c) if c in columns else F.col(c)
+        for c in df.columns))
 
 
 def summarise(df: DataFrame, *more_keys: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from tallyline.functions.calendar import seconds_between
 from tallyline.functions.numbers import mean, percent, zero_if_null
 from tallyline.schemas import RUN_LOG
+from tallyline.sources import files
+from tallyline.sources.snapshots import Snapshot, StaleSnapshot, TableStore
 
 
 def _completed() -> Column:
@@ -51,6 +54,70 @@ def append(events: DataFrame, path: str) -> None:
     events.write.mode("append").parquet(path)
 
 
+# Event files that may lie about before a run merges them.
+LOOSE_FILES = 64
+
+
+def _store(spark: SparkSession, path: str) -> TableStore:
+    return TableStore(spark, f"{path}/_merged")
+
+
+def _loose(spark: SparkSession, path: str, published: Snapshot) -> list[str]:
+    """Event files that the merged table does not have."""
+    merged = published.tables.get("events")
+    done = set(merged.extra["files"]) if merged else set()
+    return [f for f in files.data_files(spark, path) if f.rsplit("/", 1)[1] not in done]
+
+
+def read(spark: SparkSession, path: str) -> DataFrame:
+    """All events: the merged ones and those written since, each once."""
+    published = _store(spark, path).snapshot()
+    loose = _loose(spark, path, published)
+    parts = [spark.read.schema(RUN_LOG).parquet(*loose)] if loose else []
+    if "events" in published.tables:
+        parts.append(published.read("events").select(*RUN_LOG.fieldNames()))
+    if not parts:
+        return spark.createDataFrame([], RUN_LOG)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def compact(spark: SparkSession, path: str, most: int = LOOSE_FILES) -> int:
+    """Merge event files once there are more than ``most``; returns how many were merged.
+
+    The merged table and the list of the files in it are published in one snapshot. The files
+    themselves go with the next merge, so that a reader who began before it still finds them. If
+    two writers merge at once, one publishes and the other leaves no trace.
+    """
+    store = _store(spark, path)
+    published = store.snapshot()
+    loose = _loose(spark, path, published)
+    if len(loose) <= most:
+        return 0
+    txn = store.begin()
+    if txn.base.version != published.version:
+        return 0
+    # The table grows by one file per merge; now and then it is made one again.
+    before = published.tables.get("events")
+    grown = before is not None and sum(map(len, before.folders.values())) >= most
+    # Files of the last merge are still there until this one is published.
+    there = {f.rsplit("/", 1)[1] for f in files.data_files(spark, path)}
+    last = [n for n in before.extra["files"] if n in there] if before else []
+    events = spark.read.schema(RUN_LOG).parquet(*loose)
+    if grown:
+        events = events.unionByName(published.read("events"))
+    try:
+        txn.write("events", events.coalesce(1 if not grown else 8), append=not grown,
+                  extra={"files": [f.rsplit("/", 1)[1] for f in loose] + last})
+        txn.commit()
+    except StaleSnapshot:
+        txn.abort()
+        return 0
+    for name in last:
+        files.remove(spark, f"{path}/{name}")
+    store.expire()
+    return len(loose)
+
+
 def started_events(log: DataFrame) -> DataFrame:
     """The opening event of each finished run."""
     none = F.lit(None)

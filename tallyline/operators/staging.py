@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyline.functions.numbers import quotient
 from tallyline.functions.text import strip
 from tallyline.schemas import TOTAL
+from tallyline.sources.tables import stage_table
 
 
 def keep_first(
@@ -25,22 +26,51 @@ def keep_first(
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
-def drop_all_copies(df: DataFrame, key: str = "transaction_id") -> DataFrame:
-    """Only rows whose key occurs once; rows without a key all stay.
+# Slots that keys are hashed to: a bit each, so 16 MB at most are broadcast.
+SLOTS = 1 << 27
 
-    A key that survives has exactly one row, so the row itself can be an aggregate: one
-    shuffle with map-side combining, where an anti-join would send every copy of a hot key
-    to one task.
-    """
-    row = F.struct(*df.columns)
-    single = (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count("*").alias("_n"), F.any_value(row).alias("_row"))
+
+def _single_rows(df: DataFrame, key: str) -> DataFrame:
+    """Rows whose key occurs once. A key that survives has exactly one row, so the row itself can
+    be an aggregate: one shuffle with map-side combining, where an anti-join would send every
+    copy of a hot key to one task."""
+    return (
+        df.groupBy(key)
+        .agg(F.count("*").alias("_n"), F.any_value(F.struct(*df.columns)).alias("_row"))
         .filter("_n = 1")
         .select("_row.*")
     )
-    return single.unionByName(df.filter(F.col(key).isNull()))
+
+
+def drop_all_copies(df: DataFrame, key: str = "transaction_id", slots: int = SLOTS) -> DataFrame:
+    """Only rows whose key occurs once; rows without a key all stay.
+
+    The input is staged, and keys are hashed to ``slots``. Counting a slot takes two states
+    beyond empty, one and more, so the slots with more make a bitmap, which is broadcast. A row
+    whose slot has no other is single and never shuffled; only suspects (copies, and keys that
+    share a slot by chance) meet their key's other rows. Beyond a row per two slots most rows would
+    be suspects by chance, and all meet at once.
+    """
+    names = df.columns
+    slot = F.pmod(F.xxhash64(key), F.lit(slots))
+    cut = df.withColumn("_slot", F.when(F.col(key).isNotNull(), slot))
+    staged = stage_table(cut, "slots")
+    keyed = staged.filter("_slot is not null")
+    crowded = keyed.groupBy("_slot").agg(F.least(F.count("*"), F.lit(2)).alias("_n")).filter("_n > 1")
+    if staged.count() * 2 > slots:
+        single = _single_rows(keyed.select(*names), key)
+        return single.unionByName(staged.filter("_slot is null").select(*names))
+    bitmap = crowded.groupBy(F.bitmap_bucket_number("_slot").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits"))
+    # Its size is bounded by the parameter: a bit per slot.
+    told = staged.withColumn("_bucket", F.bitmap_bucket_number("_slot")).join(
+        F.broadcast(bitmap), "_bucket", "left")
+    at = F.bitmap_bit_position("_slot")
+    byte = F.conv(F.hex(F.substring("_bits", (at / 8).cast("int") + 1, 1)), 16, 10).cast("int")
+    suspect = F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
+    told = told.withColumn("_suspect", suspect)
+    rest = _single_rows(told.filter("_suspect").select(*names), key)
+    return told.filter("not _suspect").select(*names).unionByName(rest)
 
 
 def deduplicate(

@@ -67,7 +67,7 @@ def trends_preview(trends: DataFrame, n: int = 12) -> DataFrame:
 
 def rep_revenue(core: DataFrame) -> DataFrame:
     return core.groupBy("region", "txn_year", "sales_rep").agg(
-        F.sum("revenue").alias("rep_revenue")
+        F.sum("revenue").cast(TOTAL).alias("rep_revenue")
     )
 
 
@@ -188,19 +188,27 @@ def outside_band(core: DataFrame, stats: DataFrame) -> DataFrame:
     )
 
 
-def orphan_counts(core: DataFrame, tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
+def orphan_counts(source: DataFrame, tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
     """Rows of the fact without a partner in each mart, ``(relation, orphan_rows)``.
 
-    The fact is reduced to its distinct keys with counts before each anti-join.
+    The fact (or its cube, whose rows stand for ``transactions``) is read once: grouping sets count
+    the rows of every relation's key values in one pass. The counts are staged and meet each mart
+    in an anti-join.
     """
+    keys = list(dict.fromkeys(k for _, names in tables.values() for k in names))
+    sets = list(dict.fromkeys(tuple(names) for _, names in tables.values()))
+    rows = F.sum("transactions") if "transactions" in source.columns else F.count("*")
+    counted = source.groupingSets([list(s) for s in sets], *keys).agg(
+        F.grouping_id(*keys).alias("_set"), rows.alias("_n"))
+    counted = stage_table(counted, "keys")
     out = None
-    for name, (mart, keys) in tables.items():
-        on = [F.col(f"f.{k}").eqNullSafe(F.col(f"m.{k}")) for k in keys]
-        counted = core.groupBy(*keys).agg(F.count("*").alias("n"))
+    for name, (mart, names) in tables.items():
+        own = sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in names)
+        on = [F.col(f"f.{k}").eqNullSafe(F.col(f"m.{k}")) for k in names]
         one = (
-            counted.alias("f")
-            .join(mart.select(*keys).alias("m"), on, "left_anti")
-            .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_rows"))
+            counted.filter(F.col("_set") == own).alias("f")
+            .join(mart.select(*names).alias("m"), on, "left_anti")
+            .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("orphan_rows"))
             .select(F.lit(name).alias("relation"), "orphan_rows")
         )
         out = one if out is None else out.unionByName(one)

@@ -1,7 +1,9 @@
 """The batch jobs: daily extract, layer transformation, metric roll-up, full run.
 
-A job writes each layer as a Parquet table in its run folder and reads the next layer from
-there, so the fact is computed once and marts, views and detection share the written copy.
+A stage writes its layers aside, reads the next layer from there, so the fact is computed once
+and marts, views and detection share the written copy, and publishes them together at its end.
+Readers of the run folder see the tables of before or all of the new ones. Rows are counted by
+the jobs that write them.
 """
 
 from __future__ import annotations
@@ -13,7 +15,6 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +24,8 @@ from tallyline.schemas import OPERATIONAL, STAGED_SALES
 from tallyline.settings import Settings
 from tallyline.sources.operational import extract_day
 from tallyline.sources.sales_csv import read_sales_csv, require_columns
-from tallyline.sources.tables import conform, full_refresh, replace_day, row_counts, write_csv
+from tallyline.sources.snapshots import NoSuchTable, TableStore, Transaction
+from tallyline.sources.tables import conform, replace_day, row_counts, staging_scope, write_csv
 
 STAGES = ("ingest", "transform", "anomaly", "report")
 # A load has one load time, so the other columns decide which copy of an id is the first.
@@ -39,32 +41,31 @@ def _now() -> dt.datetime:
 
 @dataclass(frozen=True)
 class RunFolder:
-    """Paths of one run's tables."""
+    """One run's published tables, and paths of its other files."""
 
     root: str
 
     def table(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def store(self, spark: SparkSession) -> TableStore:
+        return TableStore(spark, self.root)
+
     def read(self, spark: SparkSession, name: str) -> DataFrame:
-        return spark.read.parquet(self.table(name))
+        return self.store(spark).read(name)
 
 
-def write_each(
-    frames: dict[str, DataFrame], folder: RunFolder, written: dict[str, DataFrame]
-) -> int:
-    """Write independent small tables as concurrent Spark jobs; returns their total rows."""
+def stamped(df: DataFrame, name: str, at: dt.datetime) -> DataFrame:
+    """The time of the batch on each of its rows."""
+    return df.withColumn(name, F.lit(at).cast("timestamp"))
 
-    def write(name: str) -> tuple[str, DataFrame, int]:
-        table = full_refresh(frames[name], folder.table(name))
-        return name, table, table.count()
 
+def write_each(frames: dict[str, DataFrame], transaction: Transaction) -> int:
+    """Write independent small tables as concurrent Spark jobs; returns their total rows."""
     if not frames:
         return 0
     with ThreadPoolExecutor(len(frames)) as pool:
-        done = list(pool.map(write, frames))
-    written.update({name: table for name, table, _ in done})
-    return sum(rows for _, _, rows in done)
+        return sum(pool.map(lambda name: transaction.write(name, frames[name]), frames))
 
 
 class AuditLog:
@@ -90,6 +91,7 @@ class AuditLog:
             write("Failed", end_time=_now(), error=str(error))
             raise
         write("Completed", end_time=_now(), records=records, message=f"{stage} complete")
+        runlog.compact(self.spark, self.path)
         return records
 
 
@@ -102,20 +104,22 @@ def daily_extract(
     """
 
     def work() -> int:
-        replace_day(extract_day(source, day), table, "record_date", day)
-        staged = source.sparkSession.read.schema(OPERATIONAL).parquet(table)
-        return staged.filter(F.col("record_date") == F.lit(day)).count()
+        return replace_day(extract_day(source, day), table, "record_date", day)
 
     return log.run("Extraction", work)
 
 
 def metric_rollup(
-    spark: SparkSession, staged_table: str, summary_table: str, day: dt.date
-) -> None:
-    """Summarise one staged day into the summary table, replacing that day only."""
+    spark: SparkSession, staged_table: str, summary_table: str, day: dt.date,
+    created_at: dt.datetime | None = None,
+) -> int:
+    """Summarise one staged day into the summary table, replacing that day only; returns the
+    rows written."""
     staged = spark.read.schema(OPERATIONAL).parquet(staged_table)
-    summary = metrics.daily_rollup(staged, day, tie_break=("staging_id",))
-    replace_day(summary, summary_table, "report_date", day)
+    with staging_scope(spark):
+        summary = metrics.daily_rollup(staged, day, tie_break=("staging_id",))
+        summary = stamped(summary, "created_at", created_at or _now())
+        return replace_day(summary, summary_table, "report_date", day)
 
 
 def clean_staging(
@@ -137,38 +141,57 @@ def transform_layers(
     settings: Settings = Settings(),
     order: Sequence[str] = FIRST_LOADED,
     log: AuditLog | None = None,
+    at: dt.datetime | None = None,
 ) -> dict[str, DataFrame]:
-    """Staging to core to marts, each written once and read back."""
-    out: dict[str, DataFrame] = {}
+    """Staging to core to marts, each written once, all published at the end.
 
-    def write(name: str, df: DataFrame) -> int:
-        out[name] = full_refresh(df, folder.table(name))
-        return out[name].count()
+    The fact is partitioned by year, so slices by year read their years only.
+    """
+    at = at or _now()
+    store = folder.store(staged.sparkSession)
 
     def run(stage: str, work: Callable[[], int]) -> int:
         return log.run(stage, work) if log else work()
 
-    def to_marts() -> int:
-        cube = full_refresh(marts.revenue_cube(out["core_sales"]), folder.table("revenue_cube"))
-        return write_each(marts.all_marts(cube), folder, out)
+    with store.begin() as txn:
+
+        def to_core() -> int:
+            fact = stamped(core.enrich(txn.read("stg_sales_clean")), "transformed_at", at)
+            # Else every task would leave a file per year; large years are split.
+            by_year = fact.hint("rebalance", F.col("txn_year"))
+            return txn.write("core_sales", by_year, partition_by="txn_year")
 
-    run("Staging", lambda: write("stg_sales_clean", clean_staging(staged, settings, order)))
-    run("Transformation", lambda: write("core_sales", core.enrich(out["stg_sales_clean"])))
-    run("Reporting", to_marts)
-    return out
+        def to_marts() -> int:
+            txn.write("revenue_cube", marts.revenue_cube(txn.read("core_sales")))
+            made = marts.all_marts(txn.read("revenue_cube"))
+            return write_each({n: stamped(df, "refreshed_at", at) for n, df in made.items()}, txn)
+
+        run("Staging", lambda: txn.write("stg_sales_clean", clean_staging(staged, settings, order)))
+        run("Transformation", to_core)
+        run("Reporting", to_marts)
+    return {name: txn.read(name) for name in ("stg_sales_clean", "core_sales", *made_marts())}
+
+
+def made_marts() -> tuple[str, ...]:
+    return ("rpt_monthly_revenue", "rpt_regional_summary", "rpt_product_summary")
 
 
 def reports(spark: SparkSession, folder: RunFolder) -> dict[str, DataFrame]:
-    """The five report tabs from the written tables."""
-    fact = folder.read(spark, "core_sales")
-    trends = views.revenue_trends(folder.read(spark, "rpt_monthly_revenue"))
-    regional = views.regional_performance(folder.read(spark, "rpt_regional_summary"), fact)
+    """The five report tabs from the tables of one snapshot, without their stamps."""
+    published = folder.store(spark).snapshot()
+
+    def table(name: str) -> DataFrame:
+        return published.read(name).drop("transformed_at", "refreshed_at", "detected_at")
+
+    fact = table("core_sales")
+    trends = views.revenue_trends(table("rpt_monthly_revenue"))
+    regional = views.regional_performance(table("rpt_regional_summary"), fact)
     return {
         "executive_summary": kpis.executive_summary(core.annual_core(fact)),
         "monthly_trends": kpis.report_monthly(trends),
         "regional_performance": kpis.report_regional(regional),
-        "product_analysis": kpis.report_products(folder.read(spark, "rpt_product_summary")),
-        "anomaly_report": kpis.report_anomalies(folder.read(spark, "rpt_anomalies")),
+        "product_analysis": kpis.report_products(table("rpt_product_summary")),
+        "anomaly_report": kpis.report_anomalies(table("rpt_anomalies")),
     }
 
 
@@ -184,40 +207,52 @@ def run_all(
 ) -> DataFrame:
     """Run the stages in order; returns ``(stage, success, records, rejected, seconds, error)``.
 
-    Ingest writes what it cannot load, with the reasons, to ``stg_sales_rejects``. With ``stage="all"`` the run stops at the first stage that fails, by an error or by
-    loading nothing. Running again over the same folder replaces the same tables.
+    Ingest writes what it cannot load, with the reasons, to ``stg_sales_rejects``, in the same
+    pass. With ``stage="all"`` the run stops at the first stage that fails, by an error or by
+    loading nothing. Running again over the same folder replaces the same tables; a stage that
+    fails leaves them as they were. Every batch has one time in its stamp columns.
     """
     folder = RunFolder(root)
+    store = folder.store(spark)
     log = AuditLog(spark, folder.table("pipeline_log"), run_date)
+    at = loaded_at or _now()
 
     def do_ingest() -> int:
         raw = require_columns(read_sales_csv(spark, raw_path))
         parsed = ingest.parse(raw, settings.date_formats)
-        bad = full_refresh(ingest.rejected(parsed), folder.table("stg_sales_rejects"))
-        rejected["ingest"] = bad.count()
-        staged = ingest.to_staging(parsed, settings.domains, settings.source_system, loaded_at)
+        told = ingest.both_kinds(parsed, settings.domains, settings.source_system, at)
         beyond = [c for c in order if c not in STAGED_SALES.fieldNames()]
-        typed = conform(staged, STAGED_SALES, keep=beyond)
-        return full_refresh(typed, folder.table("stg_sales_raw")).count()
+        typed = conform(told, STAGED_SALES, keep=[*beyond, "rejected", "is_rejected"])
+        staged = typed.select(*STAGED_SALES.fieldNames(), *beyond).schema
+        with store.begin() as txn:
+            rows = txn.write_split(typed, "is_rejected", {
+                False: ("stg_sales_raw", staged, None),
+                True: ("stg_sales_rejects", typed.select("rejected").schema, "rejected"),
+            })
+        rejected["ingest"] = rows["stg_sales_rejects"]
+        return rows["stg_sales_raw"]
 
     def do_transform() -> int:
         staged = folder.read(spark, "stg_sales_raw")
-        return transform_layers(staged, folder, settings, order, log)["core_sales"].count()
+        with staging_scope(spark):
+            transform_layers(staged, folder, settings, order, log, at)
+        return store.snapshot().tables["core_sales"].extra["rows"]
 
     def do_anomaly() -> int:
         fact = folder.read(spark, "core_sales").select(
             "transaction_id", "txn_date", "product_name", "product_category", "region",
             "revenue", "cost", "discount_pct",
         )
-        found = full_refresh(
-            anomalies.detect_all(fact, settings.anomaly), folder.table("rpt_anomalies")
-        )
-        write_csv(found, folder.table("anomalies_csv"))
-        return found.count()
+        with staging_scope(spark), store.begin() as txn:
+            found = anomalies.detect_all(fact, settings.anomaly)
+            rows = txn.write("rpt_anomalies", stamped(found, "detected_at", at))
+            write_csv(txn.read("rpt_anomalies").drop("detected_at"), folder.table("anomalies_csv"))
+        return rows
 
     def do_report() -> int:
-        tabs = {f"report_{name}": df for name, df in reports(spark, folder).items()}
-        return write_each(tabs, folder, {})
+        with staging_scope(spark), store.begin() as txn:
+            tabs = {f"report_{name}": df for name, df in reports(spark, folder).items()}
+            return write_each(tabs, txn)
 
     rejected: dict[str, int] = {}
     steps = {
@@ -239,6 +274,7 @@ def run_all(
         results.append((name, success, records, rejected.get(name), seconds, error))
         if not success and stage == "all":
             break
+    store.expire(keep=len(STAGES) + 1)
     return spark.createDataFrame(
         results,
         "stage string, success boolean, records long, rejected long, seconds double, error string",
@@ -247,13 +283,12 @@ def run_all(
 
 def table_counts(spark: SparkSession, folder: RunFolder) -> DataFrame:
     """Row counts of the run's six tables, -1 for one that is not there."""
+    published = folder.store(spark).snapshot()
 
     def find(name: str) -> DataFrame | None:
         try:
-            return folder.read(spark, name)
-        except AnalysisException as problem:
-            if problem.getCondition() != "PATH_NOT_FOUND":
-                raise
+            return published.read(name)
+        except NoSuchTable:
             return None
 
     names = (

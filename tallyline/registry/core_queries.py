@@ -144,18 +144,29 @@ def reporting_summary(src: Inputs) -> DataFrame:
     )
 
 
+def _filled(column: str) -> str:
+    return f"""last_value({column} IGNORE NULLS) OVER (PARTITION BY record_date, entity_id, metric_name
+        ORDER BY loaded_at, staging_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS {column}"""
+
+
 @query(
     "metric_forward_fill",
-    sql("SELECT record_date, entity_id, metric_name, staging_id, metric_value FROM filled",
-        "filled"),
+    sql(f"""SELECT record_date, entity_id, metric_name, staging_id, {_filled('metric_value')},
+        {_filled('source_system')}, {_filled('batch')} FROM (SELECT *,
+            CASE WHEN staging_id % 3 > 0 THEN 'EVENTS' || (staging_id % 5)::varchar END AS source_system,
+            CASE WHEN staging_id % 4 = 1 THEN staging_id // 100 END AS batch FROM gap_metrics)""",
+        "gap_metrics"),
 )
 def metric_forward_fill(src: Inputs) -> DataFrame:
-    filled = metrics.forward_fill(
-        src.op_metrics(with_gaps=True),
-        keys=("record_date", *metrics.SERIES),
-        tie_break=("staging_id",),
-    )
-    return filled.select("record_date", "entity_id", "metric_name", "staging_id", "metric_value")
+    """Gaps in the value, the source and the number of the batch."""
+    number = F.col("staging_id")
+    gaps = src.op_metrics(with_gaps=True).withColumns({
+        "source_system": F.when(
+            number % 3 > 0, F.concat("source_system", (number % 5).cast("string"))),
+        "batch": F.when(number % 4 == 1, F.floor(number / 100)),
+    })
+    return metrics.forward_fill(
+        gaps, keys=("record_date", *metrics.SERIES), tie_break=("staging_id",)).drop("loaded_at")
 
 
 @query("metric_rollup_all_days", sql(_SUMMARY_SQL.format("filled"), "filled"))

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tallyline.operators import ingest, marts, quality
-from tallyline.registry.base import Inputs, query
+from tallyline.operators import anomalies, core, ingest, marts, quality, staging
+from tallyline.registry.base import ANOMALY_INPUT, Inputs, query
 from tallyline.registry.sql import CHANNELS, REGIONS, SEGMENTS, _canonical, in_list, pct, sql
 from tallyline.schemas import SALES_CHECKS, TABLE_KEYS
-from tallyline.sources.warehouse import TEST_DOMAINS
+from tallyline.sources.tables import stage_table
+from tallyline.sources.warehouse import LOAD_ORDER, TEST_DOMAINS
 
 PROFILE_COLUMNS = (
     "transaction_id", "record_date", "product_name", "product_category", "region", "sales_rep",
@@ -90,11 +91,14 @@ def _key_sql(table: str, keys: tuple[str, ...]) -> str:
     ), "staged", "clean", "monthly", "regional", "product", "anomalies"),
 )
 def dq_unique_key(src: Inputs) -> DataFrame:
+    """The raw sales are parsed once, for the staging table, the fact and the anomalies."""
+    staged = stage_table(src.staged("customer", "part"), "staged")
+    clean = stage_table(staging.keep_first(staged, order=LOAD_ORDER), "clean")
     frames = {
-        "stg_sales_raw": src.staged("part"),
-        "core_sales": src.clean("part"),
+        "stg_sales_raw": staged,
+        "core_sales": clean,
         **marts.all_marts(src.cube()),
-        "rpt_anomalies": src.anomalies(),
+        "rpt_anomalies": anomalies.detect_all(core.enrich(clean).select(*ANOMALY_INPUT)),
     }
     return quality.key_report({n: (df, TABLE_KEYS[n]) for n, df in frames.items()})
 

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from tallyline.operators import marts, staging
 from tallyline.registry.base import Inputs, query
-from tallyline.registry.sql import sql
+from tallyline.registry.sql import CTES, _core, sql
 from tallyline.schemas import OPERATIONAL, RAW_SALES_COLUMNS, STAGED_SALES
 from tallyline.sources.operational import extract_day
 from tallyline.sources.sales_csv import read_sales_csv, require_columns
+from tallyline.sources.snapshots import TableStore
 from tallyline.sources.tables import (
     conform,
     full_refresh,
@@ -141,6 +142,58 @@ def src_incremental_latest(src: Inputs) -> DataFrame:
     return _in_three_batches(src, "keep_latest")
 
 
+_MART_LINES = """SELECT 'month' AS mart, month_label AS label, total_revenue, avg_profit_margin,
+        transaction_count FROM monthly
+    UNION ALL SELECT 'region', concat(region, '/', txn_year), total_revenue, avg_profit_margin,
+        transaction_count FROM regional
+    UNION ALL SELECT 'product', concat(product_category, '/', product_name, '/', txn_year),
+        total_revenue, avg_profit_margin, transaction_count FROM product"""
+
+
+def _marts_sql(direction: str) -> str:
+    """The marts over the sales without copies."""
+    single = f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id
+        ORDER BY loaded_at {direction}, l_partkey {direction}, l_suppkey {direction},
+        revenue {direction}, units_sold {direction}) AS rn FROM sales) WHERE rn = 1"""
+    tables = {"sales": CTES["sales"][0], "single": single, "core": _core("single")}
+    tables |= {name: CTES[name][0] for name in ("monthly", "regional", "product")}
+    ctes = ", ".join(f"{name} AS MATERIALIZED ({text})" for name, text in tables.items())
+    return f"WITH {ctes} {_MART_LINES}"
+
+
+def _incremental_marts(src: Inputs, policy: str) -> DataFrame:
+    """Fact and marts after three batches, each mart read from the published snapshot."""
+    store = TableStore(src.spark, new_path(src.spark, "sales-store"))
+    source = src.sales("customer", "part", "supplier")
+    for low, high in zip((None, *MARKS), (*MARKS, None)):
+        batch = source if low is None else incremental.changes_since(source, low)
+        batch = batch if high is None else batch.filter(F.col("loaded_at") <= F.lit(high))
+        incremental.apply_batch(store, batch, order=LOAD_ORDER, policy=policy)
+    published = store.snapshot()
+
+    def lines(kind: str, table: str, *keys: str) -> DataFrame:
+        return published.read(table).select(
+            F.lit(kind).alias("mart"), F.concat_ws("/", *keys).alias("label"), "total_revenue",
+            "avg_profit_margin", "transaction_count")
+
+    return (
+        lines("month", "rpt_monthly_revenue", "month_label")
+        .unionByName(lines("region", "rpt_regional_summary", "region", "txn_year"))
+        .unionByName(lines(
+            "product", "rpt_product_summary", "product_category", "product_name", "txn_year"))
+    )
+
+
+@query("marts_incremental_first", _marts_sql("ASC"))
+def marts_incremental_first(src: Inputs) -> DataFrame:
+    return _incremental_marts(src, "keep_first")
+
+
+@query("marts_incremental_latest", _marts_sql("DESC"))
+def marts_incremental_latest(src: Inputs) -> DataFrame:
+    return _incremental_marts(src, "keep_latest")
+
+
 @query(
     "src_high_water_mark",
     "SELECT max(l_shipdate) AS high_water_mark FROM lineitem",

@@ -21,14 +21,10 @@ def trends(src: Inputs) -> DataFrame:
 
 def regional_view(src: Inputs) -> DataFrame:
     """Mart and best reps from one staged aggregation per region, year and rep."""
-    fact = stage_table(
-        src.core().select(
-            "region", "txn_year", "sales_rep", "revenue", "cost", "gross_profit",
-            "profit_margin",
-        ),
-        "regional-core",
-    )
-    return views.regional_performance(marts.regional_summary(fact), fact)
+    per_rep = stage_table(
+        marts.revenue_cube(src.core("customer", "part", "supplier"), ("region", "txn_year", "sales_rep")),
+        "regional-reps")
+    return views.regional_performance(marts.regional_summary(per_rep), per_rep)
 
 
 @query("vw_revenue_trends", sql("SELECT * FROM trends", "trends"))
@@ -213,19 +209,13 @@ def anomalies_per_month(src: Inputs) -> DataFrame:
                 AND p.txn_year = c.txn_year)""", "monthly", "regional", "product"),
 )
 def rel_orphans(src: Inputs) -> DataFrame:
-    """Facts without a mart row. The regional mart lacks its first years here, so that
-    there is something to find."""
-    fact = stage_table(
-        src.core("customer", "part").select(
-            "txn_month_label", "txn_year", "txn_month", "region", "product_category",
-            "product_name", "revenue", "cost", "gross_profit", "profit_margin", "units_sold",
-        ),
-        "orphan-core",
-    )
-    monthly = marts.monthly_revenue(fact).withColumnRenamed("month_label", "txn_month_label")
-    regional = marts.regional_summary(fact).filter(F.col("txn_year") > 1996)
-    return views.orphan_counts(fact, {
+    """Facts without a mart row, by the cube. The regional mart lacks its first years here, so
+    that there is something to find."""
+    cube = src.cube()
+    monthly = marts.monthly_revenue(cube).withColumnRenamed("month_label", "txn_month_label")
+    regional = marts.regional_summary(cube).filter(F.col("txn_year") > 1996)
+    return views.orphan_counts(cube, {
         "rpt_monthly_revenue": (monthly, ["txn_month_label"]),
         "rpt_regional_summary": (regional, ["region", "txn_year"]),
-        "rpt_product_summary": (marts.product_summary(fact), ["product_name", "txn_year"]),
+        "rpt_product_summary": (marts.product_summary(cube), ["product_name", "txn_year"]),
     })

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline.sources import files
+from tallyline.sources.snapshots import TableStore, counted
 
 _staged_paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 _scope: ContextVar[list[str] | None] = ContextVar("staging_scope", default=None)
@@ -83,9 +84,21 @@ def staging_scope(spark: SparkSession) -> Iterator[None]:
 
 
 def full_refresh(df: DataFrame, path: str) -> DataFrame:
-    """Replace a table. ``path`` must not be one that ``df`` reads from."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Replace the table published at ``path``, also one that ``df`` reads from.
+
+    The new rows are written aside and then published; readers see the old table until that,
+    and one generation longer if they began with it.
+    """
+    store = TableStore(df.sparkSession, path)
+    with store.begin() as transaction:
+        transaction.write("table", df)
+    store.expire()
+    return store.read("table")
+
+
+def read_refreshed(spark: SparkSession, path: str) -> DataFrame:
+    """The table that ``full_refresh`` last published at ``path``."""
+    return TableStore(spark, path).read("table")
 
 
 def replace_dates(df: DataFrame, path: str, date_column: str) -> None:
@@ -98,10 +111,13 @@ def replace_dates(df: DataFrame, path: str, date_column: str) -> None:
     )
 
 
-def replace_day(df: DataFrame, path: str, date_column: str, day: dt.date) -> None:
-    """Replace one day by what ``df`` has of it, which may be nothing."""
+def replace_day(df: DataFrame, path: str, date_column: str, day: dt.date) -> int:
+    """Replace one day by what ``df`` has of it, which may be nothing; returns its rows, counted
+    by the job that writes them."""
     own = df.where(F.col(date_column) == F.lit(day)).drop(date_column)
+    own, seen = counted(own, rows=F.count(F.lit(1)))
     own.write.mode("overwrite").parquet(f"{path}/{date_column}={day.isoformat()}")
+    return seen.get["rows"]
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -201,12 +201,12 @@ def test_full_run_is_repeatable(spark, tmp_path):
         states.append(rows(jobs.table_counts(spark, jobs.RunFolder(root))))
     assert states[0] == states[1]
     assert [r.rejected for r in result] == [1, None, None, None]
-    rejects = spark.read.parquet(f"{root}/stg_sales_rejects")
+    rejects = jobs.RunFolder(root).read(spark, "stg_sales_rejects")
     assert rows(rejects, "reject_reasons") == [(["INVALID_DATE"],)]
     counts = {name: n for name, n, _ in states[0]}
     assert counts["stg_sales_raw"] == 42 and counts["core_sales"] == 41
     assert counts["rpt_anomalies"] == 1
-    report = spark.read.parquet(f"{root}/report_anomaly_report")
+    report = jobs.RunFolder(root).read(spark, "report_anomaly_report")
     assert rows(report, "transaction_id", "anomaly_type") == [("big", "HIGH_REVENUE")]
     log = runlog.current_state(spark.read.parquet(f"{root}/pipeline_log"))
     assert {r.status for r in log.collect()} == {"Completed"}
