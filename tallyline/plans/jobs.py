@@ -27,6 +27,7 @@ from tallyline.sources.sales_csv import read_sales_csv, require_columns
 from tallyline.sources.snapshots import NoSuchTable, TableStore, Transaction
 from tallyline.sources.tables import conform, replace_day, row_counts, staging_scope, write_csv
 
+FEW_TASKS = 32
 STAGES = ("ingest", "transform", "anomaly", "report")
 # A load has one load time, so the other columns decide which copy of an id is the first.
 FIRST_LOADED = ("loaded_at", *(
@@ -157,9 +158,11 @@ def transform_layers(
 
         def to_core() -> int:
             fact = stamped(core.enrich(txn.read("stg_sales_clean")), "transformed_at", at)
-            # Else every task would leave a file per year; large years are split.
-            by_year = fact.hint("rebalance", F.col("txn_year"))
-            return txn.write("core_sales", by_year, partition_by="txn_year")
+            # Many tasks would each leave a file per year. Their rows are dealt by year then, and
+            # large years split.
+            if fact.rdd.getNumPartitions() > FEW_TASKS:
+                fact = fact.hint("rebalance", F.col("txn_year"))
+            return txn.write("core_sales", fact, partition_by="txn_year")
 
         def to_marts() -> int:
             txn.write("revenue_cube", marts.revenue_cube(txn.read("core_sales")))

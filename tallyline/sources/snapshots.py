@@ -14,7 +14,8 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -26,6 +27,7 @@ from tallyline.sources import files
 
 _NULL = "__HIVE_DEFAULT_PARTITION__"
 _WHOLE = ""
+OPEN_FILES = 16
 
 
 class StaleSnapshot(RuntimeError):
@@ -144,6 +146,18 @@ def counted(df: DataFrame, **counts: Column) -> tuple[DataFrame, Observation]:
     return df.observe(seen, *(c.alias(n) for n, c in counts.items())), seen
 
 
+@contextmanager
+def _unsorted(spark: SparkSession) -> Iterator[None]:
+    """Partitioned writes keep some files open per task before they resort to sorting."""
+    conf, key = spark.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(key)
+    conf.set(key, str(OPEN_FILES))
+    try:
+        yield
+    finally:
+        conf.set(key, before)
+
+
 class Transaction:
     """Writes of one snapshot. As a context it publishes at the end, or leaves no trace."""
 
@@ -170,8 +184,11 @@ class Transaction:
         root = self._new_root(name)
         path = f"{self.store.root}/{root}"
         frame, seen = counted(df, rows=F.count(F.lit(1)))
-        writer = frame.write if partition_by is None else frame.write.partitionBy(partition_by)
-        writer.parquet(path)
+        if partition_by is None:
+            frame.write.parquet(path)
+        else:
+            with _unsorted(self.store.spark):
+                frame.write.partitionBy(partition_by).parquet(path)
         self.rows[name] = seen.get["rows"]
         made = [_WHOLE] if partition_by is None else [
             n for n in files.names(self.store.spark, path) if n.startswith(f"{partition_by}=")]
@@ -200,13 +217,8 @@ class Transaction:
         path = f"{self.store.root}/{root}"
         frame, seen = counted(df, **{
             name: F.count_if(F.col(flag) == value) for value, (name, _, _) in tables.items()})
-        conf, key = self.store.spark.conf, "spark.sql.maxConcurrentOutputFileWriters"
-        before = conf.get(key)
-        conf.set(key, str(len(tables)))
-        try:
+        with _unsorted(self.store.spark):
             frame.write.partitionBy(flag).parquet(path)
-        finally:
-            conf.set(key, before)
         made = files.names(self.store.spark, path)
         for value, (name, schema, column) in tables.items():
             folder = f"{flag}={str(value).lower()}"
