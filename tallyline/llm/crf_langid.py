@@ -20,6 +20,7 @@ from tallyline.llm import words as wd
 
 TRAIN_ROWS = 1_500
 LEAST_ROWS = 20
+MOST_LANGUAGES = 256
 TRAIN_TEXT_BYTES = 40_000
 STEPS = 30
 FEATURE_BITS = 18
@@ -220,29 +221,37 @@ def train(
     With ``k`` languages each gives its ``max(rows / k, LEAST_ROWS)`` texts of smallest hash; fewer
     only where it has fewer different ones. Equal texts of a language count once. Texts of at most
     ``text_bytes`` bytes come first; where a language has not enough of them, longer ones follow,
-    cut to ``text_bytes``. How often each language stands in the table goes into the model's prior.
-    Only that sample and a row per language reach the driver, so both follow the number of
-    languages and not the rows.
+    of which a stretch of that length is taken from a place that their hash says. How often each
+    language stands in the table goes into the model's prior. At most ``MOST_LANGUAGES`` are learnt;
+    a table with more values of ``lang`` is an error.
+
+    The sample is bounded by these parameters and fitted by one task; the model reaches the driver.
     """
     labelled = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull())
-    n = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    n = {r.lang: r.n for r in counts}
     if not n:
         return fit([], [])
+    if len(n) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} values of {lang}")
     each = max(rows // len(n), LEAST_ROWS)
     keys = labelled.select(
         "lang", (F.octet_length("text") > text_bytes).alias("long"), F.xxhash64("text").alias("h")).distinct()
     number = F.row_number().over(Window.partitionBy("lang").orderBy("long", "h"))
     chosen = keys.withColumn("number", number).where(F.col("number") <= each).select("lang", "h")
-    # A character has at most four bytes.
-    cut = F.when(F.octet_length("text") > text_bytes, F.substring("text", 1, text_bytes // 4)).otherwise(F.col("text"))
     found = labelled.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), ["lang", "h"])
-    got = found.select("lang", "h", cut.alias("text")).dropDuplicates(["lang", "h"]).orderBy("h", "lang").collect()
-    model = fit([r.text for r in got], [r.lang for r in got])
-    taken = Counter(r.lang for r in got)
-    share = np.log([n[x] / taken[x] for x in model.languages])
-    model.prior = (share - share.max()).astype(np.float32)
-    return model
+    sample = found.select("lang", "h", wd.stretch("text", "h", text_bytes).alias("text"))
+    sample = sample.dropDuplicates(["lang", "h"]).select("h", "lang", "text")
+
+    def fitted(taken: list[tuple]) -> Model:
+        model = fit([t for _, _, t in taken], [x for _, x, _ in taken])
+        times = Counter(x for _, x, _ in taken)
+        share = np.log([n[x] / times[x] for x in model.languages])
+        model.prior = (share - share.max()).astype(np.float32)
+        return model
+
+    return wd.fitted_in_task(sample, ["h", "lang"], fitted)
 
 
 def _label_task(shared, label_words: bool):

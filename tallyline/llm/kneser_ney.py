@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.llm import words as wd
+from tallyline.sources.tables import stage_table
 
 TRAIN_ROWS = 2_000
 TRAIN_TEXT_BYTES = 40_000
@@ -237,27 +238,33 @@ def train(
     text_bytes: int = TRAIN_TEXT_BYTES, doc_id: str = "doc_id", text: str = "text",
     label: str = "toxic",
 ) -> Model:
-    """Fit on at most ``rows`` labelled documents per class of at most ``text_bytes`` bytes.
+    """Fit on at most ``rows`` labelled documents per class.
 
-    The rows are taken by a hash of their id. That bounded sample, and the number of labels
-    per class, is all that reaches the driver. A document with several labels is toxic when
-    one of them says so.
+    The rows are taken by a hash of their id, among the labels that have a document. Of a text with
+    over ``text_bytes`` bytes a stretch of that length is taken, from a place that its hash says. A
+    document with several labels is toxic when one of them says so.
+
+    The sample is bounded by these parameters and fitted by one task; the model, and the number of
+    labels per class, reach the driver.
     """
     labels = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("y"))
     labels = labels.where("doc_id is not null and y in (0, 1)").groupBy("doc_id").agg(F.max("y").alias("y"))
+    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where("text is not null")
+    labels = stage_table(labels.join(texts.select("doc_id"), "doc_id", "left_semi"), "labels")
     n = {r.y: r.n for r in labels.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if len(n) < 2:
         return Model()
     order = F.xxhash64("doc_id")
-    # A fifth more than asked, as some texts are too long for the sample or have no document.
-    chosen = [labels.where(F.col("y") == c).orderBy(order).limit(rows * 6 // 5) for c in (0, 1)]
-    chosen = chosen[0].union(chosen[1])
-    sample = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    sample = sample.where(F.octet_length("text") <= text_bytes).join(F.broadcast(chosen), "doc_id")
-    got = [
-        r for c in (0, 1)
-        for r in sample.where(F.col("y") == c).orderBy(F.xxhash64("doc_id", "text")).limit(rows).collect()]
-    return fit([r.text for r in got], [r.y for r in got], n[1] / (n[0] + n[1]))
+    chosen = [labels.where(F.col("y") == c).orderBy(order).limit(rows) for c in (0, 1)]
+    sample = texts.join(F.broadcast(chosen[0].union(chosen[1])), "doc_id").select(
+        "y", F.xxhash64("doc_id", "text").alias("h"), F.xxhash64("text").alias("at"), "text")
+    sample = stage_table(sample.select("y", "h", wd.stretch("text", "at", text_bytes).alias("text")), "sample")
+    # An id may have many rows.
+    sample = [sample.where(F.col("y") == c).orderBy("h").limit(rows) for c in (0, 1)]
+    toxic_share = n[1] / (n[0] + n[1])
+    return wd.fitted_in_task(
+        sample[0].union(sample[1]), ["y", "h"],
+        lambda taken: fit([t for _, _, t in taken], [y for y, _, _ in taken], toxic_share))
 
 
 def _score_task(shared):

@@ -8,6 +8,7 @@ and not the batch.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -120,6 +121,17 @@ def gram_hashes(h: np.ndarray, k: int) -> np.ndarray:
     return mix(out)
 
 
+def stretch(text: str, hashed: str, most: int):
+    """A text, or of one with over ``most`` bytes a stretch from a place that the hash says. A
+    character has at most four bytes."""
+    from pyspark.sql import functions as F
+
+    chars = most // 4
+    start = F.pmod(F.col(hashed), F.greatest(F.length(text) - chars + 1, F.lit(1))) + 1
+    cut = F.substring(F.col(text), start.cast("int"), F.lit(chars))
+    return F.when(F.octet_length(text) > most, cut).otherwise(F.col(text))
+
+
 def list_column(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa.Array:
     at = np.zeros(len(lengths) + 1, np.int32)
     np.cumsum(lengths, out=at[1:])
@@ -147,7 +159,41 @@ def share(spark, value):
     """Broadcast a value of this package's classes, by value like its functions."""
     from pyspark import cloudpickle
 
-    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    out = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    if (owned := worker_store().get("shared")) is not None:
+        owned.append(out)
+    return out
+
+
+@contextmanager
+def sharing():
+    """Destroys what is broadcast inside at its end; frames that use it must be written by then."""
+    kept = worker_store()
+    before, kept["shared"] = kept.get("shared"), []
+    try:
+        yield
+    finally:
+        for one in kept["shared"]:
+            one.destroy()
+        kept["shared"] = before
+
+
+def fitted_in_task(sample, order: list[str], fit):
+    """``fit(rows)`` of a small frame, as one Spark task computes it; only the result comes back.
+
+    The rows, tuples in ``order``, must be a sample whose size a parameter bounds. The driver, which
+    may have less memory than an executor, holds neither them nor what fitting needs.
+    """
+    import pickle
+
+    from pyspark import cloudpickle
+
+    def run(batches):
+        rows = [tuple(r.values()) for batch in batches for r in batch.to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array([cloudpickle.dumps(fit(rows))], pa.binary())], ["model"])
+
+    one = sample.repartition(1).sortWithinPartitions(*order).mapInArrow(run, "model binary")
+    return pickle.loads(one.first().model)
 
 
 def shared_value(shared):

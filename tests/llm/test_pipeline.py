@@ -1,9 +1,10 @@
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import pytest
-from helpers import crc, edge_texts, frame, words
+from helpers import WORDS, crc, edge_texts, frame, words
 from pyspark.sql import functions as F
 from test_pairs import brute_classes
 
@@ -60,6 +61,17 @@ def test_run_equals_the_stages(spark, stages):
         map(tuple, stages[-1].select(*columns).collect()))
 
 
+def test_each_group_keeps_one_row_also_where_an_id_has_two_texts(spark):
+    rng = random.Random(1)
+    a, z, other = (" ".join(rng.choice(WORDS) + str(rng.randrange(99)) for _ in range(60)) for _ in range(3))
+    rows = [(5, a, "en", "s"), (5, z, "en", "s"), (7, z, "en", "s"), (7, z, "en", "s"), (8, z + " more", "en", "s"),
+            (9, other, "en", "s"), (9, other, "en", "t"), (3, "", "en", "s"), (3, None, "en", "s"),
+            (None, a, "en", "s"), (None, a, "en", "s")]
+    got = corpus_pipeline.one_of_each_group(spark, frame(spark, rows).select(*corpus_pipeline.COLUMNS), "").collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter(
+        [(5, a), (5, z), (9, other), (3, ""), (3, None), (None, a), (None, a)])
+
+
 def test_edge_rows_pass_through(spark, tmp_path):
     docs = frame(spark).select(*corpus_pipeline.COLUMNS)
     docs.write.parquet(f"{tmp_path}/documents.parquet")
