@@ -8,10 +8,10 @@ keeps all.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import apportion, crf_langid, kneser_ney, parity_join, pow2_packing
+from tallyline.llm import apportion, crf_langid, kneser_ney, parity_join, pow2_packing, words
 from tallyline.sources.tables import stage_table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -39,17 +39,20 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each group of 80 % alike documents (five-word shingles).
+    """One document of each group of 80 % alike documents (five-word shingles): that of smallest id.
 
-    Rows that share an id are one document, of which the first by text stays. Rows without an
-    id stay.
+    The row to stay is chosen per group, also where an id stands on rows of different texts: each
+    group keeps exactly one row, of the smallest id and then of the smallest text hash. Rows without
+    an id stay.
     """
-    classes = parity_join.jaccard_classes(docs)
-    first = classes.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi")
-    number = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", "source", "lang"))
-    kept = kept.withColumn("number", number).where("number = 1").select(*COLUMNS)
-    return kept.union(docs.where("doc_id is null").select(*COLUMNS))
+    named = docs.where("doc_id is not null").withColumn("row", F.monotonically_increasing_id())
+    named = stage_table(named.select("row", *COLUMNS), "rows")
+    classes = parity_join.jaccard_classes(named, doc_id="row").select(
+        F.col("doc_id").alias("row"), "component_id")
+    place = F.struct("doc_id", F.xxhash64("text"), "row")
+    first = named.join(classes, "row").groupBy("component_id").agg(F.min(place).alias("place"))
+    kept = named.join(first.select(F.col("place.row").alias("row")), "row", "left_semi")
+    return kept.select(*COLUMNS).union(docs.where("doc_id is null").select(*COLUMNS))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -76,5 +79,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the table ``documents``, each written before the next reads it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = stage_table(stage(spark, docs, sf_dir), name)
+        with words.sharing():
+            docs = stage_table(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
