@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import gc
 import tempfile
 import uuid
 import weakref
@@ -66,6 +67,16 @@ def drop_staged(df: DataFrame) -> None:
         files.remove(df.sparkSession, path)
 
 
+def forget_shuffles(spark: SparkSession) -> None:
+    """Have the shuffle files of finished jobs removed, in loops that make many of them.
+
+    Spark removes them once the driver's garbage collection finds that no plan uses them, which a
+    driver with much memory may not come to for long.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 @contextmanager
 def staging_scope(spark: SparkSession) -> Iterator[None]:
     """Owns the tables staged inside and removes them at the end, also after a failure.
