@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.sources.tables import stage_table
+from tallyline.sources.tables import drop_staged, stage_table
 
 
 def _lowest(edges: DataFrame) -> DataFrame:
@@ -42,7 +42,8 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         near = _lowest(large)
         small = near.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.union(near.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        edges = stage_table(small, "edges")
+        before, edges = edges, stage_table(small, "edges")
+        drop_staged(before)
         last, mark = mark, _mark(edges)
         if mark == last:
             break

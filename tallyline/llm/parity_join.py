@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tallyline.llm import words as wd
 from tallyline.llm.components import components
-from tallyline.sources.tables import stage_table
+from tallyline.sources.tables import drop_staged, forget_shuffles, stage_table
 
 WORDS, SIMILARITY = 5, (8, 10)
 SPARE = 1.15
@@ -281,7 +281,7 @@ def jaccard_classes(
     sketches = scan(
         shared.select("f").distinct(), _sketch_batch, "f long, n long, sketch array<long>", "sketches")
     sets = None
-    links, tried = None, None
+    links, tried, comps = None, None, None
     apart = shared.withColumn("c", F.col("f"))
     left, rounds = apart.count(), 0
     while left:
@@ -303,13 +303,19 @@ def jaccard_classes(
             more = scan(nodes, _set_batch, "f long, grams array<long>", "grams")
             sets = more if sets is None else sets.union(more)
         found = stage_table(_verify(near, sets, p, q), "links")
+        drop_staged(nodes)
+        if star:
+            drop_staged(near)
         tried = pairs if tried is None else tried.union(pairs)
         links = found if links is None else links.union(found)
-        comps = stage_table(components(links, "a", "b"), "comps")
+        last, comps = comps, stage_table(components(links, "a", "b"), "comps")
+        if last is not None:
+            drop_staged(last)
         if not star:
             break
-        apart = _still_apart(shared, comps)
-        apart = stage_table(apart, "apart")
+        last, apart = apart, stage_table(_still_apart(shared, comps), "apart")
+        drop_staged(last)
+        forget_shuffles(docs.sparkSession)
         before, left = left, apart.count()
         # Anchors go on as long as they connect much of what is apart.
         rounds = rounds + 1 if left < 0.8 * before else 8
@@ -348,13 +354,26 @@ def _distance(x: str, y: str, words: range):
     return total
 
 
+def _folded() -> Column:
+    """The sketch at a quarter of its length: the XOR of its words, whose distance is no greater."""
+    return F.array(*(
+        reduce(Column.bitwiseXOR, (F.get("sketch", F.lit(i)) for i in range(at, SKETCH_WORDS, FOLDED_WORDS)))
+        for at in range(FOLDED_WORDS)))
+
+
 def _near(pairs: DataFrame, sketches: DataFrame, p: int, q: int) -> DataFrame:
-    """The pairs whose sketches are not too far apart for a link."""
-    a = sketches.select(F.col("f").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
-    b = sketches.select(F.col("f").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
-    distance = _distance("s_a", "s_b", range(SKETCH_WORDS)) * (q + p)
-    bound = (F.col("n_a") + F.col("n_b")) * (q - p)
-    return pairs.join(a, "a").join(b, "b").where(distance <= bound).select("a", "b")
+    """The pairs whose sketches are not too far apart for a link.
+
+    Folded sketches go first, so that the rows of most pairs stay short; only what they leave meets
+    the whole sketches.
+    """
+    for words, sketch in ((FOLDED_WORDS, _folded()), (SKETCH_WORDS, F.col("sketch"))):
+        a = sketches.select(F.col("f").alias("a"), F.col("n").alias("n_a"), sketch.alias("s_a"))
+        b = sketches.select(F.col("f").alias("b"), F.col("n").alias("n_b"), sketch.alias("s_b"))
+        distance = _distance("s_a", "s_b", range(words)) * (q + p)
+        bound = (F.col("n_a") + F.col("n_b")) * (q - p)
+        pairs = pairs.join(a, "a").join(b, "b").where(distance <= bound).select("a", "b")
+    return pairs
 
 
 def _all_apart(apart: DataFrame, sketches: DataFrame, p: int, q: int) -> DataFrame:
@@ -366,10 +385,7 @@ def _all_apart(apart: DataFrame, sketches: DataFrame, p: int, q: int) -> DataFra
     the sketches are folded to a quarter (XOR of their words), which keeps the bound and the rows
     short; the whole sketches are compared afterwards.
     """
-    folded = [
-        reduce(Column.bitwiseXOR, (F.get("sketch", F.lit(i)) for i in range(at, SKETCH_WORDS, FOLDED_WORDS)))
-        for at in range(FOLDED_WORDS)]
-    rows = apart.join(sketches.select("f", "n", F.array(*folded).alias("sketch")), "f")
+    rows = apart.join(sketches.select("f", "n", _folded().alias("sketch")), "f")
     x, y = (
         rows.select("key", *(F.col(c).alias(f"{side}_{c}") for c in ("f", "c", "stored", "asks", "n", "sketch")))
         for side in "xy")
