@@ -8,7 +8,7 @@ keeps all.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyline.llm import apportion, crf_langid, kneser_ney, parity_join, pow2_packing, words
@@ -41,18 +41,21 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of 80 % alike documents (five-word shingles): that of smallest id.
 
-    The row to stay is chosen per group, also where an id stands on rows of different texts: each
-    group keeps exactly one row, of the smallest id and then of the smallest text hash. Rows without
-    an id stay.
+    A document is an id with a text, so an id that stands on different texts is several, and each
+    group keeps exactly one row: of the smallest id, then of the smallest text hash, then of the
+    first source and language. Rows without an id stay.
     """
-    named = docs.where("doc_id is not null").withColumn("row", F.monotonically_increasing_id())
-    named = stage_table(named.select("row", *COLUMNS), "rows")
-    classes = parity_join.jaccard_classes(named, doc_id="row").select(
-        F.col("doc_id").alias("row"), "component_id")
-    place = F.struct("doc_id", F.xxhash64("text"), "row")
-    first = named.join(classes, "row").groupBy("component_id").agg(F.min(place).alias("place"))
-    kept = named.join(first.select(F.col("place.row").alias("row")), "row", "left_semi")
-    return kept.select(*COLUMNS).union(docs.where("doc_id is null").select(*COLUMNS))
+    key = F.xxhash64("doc_id", "text")
+    named = docs.where("doc_id is not null").withColumn("key", key)
+    classes = stage_table(parity_join.jaccard_classes(named, doc_id="key").select(
+        F.col("doc_id").alias("key"), "component_id").distinct(), "classes")
+    # Ids without texts: 24 bytes a row find the row to stay.
+    ids = named.select("key", "doc_id").join(classes, "key")
+    first = ids.groupBy("component_id").agg(F.min(F.struct("doc_id", "key")).alias("place"))
+    kept = named.join(first.select(F.col("place.key").alias("key")), "key", "left_semi")
+    copy = F.row_number().over(Window.partitionBy("key").orderBy("source", "lang"))
+    kept = kept.withColumn("copy", copy).where("copy = 1").select(*COLUMNS)
+    return kept.union(docs.where("doc_id is null").select(*COLUMNS))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
