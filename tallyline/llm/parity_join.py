@@ -29,6 +29,7 @@ SPARE = 1.15
 BITMAP_BITS = 1 << 25
 SKETCH_WORDS = 32
 FOLDED_WORDS = 8
+ANCHOR_ROUNDS, REST_ROUNDS = 8, 4
 _SET, _KEY, _BAND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
 
@@ -233,7 +234,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
     b = sets.select(F.col("f").alias("b"), F.col("grams").alias("gb"))
     common = F.size(F.array_intersect("ga", "gb")).cast("long")
     enough = common * (p + q) >= (F.size("ga") + F.size("gb")).cast("long") * p
-    return pairs.join(a, "a").join(b, "b").where(enough).select("a", "b")
+    return pairs.join(b, "b").join(a, "a").where(enough).select("a", "b")
 
 
 def jaccard_classes(
@@ -254,7 +255,8 @@ def jaccard_classes(
 
     Candidates of one block are first verified against one anchor each, several times with other
     anchors; documents already connected are not compared again. Only what is still apart in a
-    block is compared pair by pair, so no link is lost.
+    block is compared pair by pair, so no link is lost. Of the pairs whose sketches are near, one for
+    each document is verified at a time, and the others only while they are not connected.
     """
     p, q = similarity
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -282,44 +284,61 @@ def jaccard_classes(
         shared.select("f").distinct(), _sketch_batch, "f long, n long, sketch array<long>", "sketches")
     sets = None
     links, tried, comps = None, None, None
-    apart = shared.withColumn("c", F.col("f"))
-    left, rounds = apart.count(), 0
-    while left:
-        star = rounds < 8
-        if star:
-            pairs = _anchored(apart, rounds)
-        else:
-            pairs = _all_apart(apart, sketches, p, q)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stage_table(pairs, "pairs")
-        near = stage_table(_near(pairs, sketches, p, q), "near") if star else pairs
-        # Only documents of near pairs need their whole sets, and each only once.
-        nodes = near.select(F.col("a").alias("f")).union(near.select("b")).distinct()
+
+    def prove(pairs: DataFrame) -> None:
+        """Verify pairs on whole sets, which each document's rows are read for once."""
+        nonlocal sets, links, comps
+        nodes = pairs.select(F.col("a").alias("f")).union(pairs.select("b")).distinct()
         if sets is not None:
             nodes = nodes.join(sets.select("f"), "f", "left_anti")
         nodes = stage_table(nodes, "nodes")
         if sets is None or not nodes.isEmpty():
             more = scan(nodes, _set_batch, "f long, grams array<long>", "grams")
             sets = more if sets is None else sets.union(more)
-        found = stage_table(_verify(near, sets, p, q), "links")
+        found = stage_table(_verify(pairs, sets, p, q), "links")
         drop_staged(nodes)
-        if star:
-            drop_staged(near)
-        tried = pairs if tried is None else tried.union(pairs)
         links = found if links is None else links.union(found)
         last, comps = comps, stage_table(components(links, "a", "b"), "comps")
         if last is not None:
             drop_staged(last)
-        if not star:
-            break
-        last, apart = apart, stage_table(_still_apart(shared, comps), "apart")
-        drop_staged(last)
         forget_shuffles(docs.sparkSession)
+
+    apart = shared.withColumn("c", F.col("f"))
+    left, rounds = apart.count(), 0
+    while left and rounds < ANCHOR_ROUNDS:
+        pairs = _anchored(apart, rounds)
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = stage_table(pairs, "pairs")
+        near = stage_table(_near(pairs, sketches, p, q), "near")
+        chosen = stage_table(_one_each(near), "chosen")
+        prove(chosen)
+        later = near.join(chosen, ["a", "b"], "left_anti")
+        done = stage_table(pairs.join(later, ["a", "b"], "left_anti"), "tried")
+        tried = done if tried is None else tried.union(done)
+        last, apart = apart, stage_table(_still_apart(shared, comps), "apart")
+        for old in (pairs, near, chosen, last):
+            drop_staged(old)
         before, left = left, apart.count()
         # Anchors go on as long as they connect much of what is apart.
-        rounds = rounds + 1 if left < 0.8 * before else 8
-    if links is None:
+        rounds = rounds + 1 if left < 0.8 * before else ANCHOR_ROUNDS
+    if left:
+        rest = _all_apart(apart, sketches, p, q)
+        if tried is not None:
+            rest = rest.join(tried, ["a", "b"], "left_anti")
+        rest = stage_table(rest, "rest")
+        for _ in range(REST_ROUNDS):
+            if rest.isEmpty():
+                break
+            chosen = stage_table(_one_each(rest), "chosen")
+            prove(chosen)
+            last, rest = rest, stage_table(
+                _unconnected(rest.join(chosen, ["a", "b"], "left_anti"), comps), "rest")
+            for old in (last, chosen):
+                drop_staged(old)
+        if not rest.isEmpty():
+            prove(rest)
+    if comps is None:
         comps = base.select(F.col("f").alias("node"), F.col("f").alias("component")).limit(0)
 
     comps = comps.select(F.col("node").alias("f"), "component")
@@ -329,6 +348,21 @@ def jaccard_classes(
         "doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
+def _one_each(pairs: DataFrame) -> DataFrame:
+    """One pair for each document that is the second of some. Its set then travels once; the other
+    pairs are needed only if this one does not connect the two groups."""
+    return pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+
+
+def _unconnected(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """The pairs that the links found so far do not connect."""
+    for side in "ab":
+        own = comps.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
+        pairs = pairs.join(own, side, "left")
+    same = F.coalesce("c_a", "a") == F.coalesce("c_b", "b")
+    return pairs.where(~same).select("a", "b")
+
+
 def _anchored(apart: DataFrame, salt: int) -> DataFrame:
     """Each document of a block with the block's anchor, where they are not yet connected."""
     anchor = F.min(F.struct(F.xxhash64("f", F.lit(salt)), "f", "c")).over(Window.partitionBy("key"))
