@@ -13,7 +13,6 @@ candidates are verified on their whole sets.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -191,19 +190,32 @@ def _scan_task(k: int, bitmap, make_batch):
     return run
 
 
-def whole_sketch(grams: np.ndarray) -> np.ndarray:
-    """Parity sketch of fixed length for a set of any size, as signed longs."""
-    bit = (grams >> np.uint64(20)) & np.uint64(SKETCH_WORDS * 64 - 1)
-    parity = (np.bincount(bit.astype(np.int64), minlength=SKETCH_WORDS * 64) & 1).astype(np.uint8)
+def sketch_words(n: int) -> int:
+    """Words of the sketch of ``n`` shingles: a power of two, with at least a bit for each. Fewer
+    would be full, and would tell large sets apart no more."""
+    return max(SKETCH_WORDS, 1 << max(0, n - 1 >> 6).bit_length())
+
+
+def whole_sketch(grams: np.ndarray, words: int) -> np.ndarray:
+    """Parity sketch of a set, as signed longs; half its words XORed with the others are the sketch
+    of half the length."""
+    bit = (grams >> np.uint64(20)) & np.uint64(words * 64 - 1)
+    parity = (np.bincount(bit.astype(np.int64), minlength=words * 64) & 1).astype(np.uint8)
     return np.packbits(parity, bitorder="little").view("<i8")
 
 
+_SKETCHES = "f long, n long, folded array<long>, sketch array<long>"
+
+
 def _sketch_batch(prints, grams_of) -> pa.RecordBatch:
     sizes = np.array([len(x) for x in grams_of], np.int64)
-    sketches = np.concatenate([whole_sketch(x) for x in grams_of])
-    sketches = wd.list_column(sketches, np.full(len(sizes), SKETCH_WORDS), pa.int64())
+    sketches = [whole_sketch(x, sketch_words(len(x))) for x in grams_of]
+    folded = np.concatenate([np.bitwise_xor.reduce(x.reshape(-1, FOLDED_WORDS)) for x in sketches])
     return pa.RecordBatch.from_arrays(
-        [pa.array(prints, pa.int64()), pa.array(sizes), sketches], ["f", "n", "sketch"])
+        [pa.array(prints, pa.int64()), pa.array(sizes),
+         wd.list_column(folded, np.full(len(sizes), FOLDED_WORDS), pa.int64()),
+         wd.list_column(np.concatenate(sketches), np.array([len(x) for x in sketches]), pa.int64())],
+        ["f", "n", "folded", "sketch"])
 
 
 def _set_batch(prints, grams_of) -> pa.RecordBatch:
@@ -281,7 +293,7 @@ def jaccard_classes(
         return stage_table(found.dropDuplicates(["f"]), name)
 
     sketches = scan(
-        shared.select("f").distinct(), _sketch_batch, "f long, n long, sketch array<long>", "sketches")
+        shared.select("f").distinct(), _sketch_batch, _SKETCHES, "sketches")
     sets = None
     links, tried, comps = None, None, None
 
@@ -380,33 +392,44 @@ def _still_apart(shared: DataFrame, comps: DataFrame) -> DataFrame:
     return now.where("lo <> hi").drop("lo", "hi")
 
 
-def _distance(x: str, y: str, words: range):
-    """Hamming distance of two sketches over some of their words."""
+def _folded_distance(x: str, y: str) -> Column:
+    """Hamming distance of two folded sketches."""
     total = F.lit(0)
-    for i in words:
+    for i in range(FOLDED_WORDS):
         total = total + F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i))))
     return total
 
 
-def _folded() -> Column:
-    """The sketch at a quarter of its length: the XOR of its words, whose distance is no greater."""
-    return F.array(*(
-        reduce(Column.bitwiseXOR, (F.get("sketch", F.lit(i)) for i in range(at, SKETCH_WORDS, FOLDED_WORDS)))
-        for at in range(FOLDED_WORDS)))
+def _whole_distance(x: str, y: str) -> Column:
+    """Hamming distance of two sketches, at the length of the shorter one (the other has at most
+    twice its words, as sets of one link have)."""
+    words = F.least(F.size(x), F.size(y))
+
+    def short(name: str) -> Column:
+        halves = F.zip_with(
+            F.slice(name, F.lit(1), words), F.slice(name, words + 1, words), lambda u, v: u.bitwiseXOR(v))
+        return F.when(F.size(name) == words, F.col(name)).otherwise(halves)
+
+    apart = F.zip_with(short(x), short(y), lambda u, v: F.bit_count(u.bitwiseXOR(v)))
+    return F.aggregate(apart, F.lit(0), lambda total, n: total + n)
+
+
+def _similar_sizes(a: str, b: str, p: int, q: int) -> Column:
+    return F.least(a, b) * q >= F.greatest(a, b) * p
 
 
 def _near(pairs: DataFrame, sketches: DataFrame, p: int, q: int) -> DataFrame:
-    """The pairs whose sketches are not too far apart for a link.
+    """The pairs whose sizes are near and whose sketches are not too far apart for a link.
 
     Folded sketches go first, so that the rows of most pairs stay short; only what they leave meets
     the whole sketches.
     """
-    for words, sketch in ((FOLDED_WORDS, _folded()), (SKETCH_WORDS, F.col("sketch"))):
-        a = sketches.select(F.col("f").alias("a"), F.col("n").alias("n_a"), sketch.alias("s_a"))
-        b = sketches.select(F.col("f").alias("b"), F.col("n").alias("n_b"), sketch.alias("s_b"))
-        distance = _distance("s_a", "s_b", range(words)) * (q + p)
+    for name, distance in (("folded", _folded_distance), ("sketch", _whole_distance)):
+        a = sketches.select(F.col("f").alias("a"), F.col("n").alias("n_a"), F.col(name).alias("s_a"))
+        b = sketches.select(F.col("f").alias("b"), F.col("n").alias("n_b"), F.col(name).alias("s_b"))
         bound = (F.col("n_a") + F.col("n_b")) * (q - p)
-        pairs = pairs.join(a, "a").join(b, "b").where(distance <= bound).select("a", "b")
+        near = _similar_sizes("n_a", "n_b", p, q) & (distance("s_a", "s_b") * (q + p) <= bound)
+        pairs = pairs.join(a, "a").join(b, "b").where(near).select("a", "b")
     return pairs
 
 
@@ -416,10 +439,10 @@ def _all_apart(apart: DataFrame, sketches: DataFrame, p: int, q: int) -> DataFra
 
     The Hamming distance of two sketches is at most the symmetric difference of the sets, so it
     rules out most of these pairs inside the join: what leaves the join are nearly all links. There
-    the sketches are folded to a quarter (XOR of their words), which keeps the bound and the rows
+    the sketches are folded (XOR of their words), which keeps the bound and the rows
     short; the whole sketches are compared afterwards.
     """
-    rows = apart.join(sketches.select("f", "n", _folded().alias("sketch")), "f")
+    rows = apart.join(sketches.select("f", "n", F.col("folded").alias("sketch")), "f")
     x, y = (
         rows.select("key", *(F.col(c).alias(f"{side}_{c}") for c in ("f", "c", "stored", "asks", "n", "sketch")))
         for side in "xy")
@@ -428,6 +451,7 @@ def _all_apart(apart: DataFrame, sketches: DataFrame, p: int, q: int) -> DataFra
     met = x.join(y, (
         (x.key == y.key) & F.expr(
             "x_f < y_f and x_c <> y_c and ((x_asks and y_stored) or (y_asks and x_stored))")
-        & (_distance("x_sketch", "y_sketch", range(FOLDED_WORDS)) * (q + p) <= bound)))
+        & _similar_sizes("x_n", "y_n", p, q)
+        & (_folded_distance("x_sketch", "y_sketch") * (q + p) <= bound)))
     met = met.select(F.col("x_f").alias("a"), F.col("y_f").alias("b")).distinct()
     return _near(met, sketches, p, q)
