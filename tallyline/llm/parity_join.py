@@ -29,6 +29,7 @@ BITMAP_BITS = 1 << 25
 SKETCH_WORDS = 32
 FOLDED_WORDS = 8
 ANCHOR_ROUNDS, REST_ROUNDS = 8, 4
+KEY_ROWS = 50_000
 _SET, _KEY, _BAND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
 
@@ -157,7 +158,7 @@ def _keys_task(k: int, p: int, q: int, spare: float):
                 parts.append(probes(grams, bands))
                 prints.append(f)
                 rows += len(parts[-1][0])
-                if rows > 200_000:
+                if rows > KEY_ROWS:
                     yield flush()
                     parts, prints, rows = [], [], 0
             if parts:
