@@ -299,10 +299,11 @@ def jaccard_classes(
     sets = None
     links, tried, comps = None, None, None
 
-    def prove(pairs: DataFrame) -> None:
-        """Verify pairs on whole sets, which each document's rows are read for once."""
+    def prove(pairs: DataFrame, among: DataFrame) -> None:
+        """Verify pairs on whole sets. Those of all documents in ``among`` are read at once, as
+        reading them is a pass over the documents."""
         nonlocal sets, links, comps
-        nodes = pairs.select(F.col("a").alias("f")).union(pairs.select("b")).distinct()
+        nodes = among.select(F.col("a").alias("f")).union(among.select("b")).distinct()
         if sets is not None:
             nodes = nodes.join(sets.select("f"), "f", "left_anti")
         nodes = stage_table(nodes, "nodes")
@@ -328,7 +329,7 @@ def jaccard_classes(
         near = stage_table(_near(pairs, sketches, p, q), "near")
         forget_shuffles(docs.sparkSession)
         chosen = stage_table(_one_each(near), "chosen")
-        prove(chosen)
+        prove(chosen, near)
         later = near.join(chosen, ["a", "b"], "left_anti")
         done = stage_table(pairs.join(later, ["a", "b"], "left_anti"), "tried")
         tried = done if tried is None else tried.union(done)
@@ -348,13 +349,13 @@ def jaccard_classes(
             if rest.isEmpty():
                 break
             chosen = stage_table(_one_each(rest), "chosen")
-            prove(chosen)
+            prove(chosen, rest)
             last, rest = rest, stage_table(
                 _unconnected(rest.join(chosen, ["a", "b"], "left_anti"), comps), "rest")
             for old in (last, chosen):
                 drop_staged(old)
         if not rest.isEmpty():
-            prove(rest)
+            prove(rest, rest)
     if comps is None:
         comps = base.select(F.col("f").alias("node"), F.col("f").alias("component")).limit(0)
 
