@@ -4,8 +4,10 @@ A document is the set of its distinct word shingles. A set is XOR-hashed into a
 blocks of 64 bits: each shingle toggles one bit of one block. A shingle in only one of two
 sets flips at most one bit, so the Hamming distance of two sketches never exceeds the
 symmetric difference of the sets. Similarity ``p/q`` bounds that difference by
-``d = (|A| + |B|) (q - p) / (q + p)``; with more than ``d`` blocks at least one is equal in both
-sketches (pigeonhole). Sizes are cut into bands, so partners are in the same or the next band
+``d = (|A| + |B|) (q - p) / (q + p)``; with more than ``d`` blocks there is one that no shingle of
+the difference touches (pigeonhole). Such a block also has an equal XOR of its shingles' whole
+hashes, which is part of its key: blocks of few shingles, whose 64 bits alone agree by chance, then
+make no candidates. Sizes are cut into bands, so partners are in the same or the next band
 and the number of blocks fits the size. Documents with an equal block are candidates, and
 candidates are verified on their whole sets.
 """
@@ -89,13 +91,18 @@ class Bands:
 
 
 def block_keys(grams: np.ndarray, band: int, blocks: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of all blocks of one sketch, and how many shingles each block holds."""
+    """Keys of all blocks of one sketch, and how many shingles each block holds.
+
+    A key tells apart the place, the parity bits and the XOR of the whole hashes.
+    """
     where = (grams >> np.uint64(6)) % np.uint64(blocks)
+    whole = np.zeros(blocks, np.uint64)
+    np.bitwise_xor.at(whole, where.astype(np.int64), grams)
     bit = where * np.uint64(64) + (grams & np.uint64(63))
     parity = (np.bincount(bit.astype(np.int64), minlength=blocks * 64) & 1).astype(np.uint8)
     sketch = np.packbits(parity, bitorder="little").view("<u8")
     place = np.uint64(band << 32) + np.arange(blocks, dtype=np.uint64)
-    keys = wd.mix(wd.mix(sketch * _KEY) + place * _BAND)
+    keys = wd.mix(wd.mix(sketch * _KEY + whole) + place * _BAND)
     return keys, np.bincount(where.astype(np.int64), minlength=blocks)
 
 
