@@ -12,9 +12,11 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyline.llm import words as wd
 from tallyline.llm.components import components
 from tallyline.sources.tables import stage_table
 
@@ -26,19 +28,29 @@ _SLACK = 1e-7
 
 
 def _unit_task(batches):
-    """Unit vectors in double precision; rows that cannot be compared have none."""
+    """Unit vectors in double precision; rows that cannot be compared are left out."""
     for batch in batches:
-        out = []
-        for v in batch.column(2).to_pylist():
-            unit = None
-            if v and None not in v:
-                x = np.array(v, np.float64)
-                if np.isfinite(x).all() and (most := np.abs(x).max()) > 0:
-                    x = x / most
-                    unit = x / np.sqrt((x * x).sum())
-            out.append(unit)
-        units = pa.array(out, pa.list_(pa.float64()))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), units], ["node", "label", "unit"])
+        column = batch.column(3)
+        rows = np.flatnonzero(column.is_valid().to_numpy(zero_copy_only=False))
+        # Of NULL lists nothing is in the flat values; NULL components are NaN there.
+        x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        size = pc.list_value_length(column).fill_null(0).to_numpy()[rows].astype(np.int64)
+        rows, size = rows[size > 0], size[size > 0]
+        if not len(rows):
+            continue
+        at = np.cumsum(size) - size
+        most = np.maximum.reduceat(np.where(np.isfinite(x), np.abs(x), np.inf), at)
+        good = np.isfinite(most) & (most > 0)
+        x, most = x[np.repeat(good, size)], most[good]
+        rows, size = rows[good], size[good]
+        if not len(rows):
+            continue
+        x = x / np.repeat(most, size)
+        x /= np.repeat(np.sqrt(np.add.reduceat(x * x, np.cumsum(size) - size)), size)
+        rows = pa.array(rows)
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(i).take(rows) for i in range(3)), wd.list_column(x, size, pa.float64())],
+            ["node", "label", "copies", "unit"])
 
 
 def _matrix(units) -> np.ndarray:
@@ -134,6 +146,8 @@ def near_duplicates(
     Vectors that are NULL, empty, zero, or have a NULL or non-finite component, and those with a
     NULL label, are linked with nothing. Equal vectors of one label are compared once and counted
     as often as they have ids; repeated rows of one id and vector each come back and count as one.
+    An id that stands on several vectors or labels is a vector of its own on each: its rows have
+    links and components of their own, and it counts once for each of its vectors that is linked.
     Rows with a NULL id have a NULL component unless linked to others. Other columns are ignored.
     """
     spark = vectors.sparkSession
@@ -143,12 +157,12 @@ def near_duplicates(
     base = stage_table(base, "vectors")
     classes = base.where("label is not null and embedding is not null").groupBy(
         "label", "embedding").agg(
-            F.min("vec_id").alias("node"), F.count_distinct("vec_id").alias("copies"))
-    classes = stage_table(classes.where("node is not null"), "classes")
-    units = classes.select("node", "label", "embedding").mapInArrow(
-        _unit_task, "node long, label int, unit array<double>").where("unit is not null")
-    units = units.join(classes.groupBy("node", "label").agg(
-        F.max("copies").alias("copies")), ["node", "label"])
+            F.min("vec_id").alias("low"), F.count_distinct("vec_id").alias("copies"))
+    # A node is a vector with a label. Its number is unique, and fixed once it is written.
+    classes = stage_table(classes.where("low is not null").withColumn(
+        "node", F.monotonically_increasing_id()), "classes")
+    units = classes.select("node", "label", "copies", "embedding").mapInArrow(
+        _unit_task, "node long, label int, copies long, unit array<double>")
     units = stage_table(units.withColumn("width", F.size("unit")), "units")
 
     # Pivots: a sample by hash, in number bounded and shared out over labels and lengths by their
@@ -157,7 +171,7 @@ def near_duplicates(
     kinds = units.groupBy("label", "width").agg(F.count("*").alias("n")).withColumn(
         "want", F.least(F.ceil(F.col("n") / CELL_VECTORS), F.floor(F.col("n") * MOST_PIVOTS / max(total, 1))))
     kinds = F.broadcast(kinds.where("want >= 2"))  # MOST_PIVOTS / 2 rows at most
-    chance = F.pmod(F.xxhash64("node"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    chance = F.pmod(F.xxhash64("unit"), F.lit(1 << 20)) / F.lit(float(1 << 20))
     picked = units.join(kinds, ["label", "width"]).where(chance < F.col("want") / F.col("n"))
     pivots: dict = {}
     for number, p in enumerate(picked.select("label", "width", "unit").collect()):
@@ -196,10 +210,13 @@ def near_duplicates(
     counts = found.groupBy("node").agg(F.sum("n").alias("n"))
     comps = components(found.where("node <> peer"), "node", "peer").groupBy("node").agg(
         F.min("component").alias("component"))
-    known = classes.join(units.select("node", "label").distinct(), ["node", "label"])
+    lowest = comps.join(classes.select("node", "low"), "node").groupBy("component").agg(
+        F.min("low").alias("lowest"))
+    comps = comps.join(lowest, "component").select("node", "lowest")
+    known = classes.join(units.select("node"), "node")
     known = known.join(counts, "node", "left").join(comps, "node", "left").select(
         "label", "embedding", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("component", "node").alias("component_id"))
+        F.coalesce("lowest", "low").alias("component_id"))
     out = base.join(known, ["label", "embedding"], "left")
     out = out.select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

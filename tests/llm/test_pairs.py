@@ -127,3 +127,21 @@ def test_vectors_equal_all_pairs(spark, monkeypatch):
     assert {r.vec_id: (r.n_links, r.component_id) for r in again} == {
         r.vec_id: (r.n_links, r.component_id) for r in got}
     assert metric_join.near_duplicates(df.limit(0)).collect() == []
+
+
+def test_an_id_on_several_vectors_is_several(spark):
+    """Links of one label do not pass to the other label of an id."""
+    near = [[1.0, 0.0, 0.01 * j] for j in range(3)]
+    rows = [(1, near[0], 0), (1, near[0], 1), (2, near[1], 0), (3, near[2], 0), (4, near[1], 1),
+            (5, [0.0, 1.0, 0.0], 0), (2, [0.0, 1.0, 0.001], 0), (2, near[1], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in metric_join.near_duplicates(df).collect())
+    assert got == sorted([(1, 2, 1), (1, 1, 1), (2, 2, 1), (2, 2, 1), (3, 2, 1), (4, 1, 1), (5, 1, 2), (2, 1, 2)])
+
+
+def test_blocks_that_agree_by_chance_have_other_keys():
+    """One shingle in a block leaves one of 64 patterns; the keys still tell shingles apart."""
+    same = np.array([5, 5 + (1 << 40)], np.uint64)
+    keys = [parity_join.block_keys(same[i: i + 1], 3, 1)[0][0] for i in (0, 1)]
+    assert keys[0] != keys[1]
+    assert (parity_join.block_keys(same, 3, 4)[0] == parity_join.block_keys(same[::-1], 3, 4)[0]).all()
