@@ -71,6 +71,16 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0]: at[-1]], at - at[0]
 
 
+def give_back() -> None:
+    """Free memory goes back to the system. Workers live on from task to task, and the allocator
+    would keep for them what their largest chunk needed."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of rows: first row, end row, their bytes, and offsets from 0."""
     data, at = text_bytes(column)
@@ -80,6 +90,8 @@ def chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         end = min(max(end, row + 1), n)
         yield row, end, data[at[row]: at[end]], at[row: end + 1] - at[row]
         row = end
+    if len(data) >= CHUNK_BYTES:
+        give_back()
 
 
 def spans(data: np.ndarray, at: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, ...]:
