@@ -39,13 +39,55 @@ NOTICES = {
     "subject to the terms of the mozilla public license v 2 0": "mpl-2.0",
     "this work is licensed under a creative commons attribution 4 0 international license": "cc-by",
     "dedicated to the public domain under cc0 1 0 universal": "cc0-1.0",
+    "apache license version 2 0": "apache-2.0",
+    "apache license 2 0": "apache-2.0",
+    "under the mit license": "mit",
+    "uses the mit license": "mit",
+    "bsd 2 clause license": "bsd-2-clause",
+    "bsd 3 clause license": "bsd-3-clause",
+    "gnu gpl version 2": "gpl-2.0",
+    "gnu gpl version 3": "gpl-3.0",
+    "gnu general public license version 2": "gpl-2.0",
+    "gnu general public license version 3": "gpl-3.0",
+    "gnu lesser general public license version 3": "lgpl",
+    "gnu affero general public license version 3": "agpl",
+    "mozilla public license version 2 0": "mpl-2.0",
+    "creative commons attribution 4 0 international": "cc-by",
+    "creative commons attribution sharealike 4 0 international": "cc-by-sa",
+    "creative commons attribution noderivatives 4 0 international": "cc-by-nd",
+    "spdx license identifier apache 2 0": "apache-2.0",
+    "spdx license identifier mit": "mit",
+    "spdx license identifier isc": "isc",
+    "spdx license identifier unlicense": "unlicense",
+    "spdx license identifier bsd 2 clause": "bsd-2-clause",
+    "spdx license identifier bsd 3 clause": "bsd-3-clause",
+    "spdx license identifier gpl 2 0": "gpl-2.0",
+    "spdx license identifier gpl 3 0": "gpl-3.0",
+    "spdx license identifier lgpl 3 0": "lgpl",
+    "spdx license identifier agpl 3 0": "agpl",
+    "spdx license identifier mpl 2 0": "mpl-2.0",
+    "unless required by applicable law or agreed to in writing software distributed under the license is"
+    " distributed on an as is basis without warranties or conditions of any kind": "apache-2.0",
+    "the above copyright notice and this permission notice shall be included in all copies or substantial"
+    " portions of the software": "mit",
+    "neither the name of the copyright holder nor the names of its contributors may be used to endorse or"
+    " promote products derived from this software without specific prior written permission": "bsd-3-clause",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is"
+    " hereby granted": "isc",
+    "this is free and unencumbered software released into the public domain": "unlicense",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu"
+    " general public license as published by the free software foundation either version 2 of the license"
+    " or at your option any later version": "gpl-2.0",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu"
+    " general public license as published by the free software foundation either version 3 of the license"
+    " or at your option any later version": "gpl-3.0",
 }
 # Words that tell licenses apart; a number does so after a word of the second kind.
 DECIDING = (
     "lesser", "library", "affero", "nc", "sa", "nd", "noncommercial", "commercial", "sharealike", "alike",
     "noderivatives", "noderivs", "derivatives", "derivs",
 )
-NUMBERED = (*DECIDING, "version", "v", "by", "attribution", "license", "cc0")
+NUMBERED = (*DECIDING, "version", "v", "by", "attribution", "license", "cc0", "gpl", "bsd")
 NUMBERS = tuple("123456789")
 BUCKET_WORDS = 64
 
@@ -88,8 +130,8 @@ def scan_licenses(
 
     ``n_base``, ``first_word``, ``last_word`` and ``base_labels`` describe the exact places of
     ``phrases``; ``labels`` adds those of ``notices`` of which ``least`` of the 2-grams are covered
-    on diagonals at most ``drift`` apart, in a span with just the template's deciding words. ``score`` is the best coverage, 0 without a find. ``spans``
-    lists each find as ``label, first, last, coverage`` (word numbers from 0, both included).
+    on diagonals at most ``drift`` apart, with just the template's deciding words where it would
+    stand. ``score`` is the best coverage, 0 without a find. ``spans`` lists each find as ``label, first, last, coverage`` (word numbers from 0, both included).
 
     NULL and empty texts have no words and no finds (labels empty, places NULL). Repeated rows
     each get the result of their text. NULL ids are kept. Other columns are ignored.
@@ -145,18 +187,20 @@ def scan_licenses(
     merged = merged.withColumn("island", F.sum("new").over(along)).groupBy(*own, "island").agg(
         F.min(F.col("diagonal") + F.array_min("ats")).alias("first"),
         F.max(F.col("diagonal") + F.array_max("ats") + 1).alias("last"),
+        F.greatest(F.min("diagonal"), F.lit(0)).alias("from"), (F.max("diagonal") + F.col("n") - 1).alias("to"),
         F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("covered"))
     merged = merged.withColumn("coverage", F.col("covered") / (F.col("n") - 1)).where(F.col("coverage") >= least)
     # Spans meet the deciding words of their text in buckets of places, so that a text of many spans
-    # does not pair each of them with each word.
+    # does not pair each of them with each word. Words are looked for where the whole template would
+    # stand, as a word put in near its start or end leaves the span short of it.
     spans = merged.withColumn("bucket", F.explode(F.expr(
-        f"sequence(first div {BUCKET_WORDS}, last div {BUCKET_WORDS})")))
+        f"sequence(`from` div {BUCKET_WORDS}, `to` div {BUCKET_WORDS})")))
     said = votes.where("exact is null").select(
         F.col("doc_id").alias("d_id"), F.col("t").alias("d_t"), F.col("template").alias("word"),
         F.col("diagonal").alias("place"), F.expr(f"cast(diagonal div {BUCKET_WORDS} as bigint)").alias("d_bucket"))
     spans = spans.join(said, (
         spans.doc_id.eqNullSafe(said.d_id) & (spans.t == said.d_t) & (spans.bucket == said.d_bucket)
-        & (said.place >= spans["first"]) & (said.place <= spans["last"])), "left")
+        & (said.place >= spans["from"]) & (said.place <= spans["to"])), "left")
     spans = spans.groupBy("doc_id", "t", "template", "label", "first", "last", "coverage").agg(
         F.sort_array(F.collect_set("word")).alias("said"))
     wanted = F.lit(None).cast("array<string>")

@@ -138,3 +138,35 @@ def test_sentences_of_other_scripts_end(spark):
     rows = [(line + m,) for m in marks] + [(line + "\u0964\u201D",), (line + " ",)]
     found = [r.f for r in spark.createDataFrame(rows, "x string").select(got(F.col("x")).alias("f")).collect()]
     assert found == [None] * 7 + ["punctuation"]
+
+
+def test_common_short_notices_and_bodies(spark):
+    gpl = "you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+    notices = [
+        ("Licensed under the Apache License 2.0", "apache-2.0"),
+        ("Apache License, Version 1.1", ""),
+        ("SPDX-License-Identifier: Apache-2.0", "apache-2.0"), ("SPDX-License-Identifier: GPL-2.0-only", "gpl-2.0"),
+        ("SPDX-License-Identifier: GPL-3.0-or-later", "gpl-3.0"), ("SPDX-License-Identifier: MIT", "mit"),
+        ("SPDX-License-Identifier: BSD-2-Clause", "bsd-2-clause"),
+        ("This project uses the MIT License", "mit"), ("distributed under the MIT license.", "mit"),
+        ("GNU GPL version 3", "gpl-3.0"), ("GNU GPL version 2", "gpl-2.0"), ("GNU GPL version", ""),
+        ("GNU General Public License, version 3", "gpl,gpl-3.0"),
+        ("GNU Lesser General Public License version 3", "gpl,lgpl"),
+        ("GNU Affero General Public License version 3", "agpl,gpl"),
+        ("BSD 3-Clause License", "bsd-3-clause"), ("BSD 2-Clause License", "bsd-2-clause"),
+        ("Creative Commons Attribution-ShareAlike 4.0 International", "cc-by-sa"),
+        ("Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International", ""),
+        ("This program is free software: " + gpl.format("", 3), "gpl,gpl-3.0"),
+        ("This program is free software; " + gpl.format("", 2), "gpl,gpl-2.0"),
+        ("This program is free software; " + gpl.format("Lesser ", 2), "gpl,lgpl"),
+        ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", "isc"),
+        ("the terms of the contract and the name of the holder", ""),
+    ]
+    rows = [
+        (len(notices) * k + i, lead + text + tail, "en", "s")
+        for k, (lead, tail) in enumerate((("", ""), ("river stone cloud " * 30, " walks over 3 hills")))
+        for i, (text, _) in enumerate(notices)]
+    got = {r.doc_id: r.labels for r in diagonal_scan.scan_licenses(frame(spark, rows)).collect()}
+    wrong = [(text, got[k * len(notices) + i]) for k in (0, 1) for i, (text, label) in enumerate(notices)
+             if got[k * len(notices) + i] != label]
+    assert wrong == []
