@@ -69,7 +69,7 @@ def op4_context_mixing_scores(spark: SparkSession, folder: str) -> DataFrame:
     out = mixing_lm.score_documents(docs, train=train)
     return out.select(
         "doc_id", _held_out(10, 0).alias("held_out"), "n_tokens", "n_known", "train_tokens",
-        "base_score", "score")
+        "base_score", "score", "bits_per_byte")
 
 
 def op5_kneser_ney_toxicity(spark: SparkSession, folder: str) -> DataFrame:

@@ -201,6 +201,10 @@ def test_base_scores_equal_brute_force(spark, monkeypatch):
         want[(i, len(own), sum(counts[w] > 0 for w in own), n, round(s, 5))] += 1
     assert Counter((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5)) for r in got) == want
     assert all(r.score < 0 for r in got)
+    size = Counter()
+    for i, t, *_ in rows:
+        size[(i, max(1, sum(len(w) + 1 for w in words(t))))] += 1
+    assert Counter((r.doc_id, round(-r.score * math.log2(10) / r.bits_per_byte)) for r in got) == size
     assert mixing_lm.score_documents(frame(spark, []), train="true").collect() == []
 
 
@@ -219,33 +223,6 @@ def test_spelling_is_a_probability():
         assert np.allclose(np.exp(scores - start).sum(0), 1, atol=1e-3)
 
 
-def test_returning_words_are_foretold_one_by_one():
-    words_of = {0: "abacab", 2: "d", 3: "eeee"}
-    want = np.zeros(4)
-    times, doc = [], []
-    for i, own in words_of.items():
-        each = []
-        for r in mixing_lm.RETURNS:
-            p, seen = 1.0, Counter()
-            for n, w in enumerate(own):
-                p *= (seen[w] or r) / (n + r)
-                seen[w] += 1
-            each.append(p)
-        want[i] = math.log(sum(each) / len(each))
-        times += list(Counter(own).values())
-        doc += [i] * len(set(own))
-    assert np.allclose(mixing_lm._returns(np.array(times), np.array(doc), 4), want)
-
-
-def test_choices_are_foretold_one_by_one():
-    p, a, b = 1.0, 16 * 0.7, 16 * 0.3
-    for common in (1, 0, 1, 1):
-        p *= (a if common else b) / (a + b)
-        a, b = a + common, b + 1 - common
-    got = mixing_lm._choices(np.array([3, 0]), np.array([1, 0]), 0.7)
-    assert np.allclose(got, [math.log(p), 0.0])
-
-
 def test_spelling_stream():
     low = np.frombuffer(b"ab xyz", np.uint8)
     stream, bounds = mixing_lm.spelling(low, np.array([3, 0]), np.array([6, 2]))
@@ -295,6 +272,26 @@ def test_texts_are_coded_in_order_with_weights_of_their_own():
     assert np.allclose(mixing_lm.score_streams(model, stream, bounds)[:, 0], want, rtol=1e-4)
 
 
+def test_bounded_steps_give_equal_scores(monkeypatch):
+    """Steps hold whole rows, so any bound gives the same sums."""
+    rng = np.random.default_rng(6)
+    tree = mixing_lm.Tree(np.ones(256))
+    bits = (9, 10, 10, 9)
+    tables = [rng.integers(-60, 60, 1 << b).astype(np.int8) for b in bits]
+    weights = rng.normal(size=(mixing_lm.GATES, 5, 1)).astype(np.float32) / 3
+    model = mixing_lm.Model(tree, tables, weights, bits, np.empty(0, np.uint64), np.empty(0), 1)
+    size = np.array([1, 700, 3, 256, 257, 40, 1, 1000])
+    stream = rng.integers(32, 123, size.sum(), dtype=np.uint8)
+    bounds = np.append(0, np.cumsum(size))
+    whole = mixing_lm.score_streams(model, stream, bounds)
+    one = [mixing_lm.score_streams(model, stream[a:b], np.array([0, b - a]))[0] for a, b in zip(bounds, bounds[1:])]
+    assert np.allclose(whole, one, rtol=1e-6)
+    monkeypatch.setattr(mixing_lm, "STEP_DECISIONS", 1)
+    assert np.allclose(mixing_lm.score_streams(model, stream, bounds), whole, rtol=1e-9)
+    monkeypatch.setattr(mixing_lm, "STEP_DECISIONS", 8 * 300)
+    assert np.allclose(mixing_lm.score_streams(model, stream, bounds), whole, rtol=1e-9)
+
+
 def test_mixing_scores_depend_on_word_order(spark):
     """Common words are spelt as well, after the words before them."""
     learnt = "the quiet river walks over the old stone bridge every morning "
