@@ -22,23 +22,38 @@ BOILERPLATE = (
 SENTENCE_END = r"[.!?…。！？:;\u0964\u0965\u061F\u06D4\u1362\u104B][\"'”’»)\]]*(?:\s|$)"
 MARKS = r"[^!-/:-@\[-`{-~]+"
 SEPARATORS = r"(?:^|\s)[|>»·•/–-](?=\s|$)"
+# How a line begins that carries on the one above: in lower case, or, below a full line, with any
+# letter or digit (a noun or a name).
+GOES_ON = r"^[ \t]*[\"'“„‘«(\[]*\p{Ll}"
+GOES_ON_BELOW_FULL = r"^[ \t]*[\"'“„‘«(\[]*[\p{L}\p{N}]"
+FULL_LINE = 55
 
 
-def line_failure(line: Column) -> Column:
+def _wraps(line: Column, below: Column) -> Column:
+    """Whether the sentence of ``line`` goes on in the line ``below``, as in hard-wrapped prose."""
+    full = F.length(line) >= FULL_LINE
+    return F.coalesce(below.rlike(GOES_ON) | (full & below.rlike(GOES_ON_BELOW_FULL)), F.lit(False))
+
+
+def line_failure(line: Column, below: Column | None = None) -> Column:
     """Name of the rule that a line with words fails; NULL for a good line.
 
     Navigation: three or more stand-alone separators, at least one per four words. Punctuation:
-    more marks than words, or five or more words without the end of a sentence. Boilerplate:
-    a phrase of page furniture in a line of at most 30 words.
+    more marks than words, or five or more words without the end of a sentence, unless the line
+    directly ``below`` carries the sentence on. Boilerplate: a phrase of page furniture in a line of
+    at most 30 words.
     """
     words = F.regexp_count(line, F.lit(WORD))
     separators = F.regexp_count(line, F.lit(SEPARATORS))
     marks = F.length(F.regexp_replace(line, MARKS, ""))
     phrase = F.lower(line).rlike("|".join(BOILERPLATE))
+    open_end = (words >= 5) & ~line.rlike(SENTENCE_END)
+    if below is not None:
+        open_end = open_end & ~_wraps(line, below)
     return (
         F.when((separators >= 3) & (separators * 4 >= words), "navigation")
         .when(marks > words, "punctuation")
-        .when((words >= 5) & ~line.rlike(SENTENCE_END), "punctuation")
+        .when(open_end, "punctuation")
         .when((words <= 30) & phrase, "boilerplate")
     )
 
@@ -116,8 +131,8 @@ def clean_documents(
     that occur twice or more). ``base_failed``: fewer than ``least_words`` words, or more than
     ``most_repeated`` % of them repeated.
 
-    Then each line is judged by ``line_failure`` and failed lines are removed, which gives
-    ``clean_text``. A document is kept when it has not failed and its good lines hold at least
+    Then each line is judged by ``line_failure``, with the line below it, and failed lines are removed,
+    which gives ``clean_text``. A document is kept when it has not failed and its good lines hold at least
     ``least_kept`` of its word characters.
 
     A NULL or empty text has no words: counts 0, ``base_failed``, not kept, empty clean text.
@@ -129,9 +144,9 @@ def clean_documents(
         "doc_id", "text", F.array_remove(F.split("text", SPACE), "").alias("words"),
         F.split("text", "\n").alias("lines"))
     words, lines = F.col("words"), F.col("lines")
-    judged = F.transform(
-        F.filter(lines, lambda x: x.rlike(WORD)),
-        lambda x: F.struct(x.alias("line"), line_failure(x).alias("failed")))
+    # Lines without words are NULL here and leave; they still part what is above from what is below.
+    judged = F.filter(F.transform(lines, lambda x, i: F.when(x.rlike(WORD), F.struct(
+        x.alias("line"), line_failure(x, F.get(lines, i + 1)).alias("failed")))), lambda x: x.isNotNull())
     base = base.select(
         "doc_id", "words", judged.alias("judged"), _windows(words).alias("windows"),
         F.length(F.regexp_replace("text", SYMBOLS, "")).cast("long").alias("n_symbols"))

@@ -2,6 +2,9 @@ from __future__ import annotations
 
 import random
 import re
+import string
+import textwrap
+import unicodedata
 from collections import Counter
 
 from helpers import edge_texts, frame, sentence
@@ -51,6 +54,78 @@ def test_line_verdicts(spark):
     assert got[4].clean_text == prose and got[4].n_lines_removed == 2
 
 
+def brute_failure(line, below):
+    tokens = [t.decode() for t in line.encode().split()]
+    separators = sum(t in "|>»·•/–-" and len(t) == 1 for t in tokens)
+    if separators >= 3 and separators * 4 >= len(tokens):
+        return "navigation"
+    if sum(c in string.punctuation for c in line) > len(tokens):
+        return "punctuation"
+    bare = [t.rstrip("\"'”’»)]") for t in tokens]
+    ended = any(b and b[-1] in ".!?…。！？:;\u0964\u0965\u061F\u06D4\u1362\u104B" for b in bare)
+    first = unicodedata.category((below.lstrip(" \t").lstrip("\"'“„‘«([") or " ")[0])
+    wraps = first == "Ll" or (len(line) >= 55 and first[0] in "LN")
+    if len(tokens) >= 5 and not ended and not wraps:
+        return "punctuation"
+    if len(tokens) <= 30 and any(p in line.lower() for p in line_rules.BOILERPLATE):
+        return "boilerplate"
+    return None
+
+
+def brute_clean(text):
+    lines = (text or "").split("\n")
+    good = [
+        x for x, below in zip(lines, [*lines[1:], ""])
+        if x.encode().split() and brute_failure(x, below) is None]
+
+    def size(x):
+        return sum(len(t.decode()) for t in x.encode().split())
+
+    kept = not brute_counts(text)[-1] and size("\n".join(good)) >= 0.5 * size(text or "")
+    return kept, "\n".join(good)
+
+
+def test_verdicts_equal_brute_force(spark):
+    rng = random.Random(11)
+    tails = ["", ".", "!", '."', "?)", " |", ";", "…", " »"]
+    heads = ["", "“", "(", "- ", "| ", "Home | ", "3 ", "É", "é", "\t", "#"]
+
+    def line():
+        kind = rng.random()
+        if kind < 0.1:
+            return rng.choice(["", " ", "\t "])
+        if kind < 0.2:
+            return rng.choice(["Home | About | Contact | Help", "Click here to read more", "a / b / c / d", "*** --- ###"])
+        words = [f"w{rng.randrange(4000)}" for _ in range(rng.choice((1, 4, 5, 9, 14, 35)))]
+        words[0] = rng.choice((str.upper, str.lower))(words[0])
+        return rng.choice(heads) + " ".join(words) + rng.choice(tails)
+
+    rows = edge_texts() + [
+        (1000 + i, "\n".join(line() for _ in range(rng.randrange(1, 25))), "en", "s") for i in range(400)]
+    got = Counter((r.doc_id, r.kept, r.clean_text) for r in line_rules.clean_documents(frame(spark, rows)).collect())
+    assert got == Counter((i, *brute_clean(t)) for i, t, *_ in rows)
+    assert {k for _, k, _ in got} == {True, False}
+
+
+def test_hard_wrapped_prose_stays(spark):
+    """Lines of wrapped prose are one sentence; headlines and open last lines still fail."""
+    rng = random.Random(5)
+    prose = " ".join(
+        " ".join(f"{w}{i}{j}" for j, w in enumerate(sentence(rng, 30).split())) + "." for i in range(6))
+    nouns = re.sub(r"\b[a-z]+(\d*[02468])\b", lambda m: m.group().capitalize(), prose)
+    headlines = "\n".join(f"Ten things to know about item{i}" for i in range(20))
+    rows = [
+        (1, "\n".join(textwrap.wrap(prose, 70)), "en", "s"), (2, "\n".join(textwrap.wrap(nouns, 70)), "de", "s"),
+        (3, headlines, "en", "s"),
+        (4, "\n\n".join(textwrap.wrap(prose, 70)), "en", "s"),
+    ]
+    got = {r.doc_id: r for r in line_rules.clean_documents(frame(spark, rows)).collect()}
+    assert got[1].kept and got[1].n_lines_removed == 0
+    assert got[2].kept and got[2].n_lines_removed <= 2
+    assert not got[3].kept and got[3].clean_text == ""
+    assert not got[4].kept
+
+
 def test_windows_with_equal_short_keys(spark):
     """Hashes that agree in their leading bits are told apart by the wider keys."""
     from pyspark.sql import functions as F
