@@ -50,3 +50,21 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return nodes.union(roots)
+
+
+def extended(comps: DataFrame, links: DataFrame, a: str, b: str) -> DataFrame:
+    """``(node, component)`` of ``comps``, which came from earlier links, and of further ``links``.
+
+    Further links are taken between the components of their ends, so only what they connect is
+    contracted, and not all earlier links again. Components keep their smallest node as name.
+    """
+    ends = links.select(F.col(a).alias("a"), F.col(b).alias("b"))
+    for side in "ab":
+        own = comps.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
+        ends = ends.join(own, side, "left")
+    ends = ends.select(F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b"))
+    merged = stage_table(components(ends, "a", "b"), "merged")
+    moved = merged.select(F.col("node").alias("component"), F.col("component").alias("moved"))
+    known = comps.join(moved, "component", "left").select(
+        "node", F.coalesce("moved", "component").alias("component"))
+    return known.union(merged.join(comps, "node", "left_anti").select("node", "component"))

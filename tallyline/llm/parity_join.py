@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.llm import words as wd
-from tallyline.llm.components import components
+from tallyline.llm.components import components, extended
 from tallyline.sources.tables import drop_staged, forget_shuffles, stage_table
 
 WORDS, SIMILARITY = 5, (8, 10)
@@ -303,13 +303,12 @@ def jaccard_classes(
 
     sketches = scan(
         shared.select("f").distinct(), _sketch_batch, _SKETCHES, "sketches")
-    sets = None
-    links, tried, comps = None, None, None
+    sets, tried, comps = None, None, None
 
     def prove(pairs: DataFrame, among: DataFrame) -> None:
         """Verify pairs on whole sets. Those of all documents in ``among`` are read at once, as
         reading them is a pass over the documents."""
-        nonlocal sets, links, comps
+        nonlocal sets, comps
         nodes = among.select(F.col("a").alias("f")).union(among.select("b")).distinct()
         if sets is not None:
             nodes = nodes.join(sets.select("f"), "f", "left_anti")
@@ -319,10 +318,12 @@ def jaccard_classes(
             sets = more if sets is None else sets.union(more)
         found = stage_table(_verify(pairs, sets, p, q), "links")
         drop_staged(nodes)
-        links = found if links is None else links.union(found)
-        last, comps = comps, stage_table(components(links, "a", "b"), "comps")
-        if last is not None:
-            drop_staged(last)
+        last = comps
+        comps = components(found, "a", "b") if last is None else extended(last, found, "a", "b")
+        comps = stage_table(comps, "comps")
+        for old in (last, found):
+            if old is not None:
+                drop_staged(old)
         forget_shuffles(docs.sparkSession)
 
     apart = shared.withColumn("c", F.col("f"))

@@ -9,6 +9,7 @@ from helpers import components, edge_texts, frame, sentence, words
 
 from tallyline.llm import metric_join, parity_join
 from tallyline.llm.components import components as spark_components
+from tallyline.llm.components import extended
 
 
 def shingles(text, k):
@@ -81,6 +82,20 @@ def test_components_of_a_long_path(spark):
     assert spark_components(links.limit(0), "a", "b").collect() == []
 
 
+def test_components_extended_link_by_link_equal_those_of_all_links(spark):
+    rng = random.Random(9)
+    batches = [[(rng.randrange(60), rng.randrange(60)) for _ in range(n)] for n in (12, 1, 0, 9, 14)]
+    batches += [[(70, 71), (71, 70)], [(70, 3)], [(80, 80)]]
+    comps, links = None, []
+    for batch in batches:
+        links += [(a, b) for a, b in batch if a != b]
+        new = spark.createDataFrame(batch, "a long, b long")
+        comps = spark_components(new, "a", "b") if comps is None else extended(comps, new, "a", "b")
+        nodes = {x for pair in links for x in pair}
+        got = comps.collect()
+        assert len(got) == len(nodes) and {r.node: r.component for r in got} == components(nodes, links)
+
+
 def brute_vectors(rows, least):
     ok = {}
     for i, v, label in rows:
