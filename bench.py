@@ -18,7 +18,7 @@ from tallyline.registry.base import Inputs
 from tallyline.session import local_session
 from tallyline.settings import Settings
 from tallyline.sources.tables import new_path, write_csv
-from tallyline.sources.warehouse import LOAD_ORDER, TEST_DOMAINS
+from tallyline.sources.warehouse import LOAD_ORDER, LOAD_TYPES, TEST_DOMAINS
 
 HEADLINE = (
     "core_sales", "rpt_monthly_revenue", "vw_revenue_trends", "vw_regional_performance",
@@ -41,7 +41,7 @@ def main() -> None:
     timings: dict[str, float] = {}
     results = jobs.run_all(
         spark, raw, new_path(spark, "bench-run"), dt.date(2024, 1, 31),
-        settings=Settings(domains=TEST_DOMAINS), order=LOAD_ORDER,
+        settings=Settings(domains=TEST_DOMAINS), order=LOAD_ORDER, order_types=LOAD_TYPES,
     ).collect()
     for row in results:
         if not row.success:

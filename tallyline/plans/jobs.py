@@ -11,12 +11,13 @@ from __future__ import annotations
 import datetime as dt
 import secrets
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyline.operators import anomalies, core, ingest, kpis, marts, metrics, runlog, staging
 from tallyline.operators import views
@@ -207,6 +208,7 @@ def run_all(
     settings: Settings = Settings(),
     order: Sequence[str] = FIRST_LOADED,
     loaded_at: dt.datetime | None = None,
+    order_types: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Run the stages in order; returns ``(stage, success, records, rejected, seconds, error)``.
 
@@ -214,6 +216,9 @@ def run_all(
     pass. With ``stage="all"`` the run stops at the first stage that fails, by an error or by
     loading nothing. Running again over the same folder replaces the same tables; a stage that
     fails leaves them as they were. Every batch has one time in its stamp columns.
+
+    ``order`` may name columns of the file that a staging row does not have. They are text, and
+    compared as such, unless ``order_types`` gives their type.
     """
     folder = RunFolder(root)
     store = folder.store(spark)
@@ -225,7 +230,10 @@ def run_all(
         parsed = ingest.parse(raw, settings.date_formats)
         told = ingest.both_kinds(parsed, settings.domains, settings.source_system, at)
         beyond = [c for c in order if c not in STAGED_SALES.fieldNames()]
-        typed = conform(told, STAGED_SALES, keep=[*beyond, "rejected", "is_rejected"])
+        form = T.StructType(list(STAGED_SALES.fields))
+        for c in beyond:
+            form.add(c, (order_types or {}).get(c, "string"))
+        typed = conform(told, form, keep=["rejected", "is_rejected"])
         staged = typed.select(*STAGED_SALES.fieldNames(), *beyond).schema
         with store.begin() as txn:
             rows = txn.write_split(typed, "is_rejected", {

@@ -15,7 +15,7 @@ from tallyline.registry.sql import sql
 from tallyline.schemas import OPERATIONAL, REPORTING_SUMMARY, STAGED_SALES
 from tallyline.settings import Settings
 from tallyline.sources.tables import new_path
-from tallyline.sources.warehouse import LOAD_ORDER, TEST_DOMAINS
+from tallyline.sources.warehouse import LOAD_ORDER, LOAD_TYPES, TEST_DOMAINS
 
 SETTINGS = Settings(domains=TEST_DOMAINS)
 
@@ -99,7 +99,7 @@ def run_pipeline(src: Inputs) -> DataFrame:
     region and year.)"""
     results = jobs.run_all(
         src.spark, written_csv(src), new_path(src.spark, "run"), dt.date(2024, 1, 31),
-        settings=SETTINGS, order=LOAD_ORDER,
+        settings=SETTINGS, order=LOAD_ORDER, order_types=LOAD_TYPES,
     )
     return results.select("stage", "success", "records")
 
@@ -114,7 +114,7 @@ def ingest_rejects_table(src: Inputs) -> DataFrame:
     folder = jobs.RunFolder(new_path(src.spark, "run"))
     jobs.run_all(
         src.spark, written_csv(src), folder.root, dt.date(2024, 1, 31), stage="ingest",
-        settings=SETTINGS, order=LOAD_ORDER)
+        settings=SETTINGS, order=LOAD_ORDER, order_types=LOAD_TYPES)
     bad, good = (folder.read(src.spark, n) for n in ("stg_sales_rejects", "stg_sales_raw"))
     tags = bad.select(F.size("reject_reasons").alias("n")).union(good.select(F.lit(0)))
     return tags.agg(

@@ -46,6 +46,8 @@ TEST_DOMAINS = Domains(
 )
 # Later-loaded copies of a transaction lose; the other columns settle equal load times.
 LOAD_ORDER = ("loaded_at", "l_partkey", "l_suppkey", "revenue", "units_sold")
+# Types of those that are not staging columns; a written file has them as text.
+LOAD_TYPES = {"l_partkey": "long", "l_suppkey": "long"}
 
 
 class Warehouse:

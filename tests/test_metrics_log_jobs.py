@@ -212,6 +212,20 @@ def test_full_run_is_repeatable(spark, tmp_path):
     assert {r.status for r in log.collect()} == {"Completed"}
 
 
+def test_columns_of_the_file_order_copies_by_their_type(spark, tmp_path):
+    raw, names = str(tmp_path / "raw"), (*RAW_SALES.fieldNames(), "l_partkey")
+    copies = [(*raw_row(revenue=revenue), part) for revenue, part in (("10", "10"), ("9", "9"))]
+    tables.write_csv(spark.createDataFrame(copies, ", ".join(f"{n} string" for n in names)), raw)
+    kept = {}
+    for kind in (None, {"l_partkey": "long"}):
+        root = str(tmp_path / f"run-{kind is None}")
+        results = jobs.run_all(
+            spark, raw, root, DAY, order=("loaded_at", "l_partkey"), order_types=kind).collect()
+        assert all(r.success for r in results)
+        kept[kind is None] = rows(jobs.RunFolder(root).read(spark, "core_sales"), "revenue")
+    assert kept == {False: [(D("9.00"),)], True: [(D("10.00"),)]}
+
+
 def test_run_stops_at_the_failed_stage(spark, tmp_path):
     raw = str(tmp_path / "raw")
     write_raw(spark, raw, [{"revenue": "-1"}])
