@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from tallyline.operators import anomalies, core, ingest, kpis, marts, metrics, runlog, staging
 from tallyline.operators import views
 from tallyline.schemas import OPERATIONAL, STAGED_SALES
+from tallyline.session import compile_wide_projections
 from tallyline.settings import Settings
 from tallyline.sources.operational import extract_day
 from tallyline.sources.sales_csv import read_sales_csv, require_columns
@@ -220,6 +221,7 @@ def run_all(
     ``order`` may name columns of the file that a staging row does not have. They are text, and
     compared as such, unless ``order_types`` gives their type.
     """
+    compile_wide_projections(spark)
     folder = RunFolder(root)
     store = folder.store(spark)
     log = AuditLog(spark, folder.table("pipeline_log"), run_date)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyline.operators import anomalies, core, ingest, marts, runlog, staging
+from tallyline.session import compile_wide_projections
 from tallyline.sources.tables import stage_table
 from tallyline.sources.warehouse import LOAD_ORDER, TEST_DOMAINS, Warehouse
 
@@ -65,7 +66,12 @@ def query(name: str, sql: str | None = None):
     def register(make: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = lambda spark, folder: make(Inputs(spark, folder))
+
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            compile_wide_projections(spark)
+            return make(Inputs(spark, folder))
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return make
