@@ -165,6 +165,7 @@ class Transaction:
         self.store, self.base = store, store.snapshot()
         self.tables = dict(self.base.tables)
         self.rows: dict[str, int] = {}
+        self._last: dict[str, Table] = {}
         self._own: list[str] = []
 
     def _new_root(self, name: str) -> str:
@@ -202,6 +203,7 @@ class Transaction:
         for folder in made:
             folders.setdefault(folder, []).append(root)
         self.tables[name] = Table(df.schema.json(), partition_by, folders, extra={"rows": self.rows[name]} | (extra or {}))
+        self._last[name] = Table(df.schema.json(), partition_by, {folder: [root] for folder in made})
         return self.rows[name]
 
     def write_split(
@@ -233,6 +235,10 @@ class Transaction:
             raise NoSuchTable(name)
         return self.store.frame(self.tables[name])
 
+    def written(self, name: str) -> DataFrame:
+        """What this transaction's last write of a table has added to it."""
+        return self.store.frame(self._last[name])
+
     def commit(self) -> Snapshot:
         return self.store.publish(self.base, self.tables)
 

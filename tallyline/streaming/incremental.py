@@ -61,10 +61,6 @@ def merge_by_key(
 FACT, CUBE = "core_sales", "revenue_cube"
 
 
-def _negated(cube: DataFrame) -> DataFrame:
-    return cube.withColumns({c: (-F.col(c)).cast(t) for c, t in marts.CUBE_SUMS.items()})
-
-
 def _added(cube: DataFrame) -> DataFrame:
     """Equal keys added up; a key without transactions left is gone."""
     total = cube.groupBy(*marts.CUBE_KEYS).agg(
@@ -82,11 +78,15 @@ def apply_batch(
 ) -> dict[str, int]:
     """Merge a batch of staged rows into the fact and bring the marts up to date.
 
-    Every sum of the revenue cube can be taken back: a new row is added to it, a row that it
-    replaces is subtracted, all in exact decimals. The marts are then rolled up from the cube, for
-    the years that the batch touches; what lies in other years is neither read nor written. Fact,
-    cube and marts are partitioned by year and published in one snapshot. Batches have to come in
-    order of loading; a batch that is applied again changes nothing.
+    With ``keep_first`` the new rows are added to the revenue cube, in exact decimals. With
+    ``keep_latest`` the years that the batch touches, also those of rows that it replaces, are
+    written anew, and their cube is made from them. The marts are then rolled up from the cube, for
+    these years; what lies in other years is neither read (but for its keys) nor written. Fact, cube
+    and marts are partitioned by year and published in one snapshot. Batches have to come in order
+    of loading; a batch that is applied again changes nothing.
+
+    A row of the fact is shuffled once, to meet the other rows of its key, and written as it lies
+    then: each task leaves a file per year.
 
     Returns the rows added, the rows replaced and the years touched. The result equals the marts
     of a full refresh over all rows, under the same ``policy`` as ``merge_by_key``.
@@ -100,38 +100,38 @@ def apply_batch(
         else:
             latest = Window.partitionBy(key).orderBy(*(F.desc(c) for c in order))
             single = batch.withColumn("_n", F.row_number().over(latest)).where("_n = 1").drop("_n")
-        fresh = stage_table(core.enrich(single), "fresh")
-        known = FACT in txn.tables
-        taken = fresh.limit(0)
-        if known and policy == "keep_first":
-            # The batch is small beside the fact: its keys find theirs, not the other way round.
-            there = txn.read(FACT).select(key).join(fresh.select(key), key, "left_semi")
-            fresh = stage_table(fresh.join(stage_table(there, "there"), key, "left_anti"), "new")
-        elif known:
-            same = txn.read(FACT).drop("transformed_at").join(fresh.select(key), key, "left_semi")
-            taken = stage_table(same.select(*fresh.columns), "taken")
-        plus, minus = marts.revenue_cube(fresh), _negated(marts.revenue_cube(taken))
-        delta = stage_table(plus.unionByName(minus), "delta")
-        years = [r.txn_year for r in delta.select("txn_year").distinct().collect()]
-
-        def touched(name: str) -> DataFrame | None:
-            return txn.read(name).filter(kpis.years_of(years)) if name in txn.tables else None
-
         stamp = F.lit(at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).cast("timestamp")
-        new = fresh.withColumn("transformed_at", stamp)
-        if policy == "keep_latest" and known:
-            kept = touched(FACT).join(fresh.select(key), key, "left_anti")
-            new = kept.unionByName(new)
-            txn.write(FACT, new.hint("rebalance", F.col("txn_year")), "txn_year", replace=years)
+        new = core.enrich(single).withColumn("transformed_at", stamp)
+        replaced = 0
+        if FACT in txn.tables and policy == "keep_latest":
+            # Read for its keys and its years, before it is written.
+            new = stage_table(new, "fresh")
+            keys = new.select(key)
+            taken = stage_table(
+                txn.read(FACT).select(key, "txn_year").join(keys, key, "left_semi")
+                .groupBy("txn_year").agg(F.count("*").alias("n")), "taken").collect()
+            replaced = sum(r.n for r in taken)
+            years = {r.txn_year for r in new.select("txn_year").distinct().collect()}
+            years = sorted(years | {r.txn_year for r in taken}, key=str)
+            kept = txn.read(FACT).filter(kpis.years_of(years)).join(keys, key, "left_anti")
+            added = new.count()
+            txn.write(FACT, kept.unionByName(new), "txn_year", replace=years)
+            # The years are new as a whole, so their cube is made from what was written.
+            cube = marts.revenue_cube(txn.read(FACT).filter(kpis.years_of(years)))
         else:
-            txn.write(FACT, new.hint("rebalance", F.col("txn_year")), "txn_year", append=True)
-        before = touched(CUBE)
-        cube = _added(delta if before is None else before.unionByName(delta))
+            if FACT in txn.tables:
+                # The batch lies by key already, from its own copies: only keys of the fact move.
+                new = new.join(txn.read(FACT).select(key), key, "left_anti")
+            added = txn.write(FACT, new, "txn_year", append=True)
+            delta = stage_table(marts.revenue_cube(txn.written(FACT)), "delta")
+            years = [r.txn_year for r in delta.select("txn_year").distinct().collect()]
+            cube = delta if CUBE not in txn.tables else _added(
+                txn.read(CUBE).filter(kpis.years_of(years)).unionByName(delta))
         txn.write(CUBE, cube.repartition("txn_year"), "txn_year", replace=years)
         cube = txn.read(CUBE).filter(kpis.years_of(years))
         for name, mart in marts.all_marts(cube).items():
             mart = mart.withColumn("refreshed_at", stamp)
             txn.write(name, mart.repartition("txn_year"), "txn_year", replace=years)
-        counts = {"added": fresh.count(), "replaced": taken.count(), "years": len(years)}
+        counts = {"added": added, "replaced": replaced, "years": len(years)}
     store.expire(keep=3)
     return counts

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import random
+from types import SimpleNamespace
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -17,11 +18,12 @@ from tallyline.functions.ranking import rank_descending
 from tallyline.operators import core, kpis, marts, metrics, runlog, staging
 from tallyline.plans import jobs
 from tallyline.schemas import RUN_LOG
+from tallyline.session import compile_wide_projections
 from tallyline.settings import Settings
 from tallyline.sources import files, tables
 from tallyline.sources.quoted_csv import records
 from tallyline.sources.sales_csv import read_sales_csv
-from tallyline.sources.snapshots import NoSuchTable, StaleSnapshot, TableStore
+from tallyline.sources.snapshots import NoSuchTable, StaleSnapshot, TableStore, Transaction
 from tallyline.streaming import incremental
 
 
@@ -194,6 +196,35 @@ def test_incremental_marts_equal_a_full_refresh(spark, tmp_path, policy):
     assert policy == "keep_latest" or counts["added"] == 0
 
 
+@pytest.mark.parametrize("policy", ["keep_first", "keep_latest"])
+def test_rows_of_the_fact_are_not_dealt_anew_to_be_written(spark, tmp_path, monkeypatch, policy):
+    store, plans = TableStore(spark, str(tmp_path / "store")), []
+    write = Transaction.write
+
+    def watched(self, name, df, *more, **named):
+        if name == "core_sales":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(self, name, df, *more, **named)
+
+    monkeypatch.setattr(Transaction, "write", watched)
+    for batch in batches(spark):
+        incremental.apply_batch(store, batch, policy=policy)
+    assert len(plans) == 3 and not any("Repartition" in p or "Rebalance" in p for p in plans)
+
+
+def test_wide_projections_are_compiled_in_a_session_of_any_kind():
+    def session(**given):
+        said = {}
+        return said, SimpleNamespace(
+            sparkContext=SimpleNamespace(getConf=lambda: given), conf=SimpleNamespace(set=said.__setitem__))
+
+    key = "spark.sql.codegen.hugeMethodLimit"
+    for given, wanted in (({}, {key: "8000"}), ({key: "65535"}, {})):
+        said, one_ = session(**given)
+        compile_wide_projections(one_)
+        assert said == wanted
+
+
 # ---- CSV ----------------------------------------------------------------------------------
 
 ODD_FIELDS = [
