@@ -190,6 +190,66 @@ def _count_task(shared, table_bits: tuple[int, ...]):
     return run
 
 
+def _byte_task(batches):
+    """How often the coded stream has each byte."""
+    seen = np.zeros(256, np.int64)
+    for batch in batches:
+        for _, _, data, at in wd.chunks(batch.column(0)):
+            low = wd.LOWER[data]
+            starts, ends, doc = wd.spans(low, at, wd.NOT_SPACE)
+            stream, bounds = spelling(low, starts, ends)
+            seen += np.bincount(stream, minlength=256)
+            # The blank after a row's last word is its end; a row without a word is an end alone.
+            with_words = len(np.unique(doc))
+            seen[_BLANK] -= with_words
+            seen[_END_BYTE] += len(at) - 1
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(256), pa.int32()), pa.array(seen)], ["byte", "n"])
+
+
+def _step_task(shared, table_bits: tuple[int, ...]):
+    """Gradient and curvature of the fit at given weights, summed over all texts of the task."""
+
+    def run(batches):
+        tree, counts, weights = wd.shared_value(shared)
+        width = len(table_bits) + 1
+        gradient, hessian = np.zeros((GATES, width)), np.zeros((GATES, width, width))
+        for batch in batches:
+            for _, _, data, at in wd.chunks(batch.column(0)):
+                stream, bounds, _, _ = text_stream(data, at)
+                bases = context_bases(stream, bounds)
+                place, kind = _kinds(stream, bases)
+                times = np.bincount(kind, minlength=len(place)).astype(np.float32)
+                bases = [base[place] for base in bases]
+                for live, x, bit, gate in _left_out(tree, counts, table_bits, stream[place], bases):
+                    p = 1 / (1 + np.exp(-np.clip((x * weights[gate]).sum(1), -20, 20)))
+                    n = times[live]
+                    s, miss = p * (1 - p) * n, (bit - p) * n
+                    for g in np.unique(gate):
+                        own = x[gate == g]
+                        gradient[g] += miss[gate == g] @ own
+                        hessian[g] += (own * s[gate == g][:, None]).T @ own
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(GATES), pa.int32()),
+             pa.array([np.append(a, h).tolist() for a, h in zip(gradient, hessian)], pa.list_(pa.float64()))],
+            ["gate", "sums"])
+
+    return run
+
+
+def _left_out(tree, counts, table_bits, stream: np.ndarray, bases: list[np.ndarray]):
+    """For each depth of the tree: the bytes that reach it, what the predictors say of their
+    decisions once these are taken out of the counts, their bits, and the gates."""
+    for d, live, node, bit in _decisions(tree, stream):
+        x, bit = np.empty((len(live), len(table_bits) + 1), np.float32), bit.astype(np.int64)
+        for i, (base, table, bits) in enumerate(zip(bases, counts, table_bits)):
+            cell = _cells(base[live], node, bits)
+            n0, n1 = table[cell * 2] - (1 - bit), table[cell * 2 + 1] - bit
+            x[:, i] = _stretched(np.maximum(n0, 0), np.maximum(n1, 0))
+        x[:, -1] = _BIAS
+        yield live, x, bit, _gate(d, x)
+
+
 def _part(table: int, part: int, cells: bytes) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array([table], pa.int32()), pa.array([part], pa.int32()), pa.array([cells], pa.binary())],
@@ -384,8 +444,35 @@ def _score_task(shared):
     return run
 
 
+def refine_weights(base: DataFrame, tree: Tree, counts, table_bits, weights: np.ndarray) -> np.ndarray:
+    """Start weights after a Newton step over every training text, from the sample's weights.
+
+    At a place near the optimum one step over all texts is as good an estimate as the optimum
+    itself, so the sample only says where the step begins.
+    """
+    shared = wd.share(base.sparkSession, (tree, [c.astype(np.float32) for c in counts], weights[:, :, 0]))
+    sums = base.where("train").select("text").mapInArrow(
+        _step_task(shared, table_bits), "gate int, sums array<double>")
+    sums = sums.select("gate", F.posexplode("sums").alias("at", "x")).groupBy("gate", "at").agg(
+        F.sum("x").alias("x"))
+    width = weights.shape[1]
+    total = np.zeros((GATES, width * (width + 1)))
+    for r in sums.collect():
+        total[r.gate, r.at] = r.x
+    start = np.full(width, 0.3)
+    start[-1] = 0.0
+    out = weights.astype(np.float64)
+    for g in range(GATES):
+        gradient, hessian = total[g, :width], total[g, width:].reshape(width, width)
+        w = out[g, :, 0]
+        step = np.linalg.solve(hessian + 10.0 * np.eye(width), gradient - 10.0 * (w - start))
+        # A gate that the sample has hardly met begins far off; its step is kept within reach.
+        out[g, :, 0] = w + step / max(1.0, np.abs(step).max())
+    return out.astype(np.float32)
+
+
 def fit_weights(tree: Tree, counts: list[np.ndarray], table_bits, texts: list[str]) -> np.ndarray:
-    """Start weights per gate: logistic regression on texts of the training corpus.
+    """Weights per gate to begin with: logistic regression on texts of the training corpus.
 
     Each decision is taken out of the counts once, so they look as they would have before it.
     """
@@ -395,15 +482,7 @@ def fit_weights(tree: Tree, counts: list[np.ndarray], table_bits, texts: list[st
     weights = np.tile(start[:, None], (GATES, 1, 1))
     stream, bounds, _, _ = text_stream(*wd.text_bytes(pa.array(texts, pa.large_string())))
     bases = context_bases(stream, bounds) if len(stream) else []
-    parts = []
-    for d, live, node, bit in _decisions(tree, stream):
-        x, bit = np.empty((len(live), width), np.float32), bit.astype(np.int64)
-        for i, (base, table, bits) in enumerate(zip(bases, counts, table_bits)):
-            cell = _cells(base[live], node, bits)
-            n0, n1 = table[cell * 2] - (1 - bit), table[cell * 2 + 1] - bit
-            x[:, i] = _stretched(np.maximum(n0, 0), np.maximum(n1, 0))
-        x[:, -1] = _BIAS
-        parts.append((x, bit, _gate(d, x)))
+    parts = [(x, bit, gate) for _, x, bit, gate in _left_out(tree, counts, table_bits, stream, bases)]
     for g in range(GATES if parts else 0):
         x = np.concatenate([x[gate == g] for x, _, gate in parts])
         y = np.concatenate([bit[gate == g] for _, bit, gate in parts]).astype(np.float32)
@@ -435,11 +514,13 @@ def score_documents(
     predictors say nothing. Repeated rows each come back with equal values; a NULL id is allowed
     (its row is learnt from only if the condition holds). Other columns are ignored.
 
-    All training documents are counted. What is kept of them has a fixed size only in the hashed
-    tables (``table_bits``); the vocabulary is joined by a shuffle and grows with the corpus. The
-    sample of at most ``SAMPLE_ROWS`` texts of at most ``SAMPLE_TEXT_BYTES`` bytes that reaches the
-    driver shapes the tree, the common words and, as far as ``FIT_BYTES``, the start weights; where no
-    training text is that short, the tree is uniform and the weights keep their first values.
+    All training documents are counted, for the tree, the predictors and the words, and all of them
+    give the start weights their last step. What is kept of them has a fixed size only in the hashed
+    tables (``table_bits``); the vocabulary is joined by a shuffle and grows with the corpus. A
+    sample of at most ``SAMPLE_ROWS`` texts of at most ``SAMPLE_TEXT_BYTES`` bytes reaches the
+    driver. It says which words are counted in a table rather than by the shuffle, with equal
+    results, and as far as ``FIT_BYTES`` where the step of the weights begins (at fixed values where
+    no training text is that short).
     """
     spark = docs.sparkSession
     base = docs.select(
@@ -450,8 +531,9 @@ def score_documents(
     texts = [r.text for r in sample.orderBy(order).limit(SAMPLE_ROWS).select("text").collect()]
     column = pa.array(texts, pa.large_string())
     seen = np.zeros(256)
-    for _, _, data, at in wd.chunks(column):
-        seen += np.bincount(text_stream(data, at)[0], minlength=256)
+    bytes_of = base.where("train").select("text").mapInArrow(_byte_task, "byte int, n long")
+    for r in bytes_of.groupBy("byte").agg(F.sum("n").alias("n")).collect():
+        seen[r.byte] = r.n
     tree = Tree(seen)
     low, starts, ends, word, _ = wd.vocabulary(column, wd.NOT_SPACE)
     often = np.argsort(-np.bincount(word, minlength=len(starts)), kind="stable")[:COMMON_WORDS]
@@ -478,7 +560,7 @@ def score_documents(
         else:
             counts[r.table][r.part * 2 * PART_CELLS: r.part * 2 * PART_CELLS + len(cells)] = cells
     ends = base.where("train").count()
-    weights = fit_weights(tree, counts, table_bits, texts)
+    weights = refine_weights(base, tree, counts, table_bits, fit_weights(tree, counts, table_bits, texts))
     # A part at a time, so the driver holds no further copy of the counts.
     tables = [np.empty(1 << b, np.int8) for b in table_bits]
     for table, c in zip(tables, counts):

@@ -292,6 +292,27 @@ def test_bounded_steps_give_equal_scores(monkeypatch):
     assert np.allclose(mixing_lm.score_streams(model, stream, bounds), whole, rtol=1e-9)
 
 
+def test_mixing_learns_from_texts_beyond_the_sample(spark, monkeypatch):
+    """The tree counts the bytes, and the weights follow the decisions, of every training text."""
+    trees, fits = [], []
+    tree, refine = mixing_lm.Tree, mixing_lm.refine_weights
+
+    def watched(base, of, counts, bits, weights):
+        fits.append((weights, refine(base, of, counts, bits, weights)))
+        return fits[-1][1]
+
+    monkeypatch.setattr(mixing_lm, "SAMPLE_ROWS", 1)
+    monkeypatch.setattr(mixing_lm, "refine_weights", watched)
+    monkeypatch.setattr(mixing_lm, "Tree", lambda seen: trees.append(seen) or tree(seen))
+    texts = ["a B  c", None, " ", "zz " * 30, *(f"word{i} and more {i}" for i in range(40))]
+    mixing_lm.score_documents(
+        frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)]), train="true").collect()
+    stream = b"".join(b" ".join((t or "").lower().encode().split()) + b"\n" for t in texts)
+    assert trees[0].tolist() == np.bincount(np.frombuffer(stream, np.uint8), minlength=256).tolist()
+    before, after = fits[0]
+    assert np.isfinite(after).all() and np.abs(after - before).max() > 0.01
+
+
 def test_mixing_scores_depend_on_word_order(spark):
     """Common words are spelt as well, after the words before them."""
     learnt = "the quiet river walks over the old stone bridge every morning "
