@@ -99,8 +99,20 @@ def parse(raw: DataFrame, date_formats: Sequence[str] = ()) -> DataFrame:
     return parse_dates(coerce_numbers(raw), date_formats)
 
 
+def evaluated_once(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The same rows, with the named columns read from one struct of each row.
+
+    Spark would move a filter below the projection that makes its columns, and evaluate them for
+    every mention in the filter and again in the projection. It moves none below a generator, which
+    hands out each row's values once.
+    """
+    others = [c for c in df.columns if c not in names]
+    return df.select(*others, F.inline(F.array(F.struct(*names)))).select(*df.columns)
+
+
 def accepted(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(is_accepted(parsed))
+    names = _present(parsed, ("record_date", "units_sold", "unit_price", "revenue", "cost"))
+    return evaluated_once(parsed, names).filter(is_accepted(parsed))
 
 
 def rejected(parsed: DataFrame) -> DataFrame:

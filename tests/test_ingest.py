@@ -187,3 +187,18 @@ def test_malformed_rows_are_rejected(spark, tmp_path):
 def test_missing_file(spark, tmp_path):
     with pytest.raises(AnalysisException):
         read_sales_csv(spark, str(tmp_path / "none.csv"))
+
+
+def test_accepting_reads_each_value_once(spark):
+    """A filter that is moved below the parse would read every value again for each mention."""
+    raw = spark.range(4).select(
+        F.concat(F.lit("T"), F.col("id")).alias("transaction_id"),
+        F.when(F.col("id") == 0, "x").otherwise("2024-01-01").alias("date"),
+        F.col("id").cast("string").alias("units_sold"),
+        F.when(F.col("id") == 1, "-1").otherwise(F.concat(F.col("id"), F.lit(".005"))).alias("revenue"),
+    )
+    good = ingest.accepted(ingest.parse(raw))
+    plan = good._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("as decimal(30,6))") == 2
+    assert sorted(r.transaction_id for r in good.collect()) == ["T2", "T3"]
+    assert good.columns == ingest.parse(raw).columns
