@@ -31,6 +31,7 @@ BITMAP_BITS = 1 << 25
 SKETCH_WORDS = 32
 FOLDED_WORDS = 8
 ANCHOR_ROUNDS, REST_ROUNDS = 8, 4
+ANCHORS, CHOICES = 16, 2
 KEY_ROWS = 50_000
 _SET, _KEY, _BAND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
@@ -274,7 +275,9 @@ def jaccard_classes(
     component where no other row is linked. Other columns are ignored.
 
     Candidates of one block are first verified against one anchor each, several times with other
-    anchors; documents already connected are not compared again. Only what is still apart in a
+    anchors; documents already connected are not compared again. Blocks of the same documents have
+    up to ``ANCHORS`` different anchors at a time, so that a large group whose documents are linked
+    with few of the others grows together all the same. Only what is still apart in a
     block is compared pair by pair, so no link is lost. Of the pairs whose sketches are near, one for
     each document is verified at a time, and the others only while they are not connected.
     """
@@ -326,6 +329,20 @@ def jaccard_classes(
                 drop_staged(old)
         forget_shuffles(docs.sparkSession)
 
+    def choose(pairs: DataFrame, times: int) -> DataFrame:
+        """Verify one pair for each document, ``times`` times or until all pairs are verified or
+        connected; the staged rest comes back."""
+        for _ in range(times):
+            if pairs.isEmpty():
+                break
+            chosen = stage_table(_one_each(pairs), "chosen")
+            prove(chosen, pairs)
+            last, pairs = pairs, stage_table(
+                _unconnected(pairs.join(chosen, ["a", "b"], "left_anti"), comps), "rest")
+            for old in (last, chosen):
+                drop_staged(old)
+        return pairs
+
     apart = shared.withColumn("c", F.col("f"))
     left, rounds = apart.count(), 0
     while left and rounds < ANCHOR_ROUNDS:
@@ -336,13 +353,11 @@ def jaccard_classes(
         forget_shuffles(docs.sparkSession)
         near = stage_table(_near(pairs, sketches, p, q), "near")
         forget_shuffles(docs.sparkSession)
-        chosen = stage_table(_one_each(near), "chosen")
-        prove(chosen, near)
-        later = near.join(chosen, ["a", "b"], "left_anti")
+        later = choose(near, CHOICES)
         done = stage_table(pairs.join(later, ["a", "b"], "left_anti"), "tried")
         tried = done if tried is None else tried.union(done)
         last, apart = apart, stage_table(_still_apart(shared, comps), "apart")
-        for old in (pairs, near, chosen, last):
+        for old in (pairs, later, last):
             drop_staged(old)
         before, left = left, apart.count()
         # Anchors go on as long as they connect much of what is apart.
@@ -353,15 +368,7 @@ def jaccard_classes(
             rest = rest.join(tried, ["a", "b"], "left_anti")
         rest = stage_table(rest, "rest")
         forget_shuffles(docs.sparkSession)
-        for _ in range(REST_ROUNDS):
-            if rest.isEmpty():
-                break
-            chosen = stage_table(_one_each(rest), "chosen")
-            prove(chosen, rest)
-            last, rest = rest, stage_table(
-                _unconnected(rest.join(chosen, ["a", "b"], "left_anti"), comps), "rest")
-            for old in (last, chosen):
-                drop_staged(old)
+        rest = choose(rest, REST_ROUNDS)
         if not rest.isEmpty():
             prove(rest, rest)
     if comps is None:
@@ -390,8 +397,11 @@ def _unconnected(pairs: DataFrame, comps: DataFrame) -> DataFrame:
 
 
 def _anchored(apart: DataFrame, salt: int) -> DataFrame:
-    """Each document of a block with the block's anchor, where they are not yet connected."""
-    anchor = F.min(F.struct(F.xxhash64("f", F.lit(salt)), "f", "c")).over(Window.partitionBy("key"))
+    """Each document of a block with the block's anchor, where they are not yet connected. The key
+    is a hash: its remainder tells which anchor the block takes, so a document of many blocks has
+    few pairs."""
+    which = F.pmod("key", F.lit(ANCHORS))
+    anchor = F.min(F.struct(F.xxhash64("f", which, F.lit(salt)), "f", "c")).over(Window.partitionBy("key"))
     star = apart.withColumn("anchor", anchor).where("anchor.c <> c")
     return star.select(
         F.least("f", "anchor.f").alias("a"), F.greatest("f", "anchor.f").alias("b")).distinct()
