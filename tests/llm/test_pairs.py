@@ -160,3 +160,25 @@ def test_blocks_that_agree_by_chance_have_other_keys():
     keys = [parity_join.block_keys(same[i: i + 1], 3, 1)[0][0] for i in (0, 1)]
     assert keys[0] != keys[1]
     assert (parity_join.block_keys(same, 3, 4)[0] == parity_join.block_keys(same[::-1], 3, 4)[0]).all()
+
+
+def test_large_group_of_sparse_links_leaves_few_pairs_to_the_join(spark, monkeypatch):
+    """Each text has three of twelve changes and is linked with an eighth of the others."""
+    base = sentence(random.Random(4), 120).split()
+    rows = []
+    for i, changes in enumerate(itertools.combinations(range(12), 3)):
+        text = list(base)
+        for c in changes:
+            text[10 * c + 5] = f"change{c}"
+        rows.append((i, " ".join(text), "en", "s"))
+    left, real = [0], parity_join._all_apart
+
+    def counted(*args):
+        pairs = real(*args)
+        left[0] = pairs.count()
+        return pairs
+
+    monkeypatch.setattr(parity_join, "_all_apart", counted)
+    got = parity_join.jaccard_classes(frame(spark, rows), k=3, similarity=(9, 10)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_classes(rows, 3, 9, 10)
+    assert left[0] <= len(rows)
