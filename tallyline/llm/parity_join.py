@@ -344,28 +344,33 @@ def jaccard_classes(
         return pairs
 
     apart = shared.withColumn("c", F.col("f"))
-    left, rounds = apart.count(), 0
+    left, rounds, later = apart.count(), 0, None
     while left and rounds < ANCHOR_ROUNDS:
         pairs = _anchored(apart, rounds)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stage_table(pairs, "pairs")
         forget_shuffles(docs.sparkSession)
-        near = stage_table(_near(pairs, sketches, p, q), "near")
+        near = _near(pairs, sketches, p, q)
+        # Near pairs that a round leaves over go along to the next, so all pairs met count as tried.
+        near, over = stage_table(near if later is None else near.union(later), "near"), later
         forget_shuffles(docs.sparkSession)
+        tried = pairs if tried is None else tried.union(pairs)
         later = choose(near, CHOICES)
-        done = stage_table(pairs.join(later, ["a", "b"], "left_anti"), "tried")
-        tried = done if tried is None else tried.union(done)
+        if comps is None:
+            # Not one near pair: no anchor would connect anything.
+            break
         last, apart = apart, stage_table(_still_apart(shared, comps), "apart")
-        for old in (pairs, later, last):
-            drop_staged(old)
+        for old in (over, last):
+            if old is not None:
+                drop_staged(old)
         before, left = left, apart.count()
         # Anchors go on as long as they connect much of what is apart.
         rounds = rounds + 1 if left < 0.8 * before else ANCHOR_ROUNDS
     if left:
         rest = _all_apart(apart, sketches, p, q)
         if tried is not None:
-            rest = rest.join(tried, ["a", "b"], "left_anti")
+            rest = rest.join(tried, ["a", "b"], "left_anti").union(later)
         rest = stage_table(rest, "rest")
         forget_shuffles(docs.sparkSession)
         rest = choose(rest, REST_ROUNDS)

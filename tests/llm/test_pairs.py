@@ -182,3 +182,55 @@ def test_large_group_of_sparse_links_leaves_few_pairs_to_the_join(spark, monkeyp
     got = parity_join.jaccard_classes(frame(spark, rows), k=3, similarity=(9, 10)).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_classes(rows, 3, 9, 10)
     assert left[0] <= len(rows)
+
+
+def sparse_group():
+    """Each text has three of twelve changes and is linked with an eighth of the others."""
+    base = sentence(random.Random(4), 120).split()
+    for i, changes in enumerate(itertools.combinations(range(12), 3)):
+        text = list(base)
+        for c in changes:
+            text[10 * c + 5] = f"change{c}"
+        yield i, " ".join(text), "en", "s"
+
+
+def test_pairs_of_anchors_are_not_subtracted_from_each_other(spark, monkeypatch):
+    """What is left after a round goes along, so anti-joins make few of the pairs that were met."""
+    rows = list(sparse_group())
+    made, met, frame_class = [0], [0], type(spark.range(1))
+    join, stage = frame_class.join, parity_join.stage_table
+
+    def counted_join(self, other, on=None, how=None):
+        out = join(self, other, on, how)
+        if how == "left_anti" and on == ["a", "b"]:
+            made[0] += out.count()
+        return out
+
+    def counted_stage(df, name):
+        out = stage(df, name)
+        met[0] += out.count() if name == "pairs" else 0
+        return out
+
+    monkeypatch.setattr(frame_class, "join", counted_join)
+    monkeypatch.setattr(parity_join, "stage_table", counted_stage)
+    got = parity_join.jaccard_classes(frame(spark, rows), k=5, similarity=(8, 10))
+    monkeypatch.undo()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute_classes(rows, 5, 8, 10)
+    print("made", made[0], "met", met[0])
+    assert made[0] < met[0]
+
+
+def test_shared_blocks_without_a_near_pair(spark):
+    """Two texts with one block in common and nothing else near are compared and stay apart."""
+    bands = parity_join.Bands(9, 10, 1.0)
+    blocks = bands.blocks(bands.of(10))
+    assert blocks > 1
+    by_block: dict[bool, list[str]] = {True: [], False: []}
+    for i in range(400):
+        word = f"w{i}"
+        gram = next(parity_join.shingle_sets(parity_join.pa.array([word]), 1))[1][0]
+        by_block[int(gram >> np.uint64(6)) % blocks == 0].append(word)
+    same, other = by_block[True][:5], by_block[False]
+    rows = [(1, " ".join(same + other[:5]), "en", "s"), (2, " ".join(same + other[5:10]), "en", "s")]
+    got = parity_join.jaccard_classes(frame(spark, rows), k=1, similarity=(9, 10), spare=1.0).collect()
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 2}
