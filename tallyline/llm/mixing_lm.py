@@ -207,11 +207,11 @@ def _byte_task(batches):
         [pa.array(np.arange(256), pa.int32()), pa.array(seen)], ["byte", "n"])
 
 
-def _step_task(shared, table_bits: tuple[int, ...]):
+def _step_task(shared, shared_counts, table_bits: tuple[int, ...]):
     """Gradient and curvature of the fit at given weights, summed over all texts of the task."""
 
     def run(batches):
-        tree, counts, weights = wd.shared_value(shared)
+        (tree, weights), counts = wd.shared_value(shared), shared_counts.value
         width = len(table_bits) + 1
         gradient, hessian = np.zeros((GATES, width)), np.zeros((GATES, width, width))
         for batch in batches:
@@ -256,21 +256,35 @@ def _part(table: int, part: int, cells: bytes) -> pa.RecordBatch:
         ["table", "part", "cells"])
 
 
-def _add_parts(cell):
+def _sum_of_parts(key, parts, cell) -> np.ndarray:
     """Sum of the partial tables of one part, whose cells are of the type ``cell`` (words and the
     total are always longs)."""
+    kind, total = np.int64 if key[0] < 0 else cell, None
+    for cells in parts["cells"]:
+        x = np.frombuffer(cells, kind)
+        total = x.astype(np.int64) if total is None else total + x
+    return total
 
-    def run(key, parts):
-        import pandas as pd
 
-        kind = np.int64 if key[0] < 0 else cell
-        total = None
-        for cells in parts["cells"]:
-            x = np.frombuffer(cells, kind)
-            total = x.astype(np.int64) if total is None else total + x
-        return pd.DataFrame({"table": [key[0]], "part": [key[1]], "cells": [total.tobytes()]})
+def _add_parts(key, parts):
+    import pandas as pd
 
-    return run
+    total = _sum_of_parts(key, parts, np.int32)
+    return pd.DataFrame({"table": [key[0]], "part": [key[1]], "cells": [total.tobytes()]})
+
+
+def _whole_parts(key, parts):
+    """A part's counts, of the smallest type that holds them, and what its cells say for scoring."""
+    import pandas as pd
+
+    total = _sum_of_parts(key, parts, np.int64)
+    said, narrow = b"", False
+    if key[0] >= 0:
+        said = np.rint(_stretched(total[::2], total[1::2]) * _SCALE).astype(np.int8).tobytes()
+        narrow = bool(total.max() <= np.iinfo(np.uint16).max)
+        total = total.astype(np.uint16 if narrow else np.float32)
+    return pd.DataFrame(
+        {"table": [key[0]], "part": [key[1]], "cells": [total.tobytes()], "said": [said], "narrow": [narrow]})
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -445,14 +459,15 @@ def _score_task(shared):
 
 
 def refine_weights(base: DataFrame, tree: Tree, counts, table_bits, weights: np.ndarray) -> np.ndarray:
-    """Start weights after a Newton step over every training text, from the sample's weights.
+    """Start weights after a Newton step over every training text, from the sample's weights. The
+    counts are shared.
 
     At a place near the optimum one step over all texts is as good an estimate as the optimum
     itself, so the sample only says where the step begins.
     """
-    shared = wd.share(base.sparkSession, (tree, [c.astype(np.float32) for c in counts], weights[:, :, 0]))
+    shared = wd.share(base.sparkSession, (tree, weights[:, :, 0]))
     sums = base.where("train").select("text").mapInArrow(
-        _step_task(shared, table_bits), "gate int, sums array<double>")
+        _step_task(shared, counts, table_bits), "gate int, sums array<double>")
     sums = sums.select("gate", F.posexplode("sums").alias("at", "x")).groupBy("gate", "at").agg(
         F.sum("x").alias("x"))
     width = weights.shape[1]
@@ -471,6 +486,18 @@ def refine_weights(base: DataFrame, tree: Tree, counts, table_bits, weights: np.
     return out.astype(np.float32)
 
 
+def _common_words(texts: list[str], most: int) -> np.ndarray:
+    """Sorted hashes of the most frequent words of some texts."""
+    low, starts, ends, word, _ = wd.vocabulary(pa.array(texts, pa.large_string()), wd.NOT_SPACE)
+    often = np.argsort(-np.bincount(word, minlength=len(starts)), kind="stable")[:most]
+    return np.sort(wd.span_hashes(low, starts, ends)[often])
+
+
+def _first_texts(texts: list[str], most: int) -> list[str]:
+    """As many of the first texts as have ``most`` bytes, the one that reaches them included."""
+    return texts[: int(np.searchsorted(np.cumsum([len(x.encode()) for x in texts]), most)) + 1]
+
+
 def fit_weights(tree: Tree, counts: list[np.ndarray], table_bits, texts: list[str]) -> np.ndarray:
     """Weights per gate to begin with: logistic regression on texts of the training corpus.
 
@@ -517,29 +544,25 @@ def score_documents(
     All training documents are counted, for the tree, the predictors and the words, and all of them
     give the start weights their last step. What is kept of them has a fixed size only in the hashed
     tables (``table_bits``); the vocabulary is joined by a shuffle and grows with the corpus. A
-    sample of at most ``SAMPLE_ROWS`` texts of at most ``SAMPLE_TEXT_BYTES`` bytes reaches the
-    driver. It says which words are counted in a table rather than by the shuffle, with equal
+    sample of at most ``SAMPLE_ROWS`` texts of at most ``SAMPLE_TEXT_BYTES`` bytes is one task's
+    work. It says which words are counted in a table rather than by the shuffle, with equal
     results, and as far as ``FIT_BYTES`` where the step of the weights begins (at fixed values where
     no training text is that short).
     """
-    spark = docs.sparkSession
+    spark, most_common, fit_bytes = docs.sparkSession, COMMON_WORDS, FIT_BYTES
     base = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("t"),
         F.coalesce(F.expr(train), F.lit(False)).alias("train"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     sample = base.where(F.col("train") & (F.octet_length("text") <= SAMPLE_TEXT_BYTES))
     order = F.xxhash64("doc_id", "t")
-    texts = [r.text for r in sample.orderBy(order).limit(SAMPLE_ROWS).select("text").collect()]
-    column = pa.array(texts, pa.large_string())
+    sample = sample.select("text", order.alias("o")).orderBy("o").limit(SAMPLE_ROWS)
+    sample = stage_table(sample, "sample")
+    common = wd.fitted_in_task(sample, ["o"], lambda rows: _common_words([t for t, _ in rows], most_common))
     seen = np.zeros(256)
     bytes_of = base.where("train").select("text").mapInArrow(_byte_task, "byte int, n long")
     for r in bytes_of.groupBy("byte").agg(F.sum("n").alias("n")).collect():
         seen[r.byte] = r.n
     tree = Tree(seen)
-    low, starts, ends, word, _ = wd.vocabulary(column, wd.NOT_SPACE)
-    often = np.argsort(-np.bincount(word, minlength=len(starts)), kind="stable")[:COMMON_WORDS]
-    common = np.sort(wd.span_hashes(low, starts, ends)[often])
-    texts = texts[: int(np.searchsorted(np.cumsum([len(x.encode()) for x in texts]), FIT_BYTES)) + 1]
-    del low, starts, ends, word, often, column
 
     known = wd.share(spark, (tree, common))
     parts = base.where("train").select("text").mapInArrow(
@@ -547,27 +570,30 @@ def score_documents(
     # Added in a tree, as every task has its own tables: first those of a bounded number of tasks.
     some = (F.spark_partition_id() / TREE_TASKS).cast("int")
     parts = parts.withColumn("some", some).groupBy("table", "part", "some").applyInPandas(
-        _add_parts(np.int32), "table int, part int, cells binary")
+        _add_parts, "table int, part int, cells binary")
     parts = stage_table(parts.groupBy("table", "part").applyInPandas(
-        _add_parts(np.int64), "table int, part int, cells binary"), "tables")
-    counts = [np.zeros(2 << b, np.int64) for b in table_bits]
+        _whole_parts, "table int, part int, cells binary, said binary, narrow boolean"), "tables")
+    wide = {r.table for r in parts.where("table >= 0 and not narrow").select("table").distinct().collect()}
+    counts = [np.zeros(2 << b, np.float32 if i in wide else np.uint16) for i, b in enumerate(table_bits)]
+    tables = [np.zeros(1 << b, np.int8) for b in table_bits]
     common_n, n_tokens = np.zeros(len(common), np.int64), 0
     # As many rows as the tables have parts, whatever the input.
     for r in parts.toLocalIterator():
-        cells = np.frombuffer(r.cells, np.int64)
         if r.table < 0:
+            cells = np.frombuffer(r.cells, np.int64)
             common_n, n_tokens = cells[:-1], int(cells[-1])
         else:
+            cells = np.frombuffer(r.cells, np.uint16 if r.narrow else np.float32)
             counts[r.table][r.part * 2 * PART_CELLS: r.part * 2 * PART_CELLS + len(cells)] = cells
+            said = np.frombuffer(r.said, np.int8)
+            tables[r.table][r.part * PART_CELLS: r.part * PART_CELLS + len(said)] = said
     ends = base.where("train").count()
-    weights = refine_weights(base, tree, counts, table_bits, fit_weights(tree, counts, table_bits, texts))
-    # A part at a time, so the driver holds no further copy of the counts.
-    tables = [np.empty(1 << b, np.int8) for b in table_bits]
-    for table, c in zip(tables, counts):
-        for part in range(0, len(table), PART_CELLS):
-            own = c[2 * part: 2 * (part + PART_CELLS)]
-            table[part: part + PART_CELLS] = np.rint(_stretched(own[::2], own[1::2]) * _SCALE)
-    del counts, texts
+    counts = wd.share_plain(spark, counts)
+    weights = wd.fitted_in_task(sample, ["o"], lambda rows: fit_weights(
+        tree, counts.value, table_bits, _first_texts([t for t, _ in rows], fit_bytes)))
+    weights = refine_weights(base, tree, counts, table_bits, weights)
+    # Nothing reads the counts any more; the driver and the executors give them back.
+    counts.destroy()
     model = Model(tree, tables, weights, table_bits, common, common_n, ends)
 
     rare = base.select("doc_id", "t", "train", "text").mapInArrow(

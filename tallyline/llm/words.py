@@ -171,7 +171,13 @@ def share(spark, value):
     """Broadcast a value of this package's classes, by value like its functions."""
     from pyspark import cloudpickle
 
-    out = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return share_plain(spark, cloudpickle.dumps(value))
+
+
+def share_plain(spark, value):
+    """Broadcast arrays and other values of no class of this package. They travel as they are, so
+    neither the driver nor a worker holds a pickled copy beside them; tasks read ``value``."""
+    out = spark.sparkContext.broadcast(value)
     if (owned := worker_store().get("shared")) is not None:
         owned.append(out)
     return out
@@ -205,7 +211,9 @@ def fitted_in_task(sample, order: list[str], fit):
         yield pa.RecordBatch.from_arrays([pa.array([cloudpickle.dumps(fit(rows))], pa.binary())], ["model"])
 
     one = sample.repartition(1).sortWithinPartitions(*order).mapInArrow(run, "model binary")
-    return pickle.loads(one.first().model)
+    found = one.first()
+    # An empty sample may have no task.
+    return fit([]) if found is None else pickle.loads(found.model)
 
 
 def shared_value(shared):

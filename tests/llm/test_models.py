@@ -313,6 +313,21 @@ def test_mixing_learns_from_texts_beyond_the_sample(spark, monkeypatch):
     assert np.isfinite(after).all() and np.abs(after - before).max() > 0.01
 
 
+def test_mixing_driver_holds_neither_the_sample_nor_copies_of_the_counts(spark):
+    """With tables of the usual size; the whole counts as longs alone have 148 MB."""
+    import tracemalloc
+
+    rows = [(i, f"text {i} of some words", "en", "s") for i in range(20)]
+    tracemalloc.start()
+    try:
+        got = mixing_lm.score_documents(frame(spark, rows), train="doc_id < 15").collect()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    print("peak", peak)
+    assert len(got) == 20 and peak < 100e6
+
+
 def test_mixing_scores_depend_on_word_order(spark):
     """Common words are spelt as well, after the words before them."""
     learnt = "the quiet river walks over the old stone bridge every morning "
