@@ -324,7 +324,6 @@ def test_mixing_driver_holds_neither_the_sample_nor_copies_of_the_counts(spark):
         peak = tracemalloc.get_traced_memory()[1]
     finally:
         tracemalloc.stop()
-    print("peak", peak)
     assert len(got) == 20 and peak < 100e6
 
 

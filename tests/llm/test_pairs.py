@@ -216,7 +216,6 @@ def test_pairs_of_anchors_are_not_subtracted_from_each_other(spark, monkeypatch)
     got = parity_join.jaccard_classes(frame(spark, rows), k=5, similarity=(8, 10))
     monkeypatch.undo()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute_classes(rows, 5, 8, 10)
-    print("made", made[0], "met", met[0])
     assert made[0] < met[0]
 
 
