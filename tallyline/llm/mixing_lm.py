@@ -37,6 +37,8 @@ TABLE_BITS = (18, 22, 22, 20)
 PART_CELLS = 1 << 15
 BLOCK = 256
 STEP_DECISIONS = 100_000
+KINDS_HELD = 1 << 21
+KINDS_BYTES = 1 << 18
 TREE_TASKS = 64
 RATE = 0.004
 GATES = 12
@@ -45,6 +47,8 @@ _BIAS = 0.3
 _BLANK, _END_BYTE = 0x20, 0x0A
 _KEYS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xA0761D6478BD642F, 0xD6E8FEB86659FD93], np.uint64)
+# A-Z lower-cased, and all white space as blanks.
+_FOLDED = np.where(wd.NOT_SPACE, wd.LOWER, _BLANK).astype(np.uint8)
 _NODE = wd.mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -77,10 +81,18 @@ class Tree:
         for byte, path in paths.items():
             for d, (node, bit) in enumerate(path):
                 self.node[d, byte], self.bit[d, byte] = node, bit
+        # The paths end to end: where each byte's begins; hash of the node, bit and least gate.
+        self.begin = np.cumsum(self.length, dtype=np.int64) - self.length
+        depth = np.concatenate([np.arange(n) for n in self.length])
+        byte = np.repeat(np.arange(256), self.length)
+        self.path_node = _NODE[self.node[depth, byte]]
+        self.path_bit = self.bit[depth, byte].astype(bool)
+        self.path_gate = _gate_of_depth(depth)
 
 
 def spelling(low: np.ndarray, starts: np.ndarray, ends: np.ndarray):
-    """Words end to end, each closed by a blank, and the bounds of the words."""
+    """Words end to end, each closed by a blank, and the bounds of the words: what ``text_stream``
+    makes of a row, but for its end."""
     size = ends - starts
     bounds = np.zeros(len(starts) + 1, np.int64)
     np.cumsum(size + 1, out=bounds[1:])
@@ -92,69 +104,169 @@ def spelling(low: np.ndarray, starts: np.ndarray, ends: np.ndarray):
 
 
 def text_stream(data: np.ndarray, at: np.ndarray):
-    """The coded stream of a chunk, the bounds of its rows, and the hash and row of each word."""
-    low = wd.LOWER[data]
-    starts, ends, doc = wd.spans(low, at, wd.NOT_SPACE)
-    stream, word_bounds = spelling(low, starts, ends)
-    n_words = np.bincount(doc, minlength=len(at) - 1)
-    upto = word_bounds[np.cumsum(n_words)]
-    stream[upto[n_words > 0] - 1] = _END_BYTE
-    stream = np.insert(stream, upto[n_words == 0], _END_BYTE)
-    bounds = np.append(0, upto + np.cumsum(n_words == 0))
-    return stream, bounds, wd.span_hashes(low, starts, ends), doc
+    """The coded stream of a chunk, the bounds of its rows, and the closing byte and row of each word."""
+    rows = len(at) - 1
+    low = np.insert(_FOLDED.take(data), at[1:], _BLANK)
+    inside = low != _BLANK
+    keep = inside.copy()
+    # The blank after a word closes it; each row has one at its end.
+    keep[1:] |= inside[:-1]
+    upto = np.searchsorted(np.flatnonzero(keep & ~inside), at[1:] + np.arange(rows), side="right")
+    n_words = np.diff(upto, prepend=0)
+    stream = low[keep]
+    closing = np.flatnonzero(stream == _BLANK)
+    ends = np.append(0, closing + 1)[upto]
+    empty = n_words == 0
+    stream[ends[~empty] - 1] = _END_BYTE
+    doc = np.repeat(np.arange(rows), n_words)
+    if empty.any():
+        stream = np.insert(stream, ends[empty], _END_BYTE)
+        ends += np.cumsum(empty)
+        closing += np.cumsum(empty)[doc]
+    return stream, np.append(0, ends), closing, doc
+
+
+def _contexts(stream: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """At each byte that byte (in the last eight bits) below the bytes before it, as many as the
+    longest order, and a hash of its word so far; both start with the row."""
+    n, most = len(stream), max(ORDERS)
+    begin, size = bounds[:-1], np.diff(bounds)
+    # The eight bytes up to each place, read as one number.
+    padded = np.concatenate([np.full(7, _END_BYTE, np.uint8), stream])
+    code = np.ndarray((n,), ">u8", padded, 0, (1,)).astype(np.uint64)
+    code &= np.uint64((1 << 8 * (most + 1)) - 1)
+    for back in range(most):
+        # The first bytes of a row follow ends.
+        at = begin[size > back] + back
+        ends = sum(_END_BYTE << (8 * k) for k in range(back + 1, most + 1))
+        code[at] = (code[at] & np.uint64((1 << 8 * (back + 1)) - 1)) | np.uint64(ends)
+    # The word so far: bytes since the last blank or the start of the row.
+    first = np.zeros(n, bool)
+    first[1:] = stream[:-1] == _BLANK
+    first[begin[size > 0]] = True
+    start = np.flatnonzero(first)
+    total, down = wd.running_hashes(stream)
+    length = np.diff(start, append=n)
+    word = total[:n] - np.repeat(total[start], length)
+    word *= np.repeat(down[start], length)
+    return code, word
+
+
+def _bases(code: np.ndarray, word: np.ndarray) -> list[np.ndarray]:
+    """Hash of each predictor's context."""
+    code = code >> np.uint64(8)
+    of = {
+        k: wd.mix(((code & np.uint64((1 << 8 * k) - 1)) + np.uint64(k)) * _KEYS[i])
+        for i, k in enumerate(ORDERS)}
+    return [of[ORDERS[0]], of[ORDERS[1]], wd.mix(wd.mix(word) ^ _KEYS[3]), of[ORDERS[2]]]
 
 
 def context_bases(stream: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
     """Hash of each predictor's context at each byte; contexts start with the row."""
-    n, most = len(stream), max(ORDERS)
-    begin = np.repeat(bounds[:-1], np.diff(bounds))
-    back = np.arange(n) - begin
-    padded = np.full(n + most, _END_BYTE, np.uint8)
-    padded[most:] = stream
-    code = np.zeros(n, np.uint64)
-    of = {}
-    for k in range(1, most + 1):
-        b = padded[most - k: most - k + n].astype(np.uint64)
-        b[back < k] = _END_BYTE
-        code |= b << np.uint64(8 * (k - 1))
-        if k in ORDERS:
-            of[k] = wd.mix((code + np.uint64(k)) * _KEYS[ORDERS.index(k)])
-    # The word so far: bytes since the last blank or the start of the row.
-    start = begin.copy()
-    marks = np.flatnonzero(stream[:-1] == _BLANK) + 1
-    start[marks] = np.maximum(start[marks], marks)
-    np.maximum.accumulate(start, out=start)
-    word = wd.mix(wd.span_hashes(stream, start, np.arange(n)) ^ _KEYS[3])
-    return [of[ORDERS[0]], of[ORDERS[1]], word, of[ORDERS[2]]]
+    return _bases(*_contexts(stream, bounds))
 
 
 def _cells(base: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
     return ((base ^ _NODE[node]) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _decisions(tree: Tree, stream: np.ndarray):
-    """For each depth of the tree: the bytes that reach it, their nodes and their bits."""
-    live = np.arange(len(stream))
-    for d in range(tree.depth):
-        live = live[tree.length[stream[live]] > d]
-        if not len(live):
-            return
-        symbol = stream[live]
-        yield d, live, tree.node[d, symbol], tree.bit[d, symbol]
-
-
-def _kinds(stream: np.ndarray, bases: list[np.ndarray]):
-    """Bytes after equal contexts are of one kind: a place of each kind, and the kind of each byte.
+def _alike(code: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Equal bytes after equal contexts put together: their places, and where each kind begins.
 
     The longest order determines the shorter ones, so it and the word so far tell contexts apart.
     """
-    key = wd.mix(bases[1] + bases[2] * _KEYS[0] + stream)
-    order = np.argsort(key)
+    key = wd.mix(code * _KEYS[0] + word * _KEYS[1])
+    # Sorted by the key's first bits, with the place in the last ones. Keys that share the first
+    # bits stand mixed then, and are more kinds than need be, as whole keys are compared.
+    low = np.uint64((1 << max(1, len(key).bit_length())) - 1)
+    order = key & ~low
+    order |= np.arange(len(key), dtype=np.uint64)
+    order.sort()
+    order &= low
+    order = order.view(np.int64)
     key = key[order]
-    new = np.append(True, key[1:] != key[:-1])[: len(key)]
-    kind = np.empty(len(key), np.int64)
-    kind[order] = np.cumsum(new) - 1
-    return order[new], kind
+    return order, np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+
+
+class _Kinds:
+    """Bytes of a task's texts after equal contexts, as many as are held at a time, and how often
+    each was met."""
+
+    def __init__(self):
+        self.held, self.size = [], 0
+
+    def add(self, code: np.ndarray, word: np.ndarray, times: np.ndarray | None = None) -> None:
+        order, first = _alike(code, word)
+        if times is None:
+            times = np.diff(first, append=len(order)).astype(np.int32)
+        else:
+            times = np.add.reduceat(times[order], first, dtype=np.int32) if len(first) else times
+        place = order[first]
+        self.held.append((code[place], word[place], times))
+        self.size += len(place)
+
+    def full(self) -> bool:
+        return self.size >= KINDS_HELD
+
+    def take(self):
+        """The byte and the contexts of each kind, and its times; then none are held."""
+        held, self.held, self.size = self.held, [], 0
+        if len(held) > 1:
+            parts = [np.concatenate(x) for x in zip(*held)]
+            del held
+            self.add(*parts)
+            held, self.held, self.size = self.held, [], 0
+        code, word, times = held[0]
+        return (code & np.uint64(0xFF)).astype(np.uint8), _bases(code, word), times
+
+
+def _numbered(stream: np.ndarray, code: np.ndarray, word: np.ndarray):
+    """The byte and the contexts of each kind, and the kind of each byte. Kinds are numbered as they
+    come in the texts, so what is looked up for neighbours lies together."""
+    order, first = _alike(code, word)
+    is_first = np.zeros(len(stream), bool)
+    is_first[order[first]] = True
+    number = np.cumsum(is_first) - 1
+    kind = np.empty(len(stream), np.int64)
+    kind[order] = np.repeat(number[order[first]], np.diff(first, append=len(order)))
+    place = np.flatnonzero(is_first)
+    return stream[place], _bases(code[place], word[place]), kind
+
+
+def _runs(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Runs of neighbouring places, one after the other, none of them empty."""
+    out = np.ones(int(size.sum()), np.int64)
+    if len(out):
+        out[0] = first[0]
+        out[np.cumsum(size[:-1])] = first[1:] - (first + size)[:-1] + 1
+    return np.cumsum(out, out=out)
+
+
+def _paths(tree: Tree, symbol: np.ndarray):
+    """The decisions of some bytes, one byte's after the other's: of how many each has, and where
+    they stand in the tree's paths."""
+    size = tree.length[symbol].astype(np.int64)
+    return size, _runs(tree.begin[symbol], size)
+
+
+def _decisions(tree: Tree, symbol: np.ndarray, bases: list[np.ndarray], table_bits: tuple[int, ...]):
+    """Runs of bytes and their decisions, a bounded number at a time: the slice of the bytes, how
+    many decisions each has, their places in the tree's paths, and a generator of their cells in
+    each table."""
+    most = max(1, STEP_DECISIONS // max(1, int(tree.length.min())) // 4)
+    for a in range(0, len(symbol), most):
+        run = slice(a, min(a + most, len(symbol)))
+        size, path = _paths(tree, symbol[run])
+        node = tree.path_node[path]
+
+        def cells():
+            for base, bits in zip(bases, table_bits):
+                cell = np.repeat(base[run], size)
+                cell ^= node
+                cell >>= np.uint64(64 - bits)
+                yield cell.view(np.int64)
+
+        yield run, size, path, cells()
 
 
 def _count_task(shared, table_bits: tuple[int, ...]):
@@ -163,29 +275,38 @@ def _count_task(shared, table_bits: tuple[int, ...]):
 
     def run(batches):
         tree, common = wd.shared_value(shared)
+        common = _Places(common)
         tables = [np.zeros(2 << b, np.int32) for b in table_bits]
-        words = np.zeros(len(common) + 1, np.int64)
+        words = np.zeros(len(common.keys) + 1, np.int64)
         total = np.zeros(1, np.int64)
+        kinds = _Kinds()
+
+        def count(symbol, bases, times):
+            for run, size, path, cells in _decisions(tree, symbol, bases, table_bits):
+                n, bit = np.repeat(times[run], size), tree.path_bit[path]
+                for table, cell in zip(tables, cells):
+                    cell *= 2
+                    cell += bit
+                    np.add.at(table, cell, n)
+
         for batch in batches:
-            for _, _, data, at in wd.chunks(batch.column(0)):
-                stream, bounds, h, _ = text_stream(data, at)
-                words += np.bincount(_find(common, h), minlength=len(words))
-                total += len(h) + len(at) - 1
-                bases = context_bases(stream, bounds)
-                place, kind = _kinds(stream, bases)
-                times = np.bincount(kind, minlength=len(place)).astype(np.int32)
-                bases = [base[place] for base in bases]
-                for _, live, node, bit in _decisions(tree, stream[place]):
-                    n = times[live]
-                    for table, base, bits in zip(tables, bases, table_bits):
-                        np.add.at(table, _cells(base[live], node, bits) * 2 + bit, n)
+            for _, _, data, at in wd.chunks(batch.column(0), KINDS_BYTES):
+                stream, bounds, closing, _ = text_stream(data, at)
+                code, word = _contexts(stream, bounds)
+                words += np.bincount(common.find(wd.mix(word[closing])), minlength=len(words))
+                total += len(closing) + len(at) - 1
+                kinds.add(code, word)
+                if kinds.full():
+                    count(*kinds.take())
+        if kinds.size:
+            count(*kinds.take())
         for i, table in enumerate(tables):
             for part in range(0, len(table), 2 * PART_CELLS):
                 cells = table[part: part + 2 * PART_CELLS]
                 if cells.any():
-                    yield _part(i, part // (2 * PART_CELLS), cells.tobytes())
+                    yield _part(i, part // (2 * PART_CELLS), cells)
         if total[0]:
-            yield _part(-1, 0, np.append(words[:-1], total).tobytes())
+            yield _part(-1, 0, np.append(words[:-1], total))
 
     return run
 
@@ -194,15 +315,8 @@ def _byte_task(batches):
     """How often the coded stream has each byte."""
     seen = np.zeros(256, np.int64)
     for batch in batches:
-        for _, _, data, at in wd.chunks(batch.column(0)):
-            low = wd.LOWER[data]
-            starts, ends, doc = wd.spans(low, at, wd.NOT_SPACE)
-            stream, bounds = spelling(low, starts, ends)
-            seen += np.bincount(stream, minlength=256)
-            # The blank after a row's last word is its end; a row without a word is an end alone.
-            with_words = len(np.unique(doc))
-            seen[_BLANK] -= with_words
-            seen[_END_BYTE] += len(at) - 1
+        for _, _, data, at in wd.chunks(batch.column(0), KINDS_BYTES):
+            seen += np.bincount(text_stream(data, at)[0], minlength=256)
     yield pa.RecordBatch.from_arrays(
         [pa.array(np.arange(256), pa.int32()), pa.array(seen)], ["byte", "n"])
 
@@ -214,21 +328,29 @@ def _step_task(shared, shared_counts, table_bits: tuple[int, ...]):
         (tree, weights), counts = wd.shared_value(shared), shared_counts.value
         width = len(table_bits) + 1
         gradient, hessian = np.zeros((GATES, width)), np.zeros((GATES, width, width))
+        kinds = _Kinds()
+
+        def add(symbol, bases, times):
+            times = times.astype(np.float32)
+            for run, size, x, bit, gate in _left_out(tree, counts, table_bits, symbol, bases):
+                order = np.argsort(gate, kind="stable")
+                edges = np.searchsorted(gate[order], np.arange(GATES + 1))
+                x, bit, n = x.take(order, axis=1), bit[order], np.repeat(times[run], size)[order]
+                for g in np.flatnonzero(np.diff(edges)):
+                    its = slice(edges[g], edges[g + 1])
+                    own = x[:, its]
+                    p = 1 / (1 + np.exp(-np.clip(weights[g] @ own, -20, 20)))
+                    gradient[g] += own.astype(np.float64) @ ((bit[its] - p) * n[its])
+                    hessian[g] += (own * (p * (1 - p) * n[its])) @ own.T
+
         for batch in batches:
-            for _, _, data, at in wd.chunks(batch.column(0)):
+            for _, _, data, at in wd.chunks(batch.column(0), KINDS_BYTES):
                 stream, bounds, _, _ = text_stream(data, at)
-                bases = context_bases(stream, bounds)
-                place, kind = _kinds(stream, bases)
-                times = np.bincount(kind, minlength=len(place)).astype(np.float32)
-                bases = [base[place] for base in bases]
-                for live, x, bit, gate in _left_out(tree, counts, table_bits, stream[place], bases):
-                    p = 1 / (1 + np.exp(-np.clip((x * weights[gate]).sum(1), -20, 20)))
-                    n = times[live]
-                    s, miss = p * (1 - p) * n, (bit - p) * n
-                    for g in np.unique(gate):
-                        own = x[gate == g]
-                        gradient[g] += miss[gate == g] @ own
-                        hessian[g] += (own * s[gate == g][:, None]).T @ own
+                kinds.add(*_contexts(stream, bounds))
+                if kinds.full():
+                    add(*kinds.take())
+        if kinds.size:
+            add(*kinds.take())
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(GATES), pa.int32()),
              pa.array([np.append(a, h).tolist() for a, h in zip(gradient, hessian)], pa.list_(pa.float64()))],
@@ -237,47 +359,64 @@ def _step_task(shared, shared_counts, table_bits: tuple[int, ...]):
     return run
 
 
-def _left_out(tree, counts, table_bits, stream: np.ndarray, bases: list[np.ndarray]):
-    """For each depth of the tree: the bytes that reach it, what the predictors say of their
-    decisions once these are taken out of the counts, their bits, and the gates."""
-    for d, live, node, bit in _decisions(tree, stream):
-        x, bit = np.empty((len(live), len(table_bits) + 1), np.float32), bit.astype(np.int64)
-        for i, (base, table, bits) in enumerate(zip(bases, counts, table_bits)):
-            cell = _cells(base[live], node, bits)
-            n0, n1 = table[cell * 2] - (1 - bit), table[cell * 2 + 1] - bit
-            x[:, i] = _stretched(np.maximum(n0, 0), np.maximum(n1, 0))
-        x[:, -1] = _BIAS
-        yield live, x, bit, _gate(d, x)
+def _left_out(tree, counts, table_bits, symbol: np.ndarray, bases: list[np.ndarray]):
+    """For runs of bytes: the slice, how many decisions each has, what the predictors say of these
+    once they are taken out of the counts (a row for each predictor), their bits, and the gates."""
+    for run, size, path, cells in _decisions(tree, symbol, bases, table_bits):
+        bit = tree.path_bit[path]
+        x = np.empty((len(table_bits) + 1, len(path)), np.float32)
+        for i, (table, cell) in enumerate(zip(counts, cells)):
+            if table.dtype == np.uint16:
+                # Both counts of a cell at once.
+                both = table.view("<u4").take(cell)
+                n0, n1 = (both & np.uint32(0xFFFF)).astype(np.float32), (both >> np.uint32(16)).astype(np.float32)
+            else:
+                cell *= 2
+                n0, n1 = table[cell].astype(np.float32), table[cell + 1].astype(np.float32)
+            n0 -= ~bit
+            n1 -= bit
+            x[i] = _stretched(np.maximum(n0, 0), np.maximum(n1, 0))
+        x[-1] = _BIAS
+        yield run, size, x, bit, _gates(tree, path, x)
+
+
+PARTS = "table int, part int, width int, cells binary"
+
+
+def _narrow(cells: np.ndarray) -> np.ndarray:
+    """Counts in the smallest type that holds them."""
+    return cells.astype(np.min_scalar_type(int(cells.max(initial=0))))
 
 
-def _part(table: int, part: int, cells: bytes) -> pa.RecordBatch:
+def _part(table: int, part: int, cells: np.ndarray) -> pa.RecordBatch:
+    cells = _narrow(cells)
     return pa.RecordBatch.from_arrays(
-        [pa.array([table], pa.int32()), pa.array([part], pa.int32()), pa.array([cells], pa.binary())],
-        ["table", "part", "cells"])
+        [pa.array([table], pa.int32()), pa.array([part], pa.int32()), pa.array([cells.itemsize], pa.int32()),
+         pa.array([cells.tobytes()], pa.binary())],
+        ["table", "part", "width", "cells"])
 
 
-def _sum_of_parts(key, parts, cell) -> np.ndarray:
-    """Sum of the partial tables of one part, whose cells are of the type ``cell`` (words and the
-    total are always longs)."""
-    kind, total = np.int64 if key[0] < 0 else cell, None
-    for cells in parts["cells"]:
-        x = np.frombuffer(cells, kind)
-        total = x.astype(np.int64) if total is None else total + x
+def _sum_of_parts(parts) -> np.ndarray:
+    """Sum of the partial tables of one part, whose cells have ``width`` bytes each."""
+    total = 0
+    for cells, width in zip(parts["cells"], parts["width"]):
+        total = total + np.frombuffer(cells, f"u{width}").astype(np.int64)
     return total
 
 
 def _add_parts(key, parts):
     import pandas as pd
 
-    total = _sum_of_parts(key, parts, np.int32)
-    return pd.DataFrame({"table": [key[0]], "part": [key[1]], "cells": [total.tobytes()]})
+    total = _narrow(_sum_of_parts(parts))
+    return pd.DataFrame({
+        "table": [key[0]], "part": [key[1]], "width": [total.itemsize], "cells": [total.tobytes()]})
 
 
 def _whole_parts(key, parts):
     """A part's counts, of the smallest type that holds them, and what its cells say for scoring."""
     import pandas as pd
 
-    total = _sum_of_parts(key, parts, np.int64)
+    total = _sum_of_parts(parts)
     said, narrow = b"", False
     if key[0] >= 0:
         said = np.rint(_stretched(total[::2], total[1::2]) * _SCALE).astype(np.int8).tobytes()
@@ -287,13 +426,26 @@ def _whole_parts(key, parts):
         {"table": [key[0]], "part": [key[1]], "cells": [total.tobytes()], "said": [said], "narrow": [narrow]})
 
 
-def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Place of each key in a sorted array, or the place past its end."""
-    if not len(keys):
-        return np.zeros(len(wanted), np.int64)
-    at = np.searchsorted(keys, wanted)
-    at[at == len(keys)] = 0
-    return np.where(keys[at] == wanted, at, len(keys))
+class _Places:
+    """Finds 64-bit hashes in a sorted array of some."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        self.shift = np.uint64(64 - len(keys).bit_length() - 2)
+        buckets = (keys >> self.shift).astype(np.int64)
+        self.first = np.searchsorted(buckets, np.arange((1 << 64 - int(self.shift)) + 1))
+        # Hashes are spread evenly, so a bucket has a few at most.
+        self.most = int(np.diff(self.first).max())
+        self.padded = np.append(keys, np.zeros(self.most, np.uint64))
+
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        """Place of each hash, or the place past the end."""
+        first = self.first[(wanted >> self.shift).astype(np.int64)]
+        out = np.full(len(wanted), len(self.keys))
+        for i in range(self.most):
+            at = first + i
+            np.copyto(out, at, where=(self.padded[at] == wanted) & (at < len(self.keys)))
+        return out
 
 
 def _by_row(h: np.ndarray, doc: np.ndarray):
@@ -305,38 +457,26 @@ def _by_row(h: np.ndarray, doc: np.ndarray):
     return order[first], np.diff(np.append(first, len(h)))
 
 
-def _rare_task(shared):
-    """Per document: each word that is not common, and how often it has it."""
-
-    def run(batches):
-        common = wd.shared_value(shared)
-        for batch in batches:
-            for row, end, data, at in wd.chunks(batch.column(3)):
-                low = wd.LOWER[data]
-                starts, ends, doc = wd.spans(low, at, wd.NOT_SPACE)
-                h = wd.span_hashes(low, starts, ends)
-                rare = _find(common, h) == len(common)
-                h, doc = h[rare], doc[rare]
-                if not len(h):
-                    continue
-                first, times = _by_row(h, doc)
-                rows = pa.array(doc[first] + row)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[first].view(np.int64)), batch.column(0).take(rows), batch.column(1).take(rows),
-                     batch.column(2).take(rows), pa.array(times.astype(np.int32))],
-                    ["word", "doc_id", "t", "train", "times"])
-
-    return run
-
-
 def _stretched(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
     return np.clip(np.log((n1 + 0.4) / (n0 + 0.4)), -10, 10)
 
 
+def _gate_of_depth(depth):
+    return np.minimum(depth, GATES // 3 - 1) * 3
+
+
 def _gate(depth: int, x: np.ndarray) -> np.ndarray:
     """Depth in the tree, and how many of the two longer contexts have been met."""
     met = (x[:, 1] != 0).astype(np.int64) + (x[:, 2] != 0)
-    return min(depth, GATES // 3 - 1) * 3 + met
+    return _gate_of_depth(depth) + met
+
+
+def _gates(tree: Tree, path: np.ndarray, said) -> np.ndarray:
+    """The gate of each decision, from what each predictor says of it."""
+    gate = tree.path_gate[path].astype(np.uint8)
+    gate += said[1] != 0
+    gate += said[2] != 0
+    return gate
 
 
 class Model:
@@ -349,24 +489,29 @@ class Model:
         self.known = (np.append(common_n, 0) > 0).astype(float)
 
 
-def _inputs(model: Model, stream: np.ndarray, bases: list[np.ndarray]):
-    """Of each byte's decisions, one after the other: what the predictors say for the way that was
-    taken, and the gate. Also where the decisions of each byte begin."""
+def _inputs(model: Model, symbol: np.ndarray, bases: list[np.ndarray]):
+    """Of each byte's decisions, one after the other: a word of what the predictors say for the way
+    that was taken, a byte each, then the bit and the gate. Also where the decisions of each byte
+    begin."""
     tree, predictors = model.tree, len(model.tables)
-    first = np.zeros(len(stream) + 1, np.int64)
-    np.cumsum(tree.length[stream], out=first[1:])
-    x = np.empty((first[-1], predictors + 1), np.float32)
-    gate = np.empty(first[-1], np.int64)
-    for d, live, node, bit in _decisions(tree, stream):
-        own = np.empty((len(live), predictors + 1), np.float32)
-        for i, (table, base, bits) in enumerate(zip(model.tables, bases, model.table_bits)):
-            own[:, i] = table[_cells(base[live], node, bits)]
-        own[:, :predictors] /= _SCALE
-        own[:, predictors] = _BIAS
-        gate[first[live] + d] = _gate(d, own)
-        own[bit == 0] *= -1
-        x[first[live] + d] = own
-    return x, gate, first
+    first = np.zeros(len(symbol) + 1, np.int64)
+    np.cumsum(tree.length[symbol], out=first[1:])
+    out = np.empty(first[-1], np.uint64)
+    for run, _, path, cells in _decisions(tree, symbol, bases, model.table_bits):
+        bit = tree.path_bit[path]
+        said = [table.take(cell) for table, cell in zip(model.tables, cells)]
+        word = np.zeros((len(path), 8), np.int8)
+        turned = bit.view(np.int8) - np.int8(1)
+        for i, x in enumerate(said):
+            # The other way around where the bit is 0.
+            word[:, i] = (x ^ turned) - turned
+        own = word.view("<u8")[:, 0]
+        tail = _gates(tree, path, said).astype(np.uint64)
+        tail <<= np.uint64(1)
+        tail |= bit
+        own |= tail << np.uint64(8 * predictors)
+        out[first[run.start]: first[run.stop]] = own
+    return out, first
 
 
 def tree_depth(model: Model) -> int:
@@ -374,62 +519,75 @@ def tree_depth(model: Model) -> int:
     return max(1, math.ceil(float(np.median(model.tree.length))))
 
 
-def _steps(order: np.ndarray, edges: np.ndarray, row_of: np.ndarray, most: int):
-    """Each block's bytes, a bounded number at a time: whole rows, of which a block has at most
-    ``BLOCK`` bytes each. Rows do not depend on each other."""
-    for b in range(len(edges) - 1):
-        at, last = edges[b], edges[b + 1]
+def _steps(bounds: np.ndarray, most: int):
+    """Blocks of rows, a bounded number of bytes at a time, the first blocks of all rows first: the
+    number of the blocks, their rows, first bytes and sizes. Rows do not depend on each other."""
+    blocks = -(-np.diff(bounds) // BLOCK)
+    row = np.repeat(np.arange(len(blocks)), blocks)
+    number = _runs(np.zeros(np.count_nonzero(blocks), np.int64), blocks[blocks > 0])
+    order = np.argsort(number, kind="stable")
+    row, number = row[order], number[order]
+    first = bounds[row] + number * BLOCK
+    size = np.minimum(bounds[row + 1] - first, BLOCK)
+    upto = np.append(0, np.cumsum(size))
+    edges = np.searchsorted(number, np.arange(number[-1] + 2) if len(number) else [0])
+    for b, (at, last) in enumerate(zip(edges, edges[1:])):
         while at < last:
-            end = min(at + max(most, BLOCK), last)
-            if end < last and row_of[order[end]] == row_of[order[end - 1]]:
-                # The cut falls inside a row's run: it goes with the next step.
-                end = at + int(np.searchsorted(row_of[order[at:end]], row_of[order[end]]))
-            if end == at:
-                end = at + int(np.searchsorted(row_of[order[at:last]], row_of[order[at]], side="right"))
-            yield b, order[at:end]
+            end = min(max(int(np.searchsorted(upto, upto[at] + most, side="right")) - 1, at + 1), last)
+            yield b, row[at:end], first[at:end], size[at:end]
             at = end
 
 
-def score_streams(model: Model, stream: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+def score_streams(
+    model: Model, stream: np.ndarray, bounds: np.ndarray, contexts: tuple | None = None,
+) -> np.ndarray:
     """Natural log-probability of each row of a stream under each weight set; the weights are
-    refined per row after each block."""
-    rows, sets = len(bounds) - 1, model.weights.shape[2]
-    bases = context_bases(stream, bounds)
-    place, kind = _kinds(stream, bases)
-    x, gate, first = _inputs(model, stream[place], [base[place] for base in bases])
-    row_of = np.repeat(np.arange(rows), np.diff(bounds))
-    block_of = (np.arange(len(stream)) - bounds[row_of]) // BLOCK
+    refined per row after each block. ``contexts`` are those of the stream, if they are there."""
+    rows, sets, predictors = len(bounds) - 1, model.weights.shape[2], len(model.tables)
+    symbol, bases, kind = _numbered(stream, *(contexts or _contexts(stream, bounds)))
+    said, first = _inputs(model, symbol, bases)
+    # Of each byte: where its decisions begin, and how many they are.
+    begin_of, size_of = first[kind], model.tree.length.astype(np.int64)[stream]
     last_block = (np.diff(bounds) - 1) // BLOCK
-    blocks = int(block_of.max()) + 1
-    order = np.argsort(block_of.astype(np.uint16) if blocks < 1 << 16 else block_of, kind="stable")
-    edges = np.searchsorted(block_of[order], np.arange(blocks + 1))
     total = np.zeros((rows, sets))
-    width = x.shape[1]
+    width = predictors + 1
+    scale = np.float32([*[_SCALE] * predictors, 1 / _BIAS])
     weights = [
         np.broadcast_to(model.weights[:, :, k], (rows, GATES, width)).astype(np.float32) for k in range(sets)]
-    for b, here in _steps(order, edges, row_of, STEP_DECISIONS // tree_depth(model)):
-        row, of = row_of[here], kind[here]
-        size = first[of + 1] - first[of]
-        upto = np.cumsum(size)
-        at = np.arange(upto[-1]) + np.repeat(first[of] - (upto - size), size)
-        # Rows follow each other, so the decisions of a row are a run.
-        new = np.append(True, row[1:] != row[:-1])
-        own, run = row[new], (upto - size)[new]
-        local = np.repeat(np.cumsum(new) - 1, size) * GATES + gate[at]
-        said = x[at]
+    above, gates = np.uint64(8 * predictors + 1), np.uint64(15)
+    for b, own, of_text, held in _steps(bounds, STEP_DECISIONS // tree_depth(model)):
+        here = _runs(of_text, held)
+        size = size_of[here]
+        at = _runs(begin_of[here], size)
+        # Decisions in the order of row and gate: those of one weight vector are a run.
+        words = said[at]
+        its = np.add.reduceat(size, np.cumsum(held) - held)
+        words += np.repeat(np.arange(len(own), dtype=np.uint64) << (above + np.uint64(4)), its)
+        words.sort()
+        group = words >> above
+        run = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+        times, group = np.diff(run, append=len(words)), group[run]
+        local, gate = (group >> np.uint64(4)).astype(np.int64), (group & gates).astype(np.int64)
+        part = words.astype("<u8", copy=False).view(np.int8).reshape(-1, 8)
+        x = [part[:, i].astype(np.float32) for i in range(predictors)]
+        x.append((part[:, predictors] & 1).astype(np.float32) * 2 - 1)
+        of_row = run[np.append(True, local[1:] != local[:-1])]
         more = last_block[own] > b
         for k in range(sets):
             w = weights[k][own]
-            z = np.einsum("mi,mi->m", w.reshape(-1, width)[local], said)
+            each = w[local, gate] / scale
+            z = np.repeat(each[:, 0], times) * x[0]
+            for i in range(1, width):
+                z += np.repeat(each[:, i], times) * x[i]
             np.clip(z, -20, 20, out=z)
             e = np.exp(-z)
-            total[own, k] -= np.add.reduceat(np.log1p(e), run, dtype=np.float64)
+            total[own, k] -= np.add.reduceat(np.log1p(e), of_row, dtype=np.float64)
             if more.any():
                 miss = e / (1 + e)
-                gradient = np.empty((len(own) * GATES, width))
+                gradient = np.empty((len(run), width), np.float32)
                 for i in range(width):
-                    gradient[:, i] = np.bincount(local, miss * said[:, i], len(gradient))
-                w += RATE * gradient.reshape(w.shape) / math.sqrt(1.0 + b)
+                    gradient[:, i] = np.add.reduceat(miss * x[i], run)
+                w[local, gate] += np.float32(RATE / math.sqrt(1.0 + b)) * gradient / scale
                 weights[k][own[more]] = w[more]
     return total
 
@@ -437,27 +595,49 @@ def score_streams(model: Model, stream: np.ndarray, bounds: np.ndarray) -> np.nd
 def _score_task(shared):
     def run(batches):
         model = wd.shared_value(shared)
+        common = _Places(model.common)
         for batch in batches:
             out = {name: [] for name in ("n_words", "n_known", "logs", "score", "n_bytes")}
-            for _, _, data, at in wd.chunks(batch.column(2)):
-                stream, bounds, h, doc = text_stream(data, at)
-                place = _find(model.common, h)
+            for row, _, data, at in wd.chunks(batch.column(3)):
+                stream, bounds, closing, doc = text_stream(data, at)
+                code, word = _contexts(stream, bounds)
+                h = wd.mix(word[closing])
+                place = common.find(h)
                 rows = len(at) - 1
                 out["n_words"].append(np.bincount(doc, minlength=rows))
                 out["n_known"].append(np.bincount(doc, model.known[place], rows))
                 out["logs"].append(np.bincount(doc, model.base_log[place], rows))
-                out["score"].append(score_streams(model, stream, bounds)[:, 0] / np.log(10))
+                out["score"].append(score_streams(model, stream, bounds, (code, word))[:, 0] / np.log(10))
                 out["n_bytes"].append(np.diff(bounds))
+                rare = place == len(common.keys)
+                h, doc = h[rare], doc[rare]
+                first, times = _by_row(h, doc)
+                whose = pa.array(doc[first] + row)
+                yield _scored(
+                    *(batch.column(i).take(whose) for i in range(3)),
+                    word=pa.array(h[first].view(np.int64)), times=pa.array(times.astype(np.int32)))
             columns = {k: np.concatenate(v) if v else np.empty(0) for k, v in out.items()}
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(columns["n_words"].astype(np.int64)),
-                 pa.array(columns["n_known"].astype(np.int64)), pa.array(columns["logs"]),
-                 pa.array(columns["score"]), pa.array(columns["n_bytes"].astype(np.int64))],
-                ["doc_id", "t", "n_words", "n_known", "logs", "score", "n_bytes"])
+            yield _scored(
+                *(batch.column(i) for i in range(3)),
+                **{k: pa.array(v if k in ("logs", "score") else v.astype(np.int64)) for k, v in columns.items()})
 
     return run
 
 
+SCORED = (
+    "doc_id long, t long, train boolean, n_words long, n_known long, logs double, score double, "
+    "n_bytes long, word long, times int")
+
+
+def _scored(doc_id, t, train, **columns) -> pa.RecordBatch:
+    """Rows of documents, or of their words that are not common, without the other kind's columns."""
+    kinds = {"logs": pa.float64(), "score": pa.float64(), "times": pa.int32()}
+    names = ("n_words", "n_known", "logs", "score", "n_bytes", "word", "times")
+    return pa.RecordBatch.from_arrays(
+        [doc_id, t, train, *(columns.get(n, pa.nulls(len(doc_id), kinds.get(n, pa.int64()))) for n in names)],
+        ["doc_id", "t", "train", *names])
+
+
 def refine_weights(base: DataFrame, tree: Tree, counts, table_bits, weights: np.ndarray) -> np.ndarray:
     """Start weights after a Newton step over every training text, from the sample's weights. The
     counts are shared.
@@ -508,10 +688,12 @@ def fit_weights(tree: Tree, counts: list[np.ndarray], table_bits, texts: list[st
     start[-1] = 0.0
     weights = np.tile(start[:, None], (GATES, 1, 1))
     stream, bounds, _, _ = text_stream(*wd.text_bytes(pa.array(texts, pa.large_string())))
-    bases = context_bases(stream, bounds) if len(stream) else []
-    parts = [(x, bit, gate) for _, x, bit, gate in _left_out(tree, counts, table_bits, stream, bases)]
+    parts = []
+    if len(stream):
+        parts = [(x, bit, gate) for _, _, x, bit, gate in _left_out(
+            tree, counts, table_bits, stream, context_bases(stream, bounds))]
     for g in range(GATES if parts else 0):
-        x = np.concatenate([x[gate == g] for x, _, gate in parts])
+        x = np.concatenate([x[:, gate == g].T for x, _, gate in parts])
         y = np.concatenate([bit[gate == g] for _, bit, gate in parts]).astype(np.float32)
         w = start.copy()
         for _ in range(12):
@@ -566,11 +748,11 @@ def score_documents(
 
     known = wd.share(spark, (tree, common))
     parts = base.where("train").select("text").mapInArrow(
-        _count_task(known, table_bits), "table int, part int, cells binary")
+        _count_task(known, table_bits), PARTS)
     # Added in a tree, as every task has its own tables: first those of a bounded number of tasks.
     some = (F.spark_partition_id() / TREE_TASKS).cast("int")
     parts = parts.withColumn("some", some).groupBy("table", "part", "some").applyInPandas(
-        _add_parts, "table int, part int, cells binary")
+        _add_parts, PARTS)
     parts = stage_table(parts.groupBy("table", "part").applyInPandas(
         _whole_parts, "table int, part int, cells binary, said binary, narrow boolean"), "tables")
     wide = {r.table for r in parts.where("table >= 0 and not narrow").select("table").distinct().collect()}
@@ -596,11 +778,13 @@ def score_documents(
     counts.destroy()
     model = Model(tree, tables, weights, table_bits, common, common_n, ends)
 
-    rare = base.select("doc_id", "t", "train", "text").mapInArrow(
-        _rare_task(wd.share(spark, common)), "word long, doc_id long, t long, train boolean, times int")
+    # One pass gives a row for each document, and one for each of its words that is not common.
+    both = stage_table(base.select("doc_id", "t", "train", "text").mapInArrow(
+        _score_task(wd.share(spark, model)), SCORED), "scores")
+    scored = both.where("word is null").drop("train", "word", "times")
+    rare = both.where("word is not null").select("doc_id", "t", "train", "word", "times")
     # Counts first, added map-side, so that a frequent word that the sample has missed is not one
     # task's work; the join can be split where such a word is skewed.
-    rare = stage_table(rare, "rare_words")
     counts = rare.where("train").groupBy("word").agg(F.sum("times").alias("c"))
     counts = stage_table(counts, "rare_counts")
     rare = rare.join(counts, "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
@@ -611,10 +795,6 @@ def score_documents(
     rare = stage_table(rare, "rare")
     kinds = counts.count() + int((common_n > 0).sum()) + (ends > 0)
 
-    scored = base.select("doc_id", "t", "text").mapInArrow(
-        _score_task(wd.share(spark, model)),
-        "doc_id long, t long, n_words long, n_known long, logs double, score double, n_bytes long")
-    scored = stage_table(scored, "scores")
     copies = scored.groupBy("doc_id", "t").agg(F.count("*").alias("copies"))
     # Equal rows have put their words together; each gets its share.
     rare = rare.join(copies, rare.doc_id.eqNullSafe(copies.doc_id) & (rare.t == copies.t)).select(

@@ -81,12 +81,14 @@ def give_back() -> None:
         trim(0)
 
 
-def chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Runs of rows: first row, end row, their bytes, and offsets from 0."""
+def chunks(column: pa.Array, most: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Runs of rows: first row, end row, their bytes, and offsets from 0. A run of several rows has
+    at most ``most`` bytes, ``CHUNK_BYTES`` if not given."""
+    most = most or CHUNK_BYTES
     data, at = text_bytes(column)
     n, row = len(at) - 1, 0
     while row < n:
-        end = int(np.searchsorted(at, at[row] + CHUNK_BYTES, side="right")) - 1
+        end = int(np.searchsorted(at, at[row] + most, side="right")) - 1
         end = min(max(end, row + 1), n)
         yield row, end, data[at[row]: at[end]], at[row: end + 1] - at[row]
         row = end
@@ -113,12 +115,19 @@ def spans(data: np.ndarray, at: np.ndarray, inside: np.ndarray) -> tuple[np.ndar
     return starts, ends, np.searchsorted(at, starts, side="right") - 1
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte spans; equal spans have equal hashes wherever they stand."""
+def running_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums up to each place, and factors: of a span, the difference of the sums at its ends times
+    the factor of its start is the same wherever the span stands."""
     n = len(data)
     up, down = _power_tables(n + 1)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTE_CODE[data] * up[:n], out=total[1:])
+    return total, down
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte spans; equal spans have equal hashes wherever they stand."""
+    total, down = running_hashes(data)
     return mix((total[ends] - total[starts]) * down[starts])
 
 

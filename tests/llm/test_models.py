@@ -5,6 +5,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import crc, edge_texts, frame, words
 
@@ -292,6 +293,62 @@ def test_bounded_steps_give_equal_scores(monkeypatch):
     assert np.allclose(mixing_lm.score_streams(model, stream, bounds), whole, rtol=1e-9)
 
 
+def test_equal_bytes_after_equal_contexts_are_looked_up_once(monkeypatch):
+    """Also where they stand in different chunks of a task; every decision is counted, and fitted."""
+    texts = [b"the old stone bridge and the old mill " * 40, b"", b" \t ", b"The old\tSTONE bridge", b"a", b"x " * 300] * 4
+    batch = pa.RecordBatch.from_arrays([pa.array([t.decode() for t in texts])], ["text"])
+    bits = (8, 9, 9, 8)
+    data, at = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    stream, bounds, closing, doc = mixing_lm.text_stream(data, at)
+    assert stream.tobytes() == b"".join(b" ".join(t.lower().split()) + b"\n" for t in texts)
+    assert np.bincount(doc, minlength=len(texts)).tolist() == [len(t.split()) for t in texts]
+    assert set(stream[closing].tolist()) == {0x20, 0x0A} and np.diff(bounds).min() == 1
+    tree = mixing_lm.Tree(np.bincount(stream, minlength=256).astype(float))
+    want = [np.zeros(2 << b, np.int64) for b in bits]
+    seen = set()
+    for a, b in zip(bounds, bounds[1:]):
+        for i in range(a, b):
+            before = b"\n" * 5 + stream[a:i].tobytes()
+            seen.add((before[-5:], before.replace(b"\n", b" ").split(b" ")[-1], stream[i]))
+    bases = mixing_lm.context_bases(stream, bounds)
+    for i, symbol in enumerate(stream):
+        for d in range(tree.length[symbol]):
+            for table, base, n in zip(want, bases, bits):
+                cell = mixing_lm._cells(base[i], tree.node[d, symbol], n)
+                table[2 * cell + tree.bit[d, symbol]] += 1
+
+    met, decisions = [], mixing_lm._decisions
+
+    def watched(tree, symbol, *rest):
+        met.append(len(symbol))
+        return decisions(tree, symbol, *rest)
+
+    monkeypatch.setattr(mixing_lm, "KINDS_BYTES", 500)
+    monkeypatch.setattr(mixing_lm, "_decisions", watched)
+    monkeypatch.setattr(mixing_lm.wd, "shared_value", lambda value: value)
+    got = [np.zeros(2 << b, np.int64) for b in bits]
+    for part in mixing_lm._count_task((tree, np.empty(0, np.uint64)), bits)([batch]):
+        r = part.to_pylist()[0]
+        if r["table"] >= 0:
+            got[r["table"]] += np.frombuffer(r["cells"], f"u{r['width']}")
+    assert all((a == b).all() for a, b in zip(got, want))
+    assert met == [len(seen)]
+
+    counts, weights = [a.astype(np.uint16) for a in got], np.full((mixing_lm.GATES, 5), 0.3, np.float32)
+
+    class Shared:
+        value = counts
+
+    one = [r["sums"] for r in next(mixing_lm._step_task((tree, weights), Shared, bits)([batch])).to_pylist()]
+    assert met == [len(seen)] * 2
+    monkeypatch.setattr(mixing_lm, "KINDS_HELD", 1)
+    each = [r["sums"] for r in next(mixing_lm._step_task((tree, weights), Shared, bits)([batch])).to_pylist()]
+    assert np.allclose(one, each, rtol=1e-4, atol=1e-2) and len(met) > 4
+    Shared.value = [a.astype(np.float32) for a in got]
+    wide = [r["sums"] for r in next(mixing_lm._step_task((tree, weights), Shared, bits)([batch])).to_pylist()]
+    assert np.allclose(one, wide, rtol=1e-4, atol=1e-2)
+
+
 def test_mixing_learns_from_texts_beyond_the_sample(spark, monkeypatch):
     """The tree counts the bytes, and the weights follow the decisions, of every training text."""
     trees, fits = [], []
