@@ -27,7 +27,14 @@ from tallyline.settings import Settings
 from tallyline.sources.operational import extract_day
 from tallyline.sources.sales_csv import read_sales_csv, require_columns
 from tallyline.sources.snapshots import NoSuchTable, TableStore, Transaction
-from tallyline.sources.tables import conform, replace_day, row_counts, staging_scope, write_csv
+from tallyline.sources.tables import (
+    conform,
+    forget_shuffles,
+    replace_day,
+    row_counts,
+    staging_scope,
+    write_csv,
+)
 
 FEW_TASKS = 32
 STAGES = ("ingest", "transform", "anomaly", "report")
@@ -172,6 +179,8 @@ def transform_layers(
             return write_each({n: stamped(df, "refreshed_at", at) for n, df in made.items()}, txn)
 
         run("Staging", lambda: txn.write("stg_sales_clean", clean_staging(staged, settings, order)))
+        # The copies that deduplication has shuffled are the largest files of the run.
+        forget_shuffles(staged.sparkSession)
         run("Transformation", to_core)
         run("Reporting", to_marts)
     return {name: txn.read(name) for name in ("stg_sales_clean", "core_sales", *made_marts())}

@@ -16,6 +16,7 @@ from tallyline.sources.sales_csv import read_sales_csv, require_columns
 from tallyline.sources.snapshots import TableStore
 from tallyline.sources.tables import (
     conform,
+    forget_shuffles,
     full_refresh,
     new_path,
     replace_dates,
@@ -31,9 +32,14 @@ MARKS = (dt.datetime(1995, 1, 1), dt.datetime(1998, 6, 30))
 RAW_PROFILE = ", ".join(f"count({c}) AS {c}" for c in RAW_SALES_COLUMNS)
 
 
+FILE_ROWS = 500_000
+
+
 def written_csv(src: Inputs) -> str:
+    """Raw files of the sales, compressed; nothing of the joins that made them stays on disk."""
     path = new_path(src.spark, "sales-csv")
-    write_csv(src.sales_raw(), path)
+    write_csv(src.sales_raw(), path, "gzip", FILE_ROWS)
+    forget_shuffles(src.spark)
     return path
 
 

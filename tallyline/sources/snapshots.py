@@ -19,7 +19,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +28,7 @@ from tallyline.sources import files
 _NULL = "__HIVE_DEFAULT_PARTITION__"
 _WHOLE = ""
 OPEN_FILES = 16
+CODEC = "zstd"
 
 
 class StaleSnapshot(RuntimeError):
@@ -158,6 +159,12 @@ def _unsorted(spark: SparkSession) -> Iterator[None]:
         conf.set(key, before)
 
 
+def _writer(df: DataFrame) -> DataFrameWriter:
+    """Published tables take less room than in Spark's own codec, unless the session names one."""
+    named = df.sparkSession.conf.get("spark.sql.parquet.compression.codec", CODEC)
+    return df.write.option("compression", named)
+
+
 class Transaction:
     """Writes of one snapshot. As a context it publishes at the end, or leaves no trace."""
 
@@ -186,10 +193,10 @@ class Transaction:
         path = f"{self.store.root}/{root}"
         frame, seen = counted(df, rows=F.count(F.lit(1)))
         if partition_by is None:
-            frame.write.parquet(path)
+            _writer(frame).parquet(path)
         else:
             with _unsorted(self.store.spark):
-                frame.write.partitionBy(partition_by).parquet(path)
+                _writer(frame).partitionBy(partition_by).parquet(path)
         self.rows[name] = seen.get["rows"]
         made = [_WHOLE] if partition_by is None else [
             n for n in files.names(self.store.spark, path) if n.startswith(f"{partition_by}=")]
@@ -220,7 +227,7 @@ class Transaction:
         frame, seen = counted(df, **{
             name: F.count_if(F.col(flag) == value) for value, (name, _, _) in tables.items()})
         with _unsorted(self.store.spark):
-            frame.write.partitionBy(flag).parquet(path)
+            _writer(frame).partitionBy(flag).parquet(path)
         made = files.names(self.store.spark, path)
         for value, (name, schema, column) in tables.items():
             folder = f"{flag}={str(value).lower()}"

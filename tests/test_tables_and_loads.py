@@ -10,13 +10,14 @@ from types import SimpleNamespace
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
-from conftest import SALES, rows, staged_frame
+from conftest import SALES, SF, rows, staged_frame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyline.functions.ranking import rank_descending
 from tallyline.operators import core, kpis, marts, metrics, runlog, staging
 from tallyline.plans import jobs
+from tallyline.registry.base import Inputs
 from tallyline.schemas import RUN_LOG
 from tallyline.session import compile_wide_projections
 from tallyline.settings import Settings
@@ -143,6 +144,63 @@ def test_a_run_has_stamps_few_jobs_and_leaves_only_its_tables(spark, tmp_path):
     assert len(json.loads((tmp_path / "run/_snapshots" / found[-1]).read_text())["tables"]) >= 12
 
 
+def test_published_tables_and_raw_files_take_little_disk(spark, tmp_path):
+    """Tables are packed as the session says, or else by zstd; raw files, of bounded rows, by gzip."""
+    def codecs(name):
+        store = TableStore(spark, str(tmp_path / name))
+        with store.begin() as txn:
+            txn.write("t", numbers(spark, *range(50)))
+            txn.write("by_part", numbers(spark, *range(50)), partition_by="part")
+        assert store.read("t").count() == store.read("by_part").count() == 50
+        return {pq.ParquetFile(f).metadata.row_group(0).column(0).compression
+                for f in (tmp_path / name).rglob("*.parquet")}
+
+    assert codecs("usual") == {"ZSTD"}
+    spark.conf.set("spark.sql.parquet.compression.codec", "gzip")
+    try:
+        assert codecs("named") == {"GZIP"}
+    finally:
+        spark.conf.unset("spark.sql.parquet.compression.codec")
+
+    plain, packed = str(tmp_path / "plain"), str(tmp_path / "packed")
+    raw = spark.createDataFrame(
+        [("T,1" if i % 7 else None, f'said "{i}"', " x ") for i in range(50)], "a string, b string, c string")
+    tables.write_csv(raw.coalesce(1), plain)
+    tables.write_csv(raw.coalesce(1), packed, "gzip", 20)
+    assert [n[-4:] for n in files.names(spark, plain) if n.startswith("part")] == [".csv"]
+    assert [n[-7:] for n in files.names(spark, packed) if n.startswith("part")] == [".csv.gz"] * 3
+    assert rows(read_sales_csv(spark, plain).orderBy("b")) == rows(read_sales_csv(spark, packed).orderBy("b"))
+
+
+def test_a_run_gives_back_the_shuffle_of_its_copies_before_the_fact(spark, tmp_path, monkeypatch):
+    raw, root, given = tmp_path / "raw.csv", str(tmp_path / "run"), []
+    raw_file(raw)
+
+    def watched(session):
+        (made,) = (tmp_path / "run/data").glob("*/stg_sales_clean/_SUCCESS")
+        given.append(not list((tmp_path / "run/data").glob("*/core_sales")) and made.exists())
+        tables.forget_shuffles(session)
+
+    monkeypatch.setattr(jobs, "forget_shuffles", watched)
+    result = jobs.run_all(spark, str(raw), root, dt.date(2024, 1, 31)).collect()
+    assert all(r.success for r in result) and given == [True]
+
+
+def test_lines_of_an_order_stay_together_in_the_input(spark):
+    """The last join that can shuffle the fact is by order, so copies of an id meet in one task."""
+    at = Inputs(spark, SF).sales_raw("customer", "part").select("transaction_id", F.spark_partition_id().alias("task"))
+    order = F.regexp_extract("transaction_id", "TXN-([0-9]+)-", 1)
+    tasks = at.where("transaction_id like 'TXN%'").groupBy(order).agg(F.countDistinct("task").alias("n"))
+    large = {"autoBroadcastJoinThreshold": "-1", "adaptive.coalescePartitions.enabled": "false"}
+    for key, value in large.items():
+        spark.conf.set(f"spark.sql.{key}", value)
+    try:
+        assert tasks.agg(F.max("n")).first()[0] == 1
+    finally:
+        for key in large:
+            spark.conf.unset(f"spark.sql.{key}")
+
+
 def test_year_ranges():
     text = str(kpis.in_years([2020, 2019, 2022]))
     assert text.count("OR") + text.count("or(") == 1 and "2019-01-01" in text and "2020-12-31" in text
