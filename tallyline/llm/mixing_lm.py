@@ -35,6 +35,7 @@ COMMON_WORDS = 1 << 15
 ORDERS = (2, 5, 3)
 TABLE_BITS = (18, 22, 22, 20)
 PART_CELLS = 1 << 15
+LIST_ROWS = 10_000
 BLOCK = 256
 STEP_DECISIONS = 100_000
 KINDS_HELD = 1 << 21
@@ -170,20 +171,25 @@ def _cells(base: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
     return ((base ^ _NODE[node]) >> np.uint64(64 - bits)).astype(np.int64)
 
 
+def _order(key: np.ndarray) -> np.ndarray:
+    """Places in the order of hashes, equal ones in the order of places. Hashes are compared by
+    their first bits: those that share them, which are very few, stand mixed."""
+    low = np.uint64((1 << max(1, len(key).bit_length())) - 1)
+    order = key & ~low
+    order |= np.arange(len(key), dtype=np.uint64)
+    order.sort()
+    order &= low
+    return order.view(np.int64)
+
+
 def _alike(code: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Equal bytes after equal contexts put together: their places, and where each kind begins.
 
     The longest order determines the shorter ones, so it and the word so far tell contexts apart.
     """
     key = wd.mix(code * _KEYS[0] + word * _KEYS[1])
-    # Sorted by the key's first bits, with the place in the last ones. Keys that share the first
-    # bits stand mixed then, and are more kinds than need be, as whole keys are compared.
-    low = np.uint64((1 << max(1, len(key).bit_length())) - 1)
-    order = key & ~low
-    order |= np.arange(len(key), dtype=np.uint64)
-    order.sort()
-    order &= low
-    order = order.view(np.int64)
+    order = _order(key)
+    # Whole keys are compared, so keys that stand mixed are more kinds than need be.
     key = key[order]
     return order, np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
 
@@ -448,13 +454,21 @@ class _Places:
         return out
 
 
-def _by_row(h: np.ndarray, doc: np.ndarray):
-    """Distinct words of each row: first place and times, in the order of rows."""
-    order = np.lexsort((h, doc))
-    h, doc = h[order], doc[order]
-    new = np.append(True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])) if len(h) else np.empty(0, bool)
-    first = np.flatnonzero(new)
-    return order[first], np.diff(np.append(first, len(h)))
+def _by_word(h: np.ndarray, row: np.ndarray, train: np.ndarray):
+    """The distinct words of some rows, the rows that have each, how often, and the training rows'
+    sum of that. A word may come more than once."""
+    # Rows come in order, and stay so within a word.
+    order = _order(h)
+    h, row = h[order], row[order]
+    pair = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (row[1:] != row[:-1]))[: len(h)])
+    times = np.diff(pair, append=len(h))
+    h, row = h[pair], row[pair]
+    first = np.flatnonzero(np.append(True, h[1:] != h[:-1])[: len(h)])
+    learnt = np.add.reduceat(times * train[row], first) if len(first) else times
+    size = np.diff(first, append=len(h))
+    return (
+        pa.array(h[first].view(np.int64)), wd.list_column(row, size, pa.int32()),
+        wd.list_column(times, size, pa.int32()), pa.array(learnt.astype(np.int64)))
 
 
 def _stretched(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
@@ -596,8 +610,9 @@ def _score_task(shared):
     def run(batches):
         model = wd.shared_value(shared)
         common = _Places(model.common)
-        for batch in batches:
+        for number, batch in enumerate(batches):
             out = {name: [] for name in ("n_words", "n_known", "logs", "score", "n_bytes")}
+            rare_words, rare_rows = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
             for row, _, data, at in wd.chunks(batch.column(3)):
                 stream, bounds, closing, doc = text_stream(data, at)
                 code, word = _contexts(stream, bounds)
@@ -610,32 +625,39 @@ def _score_task(shared):
                 out["score"].append(score_streams(model, stream, bounds, (code, word))[:, 0] / np.log(10))
                 out["n_bytes"].append(np.diff(bounds))
                 rare = place == len(common.keys)
-                h, doc = h[rare], doc[rare]
-                first, times = _by_row(h, doc)
-                whose = pa.array(doc[first] + row)
-                yield _scored(
-                    *(batch.column(i).take(whose) for i in range(3)),
-                    word=pa.array(h[first].view(np.int64)), times=pa.array(times.astype(np.int32)))
+                rare_words.append(h[rare])
+                rare_rows.append(doc[rare] + row)
             columns = {k: np.concatenate(v) if v else np.empty(0) for k, v in out.items()}
-            yield _scored(
-                *(batch.column(i) for i in range(3)),
-                **{k: pa.array(v if k in ("logs", "score") else v.astype(np.int64)) for k, v in columns.items()})
+            columns = {k: pa.array(v if k in ("logs", "score") else v.astype(np.int64)) for k, v in columns.items()}
+            if not len(batch):
+                continue
+            part = (batch.column(0)[0].as_py() << 32) + number
+            yield _scored(part, len(batch), place=pa.array(np.arange(len(batch)), pa.int32()),
+                          doc_id=batch.column(1), **columns)
+            train = np.asarray(batch.column(2)).astype(np.int64)
+            word, places, times, learnt = _by_word(
+                np.concatenate(rare_words), np.concatenate(rare_rows), train)
+            for at in range(0, len(word), LIST_ROWS):
+                some = [x.slice(at, LIST_ROWS) for x in (word, places, times, learnt)]
+                yield _scored(part, len(some[0]), **dict(zip(("word", "places", "times", "learnt"), some)))
 
     return run
 
 
 SCORED = (
-    "doc_id long, t long, train boolean, n_words long, n_known long, logs double, score double, "
-    "n_bytes long, word long, times int")
+    "part long, place int, doc_id long, n_words long, n_known long, logs double, score double, "
+    "n_bytes long, word long, places array<int>, times array<int>, learnt long")
 
 
-def _scored(doc_id, t, train, **columns) -> pa.RecordBatch:
+def _scored(part: int, rows: int, **columns) -> pa.RecordBatch:
     """Rows of documents, or of their words that are not common, without the other kind's columns."""
-    kinds = {"logs": pa.float64(), "score": pa.float64(), "times": pa.int32()}
-    names = ("n_words", "n_known", "logs", "score", "n_bytes", "word", "times")
+    ints, lists = pa.int64(), pa.list_(pa.int32())
+    kinds = dict(
+        place=pa.int32(), doc_id=ints, n_words=ints, n_known=ints, logs=pa.float64(), score=pa.float64(),
+        n_bytes=ints, word=ints, places=lists, times=lists, learnt=ints)
     return pa.RecordBatch.from_arrays(
-        [doc_id, t, train, *(columns.get(n, pa.nulls(len(doc_id), kinds.get(n, pa.int64()))) for n in names)],
-        ["doc_id", "t", "train", *names])
+        [pa.array(np.full(rows, part)), *(columns.get(n, pa.nulls(rows, kind)) for n, kind in kinds.items())],
+        ["part", *kinds])
 
 
 def refine_weights(base: DataFrame, tree: Tree, counts, table_bits, weights: np.ndarray) -> np.ndarray:
@@ -778,34 +800,29 @@ def score_documents(
     counts.destroy()
     model = Model(tree, tables, weights, table_bits, common, common_n, ends)
 
-    # One pass gives a row for each document, and one for each of its words that is not common.
-    both = stage_table(base.select("doc_id", "t", "train", "text").mapInArrow(
+    # One pass gives a row for each document, and for each word that is not common a row of the
+    # documents of a batch that have it.
+    both = stage_table(base.select(F.spark_partition_id().alias("p"), "doc_id", "train", "text").mapInArrow(
         _score_task(wd.share(spark, model)), SCORED), "scores")
-    scored = both.where("word is null").drop("train", "word", "times")
-    rare = both.where("word is not null").select("doc_id", "t", "train", "word", "times")
+    scored = both.where("word is null").drop("word", "places", "times", "learnt")
+    rare = both.where("word is not null").select("part", "word", "places", "times", "learnt")
     # Counts first, added map-side, so that a frequent word that the sample has missed is not one
     # task's work; the join can be split where such a word is skewed.
-    counts = rare.where("train").groupBy("word").agg(F.sum("times").alias("c"))
+    counts = rare.where("learnt > 0").groupBy("word").agg(F.sum("learnt").alias("c"))
     counts = stage_table(counts, "rare_counts")
-    rare = rare.join(counts, "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
-    times = F.col("times").cast("double")
-    rare = rare.groupBy("doc_id", "t").agg(
-        F.sum(F.log10(F.col("c") + 0.1) * times).alias("rare_logs"),
-        F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("rare_known"))
-    rare = stage_table(rare, "rare")
     kinds = counts.count() + int((common_n > 0).sum()) + (ends > 0)
-
-    copies = scored.groupBy("doc_id", "t").agg(F.count("*").alias("copies"))
-    # Equal rows have put their words together; each gets its share.
-    rare = rare.join(copies, rare.doc_id.eqNullSafe(copies.doc_id) & (rare.t == copies.t)).select(
-        rare.doc_id.alias("r_id"), rare.t.alias("r_t"),
-        (F.col("rare_logs") / F.col("copies")).alias("rare_logs"),
-        (F.col("rare_known") / F.col("copies")).cast("long").alias("rare_known"))
-    out = scored.join(rare, scored.doc_id.eqNullSafe(rare.r_id) & (scored.t == rare.r_t), "left")
+    # Multiples of a power of two, whose sums are the same in any order.
+    log = F.rint(F.log10(F.coalesce("c", F.lit(0)) + 0.1) * 2.0**32) / 2.0**32
+    rare = rare.join(counts, "word", "left").select(
+        "part", log.alias("log"), F.coalesce("c", F.lit(0)).alias("c"), F.inline(F.arrays_zip("places", "times")))
+    rare = rare.groupBy("part", F.col("places").alias("place")).agg(
+        F.sum(F.col("log") * F.col("times")).alias("rare_logs"),
+        F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("rare_known"))
+    out = scored.join(stage_table(rare, "rare"), ["part", "place"], "left")
     n = F.col("n_words") + 1
     logs = F.col("logs") + F.coalesce("rare_logs", F.lit(0.0)) + F.log10(F.lit(ends + 0.1))
     return out.select(
-        scored.doc_id, n.alias("n_tokens"),
+        "doc_id", n.alias("n_tokens"),
         (F.col("n_known") + F.coalesce("rare_known", F.lit(0)) + int(ends > 0)).alias("n_known"),
         F.lit(n_tokens).cast("long").alias("train_tokens"),
         (logs - n * F.log10(F.lit(n_tokens + 0.1 * (kinds + 1)))).alias("base_score"),
