@@ -84,7 +84,7 @@ class Tree:
                 self.node[d, byte], self.bit[d, byte] = node, bit
         # The paths end to end: where each byte's begins; hash of the node, bit and least gate.
         self.begin = np.cumsum(self.length, dtype=np.int64) - self.length
-        depth = np.concatenate([np.arange(n) for n in self.length])
+        depth = self.path_depth = np.concatenate([np.arange(n) for n in self.length])
         byte = np.repeat(np.arange(256), self.length)
         self.path_node = _NODE[self.node[depth, byte]]
         self.path_bit = self.bit[depth, byte].astype(bool)
@@ -365,7 +365,7 @@ def _step_task(shared, shared_counts, table_bits: tuple[int, ...]):
     return run
 
 
-def _left_out(tree, counts, table_bits, symbol: np.ndarray, bases: list[np.ndarray]):
+def _left_out(tree, counts, table_bits, symbol: np.ndarray, bases: list[np.ndarray], kind=np.float32):
     """For runs of bytes: the slice, how many decisions each has, what the predictors say of these
     once they are taken out of the counts (a row for each predictor), their bits, and the gates."""
     for run, size, path, cells in _decisions(tree, symbol, bases, table_bits):
@@ -375,10 +375,10 @@ def _left_out(tree, counts, table_bits, symbol: np.ndarray, bases: list[np.ndarr
             if table.dtype == np.uint16:
                 # Both counts of a cell at once.
                 both = table.view("<u4").take(cell)
-                n0, n1 = (both & np.uint32(0xFFFF)).astype(np.float32), (both >> np.uint32(16)).astype(np.float32)
+                n0, n1 = (both & np.uint32(0xFFFF)).astype(kind), (both >> np.uint32(16)).astype(kind)
             else:
                 cell *= 2
-                n0, n1 = table[cell].astype(np.float32), table[cell + 1].astype(np.float32)
+                n0, n1 = table[cell].astype(kind), table[cell + 1].astype(kind)
             n0 -= ~bit
             n1 -= bit
             x[i] = _stretched(np.maximum(n0, 0), np.maximum(n1, 0))
@@ -710,13 +710,14 @@ def fit_weights(tree: Tree, counts: list[np.ndarray], table_bits, texts: list[st
     start[-1] = 0.0
     weights = np.tile(start[:, None], (GATES, 1, 1))
     stream, bounds, _, _ = text_stream(*wd.text_bytes(pa.array(texts, pa.large_string())))
-    parts = []
-    if len(stream):
-        parts = [(x, bit, gate) for _, _, x, bit, gate in _left_out(
-            tree, counts, table_bits, stream, context_bases(stream, bounds))]
+    bases, parts = context_bases(stream, bounds) if len(stream) else [], []
+    for run, _, x, bit, gate in _left_out(tree, counts, table_bits, stream, bases, np.float64):
+        parts.append((x, bit, gate, tree.path_depth[_paths(tree, stream[run])[1]]))
     for g in range(GATES if parts else 0):
-        x = np.concatenate([x[:, gate == g].T for x, _, gate in parts])
-        y = np.concatenate([bit[gate == g] for _, bit, gate in parts]).astype(np.float32)
+        # By depth, then as they come: the sums have the last bits of one order.
+        order = np.argsort(np.concatenate([depth[gate == g] for _, _, gate, depth in parts]), kind="stable")
+        x = np.concatenate([x[:, gate == g].T for x, _, gate, _ in parts])[order]
+        y = np.concatenate([bit[gate == g] for _, bit, gate, _ in parts])[order].astype(np.float32)
         w = start.copy()
         for _ in range(12):
             p = 1 / (1 + np.exp(-np.clip(x @ w.astype(np.float32), -20, 20)))
