@@ -9,10 +9,11 @@ words, and the word so far. Their stretched probabilities are combined by weight
 training texts and are refined online: after each block of a text they follow the gradient of what
 the block has shown, for that text alone. The sum of the logarithms is the text's log-probability.
 
-Bytes of a chunk that follow the same contexts share their look-ups; nothing is left out for it.
+Bytes that follow the same contexts share their look-ups, in a chunk for scoring, in as many texts of
+a task as ``KINDS_HELD`` allows for counting and fitting; nothing is left out for it.
 
 The words of the corpus are counted exactly for the unigram base score: the common ones in a table
-of bounded size, all others by a shuffle.
+of bounded size, all others by a shuffle, to which a batch of documents sends each of them once.
 """
 
 from __future__ import annotations
